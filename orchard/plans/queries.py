@@ -1,0 +1,82 @@
+"""Registered queries: one callable ``(spark, sf_dir) -> DataFrame`` per operator key.
+
+Every query reads whole tables (through the stand-in views) and returns a
+frame whose floating columns are rounded to 6 digits so that it can be
+compared with the DuckDB oracle in ``orchard.plans.oracle``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orchard.operators import bayes, evaluate
+from orchard.plans import prepared as P
+
+NB_LAMBDA = 5.0
+
+
+def r6(c):
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+
+
+def _explode_vec(df: DataFrame, keys, col: str = "features") -> DataFrame:
+    """Vector column in long form: keys..., j, value (rounded)."""
+    e = df.select(*keys, F.posexplode(col).alias("j", "v"))
+    return e.select(*keys, F.col("j").cast("int").alias("j"), r6("v").alias("value"))
+
+
+# ---- naive Bayes on binary_big ----------------------------------------------
+
+def _nb_fit(spark, sf):
+    prep = P.binary(spark, sf, nb=True)
+    train = prep.part("train")
+    stats = bayes.collect_stats(bayes.class_stats(train, prep.dim), prep.dim)
+    return prep, stats
+
+
+def q_nb_sufficient_stats(spark: SparkSession, sf: str) -> DataFrame:
+    prep = P.binary(spark, sf, nb=True)
+    st = bayes.class_stats(prep.part("train"), prep.dim)
+    long = st.select("label", "n", F.posexplode(F.array(*[f"s{j}" for j in range(prep.dim)]))
+                     .alias("j", "s"))
+    return long.select("label", "n", F.col("j").cast("int").alias("j"), r6("s").alias("sum_x"))
+
+
+def q_fit_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    prep, stats = _nb_fit(spark, sf)
+    m = bayes.model_from_stats(stats, NB_LAMBDA)
+    rows = [(lab, float(pi), j, float(t)) for lab, pi, th in zip(m.labels, m.log_prior, m.log_theta)
+            for j, t in enumerate(th)]
+    df = spark.createDataFrame(rows, "label double, log_prior double, j int, log_theta double")
+    return df.select("label", r6("log_prior").alias("log_prior"), "j",
+                     r6("log_theta").alias("log_theta"))
+
+
+def q_predict_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:
+    prep, stats = _nb_fit(spark, sf)
+    m = bayes.model_from_stats(stats, NB_LAMBDA)
+    return m.transform(prep.frame).select(*prep.key, "split", "label", "prediction")
+
+
+def q_eval_train_validate_test(spark: SparkSession, sf: str) -> DataFrame:
+    """Default run (E6): NB with lambda 5 fitted on train; AUC on validation and test."""
+    prep, stats = _nb_fit(spark, sf)
+    m = bayes.model_from_stats(stats, NB_LAMBDA)
+    scored = m.transform(prep.frame.where(F.col("split").isin("validation", "test")))
+    tp = evaluate._count_if((F.col("prediction") == 1) & (F.col("label") == 1))
+    pos = evaluate._count_if(F.col("label") == 1)
+    tn = evaluate._count_if((F.col("prediction") == 0) & (F.col("label") == 0))
+    neg = evaluate._count_if(F.col("label") == 0)
+    g = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), tp.alias("tp"),
+                                    pos.alias("pos"), tn.alias("tn"), neg.alias("neg"))
+    return g.select("split", "n", r6(evaluate.auc_from_counts("tp", "pos", "tn", "neg"))
+                    .alias("auc_hard"))
+
+
+QUERIES = {
+    "nb_sufficient_stats": q_nb_sufficient_stats,
+    "fit_naive_bayes": q_fit_naive_bayes,
+    "predict_naive_bayes": q_predict_naive_bayes,
+    "eval_train_validate_test": q_eval_train_validate_test,
+}
