@@ -1,0 +1,334 @@
+"""Registered queries: sources, parsing, decoders, features, splits, metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from orchard.functions import decode as D
+from orchard.functions import prep
+from orchard.operators import bayes, evaluate, features as FT, split as SP
+from orchard.operators.recommend import rating_stats, top_k_per_key
+from orchard.plans import prepared as P
+from orchard.plans.queries import NB_LAMBDA, _explode_vec, r6
+from orchard.sources import text as TX
+from orchard.sources import views as V
+
+
+# ---- sources -------------------------------------------------------------------
+
+def q_src_ratings_tsv(spark, sf):
+    return TX.parse_ratings(V.ratings_line(spark, sf))
+
+
+def q_src_titles_pipe(spark, sf):
+    return TX.parse_titles(V.titles_line(spark, sf))
+
+
+def q_src_pages_train_tsv(spark, sf):
+    p = TX.parse_pages(V.page_line(spark, sf), labelled=True)
+    return p.select("url", "category", F.size("numeric").alias("n_numeric"),
+                    F.col("numeric").getItem(0).alias("x0"), "label")
+
+
+def q_src_pages_score_tsv(spark, sf):
+    p = TX.parse_pages(V.page_line(spark, sf), labelled=False)
+    return p.select("url", "category", F.size("numeric").alias("n_numeric"),
+                    F.col("numeric").getItem(0).alias("x0"),
+                    F.col("numeric").getItem(1).alias("x1"))
+
+
+def q_src_numeric_csv(spark, sf):
+    p = TX.parse_numeric(V.multi_line(spark, sf), keep=("vec_id",))
+    e = p.select("vec_id", "label", F.posexplode("features").alias("j", "v"))
+    return e.select("vec_id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
+
+
+def q_src_hourly_csv(spark, sf):
+    p = TX.parse_hourly(V.hourly_line(spark, sf), keep=("h",))
+    e = p.select(F.date_format("h", "yyyy-MM-dd HH:mm:ss").alias("h"), "label",
+                 F.posexplode("features").alias("j", "v"))
+    return e.select("h", "label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
+
+
+def q_src_drop_header(spark, sf):
+    lines = V.page_line(spark, sf)
+    header = spark.createDataFrame([(V.PAGE_HEADER,)], "value string")
+    return TX.drop_header(header.unionByName(lines).unionByName(header), V.PAGE_HEADER)
+
+
+def _page_nb(spark, sf):
+    prep_, score = P.pages(spark, sf, nb=True)
+    m = bayes.fit_naive_bayes(prep_.part("train"), prep_.dim, NB_LAMBDA)
+    return prep_, score, m
+
+
+def q_sink_report(spark, sf):
+    """Every unlabelled page with its predicted class, as one report line each."""
+    _, score, m = _page_nb(spark, sf)
+    s = m.transform(score)
+    cls = D.page_class(F.col("prediction").cast("int"))
+    return s.select("doc_id", F.concat(F.lit("url: "), F.col("url"), F.lit(" ==> "), cls)
+                    .alias("line"))
+
+
+# ---- projections / parsing -------------------------------------------------------
+
+def q_prep_split_take(spark, sf):
+    f = prep.take_fields(prep.split_fields("value", "\t"), 3)
+    return V.ratings_line(spark, sf).select(f.getItem(0).alias("f0"), f.getItem(1).alias("f1"),
+                                            f.getItem(2).alias("f2"), F.size(f).alias("n"))
+
+
+def _page_fields(spark, sf):
+    return V.page_line(spark, sf).select(prep.strip_quotes_all(
+        prep.split_fields("value", "\t")).alias("f"))
+
+
+def q_prep_strip_quotes(spark, sf):
+    f = F.col("f")
+    return _page_fields(spark, sf).select(*[f.getItem(i).alias(f"c{i}") for i in range(6)])
+
+
+def q_prep_missing_to_zero(spark, sf):
+    f = F.col("f")
+    return _page_fields(spark, sf).select(f.getItem(1).cast("bigint").alias("doc_id"),
+                                          prep.missing_to_zero(f.getItem(4)).alias("value"))
+
+
+def q_prep_clamp_nonneg(spark, sf):
+    pt = V.page_train(spark, sf)
+    return pt.select("doc_id", "f1", prep.clamp_nonneg("f1").alias("f1_clamped"))
+
+
+def q_prep_field_slice(spark, sf):
+    f = F.col("f")
+    s = prep.field_slice(f, 4, until_from_end=1)
+    return _page_fields(spark, sf).select(f.getItem(1).cast("bigint").alias("doc_id"),
+                                          F.size(s).alias("n"), s.getItem(0).alias("first"))
+
+
+def q_prep_label_last(spark, sf):
+    f = F.col("f")
+    return _page_fields(spark, sf).select(f.getItem(1).cast("bigint").alias("doc_id"),
+                                          prep.label_last(f).alias("label"))
+
+
+def q_prep_label_zero_based(spark, sf):
+    f = prep.split_fields("value", ",")
+    return V.multi_line(spark, sf).select(
+        "vec_id", prep.label_zero_based(f).alias("label"),
+        F.size(prep.all_but_last(f)).alias("n_features"))
+
+
+def q_prep_project_field(spark, sf):
+    return V.ratings(spark, sf).select("user_id")
+
+
+def q_feat_concat(spark, sf):
+    prep_ = P.binary(spark, sf, scale=False)
+    return _explode_vec(prep_.frame, prep_.key)
+
+
+def q_feat_parse_all_double(spark, sf):
+    f = prep.parse_all_double(prep.split_fields("value", ","))
+    e = V.multi_line(spark, sf).select("vec_id", F.posexplode(f).alias("j", "v"))
+    return e.select("vec_id", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
+
+
+# ---- lookups -----------------------------------------------------------------------
+
+def q_join_category_index(spark, sf):
+    idx = FT.fit_category_index(V.page_train(spark, sf), "category")
+    return idx.lookup(V.page_score(spark, sf), "category", on_unknown="zero") \
+        .select("doc_id", "category", "cat_idx")
+
+
+def q_join_title(spark, sf):
+    r = V.ratings(spark, sf)
+    t = V.titles(spark, sf)
+    return r.join(t, "item_id", "left").select("user_id", "item_id", "title")
+
+
+# ---- aggregates --------------------------------------------------------------------
+
+def q_agg_row_count(spark, sf):
+    parts = [("ratings", V.ratings), ("titles", V.titles), ("page_train", V.page_train),
+             ("page_score", V.page_score), ("binary_big", V.binary_big), ("multi", V.multi),
+             ("hourly", V.hourly)]
+    out = None
+    for name, fn in parts:
+        c = fn(spark, sf).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("view"), "n")
+        out = c if out is None else out.unionByName(c)
+    return out
+
+
+def q_agg_rating_stats(spark, sf):
+    return rating_stats(V.ratings(spark, sf))
+
+
+def q_agg_split_counts(spark, sf):
+    key = V.binary_key()
+    return SP.split_counts(SP.assign_split(V.binary_big(spark, sf), key))
+
+
+def q_feat_category_dict(spark, sf):
+    return FT.fit_category_index(V.binary_big(spark, sf), "category").table
+
+
+def _scaler_frame(spark, sf, nb):
+    prep_ = P.binary(spark, sf, nb=nb)
+    return prep_.features.scaler.stats_frame(spark)
+
+
+def q_feat_scaler_fit_center(spark, sf):
+    s = _scaler_frame(spark, sf, nb=False)
+    return s.select("j", r6("mean").alias("mean"), r6("std").alias("std"))
+
+
+def q_feat_scaler_fit_std(spark, sf):
+    s = _scaler_frame(spark, sf, nb=True)
+    return s.select("j", r6("std").alias("std"))
+
+
+# ---- feature transforms ----------------------------------------------------------------
+
+def q_feat_one_hot(spark, sf):
+    pt = V.page_train(spark, sf)
+    idx = FT.fit_category_index(pt, "category")
+    j = idx.lookup(pt, "category").withColumn("features", idx.one_hot("cat_idx"))
+    return _explode_vec(j, ["doc_id"])
+
+
+def q_feat_standardize(spark, sf):
+    prep_, _ = P.pages(spark, sf, nb=False)
+    return _explode_vec(prep_.frame, ["doc_id"])
+
+
+def q_feat_scale_only(spark, sf):
+    prep_, _ = P.pages(spark, sf, nb=True)
+    return _explode_vec(prep_.frame, ["doc_id"])
+
+
+def q_feat_page_pipeline(spark, sf):
+    _, score = P.pages(spark, sf, nb=False)
+    return _explode_vec(score, ["doc_id"])
+
+
+# ---- splits ---------------------------------------------------------------------------
+
+def q_split_80_10_10(spark, sf):
+    return SP.assign_split(V.binary_big(spark, sf), V.binary_key()).select(
+        *V.BINARY_KEY, "split")
+
+
+def q_split_sample_10(spark, sf):
+    return SP.sample_fraction(V.multi(spark, sf), F.col("vec_id"), 0.1).select("vec_id", "label")
+
+
+def q_split_minibatch(spark, sf):
+    prep_ = P.binary(spark, sf, scale=False)
+    train = prep_.part("train")
+    aggs = [F.count_if(SP.minibatch_flag("u", t, 0.5)).alias(f"n{t}") for t in range(1, 6)]
+    row = train.agg(*aggs)
+    e = row.select(F.posexplode(F.array(*[f"n{t}" for t in range(1, 6)])).alias("j", "n"))
+    return e.select((F.col("j") + 1).cast("int").alias("step"), F.col("n").cast("bigint").alias("n"))
+
+
+def q_set_union_all(spark, sf):
+    tr, va, _ = SP.split_frames(V.binary_big(spark, sf), V.binary_key())
+    return SP.union_all(tr, va).select(*V.BINARY_KEY, "label")
+
+
+def q_set_distinct(spark, sf):
+    return V.ratings(spark, sf).select("item_id").distinct()
+
+
+# ---- decoders (hourly) ------------------------------------------------------------------
+
+def q_decode_page_class(spark, sf):
+    return V.page_train(spark, sf).select("doc_id", "label", D.page_class("label").alias("class"))
+
+
+def _hs():
+    return F.date_format("h", "yyyy-MM-dd HH:mm:ss").alias("h")
+
+
+def q_decode_season(spark, sf):
+    return V.hourly(spark, sf).select(_hs(), "season", D.season("season").alias("season_name"))
+
+
+def q_decode_calendar(spark, sf):
+    h = V.hourly(spark, sf)
+    return h.select(_hs(), "mnth", "hr", D.holiday("holiday").alias("holiday_name"),
+                    D.weekday("weekday").alias("weekday_name"),
+                    D.workingday("workingday").alias("workingday_name"))
+
+
+def q_decode_weather(spark, sf):
+    return V.hourly(spark, sf).select(_hs(), "weathersit",
+                                      D.weather("weathersit").alias("weather_name"))
+
+
+def q_decode_denormalize(spark, sf):
+    h = V.hourly(spark, sf)
+    return h.select(_hs(), D.denormalize("temp", D.TEMP_SCALE).alias("temp_c"),
+                    D.denormalize("atemp", D.FEELS_SCALE).alias("feels_c"),
+                    D.denormalize("hum", D.HUMIDITY_SCALE).alias("humidity"),
+                    D.denormalize("windspeed", D.WIND_SCALE).alias("wind"))
+
+
+def q_fmt_description(spark, sf):
+    h = V.hourly(spark, sf)
+    return h.select(_hs(), D.hourly_description(*V.HOURLY_FEATURES).alias("description"))
+
+
+# ---- metrics on the naive Bayes predictions -------------------------------------------------
+
+def _nb_scored(spark, sf):
+    prep_ = P.binary(spark, sf, nb=True)
+    m = bayes.fit_naive_bayes(prep_.part("train"), prep_.dim, NB_LAMBDA)
+    return prep_, m.transform(prep_.frame)
+
+
+def q_eval_auc_hard(spark, sf):
+    _, s = _nb_scored(spark, sf)
+    tp = evaluate._count_if((F.col("prediction") == 1) & (F.col("label") == 1))
+    pos = evaluate._count_if(F.col("label") == 1)
+    tn = evaluate._count_if((F.col("prediction") == 0) & (F.col("label") == 0))
+    neg = evaluate._count_if(F.col("label") == 0)
+    g = s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), tp.alias("tp"), pos.alias("pos"),
+                               tn.alias("tn"), neg.alias("neg"))
+    return g.select("split", "n", r6(evaluate.auc_from_counts("tp", "pos", "tn", "neg"))
+                    .alias("auc_hard"))
+
+
+def q_eval_accuracy(spark, sf):
+    _, s = _nb_scored(spark, sf)
+    g = s.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.avg(F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)).alias("a"))
+    return g.select("split", "n", r6("a").alias("accuracy"))
+
+
+def q_eval_correct_flag(spark, sf):
+    prep_, s = _nb_scored(spark, sf)
+    return s.select(*prep_.key, "split", evaluate.correct_flag().alias("result"))
+
+
+def q_limit_take_n(spark, sf):
+    return V.page_train(spark, sf).orderBy("doc_id").limit(20).select("doc_id", "url", "label")
+
+
+def q_limit_first(spark, sf):
+    bb = V.binary_big(spark, sf)
+    return bb.orderBy(*bb.columns).limit(1)
+
+
+def q_topk_per_key(spark, sf):
+    r = V.ratings(spark, sf)
+    return top_k_per_key(r, ["user_id"], [F.desc("rating"), F.asc("item_id")], 10) \
+        .select("user_id", "rank", "item_id", "rating")
+
+
+QUERIES2 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

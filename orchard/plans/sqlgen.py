@@ -111,3 +111,45 @@ def auc_select(pred: str = "prediction", label: str = "label") -> str:
     neg = f"CAST(sum(CASE WHEN {label} = 0 THEN 1 ELSE 0 END) AS BIGINT)"
     return (f"count(*) AS n, round(CASE WHEN {pos} > 0 AND {neg} > 0 THEN "
             f"(CAST({tp} AS DOUBLE) / {pos} + CAST({tn} AS DOUBLE) / {neg}) / 2.0 END, 6) AS auc_hard")
+
+
+RATINGS = """ratings AS (
+  SELECT CAST(o_custkey AS INT) AS user_id, CAST(l_partkey AS INT) AS item_id,
+         CAST(least(5, CAST(floor(avg(l_quantity) / 10) AS INT) + 1) AS DOUBLE) AS rating
+  FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey, l_partkey)"""
+
+TITLES = """titles AS (SELECT CAST(p_partkey AS INT) AS item_id, p_name AS title FROM part)"""
+
+HOURLY = """hourly0 AS (
+  SELECT CAST(date_trunc('hour', ts) AS TIMESTAMP) AS h, CAST(quarter(ts) AS INT) AS season,
+         CAST(month(ts) AS INT) AS mnth, CAST(hour(ts) AS INT) AS hr,
+         CASE WHEN month(ts) = 1 AND day(ts) = 1 THEN 1 ELSE 0 END AS holiday,
+         CAST(dayofweek(ts) AS INT) AS weekday,
+         CASE WHEN dayofweek(ts) IN (0, 6) THEN 0 ELSE 1 END AS workingday,
+         CAST(hour(ts) % 4 + 1 AS INT) AS weathersit, count(*) AS label
+  FROM events GROUP BY ALL),
+hourly AS (
+  SELECT *, (hr % 10) / CAST(10.0 AS DOUBLE) AS temp, (hr % 5) / CAST(5.0 AS DOUBLE) AS atemp,
+         ((hr + weekday) % 10) / CAST(10.0 AS DOUBLE) AS hum,
+         (hr % 3) / CAST(3.0 AS DOUBLE) AS windspeed,
+         strftime(h, '%Y-%m-%d %H:%M:%S') AS hs
+  FROM hourly0)"""
+
+PAGE_LINE = """page_line AS (
+  SELECT concat_ws(chr(9), concat('"', source, '"'), CAST(doc_id AS VARCHAR), '"x"',
+         concat('"', lang, '"'),
+         CASE WHEN doc_id % 11 = 0 THEN '"?"' ELSE concat('"', CAST(n_chars AS VARCHAR), '"') END,
+         '"1"') AS value
+  FROM documents)"""
+
+
+def case_map(col: str, table: dict) -> str:
+    whens = " ".join(f"WHEN {col} = {k} THEN '{v}'" for k, v in table.items())
+    return f"CASE {whens} END"
+
+
+def explode_long(src: str, keys: str, prefix: str, d: int, where: str = "") -> str:
+    arr = ", ".join(f"{prefix}{j}" for j in range(d))
+    w = f" WHERE {where}" if where else ""
+    return (f"SELECT {keys}, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM ("
+            f"SELECT {keys}, unnest(range({d})) AS j, unnest([{arr}]) AS v FROM {src}{w})")

@@ -173,3 +173,25 @@ def hourly_line(spark: SparkSession, sf_dir: str) -> DataFrame:
 def split_bucket(key_col) -> "F.Column":
     """Split bucket 0..9 of a row key: 0-7 train, 8 validation, 9 test."""
     return md5_bucket(key_col, 10)
+
+
+# ---- text lines built from tables (inputs of the parsers) ---------------------
+
+def ratings_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``user<TAB>item<TAB>rating<TAB>stamp`` lines (four fields, three read)."""
+    r = ratings(spark, sf_dir)
+    return r.select(F.concat_ws("\t", F.col("user_id").cast("string"),
+                                F.col("item_id").cast("string"),
+                                F.col("rating").cast("string"),
+                                (F.col("user_id") + F.col("item_id")).cast("string"))
+                    .alias("value"))
+
+
+def titles_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id|title|brand`` lines."""
+    p = table(spark, sf_dir, "part")
+    return p.select(F.concat_ws("|", F.col("p_partkey").cast("string"), F.col("p_name"),
+                                F.col("p_brand")).alias("value"))
+
+
+PAGE_HEADER = "url\tid\tx\tcategory\tf0\tlabel"
