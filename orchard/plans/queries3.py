@@ -1,0 +1,136 @@
+"""Registered queries: linear SGD models, naive Bayes tuning, choosing and refitting."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orchard.operators import bayes, evaluate, linear, tune
+from orchard.operators.common import persisted
+from orchard.plans import prepared as P
+from orchard.plans.queries import r6
+
+# ---- fixed values: the parameter lists of the reference runs -----------------------
+LOGISTIC_DEFAULT = dict(num_iterations=5, step_size=50.0, mini_batch_fraction=0.5)
+SVM_DEFAULT = dict(num_iterations=25, step_size=1.0, reg_param=0.01)   # see linear.fit_svm_sgd
+LOGISTIC_SWEEP_FIXED = dict(num_iterations=100, step_size=100.0, mini_batch_fraction=1.0)
+LOGISTIC_SWEEPS = [("num_iterations", [5, 15, 20, 60, 100]),
+                   ("step_size", [10.0, 50.0, 100.0, 200.0]),
+                   ("mini_batch_fraction", [0.5, 0.8, 1.0])]
+LOGISTIC_GRID = [("num_iterations", [1, 3, 5, 10]), ("step_size", [10.0, 50.0, 100.0]),
+                 ("mini_batch_fraction", [0.5, 0.8, 1.0])]
+SVM_SWEEP_FIXED = dict(num_iterations=25, step_size=100.0, reg_param=1.0)
+SVM_SWEEPS = [("num_iterations", [1, 3, 5, 15, 25]),
+              ("step_size", [10.0, 50.0, 100.0, 200.0]),
+              ("reg_param", [0.01, 0.1, 1.0])]
+SVM_GRID = [("num_iterations", [1, 3, 5, 15, 25]), ("step_size", [10.0, 50.0, 100.0, 200.0]),
+            ("reg_param", [0.01, 0.1, 1.0])]
+NB_LAMBDAS = [1.0, 3.0, 5.0, 15.0, 25.0]
+# -------------------------------------------------------------------------------------
+
+TUNE_COLS = ["sweep", "position", "num_iterations", "step_size", "reg_param",
+             "mini_batch_fraction"]
+
+
+def _binary(spark, sf):
+    return P.binary(spark, sf, nb=False)
+
+
+def _fit_linear(spark, sf, kind):
+    prep = _binary(spark, sf)
+    train = prep.part("train")
+    p = LOGISTIC_DEFAULT if kind == "logistic" else SVM_DEFAULT
+    with persisted(train):
+        m = linear.fit_sgd(train, kind, prep.dim, p["num_iterations"], p["step_size"],
+                           p.get("reg_param", 0.0), p.get("mini_batch_fraction", 1.0))
+    return prep, m
+
+
+def _weights_frame(spark, m):
+    df = spark.createDataFrame([(j, float(w)) for j, w in enumerate(m.weights)],
+                               "j int, weight double")
+    return df.select("j", r6("weight").alias("weight"))
+
+
+def q_fit_logistic_sgd(spark, sf):
+    return _weights_frame(spark, _fit_linear(spark, sf, "logistic")[1])
+
+
+def q_fit_svm_sgd(spark, sf):
+    return _weights_frame(spark, _fit_linear(spark, sf, "hinge")[1])
+
+
+def q_predict_logistic(spark, sf):
+    prep, m = _fit_linear(spark, sf, "logistic")
+    return m.transform(prep.frame).select(*prep.key, "split", "label", "prediction")
+
+
+def q_predict_svm(spark, sf):
+    prep, m = _fit_linear(spark, sf, "hinge")
+    return m.transform(prep.frame).select(*prep.key, "split", "label", "prediction")
+
+
+def _tune_linear(spark, sf, kind, entries):
+    prep = _binary(spark, sf)
+    train, valid = prep.part("train"), prep.part("validation")
+    with persisted(train, valid):
+        res, _ = tune.tune_linear(train, valid, kind, prep.dim, entries)
+    return res.select(*TUNE_COLS, r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_sweep_logistic(spark, sf):
+    return _tune_linear(spark, sf, "logistic",
+                        tune.sweep_entries(LOGISTIC_SWEEP_FIXED, LOGISTIC_SWEEPS))
+
+
+def q_tune_grid_logistic(spark, sf):
+    return _tune_linear(spark, sf, "logistic", tune.grid_entries(LOGISTIC_GRID))
+
+
+def q_tune_sweep_svm(spark, sf):
+    return _tune_linear(spark, sf, "hinge", tune.sweep_entries(SVM_SWEEP_FIXED, SVM_SWEEPS))
+
+
+def q_tune_grid_svm(spark, sf):
+    return _tune_linear(spark, sf, "hinge", tune.grid_entries(SVM_GRID))
+
+
+def _nb_results(spark, sf, sweep):
+    prep = P.binary(spark, sf, nb=True)
+    train, valid = prep.part("train"), prep.part("validation")
+    res, models = tune.tune_naive_bayes(train, valid, prep.dim, NB_LAMBDAS, sweep)
+    return prep, res, models
+
+
+def q_tune_sweep_nb(spark, sf):
+    _, res, _ = _nb_results(spark, sf, "lambda")
+    return res.select("sweep", "position", "smoothing", r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_grid_nb(spark, sf):
+    _, res, _ = _nb_results(spark, sf, "grid")
+    return res.select("sweep", "position", "smoothing", r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_pick_best(spark, sf):
+    _, res, _ = _nb_results(spark, sf, "grid")
+    return tune.pick_best(res, "auc_hard").select("position", "smoothing",
+                                                  r6("auc_hard").alias("auc_hard"))
+
+
+def q_sort_by_metric(spark, sf):
+    _, res, _ = _nb_results(spark, sf, "grid")
+    return tune.sort_by_metric(res, "auc_hard").select("rank", "position", "smoothing",
+                                                       r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_refit_best(spark, sf):
+    """Best lambda on validation, refit on train + validation, AUC on test."""
+    prep, res, _ = _nb_results(spark, sf, "grid")
+    best = tune.pick_best(res, "auc_hard").first()
+    m = bayes.fit_naive_bayes(prep.train_validation(), prep.dim, best["smoothing"])
+    auc = evaluate.auc_hard(m.transform(prep.part("test")))
+    return auc.select(F.lit(float(best["smoothing"])).alias("smoothing"), "n",
+                      r6("auc_hard").alias("auc_hard"))
+
+
+QUERIES3 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

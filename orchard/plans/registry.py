@@ -6,6 +6,8 @@ from orchard.plans.oracle import ORACLE as _O1
 from orchard.plans.oracle2 import ORACLE2 as _O2
 from orchard.plans.queries import QUERIES as _Q1
 from orchard.plans.queries2 import QUERIES2 as _Q2
+from orchard.plans.oracle3 import ORACLE3 as _O3
+from orchard.plans.queries3 import QUERIES3 as _Q3
 
-QUERIES = {**_Q1, **_Q2}
-ORACLE = {**_O1, **_O2}
+QUERIES = {**_Q1, **_Q2, **_Q3}
+ORACLE = {**_O1, **_O2, **_O3}

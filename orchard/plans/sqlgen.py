@@ -86,8 +86,10 @@ def dot(prefix: str, weights: list[str]) -> str:
     return " + ".join(f"{prefix}{j} * {w}" for j, w in enumerate(weights))
 
 
-def nb_model_cte(src: str, d: int, lam: float, where: str = "split = 'train'",
+def nb_model_cte(src: str, d: int, lam, where: str = "split = 'train'",
                  zname: str = "z", name: str = "nbm") -> str:
+    """``lam``: a number, or SQL text (a scalar subquery) when it is chosen in SQL."""
+    lam = _Lit(lam) if isinstance(lam, str) else lam
     sums = ", ".join(f"sum({zname}{j}) AS s{j}" for j in range(d))
     tot_s = " + ".join(f"s{j}" for j in range(d))
     th = ", ".join(f"ln(s{j} + {lam!r}) - ln(({tot_s}) + {d} * {lam!r}) AS t{j}" for j in range(d))
@@ -98,6 +100,11 @@ def nb_model_cte(src: str, d: int, lam: float, where: str = "split = 'train'",
         FROM {name}_s, {name}_t)"""
 
 
+class _Lit(str):
+    def __repr__(self):
+        return f"({str(self)})"
+
+
 def nb_predict_expr(d: int, m0: str = "c0", m1: str = "c1", zname: str = "z") -> str:
     s0 = f"{m0}.pi + ({dot(zname, [f'{m0}.t{j}' for j in range(d)])})"
     s1 = f"{m1}.pi + ({dot(zname, [f'{m1}.t{j}' for j in range(d)])})"
@@ -153,3 +160,53 @@ def explode_long(src: str, keys: str, prefix: str, d: int, where: str = "") -> s
     w = f" WHERE {where}" if where else ""
     return (f"SELECT {keys}, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM ("
             f"SELECT {keys}, unnest(range({d})) AS j, unnest([{arr}]) AS v FROM {src}{w})")
+
+
+def sgd_recursive(train: str, d: int, kind: str, configs: list[tuple], t_max: int,
+                  x: str = "z", y: str = "label", u: str = "u", tol: float = 0.001) -> str:
+    """CTEs ``cfg`` and ``sgd`` (cid, t, w0..): every config's weights after each step.
+
+    ``configs``: (cid, step, reg, fraction).  Weights freeze once converged.
+    """
+    vals = ", ".join(f"({c}, CAST({s!r} AS DOUBLE), CAST({r!r} AS DOUBLE), CAST({f!r} AS DOUBLE))"
+                     for c, s, r, f in configs)
+    ws = ", ".join(f"CAST(0.0 AS DOUBLE) AS w{j}" for j in range(d))
+    margin = " + ".join(f"{x}{j} * p.w{j}" for j in range(d))
+    if kind == "logistic":
+        mult = f"1.0 / (1.0 + exp(-({margin}))) - {y}"
+    else:
+        ys = f"(2.0 * {y} - 1.0)"
+        mult = f"CASE WHEN {ys} * ({margin}) < 1.0 THEN -{ys} ELSE 0.0 END"
+    step_u = f"({u} + (p.t + 1) * {GOLDEN!r})"
+    sampled = f"(p.frac >= 1.0 OR {step_u} - floor({step_u}) < p.frac)"
+    eta = "(p.step / sqrt(p.t + 1))"
+    sums = ", ".join(f"sum(m * {x}{j}) AS g{j}" for j in range(d))
+    xs = ", ".join(f"{x}{j}" for j in range(d))
+    nws = ", ".join(
+        f"CASE WHEN p.done OR g.n = 0 THEN p.w{j} ELSE (1.0 - {eta} * p.reg) * p.w{j} - "
+        f"{eta} * (g.g{j} / g.n) END AS nw{j}" for j in range(d))
+    ows = ", ".join(f"p.w{j} AS ow{j}" for j in range(d))
+    diff = " + ".join(f"(nw{j} - ow{j}) * (nw{j} - ow{j})" for j in range(d))
+    nrm = " + ".join(f"nw{j} * nw{j}" for j in range(d))
+    outw = ", ".join(f"nw{j} AS w{j}" for j in range(d))
+    return f"""cfg AS (SELECT * FROM (VALUES {vals}) v(cid, step, reg, frac)),
+sgd AS (
+  SELECT cid, step, reg, frac, 0 AS t, 0 AS nupd, false AS done, {ws} FROM cfg
+  UNION ALL
+  SELECT cid, step, reg, frac, t, nupd,
+         pdone OR (NOT pdone AND n > 0 AND nupd > 1 AND
+                   sqrt({diff}) < {tol!r} * greatest(sqrt({nrm}), 1.0)) AS done, {outw}
+  FROM (
+    SELECT p.cid, p.step, p.reg, p.frac, p.t + 1 AS t, p.done AS pdone, g.n,
+           p.nupd + CASE WHEN NOT p.done AND g.n > 0 THEN 1 ELSE 0 END AS nupd, {ows}, {nws}
+    FROM sgd p, LATERAL (
+      SELECT count(*) AS n, {sums}
+      FROM (SELECT {xs}, {mult} AS m FROM {train} WHERE {sampled}) s) g
+    WHERE p.t < {t_max}) q)"""
+
+
+def linear_predict(kind: str, d: int, x: str = "z", w: str = "m") -> str:
+    margin = " + ".join(f"{x}{j} * {w}.w{j}" for j in range(d))
+    if kind == "logistic":
+        return f"CASE WHEN 1.0 / (1.0 + exp(-({margin}))) > 0.5 THEN 1.0 ELSE 0.0 END"
+    return f"CASE WHEN {margin} > 0.0 THEN 1.0 ELSE 0.0 END"
