@@ -165,3 +165,16 @@ ORACLE2["topk_per_key"] = f"""{W}{G.RATINGS}
 SELECT user_id, CAST(rn AS INTEGER) AS rank, item_id, rating FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id ASC) AS rn
   FROM ratings) WHERE rn <= 10"""
+
+_nb_page = f"""{_pages_nb(True)},
+{G.nb_model_cte('feat', D_PAGE, NB_LAMBDA)},
+c0 AS (SELECT * FROM nbm WHERE label = 0), c1 AS (SELECT * FROM nbm WHERE label = 1)"""
+ORACLE2["score_new_pages"] = f"""{_nb_page},
+pr AS (SELECT doc_id, url, {G.nb_predict_expr(D_PAGE)} AS prediction FROM feat2, c0, c1)
+SELECT doc_id, url, prediction, {G.case_map('CAST(prediction AS INTEGER)', D.PAGE_CLASS)} AS class
+FROM pr ORDER BY doc_id LIMIT 10"""
+ORACLE2["report_labelled_topn"] = f"""{_nb_page},
+pr AS (SELECT doc_id, CAST(feat.label AS DOUBLE) AS label, {G.nb_predict_expr(D_PAGE)} AS prediction
+       FROM feat, c0, c1 WHERE split = 'test')
+SELECT doc_id, label, prediction, CASE WHEN prediction = label THEN 'right' ELSE 'wrong' END AS result
+FROM pr ORDER BY doc_id LIMIT 50"""

@@ -1,0 +1,178 @@
+"""Registered queries: trees, recommender and scoring reports."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from orchard.operators import bayes, evaluate, recommend as R, score as S, trees as TR, tune
+from orchard.operators.common import persisted
+from orchard.operators.split import sample_fraction
+from orchard.plans import prepared as P
+from orchard.plans.queries import NB_LAMBDA, r6
+from orchard.sources import views as V
+
+# ---- fixed values: tree settings of the reference runs ---------------------------------
+TREE_BINARY = dict(impurity="entropy", max_depth=5, max_bins=5)
+TREE_MULTI = dict(impurity="entropy", max_depth=20, max_bins=100)
+TREE_REGRESSION = dict(impurity="variance", max_depth=10, max_bins=50)
+TREE_SWEEP_FIXED = dict(impurity="gini", max_depth=10, max_bins=10)
+TREE_SWEEPS = [("impurity", ["gini", "entropy"]),
+               ("max_depth", [3, 5, 10, 15, 20, 25]),
+               ("max_bins", [3, 5, 10, 50, 100, 200])]
+TREE_GRID = [("impurity", ["gini", "entropy"]), ("max_depth", [3, 5, 10, 15, 20]),
+             ("max_bins", [3, 5, 10, 50, 100])]
+ALS_PARAMS = dict(rank=5, max_iter=20, reg_param=0.1)
+TOP_N = 10
+# ------------------------------------------------------------------------------------------
+
+
+def _tree(prep, kind, p):
+    train = prep.part("train")
+    return TR.fit_tree(train, kind, p["impurity"], p["max_depth"], p["max_bins"])
+
+
+def _summary(prep, tm, p, metric):
+    valid = tm.transform(prep.part("validation"))
+    if metric == "auc_hard":
+        m = evaluate.auc_hard(valid)
+    elif metric == "accuracy":
+        m = evaluate.accuracy(valid)
+    else:
+        m = evaluate.rmse(valid)
+    return m.select(F.lit(p["impurity"]).alias("impurity"),
+                    F.lit(p["max_depth"]).alias("max_depth"), F.lit(p["max_bins"]).alias("max_bins"),
+                    F.lit(tm.depth).alias("depth"), F.lit(tm.num_nodes).alias("num_nodes"),
+                    "n", r6(metric).alias(metric))
+
+
+def q_fit_tree_binary(spark, sf):
+    prep = P.binary(spark, sf, scale=False)
+    return _summary(prep, _tree(prep, "classification", TREE_BINARY), TREE_BINARY, "auc_hard")
+
+
+def q_fit_tree_multi(spark, sf):
+    prep = P.multi(spark, sf)
+    return _summary(prep, _tree(prep, "classification", TREE_MULTI), TREE_MULTI, "accuracy")
+
+
+def q_fit_tree_regression(spark, sf):
+    prep = P.hourly(spark, sf)
+    return _summary(prep, _tree(prep, "regression", TREE_REGRESSION), TREE_REGRESSION, "rmse")
+
+
+def q_predict_tree_class(spark, sf):
+    prep = P.binary(spark, sf, scale=False)
+    tm = _tree(prep, "classification", TREE_BINARY)
+    return tm.transform(prep.frame).select(*prep.key, "split", "label", "prediction")
+
+
+def q_predict_tree_value(spark, sf):
+    prep = P.hourly(spark, sf)
+    tm = _tree(prep, "regression", TREE_REGRESSION)
+    return tm.transform(prep.frame).select(
+        F.date_format("h", "yyyy-MM-dd HH:mm:ss").alias("h"), "split", "label",
+        r6("prediction").alias("prediction"))
+
+
+def q_eval_rmse(spark, sf):
+    prep = P.hourly(spark, sf)
+    tm = _tree(prep, "regression", TREE_REGRESSION)
+    s = tm.transform(prep.frame)
+    e = F.col("prediction") - F.col("label")
+    return s.groupBy("split").agg(F.count(F.lit(1)).alias("n"),
+                                  r6(F.sqrt(F.avg(e * e))).alias("rmse"))
+
+
+def q_eval_abs_error(spark, sf):
+    prep = P.hourly(spark, sf)
+    tm = _tree(prep, "regression", TREE_REGRESSION)
+    return tm.transform(prep.frame).select(
+        F.date_format("h", "yyyy-MM-dd HH:mm:ss").alias("h"), "label",
+        r6("prediction").alias("prediction"), r6(evaluate.abs_error()).alias("abs_error"))
+
+
+def _tree_tune(spark, sf, entries):
+    prep = P.binary(spark, sf, scale=False)
+    train, valid = prep.part("train"), prep.part("validation")
+    with persisted(train, valid):
+        res, _ = tune.tune_tree(train, valid, "classification", entries, "auc_hard")
+    return res.select("sweep", "position", "impurity", "max_depth", "max_bins",
+                      r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_sweep_tree(spark, sf):
+    return _tree_tune(spark, sf, tune.sweep_entries(TREE_SWEEP_FIXED, TREE_SWEEPS))
+
+
+def q_tune_grid_tree(spark, sf):
+    return _tree_tune(spark, sf, tune.grid_entries(TREE_GRID))
+
+
+def q_score_land_sample(spark, sf):
+    prep = P.multi(spark, sf)
+    tm = _tree(prep, "classification", TREE_MULTI)
+    sample = sample_fraction(V.multi(spark, sf), F.col("vec_id"), 0.1)
+    return S.land_report(tm.transform(sample), 20)
+
+
+def q_score_hourly_report(spark, sf):
+    prep = P.hourly(spark, sf)
+    tm = _tree(prep, "regression", TREE_REGRESSION)
+    return S.hourly_report(tm.transform(prep.frame), 200)
+
+
+def _page_nb(spark, sf):
+    prep, score = P.pages(spark, sf, nb=True)
+    m = bayes.fit_naive_bayes(prep.part("train"), prep.dim, NB_LAMBDA)
+    return prep, score, m
+
+
+def q_score_new_pages(spark, sf):
+    _, score, m = _page_nb(spark, sf)
+    return S.score_new_pages(m.transform(score), 10)
+
+
+def q_report_labelled_topn(spark, sf):
+    prep, _, m = _page_nb(spark, sf)
+    return S.labelled_report(m.transform(prep.part("test")), ["doc_id"], 50)
+
+
+# ---- recommender ------------------------------------------------------------------------
+
+def _als(spark, sf):
+    ratings = V.ratings(spark, sf)
+    return ratings, R.fit_als(ratings, **ALS_PARAMS)
+
+
+def q_fit_als(spark, sf):
+    ratings, model = _als(spark, sf)
+    pred = R.predict_pairs(model, ratings)
+    e = F.col("prediction") - F.col("rating")
+    fit = pred.agg(F.count(F.lit(1)).alias("n_ratings"), r6(F.sqrt(F.avg(e * e))).alias("train_rmse"))
+    return fit.select(F.lit(model.rank).alias("rank"),
+                      F.lit(model.userFactors.count()).alias("n_user_factors"),
+                      F.lit(model.itemFactors.count()).alias("n_item_factors"),
+                      "n_ratings", "train_rmse")
+
+
+def q_als_predict_pair(spark, sf):
+    ratings, model = _als(spark, sf)
+    return R.predict_pairs(model, ratings).select("user_id", "item_id", "rating",
+                                                  r6("prediction").alias("prediction"))
+
+
+def q_rec_items_for_user(spark, sf):
+    ratings, model = _als(spark, sf)
+    users = ratings.select("user_id").distinct()
+    recs = R.items_for_users(model, users, TOP_N, V.titles(spark, sf))
+    return recs.select("user_id", "rank", "item_id", "title", r6("score").alias("score"))
+
+
+def q_rec_users_for_item(spark, sf):
+    ratings, model = _als(spark, sf)
+    items = ratings.select("item_id").distinct()
+    return R.users_for_items(model, items, TOP_N).select("item_id", "rank", "user_id",
+                                                         r6("score").alias("score"))
+
+
+QUERIES4 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

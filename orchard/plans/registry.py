@@ -8,6 +8,7 @@ from orchard.plans.queries import QUERIES as _Q1
 from orchard.plans.queries2 import QUERIES2 as _Q2
 from orchard.plans.oracle3 import ORACLE3 as _O3
 from orchard.plans.queries3 import QUERIES3 as _Q3
+from orchard.plans.queries4 import QUERIES4 as _Q4
 
-QUERIES = {**_Q1, **_Q2, **_Q3}
+QUERIES = {**_Q1, **_Q2, **_Q3, **_Q4}
 ORACLE = {**_O1, **_O2, **_O3}
