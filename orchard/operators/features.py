@@ -17,6 +17,11 @@ from orchard.operators.common import join_small, lit_array
 MAX_CATEGORIES = 100_000
 
 
+# Up to this many categories the slot lookup is an inline CASE expression (no
+# join at all); above it, a broadcast join against the bounded dictionary.
+INLINE_LOOKUP_MAX = 64
+
+
 @dataclass
 class CategoryIndex:
     """Distinct categories numbered 0..k-1 in ascending order (A4)."""
@@ -28,13 +33,25 @@ class CategoryIndex:
     def size(self) -> int:
         return len(self.categories)
 
+    def slot(self, key: Column) -> Column:
+        """Inline slot expression (small dictionaries only)."""
+        out = None
+        for i, c in enumerate(self.categories):
+            out = (F.when(key == F.lit(c), F.lit(i)) if out is None
+                   else out.when(key == F.lit(c), F.lit(i)))
+        return out if out is not None else F.lit(None).cast("int")
+
     def lookup(self, df: DataFrame, col: str, out: str = "cat_idx",
                on_unknown: str = "error", strip: bool = True) -> DataFrame:
         """Attach the slot of ``col`` (J1).  Unknown: ``'error'`` or ``'zero'``."""
         key = strip_quotes(col) if strip else F.col(col)
-        d = self.table.withColumnRenamed("idx", out)
-        j = join_small(df.withColumn("__cat", key), d.withColumnRenamed("category", "__cat"),
-                       "__cat", "left", small_rows=self.size).drop("__cat")
+        if self.size <= INLINE_LOOKUP_MAX:
+            j = df.withColumn(out, self.slot(key))
+        else:
+            d = self.table.withColumnRenamed("idx", out)
+            j = join_small(df.withColumn("__cat", key),
+                           d.withColumnRenamed("category", "__cat"),
+                           "__cat", "left", small_rows=self.size).drop("__cat")
         if on_unknown == "error":
             j = j.withColumn(out, F.when(F.col(out).isNull(), F.raise_error(
                 F.concat(F.lit("unknown category: "), F.col(col).cast("string"))))
@@ -45,33 +62,42 @@ class CategoryIndex:
         """Dense indicator block of k slots, none dropped (F1)."""
         return one_hot(idx_col, self.size)
 
+    def one_hot_slots(self, idx_col: str = "cat_idx") -> list[Column]:
+        idx = F.col(idx_col)
+        return [F.when(idx == F.lit(i), F.lit(1.0)).otherwise(F.lit(0.0))
+                for i in range(self.size)]
+
 
 def one_hot(idx_col: str | Column, k: int) -> Column:
+    """k indicator slots as one array; each slot is its own codegen'd expression."""
     idx = F.col(idx_col) if isinstance(idx_col, str) else idx_col
     if k <= 0:
         return F.array().cast("array<double>")
-    return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
-                       lambda i: F.when(i == idx, F.lit(1.0)).otherwise(F.lit(0.0)))
+    return F.array(*[F.when(idx == F.lit(i), F.lit(1.0)).otherwise(F.lit(0.0))
+                     for i in range(k)])
+
+
+def _dictionary(spark, values: list[str]) -> CategoryIndex:
+    schema = T.StructType([T.StructField("category", T.StringType(), False),
+                           T.StructField("idx", T.IntegerType(), False)])
+    table = spark.createDataFrame(list(zip(values, range(len(values)))), schema)
+    return CategoryIndex(table, values)
 
 
 def fit_category_index(df: DataFrame, col: str, strip: bool = True,
                        max_categories: int = MAX_CATEGORIES) -> CategoryIndex:
     """Number the distinct values of ``col`` (quotes stripped) in value order.
 
-    The distinct set is computed distributed; its size is counted and checked
-    before the (bounded) dictionary is brought to the driver as model state.
+    One distributed distinct; at most ``max_categories + 1`` values ever reach
+    the driver, and more than ``max_categories`` is refused.
     """
     key = strip_quotes(col) if strip else F.col(col)
     cats = df.select(key.alias("category")).where(F.col("category").isNotNull()).distinct()
-    k = cats.count()
-    if k > max_categories:
-        raise ValueError(f"{col} has {k} distinct values (> {max_categories}); "
+    values = [r["category"] for r in cats.orderBy("category").limit(max_categories + 1).collect()]
+    if len(values) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} distinct values; "
                          "not a category column")
-    values = [r["category"] for r in cats.orderBy("category").collect()]
-    schema = T.StructType([T.StructField("category", T.StringType(), False),
-                           T.StructField("idx", T.IntegerType(), False)])
-    table = df.sparkSession.createDataFrame(list(zip(values, range(len(values)))), schema)
-    return CategoryIndex(table, values)
+    return _dictionary(df.sparkSession, values)
 
 
 @dataclass
@@ -83,13 +109,19 @@ class ScalerModel:
     with_mean: bool = True
     with_std: bool = True
 
-    def transform_col(self, features: str | Column = "features") -> Column:
-        """(x - mean) / std, or x / std; a constant feature becomes 0.0."""
-        x = F.col(features) if isinstance(features, str) else features
+    def scale_factors(self) -> tuple[list[float], list[float]]:
         scale = [(1.0 / s if s != 0.0 else 0.0) if self.with_std else 1.0 for s in self.std]
         shift = self.mean if self.with_mean else [0.0] * len(self.mean)
-        sh, sc = lit_array(shift), lit_array(scale)
-        return F.transform(x, lambda v, i: (v - F.element_at(sh, i + 1)) * F.element_at(sc, i + 1))
+        return shift, scale
+
+    def scale_slots(self, slots: Sequence[Column]) -> list[Column]:
+        """(x - mean) * (1/std), or x * (1/std); a constant feature gives 0.0."""
+        shift, scale = self.scale_factors()
+        return [(x - F.lit(float(m))) * F.lit(float(s)) for x, m, s in zip(slots, shift, scale)]
+
+    def transform_col(self, features: str | Column = "features") -> Column:
+        x = F.col(features) if isinstance(features, str) else features
+        return F.array(*self.scale_slots([x.getItem(j) for j in range(len(self.mean))]))
 
     def transform(self, df: DataFrame, features: str = "features",
                   out: str | None = None) -> DataFrame:
@@ -113,9 +145,9 @@ def fit_scaler(df: DataFrame, dim: int, features: str = "features",
     return ScalerModel(mean, std, with_mean, with_std)
 
 
-def numeric_block(cols: Sequence[str], missing_to_zero: bool = True,
-                  clamp: bool = False) -> Column:
-    """Numeric columns as one array; NULL (the parsed ``?``) becomes 0.0."""
+def numeric_slots(cols: Sequence[str], missing_to_zero: bool = True,
+                  clamp: bool = False) -> list[Column]:
+    """Numeric columns as slots; NULL (the parsed ``?``) becomes 0.0."""
     out = []
     for c in cols:
         v = F.col(c).cast("double")
@@ -124,7 +156,12 @@ def numeric_block(cols: Sequence[str], missing_to_zero: bool = True,
         if clamp:
             v = clamp_nonneg(v)
         out.append(v)
-    return F.array(*out)
+    return out
+
+
+def numeric_block(cols: Sequence[str], missing_to_zero: bool = True,
+                  clamp: bool = False) -> Column:
+    return F.array(*numeric_slots(cols, missing_to_zero, clamp))
 
 
 @dataclass
@@ -142,32 +179,77 @@ class PageFeatures:
     def dim(self) -> int:
         return self.index.size + len(self.numeric)
 
+    def _slots(self) -> list[Column]:
+        return self.index.one_hot_slots("cat_idx") + numeric_slots(self.numeric, clamp=self.clamp)
+
     def assemble(self, df: DataFrame, category: str = "category") -> DataFrame:
+        """Unscaled features (P10)."""
         j = self.index.lookup(df, category, on_unknown=self.on_unknown)
-        feats = F.concat(self.index.one_hot("cat_idx"),
-                         numeric_block(self.numeric, clamp=self.clamp))
-        return j.withColumn("features", feats).drop("cat_idx")
+        return j.withColumn("features", F.array(*self._slots())).drop("cat_idx")
 
     def transform(self, df: DataFrame, category: str = "category") -> DataFrame:
-        out = self.assemble(df, category)
+        j = self.index.lookup(df, category, on_unknown=self.on_unknown)
+        slots = self._slots()
         if self.scaler is not None:
-            out = self.scaler.transform(out)
-        return out
+            slots = self.scaler.scale_slots(slots)
+        return j.withColumn("features", F.array(*slots)).drop("cat_idx")
+
+
+def _combine(parts: list[tuple[int, float, float]]) -> tuple[float, float]:
+    """Pooled mean and sample std from per-group (n, mean, var_samp) (Chan et al.)."""
+    n = sum(p[0] for p in parts)
+    if n == 0:
+        return 0.0, 0.0
+    mean = sum(p[0] * p[1] for p in parts) / n
+    m2 = sum((p[2] if p[0] > 1 else 0.0) * (p[0] - 1) + p[0] * (p[1] - mean) ** 2
+             for p in parts)
+    return mean, (m2 / (n - 1)) ** 0.5 if n > 1 else 0.0
 
 
 def fit_page_features(df: DataFrame, numeric: Sequence[str], category: str = "category",
                       with_mean: bool = True, with_std: bool = True, clamp: bool = False,
                       on_unknown: str = "error", scale: bool = True,
-                      scaler_rows: DataFrame | None = None) -> PageFeatures:
-    """Fit the dictionary on ``df`` and the scaler on ``scaler_rows`` (default ``df``).
-
-    Fitting the scaler on the training split only keeps test rows out of the
-    mean / std; pass the whole frame to reproduce fitting before the split.
+                      fit_on: Column | None = None,
+                      max_categories: int = MAX_CATEGORIES) -> PageFeatures:
+    """Dictionary over all rows and scaler over the ``fit_on`` rows, in ONE pass.
+
+    One ``groupBy(category)`` aggregate (partial per partition) yields, per
+    category, its count among the scaler rows and the mean / variance of every
+    numeric column; the one-hot statistics follow from the counts and the
+    numeric ones are pooled on the driver.  Fitting the scaler on the training
+    split keeps test rows out of mean / std; ``fit_on=None`` uses every row.
     """
-    index = fit_category_index(df, category)
+    key = strip_quotes(category)
+    fit = fit_on if fit_on is not None else F.lit(True)
+    nums = numeric_slots(numeric, clamp=clamp)
+    aggs = [F.count_if(fit).alias("n")]
+    for j, v in enumerate(nums):
+        w = F.when(fit, v)
+        aggs += [F.avg(w).alias(f"m{j}"), F.var_samp(w).alias(f"v{j}")]
+    g = df.groupBy(key.alias("category")).agg(*aggs)
+    rows = g.orderBy(F.asc_nulls_last("category")).limit(max_categories + 2).collect()
+    values = [r["category"] for r in rows if r["category"] is not None]
+    if len(values) > max_categories:
+        raise ValueError(f"{category} has more than {max_categories} distinct values; "
+                         "not a category column")
+    index = _dictionary(df.sparkSession, values)
     pf = PageFeatures(index, list(numeric), None, clamp, on_unknown)
     if scale:
-        base = scaler_rows if scaler_rows is not None else df
-        pf.scaler = fit_scaler(pf.assemble(base, category), pf.dim,
-                               with_mean=with_mean, with_std=with_std)
+        n = sum(int(r["n"]) for r in rows)
+        mean, std = [], []
+        for r in rows:                       # one-hot slots: Bernoulli(n_c / n)
+            if r["category"] is None:
+                continue
+            nc = int(r["n"])
+            p = nc / n if n else 0.0
+            mean.append(p)
+            m2 = nc * (1.0 - p) ** 2 + (n - nc) * p * p
+            std.append((m2 / (n - 1)) ** 0.5 if n > 1 else 0.0)
+        for j in range(len(nums)):
+            parts = [(int(r["n"]), float(r[f"m{j}"] or 0.0), float(r[f"v{j}"] or 0.0))
+                     for r in rows if int(r["n"]) > 0]
+            m, s = _combine(parts)
+            mean.append(m)
+            std.append(s)
+        pf.scaler = ScalerModel(mean, std, with_mean, with_std)
     return pf

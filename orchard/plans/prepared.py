@@ -39,7 +39,7 @@ def binary(spark: SparkSession, sf_dir: str, nb: bool = False,
     bb = V.binary_big(spark, sf_dir)
     bb = assign_split(bb, key).withColumn("u", md5_unit(key))
     pf = fit_page_features(bb, V.BINARY_NUMERIC, with_mean=not nb, clamp=nb, scale=scale,
-                           scaler_rows=bb.where(F.col("split") == "train"))
+                           fit_on=F.col("split") == "train")
     out = pf.transform(bb).select(*V.BINARY_KEY, F.col("label").cast("double").alias("label"),
                                   "features", "split", "u")
     return Prepared(out, pf, pf.dim, list(V.BINARY_KEY))
@@ -50,7 +50,7 @@ def pages(spark: SparkSession, sf_dir: str, nb: bool = False) -> tuple[Prepared,
     key = F.col("doc_id")
     pt = assign_split(V.page_train(spark, sf_dir), key).withColumn("u", md5_unit(key))
     pf = fit_page_features(pt, V.PAGE_NUMERIC, with_mean=not nb, clamp=nb,
-                           scaler_rows=pt.where(F.col("split") == "train"), on_unknown="zero")
+                           fit_on=F.col("split") == "train", on_unknown="zero")
     lab = pf.transform(pt).select("doc_id", "url", F.col("label").cast("double").alias("label"),
                                   "features", "split", "u")
     score = pf.transform(V.page_score(spark, sf_dir)).select("doc_id", "url", "features")
