@@ -178,3 +178,18 @@ pr AS (SELECT doc_id, CAST(feat.label AS DOUBLE) AS label, {G.nb_predict_expr(D_
        FROM feat, c0, c1 WHERE split = 'test')
 SELECT doc_id, label, prediction, CASE WHEN prediction = label THEN 'right' ELSE 'wrong' END AS result
 FROM pr ORDER BY doc_id LIMIT 50"""
+
+_HFEAT = ["season", "mnth", "hr", "holiday", "weekday", "workingday", "weathersit",
+          "temp", "atemp", "hum", "windspeed"]
+_hkey = "strftime(h, '%Y-%m-%d %H:%M:%S')"
+_HOURLY_SPLIT = f"""{W}{G.HOURLY},
+hs2 AS (SELECT *, {G.split_case(G.md5_head(_hkey))} AS split FROM hourly),
+{G.regression_stump('hs2', _HFEAT)},
+pr AS (SELECT r.hs AS h, r.split, CAST(r.label AS DOUBLE) AS label, {G.stump_predict(_HFEAT)} AS prediction
+       FROM hs2 r, stump st)"""
+ORACLE2["eval_rmse"] = f"""{_HOURLY_SPLIT}
+SELECT split, count(*) AS n, round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse
+FROM pr GROUP BY split"""
+ORACLE2["eval_abs_error"] = f"""{_HOURLY_SPLIT}
+SELECT h, label, round(prediction, 6) AS prediction,
+       round(abs(label - prediction), 6) AS abs_error FROM pr"""

@@ -55,7 +55,8 @@ def features_cte(src: str, k: int, nb: bool, name: str = "z",
     """
     d = k + len(NUM)
     dict_src = dict_src or src
-    onehot = ", ".join(f"CASE WHEN dc.idx = {i} THEN 1.0 ELSE 0.0 END AS x{i}" for i in range(k))
+    onehot = ", ".join(f"CASE WHEN dc.idx = {i} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS x{i}"
+                       for i in range(k))
     nums = []
     for i, c in enumerate(NUM):
         v = f"COALESCE(CAST({c} AS DOUBLE), 0.0)"
@@ -108,7 +109,7 @@ class _Lit(str):
 def nb_predict_expr(d: int, m0: str = "c0", m1: str = "c1", zname: str = "z") -> str:
     s0 = f"{m0}.pi + ({dot(zname, [f'{m0}.t{j}' for j in range(d)])})"
     s1 = f"{m1}.pi + ({dot(zname, [f'{m1}.t{j}' for j in range(d)])})"
-    return f"CASE WHEN {s1} > {s0} THEN 1.0 ELSE 0.0 END"
+    return f"CASE WHEN {s1} > {s0} THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
 
 
 def auc_select(pred: str = "prediction", label: str = "label") -> str:
@@ -208,5 +209,41 @@ sgd AS (
 def linear_predict(kind: str, d: int, x: str = "z", w: str = "m") -> str:
     margin = " + ".join(f"{x}{j} * {w}.w{j}" for j in range(d))
     if kind == "logistic":
-        return f"CASE WHEN 1.0 / (1.0 + exp(-({margin}))) > 0.5 THEN 1.0 ELSE 0.0 END"
-    return f"CASE WHEN {margin} > 0.0 THEN 1.0 ELSE 0.0 END"
+        return (f"CASE WHEN 1.0 / (1.0 + exp(-({margin}))) > 0.5 THEN CAST(1.0 AS DOUBLE) "
+                f"ELSE CAST(0.0 AS DOUBLE) END")
+    return f"CASE WHEN {margin} > 0.0 THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END"
+
+
+def regression_stump(src: str, features: list[str], train_where: str = "split = 'train'") -> str:
+    """CTEs fitting a depth-1 variance tree: candidates are the midpoints of
+    consecutive distinct training values; the first best (feature order, then
+    threshold order) wins; no split when the best gain is <= 0.  Ends in
+    ``stump(fidx, thr, lmean, rmean, root)``."""
+    cands = []
+    for i, f in enumerate(features):
+        cands.append(f"""SELECT {i} AS fidx, (v + nv) / 2.0 AS thr FROM (
+      SELECT v, lead(v) OVER (ORDER BY v) AS nv FROM (SELECT DISTINCT CAST({f} AS DOUBLE) AS v
+      FROM {src} WHERE {train_where})) WHERE nv IS NOT NULL""")
+    vals = " UNION ALL ".join(
+        f"SELECT {i} AS fidx, CAST({f} AS DOUBLE) AS v, CAST(label AS DOUBLE) AS y FROM {src} "
+        f"WHERE {train_where}" for i, f in enumerate(features))
+    return f"""cand AS ({" UNION ALL ".join(cands)}),
+tv AS ({vals}),
+tot AS (SELECT count(*) * 1.0 AS n, sum(CAST(label AS DOUBLE)) AS s,
+        sum(CAST(label AS DOUBLE) * CAST(label AS DOUBLE)) AS ss FROM {src} WHERE {train_where}),
+lstat AS (SELECT c.fidx, c.thr, count(*) * 1.0 AS ln, sum(tv.y) AS ls, sum(tv.y * tv.y) AS lss
+          FROM cand c JOIN tv ON tv.fidx = c.fidx AND tv.v <= c.thr GROUP BY c.fidx, c.thr),
+gains AS (SELECT l.fidx, l.thr, l.ln, l.ls, t.n - l.ln AS rn, t.s - l.ls AS rs,
+          (t.ss - (t.s * t.s) / t.n) / t.n
+          - (l.ln / t.n) * ((l.lss - (l.ls * l.ls) / l.ln) / l.ln)
+          - ((t.n - l.ln) / t.n) * (((t.ss - l.lss) - ((t.s - l.ls) * (t.s - l.ls)) / (t.n - l.ln)) / (t.n - l.ln))
+          AS gain FROM lstat l, tot t WHERE t.n - l.ln >= 1),
+best AS (SELECT * FROM gains ORDER BY gain DESC, fidx ASC, thr ASC LIMIT 1),
+stump AS (SELECT CASE WHEN b.gain > 0 THEN b.fidx END AS fidx, b.thr, b.ls / b.ln AS lmean,
+          b.rs / b.rn AS rmean, t.s / t.n AS root FROM best b, tot t)"""
+
+
+def stump_predict(features: list[str], row: str = "r") -> str:
+    whens = " ".join(f"WHEN st.fidx = {i} THEN CAST({row}.{f} AS DOUBLE)" for i, f in enumerate(features))
+    return (f"CASE WHEN st.fidx IS NULL THEN st.root WHEN (CASE {whens} END) <= st.thr "
+            f"THEN st.lmean ELSE st.rmean END")
