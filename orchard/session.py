@@ -48,6 +48,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current.isDefined():
         return current.get()
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # On a cluster only a shared folder will do; without one, trees and
+            # ALS run without checkpoints rather than on a machine-local path.
+            import warnings
+            warnings.warn("spark.checkpoint.dir is not set; lineage will not be cut")
+            return ""
         conf_dir = tempfile.mkdtemp(prefix="orchard-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return conf_dir

@@ -43,3 +43,26 @@ def test_too_many_categories_refused(spark):
     df = spark.range(20).select(F.col("id").cast("string").alias("category"))
     with pytest.raises(ValueError):
         FT.fit_category_index(df, "category", max_categories=10)
+
+
+def test_one_pass_page_fit_equals_two_pass(spark):
+    rows = [(i, ["a", "b", "c"][i % 3], float(i % 7) - 2.0, None if i % 5 == 0 else float(i * 3 % 11),
+             "train" if i % 4 else "test") for i in range(300)]
+    df = spark.createDataFrame(rows, "k int, category string, f0 double, f1 double, split string")
+    pf = FT.fit_page_features(df, ["f0", "f1"], fit_on=F.col("split") == "train")
+    assert pf.index.categories == ["a", "b", "c"]
+    assembled = FT.PageFeatures(pf.index, ["f0", "f1"], None).assemble(df.where("split = 'train'"))
+    ref = FT.fit_scaler(assembled, pf.dim)
+    assert pf.scaler.mean == pytest.approx(ref.mean, rel=1e-12, abs=1e-14)
+    assert pf.scaler.std == pytest.approx(ref.std, rel=1e-12, abs=1e-14)
+    out = pf.transform(df).select("features").collect()
+    assert all(len(r.features) == 5 for r in out)
+
+
+def test_large_dictionary_uses_broadcast_join(spark):
+    df = spark.range(100).select(F.concat(F.lit("c"), F.col("id").cast("string")).alias("category"))
+    idx = FT.fit_category_index(df, "category")
+    assert idx.size == 100 > FT.INLINE_LOOKUP_MAX
+    got = idx.lookup(df, "category").select("category", "cat_idx").collect()
+    want = {c: i for i, c in enumerate(sorted(r.category for r in df.collect()))}
+    assert all(want[r.category] == r.cat_idx for r in got)
