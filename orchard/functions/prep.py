@@ -32,15 +32,21 @@ def strip_quotes_all(arr: str | Column) -> Column:
     return F.transform(_c(arr), lambda x: F.translate(x, '"', ""))
 
 
-def missing_to_zero(c: str | Column, marker: str = "?") -> Column:
+def to_double(c: Column, mode: str = "strict") -> Column:
+    """Parse a double: ``strict`` fails the job on bad input (as the JVM
+    ``toDouble`` does), ``permissive`` gives NULL instead."""
+    return c.try_cast("double") if mode == "permissive" else c.cast("double")
+
+
+def missing_to_zero(c: str | Column, marker: str = "?", mode: str = "strict") -> Column:
     """``'?'`` becomes 0.0, anything else is parsed as a double."""
     c = _c(c)
-    return F.when(c == F.lit(marker), F.lit(0.0)).otherwise(c.cast("double"))
+    return F.when(c == F.lit(marker), F.lit(0.0)).otherwise(to_double(c, mode))
 
 
-def missing_to_zero_all(arr: str | Column, marker: str = "?") -> Column:
+def missing_to_zero_all(arr: str | Column, marker: str = "?", mode: str = "strict") -> Column:
     return F.transform(_c(arr), lambda x: F.when(x == F.lit(marker), F.lit(0.0))
-                       .otherwise(x.cast("double")))
+                       .otherwise(to_double(x, mode)))
 
 
 def clamp_nonneg(c: str | Column) -> Column:
@@ -85,9 +91,9 @@ def all_but_last(arr: str | Column) -> Column:
     return F.slice(a, F.lit(1), F.greatest(F.size(a) - F.lit(1), F.lit(0)))
 
 
-def parse_all_double(arr: str | Column) -> Column:
+def parse_all_double(arr: str | Column, mode: str = "strict") -> Column:
     """Every field parsed as a double."""
-    return F.transform(_c(arr), lambda x: x.cast("double"))
+    return F.transform(_c(arr), lambda x: to_double(x, mode))
 
 
 def concat_features(*arrays: str | Column) -> Column:

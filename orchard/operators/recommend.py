@@ -8,6 +8,8 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orchard.session import ensure_checkpoint_dir
+
 ALS_SEED = 42
 
 
@@ -22,6 +24,7 @@ def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: fl
             seed: int = ALS_SEED, cold_start: str = "nan") -> ALSModel:
     """Spark ML ALS (block-partitioned; factors checkpointed every 10 iterations
     when a checkpoint folder is set, which bounds lineage on executor loss)."""
+    ensure_checkpoint_dir(ratings.sparkSession)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="user_id",
               itemCol="item_id", ratingCol="rating", seed=seed, implicitPrefs=False,
               coldStartStrategy=cold_start, checkpointInterval=10)

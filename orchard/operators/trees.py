@@ -16,6 +16,8 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orchard.session import ensure_checkpoint_dir
+
 MAX_DEPTH_LIMIT = 30
 TREE_SEED = 20170227
 
@@ -63,6 +65,7 @@ def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini"
         raise ValueError(f"maxDepth must be in [0, {MAX_DEPTH_LIMIT}], got {max_depth}")
     if max_bins < 2:
         raise ValueError("maxBins must be >= 2")
+    ensure_checkpoint_dir(df.sparkSession)
     data = vectorize(df, features).select("fvec", F.col(label).cast("double").alias("label"))
     common = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
                   impurity=impurity, seed=seed, cacheNodeIds=True, checkpointInterval=10)

@@ -45,15 +45,26 @@ def binary(spark: SparkSession, sf_dir: str, nb: bool = False,
     return Prepared(out, pf, pf.dim, list(V.BINARY_KEY))
 
 
-def pages(spark: SparkSession, sf_dir: str, nb: bool = False) -> tuple[Prepared, DataFrame]:
-    """Labelled pages (train/validation/test by doc_id) and scored unlabelled pages."""
+def pages(spark: SparkSession, sf_dir: str, nb: bool = False,
+          refit_scaler: bool = False) -> tuple[Prepared, DataFrame]:
+    """Labelled pages (train/validation/test by doc_id) and scored unlabelled pages.
+
+    Unlabelled pages are scored with the training fit; ``refit_scaler=True``
+    instead fits a fresh scaler on the unlabelled pages themselves (the
+    historical behaviour, kept for comparison).
+    """
     key = F.col("doc_id")
     pt = assign_split(V.page_train(spark, sf_dir), key).withColumn("u", md5_unit(key))
     pf = fit_page_features(pt, V.PAGE_NUMERIC, with_mean=not nb, clamp=nb,
                            fit_on=F.col("split") == "train", on_unknown="zero")
     lab = pf.transform(pt).select("doc_id", "url", F.col("label").cast("double").alias("label"),
                                   "features", "split", "u")
-    score = pf.transform(V.page_score(spark, sf_dir)).select("doc_id", "url", "features")
+    ps = V.page_score(spark, sf_dir)
+    if refit_scaler:
+        from dataclasses import replace
+        from orchard.operators.features import fit_scaler
+        pf = replace(pf, scaler=fit_scaler(pf.assemble(ps), pf.dim, with_mean=not nb))
+    score = pf.transform(ps).select("doc_id", "url", "features")
     return Prepared(lab, pf, pf.dim, ["doc_id"]), score
 
 

@@ -16,12 +16,19 @@ from orchard.functions import prep
 TAB, PIPE, COMMA = "\t", "|", ","
 
 
-def parse_ratings(lines: DataFrame, col: str = "value") -> DataFrame:
-    """``user<TAB>item<TAB>rating[<TAB>...]`` -> (user_id int, item_id int, rating double)."""
+def _cast(c, t, mode):
+    return c.try_cast(t) if mode == "permissive" else c.cast(t)
+
+
+def parse_ratings(lines: DataFrame, col: str = "value", mode: str = "strict") -> DataFrame:
+    """``user<TAB>item<TAB>rating[<TAB>...]`` -> (user_id int, item_id int, rating double).
+
+    ``mode='strict'`` fails on a malformed number; ``'permissive'`` gives NULL.
+    """
     f = prep.take_fields(prep.split_fields(col, TAB), 3)
-    return lines.select(f.getItem(0).cast("int").alias("user_id"),
-                        f.getItem(1).cast("int").alias("item_id"),
-                        f.getItem(2).cast("double").alias("rating"))
+    return lines.select(_cast(f.getItem(0), "int", mode).alias("user_id"),
+                        _cast(f.getItem(1), "int", mode).alias("item_id"),
+                        _cast(f.getItem(2), "double", mode).alias("rating"))
 
 
 def parse_titles(lines: DataFrame, col: str = "value") -> DataFrame:
@@ -31,7 +38,7 @@ def parse_titles(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def parse_pages(lines: DataFrame, labelled: bool = True, col: str = "value",
-                keep: tuple = ()) -> DataFrame:
+                keep: tuple = (), mode: str = "strict") -> DataFrame:
     """Page layout: 0 url, 3 category, 4.. numbers ('?' = missing), last = label.
 
     Output: url, category, numeric array<double>[, label int].  Quotes are
@@ -41,11 +48,11 @@ def parse_pages(lines: DataFrame, labelled: bool = True, col: str = "value",
     raw = prep.split_fields(col, TAB)
     f = prep.strip_quotes_all(raw)
     until = 1 if labelled else 0
-    nums = prep.missing_to_zero_all(prep.field_slice(f, 4, until_from_end=until))
+    nums = prep.missing_to_zero_all(prep.field_slice(f, 4, until_from_end=until), mode=mode)
     cols = [*keep, f.getItem(0).alias("url"), f.getItem(3).alias("category"),
             nums.alias("numeric")]
     if labelled:
-        cols.append(prep.label_last(f).alias("label"))
+        cols.append(_cast(F.element_at(f, -1), "int", mode).alias("label"))
     return lines.select(*cols)
 
 

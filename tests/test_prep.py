@@ -34,3 +34,13 @@ def test_decoders_unknown_is_null_and_truncation(spark):
     r = df.select(D.season("s").alias("a"), D.season("bad").alias("b"),
                   D.denormalize(F.lit(2.7), 1).alias("c")).first()
     assert r.a == "spring" and r.b is None and r.c == 2
+
+
+def test_strict_and_permissive_parsing(spark):
+    import pytest
+    from orchard.sources import text as TX
+    df = spark.createDataFrame([("1\tx\t4",)], "value string")
+    with pytest.raises(Exception):
+        TX.parse_ratings(df).collect()
+    r = TX.parse_ratings(df, mode="permissive").first()
+    assert r.user_id == 1 and r.item_id is None and r.rating == 4.0
