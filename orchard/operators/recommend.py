@@ -24,10 +24,15 @@ def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: fl
             seed: int = ALS_SEED, cold_start: str = "nan") -> ALSModel:
     """Spark ML ALS (block-partitioned; factors checkpointed every 10 iterations
     when a checkpoint folder is set, which bounds lineage on executor loss)."""
-    ensure_checkpoint_dir(ratings.sparkSession)
+    spark = ratings.sparkSession
+    ensure_checkpoint_dir(spark)
+    # ALS runs one task per factor block; size the blocks to the cluster rather
+    # than the fixed default of 10 so a large ratings table spreads out.
+    blocks = max(10, spark.sparkContext.defaultParallelism)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="user_id",
               itemCol="item_id", ratingCol="rating", seed=seed, implicitPrefs=False,
-              coldStartStrategy=cold_start, checkpointInterval=10)
+              coldStartStrategy=cold_start, checkpointInterval=10,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(ratings.select("user_id", "item_id", "rating"))
 
 
@@ -44,14 +49,17 @@ def _explode_recs(recs: DataFrame, key: str, other: str) -> DataFrame:
                     F.col(f"r.{other}").alias(other), F.col("r.rating").alias("score"))
 
 
-def items_for_users(model: ALSModel, users: DataFrame, n: int = 10,
+def items_for_users(model: ALSModel, users: DataFrame | None, n: int = 10,
                     titles: DataFrame | None = None) -> DataFrame:
-    """Top-n items per requested user, numbered 1..n, titled.
+    """Top-n items per requested user (``None``: every user), numbered 1..n,
+    titled (X11, J2).  Unknown users give no rows; a missing title is NULL.
 
-    Unknown users give no rows; a missing title is NULL.
+    Spark scores users against items block by block and keeps a bounded
+    top-n per user; the (user, item) pairs never become rows.
     """
-    recs = _explode_recs(model.recommendForUserSubset(users.select("user_id"), n),
-                         "user_id", "item_id")
+    raw = (model.recommendForAllUsers(n) if users is None
+           else model.recommendForUserSubset(users.select("user_id"), n))
+    recs = _explode_recs(raw, "user_id", "item_id")
     if titles is not None:
         # titles is a dimension table keyed by item_id; AQE broadcasts it when
         # its runtime size is small, otherwise this is a shuffle join.
@@ -59,10 +67,11 @@ def items_for_users(model: ALSModel, users: DataFrame, n: int = 10,
     return recs
 
 
-def users_for_items(model: ALSModel, items: DataFrame, n: int = 10) -> DataFrame:
-    """Top-n users per requested item, numbered 1..n."""
-    return _explode_recs(model.recommendForItemSubset(items.select("item_id"), n),
-                         "item_id", "user_id")
+def users_for_items(model: ALSModel, items: DataFrame | None, n: int = 10) -> DataFrame:
+    """Top-n users per requested item (``None``: every item), numbered 1..n."""
+    raw = (model.recommendForAllItems(n) if items is None
+           else model.recommendForItemSubset(items.select("item_id"), n))
+    return _explode_recs(raw, "item_id", "user_id")
 
 
 def top_k_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], k: int,

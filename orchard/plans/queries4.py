@@ -168,15 +168,13 @@ def q_als_predict_pair(spark, sf):
 
 def q_rec_items_for_user(spark, sf):
     ratings, model = _als(spark, sf)
-    users = ratings.select("user_id").distinct()
-    recs = R.items_for_users(model, users, TOP_N, V.titles(spark, sf))
+    recs = R.items_for_users(model, None, TOP_N, V.titles(spark, sf))
     return recs.select("user_id", "rank", "item_id", "title", r6("score").alias("score"))
 
 
 def q_rec_users_for_item(spark, sf):
     ratings, model = _als(spark, sf)
-    items = ratings.select("item_id").distinct()
-    return R.users_for_items(model, items, TOP_N).select("item_id", "rank", "user_id",
+    return R.users_for_items(model, None, TOP_N).select("item_id", "rank", "user_id",
                                                          r6("score").alias("score"))
 
 
