@@ -28,7 +28,10 @@ def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: fl
     ensure_checkpoint_dir(spark)
     # ALS runs one task per factor block; size the blocks to the cluster rather
     # than the fixed default of 10 so a large ratings table spreads out.
-    blocks = max(10, spark.sparkContext.defaultParallelism)
+    try:
+        blocks = max(10, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - remote session: keep Spark's default
+        blocks = 10
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="user_id",
               itemCol="item_id", ratingCol="rating", seed=seed, implicitPrefs=False,
               coldStartStrategy=cold_start, checkpointInterval=10,
