@@ -108,3 +108,23 @@ def test_tree_stable_under_repartition(spark):
         m = trees.fit_tree(stable, "classification", "entropy", 4, 5)
         preds.append([r.prediction for r in m.transform(df).orderBy("k").collect()])
     assert preds[0] == preds[1] == preds[2]
+
+
+def test_models_do_not_depend_on_partitioning(spark):
+    df = _toy(spark, n=500)
+    base_nb = bayes.fit_naive_bayes(df, 3, 5.0)
+    base_lr = linear.fit_sgd(df, "logistic", 3, 6, 1.0, 0.0, 0.5)
+    for n in (1, 4, 13):
+        d = df.repartition(n)
+        nb = bayes.fit_naive_bayes(d, 3, 5.0)
+        assert nb.log_prior == pytest.approx(base_nb.log_prior, rel=1e-12)
+        for a, b in zip(nb.log_theta, base_nb.log_theta):
+            assert a == pytest.approx(b, rel=1e-12)
+        lr = linear.fit_sgd(d, "logistic", 3, 6, 1.0, 0.0, 0.5)   # same mini-batches too
+        assert lr.weights == pytest.approx(base_lr.weights, rel=1e-9)
+
+
+def test_empty_frame_fit_errors(spark):
+    empty = spark.createDataFrame([], "label double, features array<double>")
+    with pytest.raises(ValueError):
+        bayes.fit_naive_bayes(empty, 2)
