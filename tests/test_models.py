@@ -128,3 +128,18 @@ def test_empty_frame_fit_errors(spark):
     empty = spark.createDataFrame([], "label double, features array<double>")
     with pytest.raises(ValueError):
         bayes.fit_naive_bayes(empty, 2)
+
+
+def test_fused_page_naive_bayes_equals_modular(spark):
+    from orchard.operators import features as FT
+    rows = [(i, ["x", "y", "z"][i % 3], float(i % 7) - 2.0, float(i * 3 % 11), float(i % 2),
+             "train" if i % 5 else "test") for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, category string, f0 double, f1 double, label double, split string")
+    fit = F.col("split") == "train"
+    pf, m = bayes.fit_page_naive_bayes(df, ["f0", "f1"], 3.0, fit_on=fit)
+    pf2 = FT.fit_page_features(df, ["f0", "f1"], with_mean=False, clamp=True, fit_on=fit)
+    assert pf.scaler.std == pytest.approx(pf2.scaler.std, rel=1e-12)
+    m2 = bayes.fit_naive_bayes(pf2.transform(df.where(fit)), pf2.dim, 3.0)
+    assert m.log_prior == pytest.approx(m2.log_prior, rel=1e-12)
+    for a, b in zip(m.log_theta, m2.log_theta):
+        assert a == pytest.approx(b, rel=1e-12)
