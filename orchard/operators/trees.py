@@ -10,6 +10,7 @@ import time
 from dataclasses import dataclass
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.regression import DecisionTreeRegressor
@@ -59,8 +60,15 @@ class TreeModel:
 
 def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini",
              max_depth: int = 5, max_bins: int = 32, features: str = "features",
-             label: str = "label", seed: int = TREE_SEED) -> TreeModel:
-    """Fit a classification (gini / entropy) or regression (variance) tree."""
+             label: str = "label", seed: int = TREE_SEED, cache: bool = True) -> TreeModel:
+    """Fit a classification (gini / entropy) or regression (variance) tree.
+
+    The learner makes several preparatory passes (class count, row count,
+    split candidates, binning) before it caches its own binned rows; with
+    ``cache=True`` the (vector, label) input is persisted for the fit so those
+    passes do not each recompute the upstream joins.  Pass ``cache=False``
+    when the input is already cached.
+    """
     if not 0 <= max_depth <= MAX_DEPTH_LIMIT:
         raise ValueError(f"maxDepth must be in [0, {MAX_DEPTH_LIMIT}], got {max_depth}")
     if max_bins < 2:
@@ -76,7 +84,13 @@ def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini"
     else:
         raise ValueError(kind)
     t0 = time.perf_counter()
-    model = est.fit(data)
+    if cache:
+        data.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        model = est.fit(data)
+    finally:
+        if cache:
+            data.unpersist()
     return TreeModel(model, kind, (time.perf_counter() - t0) * 1000.0)
 
 

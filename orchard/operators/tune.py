@@ -108,9 +108,13 @@ TREE_COLUMNS = [("impurity", "string"), ("max_depth", "int"), ("max_bins", "int"
 
 def tune_tree(train: DataFrame, valid: DataFrame, kind: str, entries: list[dict],
               metric: str, parallelism: int = 4) -> tuple[DataFrame, dict]:
-    """Independent fits run concurrently (G1, G5); one scan scores them all."""
+    """Independent fits run concurrently (G1, G5); one scan scores them all.
+
+    ``train`` should be cached by the caller: every fit reads it.
+    """
     def fit(e):
-        return trees.fit_tree(train, kind, e["impurity"], int(e["max_depth"]), int(e["max_bins"]))
+        return trees.fit_tree(train, kind, e["impurity"], int(e["max_depth"]), int(e["max_bins"]),
+                              cache=False)
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         fitted = list(pool.map(fit, entries))
     models = {str(i): m for i, m in enumerate(fitted)}
