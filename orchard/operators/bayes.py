@@ -83,10 +83,35 @@ def model_from_stats(stats: list[tuple[float, int, list[float]]],
     return NaiveBayesModel(labels, prior, theta, lam)
 
 
+def fit_stats(df: DataFrame, dim: int, features: str = "features",
+              label: str = "label") -> list[tuple[float, int, list[float]]]:
+    """Per-class count and feature sums on the driver, one scan.
+
+    Wide vectors go through the long form: ``posexplode`` then
+    ``groupBy(label, j)`` (partial-aggregated, so only classes x d rows move).
+    """
+    from orchard.operators import common
+    if dim <= common.WIDE_DIM:
+        return collect_stats(class_stats(df, dim, features, label), dim)
+    long = df.select(F.col(label).cast("double").alias("label"),
+                     F.posexplode(features).alias("j", "v"))
+    rows = long.groupBy("label", "j").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"),
+                                          F.min("v").alias("mn")).collect()
+    by: dict[float, list] = {}
+    for r in rows:
+        if r["mn"] is not None and r["mn"] < 0:
+            raise ValueError("naive Bayes needs non-negative features; clamp or "
+                             "scale without centring first")
+        ent = by.setdefault(float(r["label"]), [0, [0.0] * dim])
+        if int(r["j"]) == 0:
+            ent[0] = int(r["n"])
+        ent[1][int(r["j"])] = float(r["s"] or 0.0)
+    return [(lab, n, sums) for lab, (n, sums) in sorted(by.items())]
+
+
 def fit_naive_bayes(df: DataFrame, dim: int, smoothing: float = 1.0,
                     features: str = "features", label: str = "label") -> NaiveBayesModel:
-    return model_from_stats(collect_stats(class_stats(df, dim, features, label), dim),
-                            smoothing)
+    return model_from_stats(fit_stats(df, dim, features, label), smoothing)
 
 
 # Bound on (category, class) groups brought back by the fused fit below.

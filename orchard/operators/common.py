@@ -9,6 +9,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Above this many features one aggregate column per feature would make a
+# single huge generated method; wide vectors are handled in long form
+# (``posexplode`` + ``groupBy(j)``, partial-aggregated) instead.
+WIDE_DIM = 256
+
 # Upper bound on rows of a side we broadcast on our own say-so.  Anything
 # larger is joined with a shuffle and left to AQE.
 BROADCAST_MAX_ROWS = 1_000_000
@@ -43,6 +48,9 @@ def persisted(*dfs: DataFrame,
 def dot(features: str | Column, weights: Sequence[float]) -> Column:
     """``sum_j w_j * x[j]`` as one JVM expression (weights become literals)."""
     x = F.col(features) if isinstance(features, str) else features
+    if len(weights) > WIDE_DIM:
+        return F.aggregate(F.zip_with(x, lit_array(weights), lambda a, b: a * b),
+                           F.lit(0.0), lambda acc, v: acc + v)
     terms = [x.getItem(j) * F.lit(float(w)) for j, w in enumerate(weights) if w != 0.0]
     if not terms:
         return F.lit(0.0)

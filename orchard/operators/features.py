@@ -135,6 +135,15 @@ class ScalerModel:
 def fit_scaler(df: DataFrame, dim: int, features: str = "features",
                with_mean: bool = True, with_std: bool = True) -> ScalerModel:
     """One distributed aggregate (partial per partition) of mean and std."""
+    from orchard.operators import common
+    if dim > common.WIDE_DIM:
+        long = df.select(F.posexplode(features).alias("j", "v"))
+        rows = long.groupBy("j").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s")).collect()
+        by = {int(r["j"]): r for r in rows}
+        mean = [float(by[j]["m"] or 0.0) if j in by else 0.0 for j in range(dim)]
+        std = [float(by[j]["s"]) if j in by and by[j]["s"] is not None else 0.0
+               for j in range(dim)]
+        return ScalerModel(mean, std, with_mean, with_std)
     x = F.col(features)
     aggs = []
     for j in range(dim):

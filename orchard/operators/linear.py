@@ -23,6 +23,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orchard.operators import common
 from orchard.operators.common import dot
 from orchard.operators.split import minibatch_flag
 
@@ -121,7 +122,10 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
                 aggs += [F.sum(F.col(f"m{i}") * x.getItem(j)).alias(f"g{i}_{j}")
                          for j in range(dim)]
             df_t = df.select(*proj)
-            row = df_t.agg(*aggs).first()
+            if dim <= common.WIDE_DIM:
+                row = df_t.agg(*aggs).first()
+            else:
+                row = _wide_gradients(df_t, active, fr_idx, dim)
             for i, tr in enumerate(active):
                 n = row[f"n{fr_idx[tr.cfg.mini_batch_fraction]}"]
                 if not n:
@@ -141,6 +145,29 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     return out, (time.perf_counter() - t0) * 1000.0
 
 
+def _wide_gradients(df_t: DataFrame, active, fr_idx, dim: int) -> dict:
+    """Gradient sums of wide vectors in long form: one ``groupBy(j)`` aggregate
+    (partial per partition, so d rows per partition are shuffled)."""
+    cols = [c for c in df_t.columns if c != "features"]
+    long = df_t.select(*cols, F.posexplode("features").alias("j", "v"))
+    aggs = [F.count_if(F.col(f"b{k}")).alias(f"n{k}") for k in fr_idx.values()]
+    aggs += [F.sum(F.col(f"m{i}") * F.col("v")).alias(f"g{i}") for i in range(len(active))]
+    out: dict = {}
+    for r in long.groupBy("j").agg(*aggs).collect():
+        j = int(r["j"])
+        for i in range(len(active)):
+            out[f"g{i}_{j}"] = r[f"g{i}"]
+        if j == 0:
+            for k in fr_idx.values():
+                out[f"n{k}"] = r[f"n{k}"]
+    for k in fr_idx.values():
+        out.setdefault(f"n{k}", 0)
+    for i in range(len(active)):
+        for j in range(dim):
+            out.setdefault(f"g{i}_{j}", 0.0)
+    return out
+
+
 def fit_sgd(df: DataFrame, kind: str, dim: int, num_iterations: int, step_size: float,
             reg_param: float = 0.0, mini_batch_fraction: float = 1.0,
             features: str = "features", label: str = "label", unit: str = "u") -> LinearModel:

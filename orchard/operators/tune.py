@@ -90,7 +90,7 @@ def tune_naive_bayes(train: DataFrame, valid: DataFrame, dim: int,
     """Statistics once, one model per lambda, all scored in one scan."""
     import time
     t0 = time.perf_counter()
-    stats = bayes.collect_stats(bayes.class_stats(train, dim), dim)
+    stats = bayes.fit_stats(train, dim)
     models = {i: bayes.model_from_stats(stats, lam) for i, lam in enumerate(lambdas)}
     ms = (time.perf_counter() - t0) * 1000.0
     metric = evaluate.metric_many(valid, {str(i): m.predict_col() for i, m in models.items()},

@@ -143,3 +143,24 @@ def test_fused_page_naive_bayes_equals_modular(spark):
     assert m.log_prior == pytest.approx(m2.log_prior, rel=1e-12)
     for a, b in zip(m.log_theta, m2.log_theta):
         assert a == pytest.approx(b, rel=1e-12)
+
+
+def test_wide_paths_equal_narrow(spark, monkeypatch):
+    from orchard.operators import common, features as FT
+    df = _toy(spark, n=300)
+    nb = bayes.fit_naive_bayes(df, 3, 2.0)
+    sc = FT.fit_scaler(df, 3)
+    lr = linear.fit_sgd(df, "logistic", 3, 5, 1.0, 0.0, 0.5)
+    sv = linear.fit_sgd(df, "hinge", 3, 5, 1.0, 0.1, 1.0)
+    pred = [r.prediction for r in lr.transform(df).orderBy("k").collect()]
+    monkeypatch.setattr(common, "WIDE_DIM", 2)
+    nb2 = bayes.fit_naive_bayes(df, 3, 2.0)
+    assert nb2.log_prior == pytest.approx(nb.log_prior, rel=1e-12)
+    for a, b in zip(nb2.log_theta, nb.log_theta):
+        assert a == pytest.approx(b, rel=1e-12)
+    sc2 = FT.fit_scaler(df, 3)
+    assert sc2.mean == pytest.approx(sc.mean, rel=1e-12)
+    assert sc2.std == pytest.approx(sc.std, rel=1e-12)
+    assert linear.fit_sgd(df, "logistic", 3, 5, 1.0, 0.0, 0.5).weights == pytest.approx(lr.weights, rel=1e-9)
+    assert linear.fit_sgd(df, "hinge", 3, 5, 1.0, 0.1, 1.0).weights == pytest.approx(sv.weights, rel=1e-9)
+    assert [r.prediction for r in lr.transform(df).orderBy("k").collect()] == pred
