@@ -70,3 +70,15 @@ def feature_dim(df: DataFrame, features: str = "features") -> int:
     if not row:
         raise ValueError("cannot fit on an empty frame")
     return int(row[0]["d"])
+
+
+def reliable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the cluster's shared checkpoint folder and cut its lineage.
+
+    A lost executor then re-reads the written rows instead of recomputing
+    upstream joins.  Without a configured folder the frame is returned as is.
+    """
+    from orchard.session import ensure_checkpoint_dir
+    if not ensure_checkpoint_dir(df.sparkSession):
+        return df
+    return df.checkpoint(eager=True)

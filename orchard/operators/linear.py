@@ -28,6 +28,9 @@ from orchard.operators.common import dot
 from orchard.operators.split import minibatch_flag
 
 CONVERGENCE_TOL = 0.001
+# Runs longer than this many steps first write their input to the checkpoint
+# folder, so an executor lost mid-run costs a re-read, not a recomputation.
+LONG_RUN_STEPS = 20
 
 
 @dataclass
@@ -91,7 +94,8 @@ def _norm(v: Sequence[float]) -> float:
 def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
                  iterations: Sequence[int], features: str = "features",
                  label: str = "label", unit: str = "u",
-                 tol: float = CONVERGENCE_TOL) -> tuple[dict, float]:
+                 tol: float = CONVERGENCE_TOL,
+                 checkpoint: bool | None = None) -> tuple[dict, float]:
     """Advance every config together; snapshot weights at each count in ``iterations``.
 
     ``df`` should be cached by the caller (it is scanned once per step).
@@ -103,6 +107,11 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     t_max = marks[-1] if marks else 0
     trajs = [_Trajectory(c, [0.0] * dim) for c in configs]
     x, y = F.col(features), F.col(label).cast("double")
+    owned = None
+    if checkpoint or (checkpoint is None and t_max > LONG_RUN_STEPS):
+        keep = [c for c in (features, label, unit) if c in df.columns]
+        owned = common.reliable(df.select(*keep)).persist()
+        df = owned
     for t in range(1, t_max + 1):
         active = [tr for tr in trajs if not tr.converged]
         if active:
@@ -141,6 +150,8 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
         if t in marks:
             for tr in trajs:
                 tr.snapshots[t] = list(tr.w)
+    if owned is not None:
+        owned.unpersist()
     out = {(tr.cfg, t): LinearModel(tr.cfg.kind, tr.snapshots[t]) for tr in trajs for t in marks}
     return out, (time.perf_counter() - t0) * 1000.0
 

@@ -164,3 +164,12 @@ def test_wide_paths_equal_narrow(spark, monkeypatch):
     assert linear.fit_sgd(df, "logistic", 3, 5, 1.0, 0.0, 0.5).weights == pytest.approx(lr.weights, rel=1e-9)
     assert linear.fit_sgd(df, "hinge", 3, 5, 1.0, 0.1, 1.0).weights == pytest.approx(sv.weights, rel=1e-9)
     assert [r.prediction for r in lr.transform(df).orderBy("k").collect()] == pred
+
+
+def test_checkpointed_long_run_equals_cached(spark):
+    df = _toy(spark, n=200)
+    a = linear.fit_sgd_many(df, [linear.SgdConfig("logistic", 1.0, 0.0, 0.8)], 3, [4],
+                            checkpoint=False)[0]
+    b = linear.fit_sgd_many(df, [linear.SgdConfig("logistic", 1.0, 0.0, 0.8)], 3, [4],
+                            checkpoint=True)[0]
+    assert list(a.values())[0].weights == pytest.approx(list(b.values())[0].weights, rel=1e-12)
