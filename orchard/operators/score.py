@@ -17,8 +17,9 @@ from orchard.operators import evaluate
 
 def score_new_pages(scored: DataFrame, n: int = 10, key: str = "doc_id") -> DataFrame:
     """First ``n`` unlabelled pages by key: url, predicted class and its name."""
-    return (scored.orderBy(key).limit(n)
-            .select(key, "url", "prediction",
+    cols = [key] if key == "url" else [key, "url"]
+    return (scored.orderBy(*cols).limit(n)
+            .select(*cols, "prediction",
                     D.page_class(F.col("prediction").cast("int")).alias("class")))
 
 
