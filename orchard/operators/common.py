@@ -82,3 +82,4 @@ def reliable(df: DataFrame) -> DataFrame:
     if not ensure_checkpoint_dir(df.sparkSession):
         return df
     return df.checkpoint(eager=True)
+

@@ -20,6 +20,7 @@ import time
 from dataclasses import dataclass, field
 from typing import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -98,7 +99,7 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
                  checkpoint: bool | None = None) -> tuple[dict, float]:
     """Advance every config together; snapshot weights at each count in ``iterations``.
 
-    ``df`` should be cached by the caller (it is scanned once per step).
+    ``df`` is scanned once per step through a cached compact copy made here.
     ``unit`` is a per-row uniform (``split.with_unit``) used for mini-batches.
     Returns ({(config, T): LinearModel}, elapsed_ms).
     """
@@ -107,11 +108,14 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     t_max = marks[-1] if marks else 0
     trajs = [_Trajectory(c, [0.0] * dim) for c in configs]
     x, y = F.col(features), F.col(label).cast("double")
-    owned = None
+    # The loop owns a compact cached copy of (features, label, unit); long
+    # runs first write it to the checkpoint folder.
+    keep = [c for c in (features, label, unit) if c in df.columns]
+    owned = df.select(*keep)
     if checkpoint or (checkpoint is None and t_max > LONG_RUN_STEPS):
-        keep = [c for c in (features, label, unit) if c in df.columns]
-        owned = common.reliable(df.select(*keep)).persist()
-        df = owned
+        owned = common.reliable(owned)
+    owned = owned.persist(StorageLevel.MEMORY_AND_DISK)
+    df = owned
     for t in range(1, t_max + 1):
         active = [tr for tr in trajs if not tr.converged]
         if active:
@@ -150,8 +154,7 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
         if t in marks:
             for tr in trajs:
                 tr.snapshots[t] = list(tr.w)
-    if owned is not None:
-        owned.unpersist()
+    owned.unpersist()
     out = {(tr.cfg, t): LinearModel(tr.cfg.kind, tr.snapshots[t]) for tr in trajs for t in marks}
     return out, (time.perf_counter() - t0) * 1000.0
 

@@ -75,17 +75,17 @@ def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini"
         raise ValueError("maxBins must be >= 2")
     ensure_checkpoint_dir(df.sparkSession)
     data = vectorize(df, features).select("fvec", F.col(label).cast("double").alias("label"))
-    common = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
+    params = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
                   impurity=impurity, seed=seed, cacheNodeIds=True, checkpointInterval=10)
     if kind == "classification":
-        est = DecisionTreeClassifier(**common)
+        est = DecisionTreeClassifier(**params)
     elif kind == "regression":
-        est = DecisionTreeRegressor(**common)
+        est = DecisionTreeRegressor(**params)
     else:
         raise ValueError(kind)
     t0 = time.perf_counter()
     if cache:
-        data.persist(StorageLevel.MEMORY_AND_DISK)
+        data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = est.fit(data)
     finally:
