@@ -26,17 +26,28 @@ def auc_from_counts(tp, pos, tn, neg) -> Column:
                   (tp.cast("double") / pos + tn.cast("double") / neg) / F.lit(2.0))
 
 
+def _auc_counts(prediction: str, label: str) -> list[Column]:
+    p, y = F.col(prediction), F.col(label)
+    return [F.count(F.lit(1)).alias("n"),
+            _count_if((p == 1) & (y == 1)).alias("tp"),
+            _count_if(y == 1).alias("pos"),
+            _count_if((p == 0) & (y == 0)).alias("tn"),
+            _count_if(y == 0).alias("neg")]
+
+
 def auc_hard(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: n, auc_hard."""
-    p, y = F.col(prediction), F.col(label)
-    counts = df.agg(F.count(F.lit(1)).alias("n"),
-                    _count_if((p == 1) & (y == 1)).alias("tp"),
-                    _count_if(y == 1).alias("pos"),
-                    _count_if((p == 0) & (y == 0)).alias("tn"),
-                    _count_if(y == 0).alias("neg"))
+    counts = df.agg(*_auc_counts(prediction, label))
     return counts.select("n", auc_from_counts("tp", "pos", "tn", "neg").alias("auc_hard"))
 
 
+def auc_hard_by(df: DataFrame, by: str, prediction: str = "prediction",
+                label: str = "label") -> DataFrame:
+    """One row per value of ``by`` (e.g. the split): by, n, auc_hard — one aggregate."""
+    counts = df.groupBy(by).agg(*_auc_counts(prediction, label))
+    return counts.select(by, "n", auc_from_counts("tp", "pos", "tn", "neg").alias("auc_hard"))
+
+
 def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: n, accuracy = share of rows predicted right."""
     return df.agg(F.count(F.lit(1)).alias("n"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.prep import clamp_nonneg, strip_quotes
-from orchard.operators.common import join_small, lit_array
+from orchard.operators.common import join_small
 
 # A one-hot block is a dense vector of this many slots at most; a column with
 # more distinct values is not a category and fitting refuses it.

@@ -83,3 +83,10 @@ def hourly(spark: SparkSession, sf_dir: str) -> Prepared:
     out = h.select("h", F.col("label").cast("double").alias("label"), "features", "split",
                    *V.HOURLY_FEATURES)
     return Prepared(out, None, len(V.HOURLY_FEATURES), ["h"])
+
+
+def page_naive_bayes(spark: SparkSession, sf_dir: str, smoothing: float):
+    """Labelled pages, scored pages and a naive Bayes model fitted on the train split."""
+    from orchard.operators import bayes
+    prep, score = pages(spark, sf_dir, nb=True)
+    return prep, score, bayes.fit_naive_bayes(prep.part("train"), prep.dim, smoothing)

@@ -65,7 +65,6 @@ def q_eval_train_validate_test(spark: SparkSession, sf: str) -> DataFrame:
     The whole fit (dictionary, scaler, class statistics) is one scan; scoring
     and both metrics are a second one.
     """
-    from orchard.functions.hashing import md5_unit, row_key  # noqa: F401
     from orchard.operators.split import assign_split
     from orchard.sources import views as V
     bb = assign_split(V.binary_big(spark, sf), V.binary_key())
@@ -73,14 +72,7 @@ def q_eval_train_validate_test(spark: SparkSession, sf: str) -> DataFrame:
                                        fit_on=F.col("split") == "train")
     rest = bb.where(F.col("split").isin("validation", "test"))
     scored = m.transform(pf.transform(rest).withColumn("label", F.col("label").cast("double")))
-    tp = evaluate._count_if((F.col("prediction") == 1) & (F.col("label") == 1))
-    pos = evaluate._count_if(F.col("label") == 1)
-    tn = evaluate._count_if((F.col("prediction") == 0) & (F.col("label") == 0))
-    neg = evaluate._count_if(F.col("label") == 0)
-    g = scored.groupBy("split").agg(F.count(F.lit(1)).alias("n"), tp.alias("tp"),
-                                    pos.alias("pos"), tn.alias("tn"), neg.alias("neg"))
-    return g.select("split", "n", r6(evaluate.auc_from_counts("tp", "pos", "tn", "neg"))
-                    .alias("auc_hard"))
+    return evaluate.auc_hard_by(scored, "split").select("split", "n", r6("auc_hard").alias("auc_hard"))
 
 
 QUERIES = {

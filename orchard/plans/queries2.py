@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.functions import decode as D
@@ -57,15 +56,9 @@ def q_src_drop_header(spark, sf):
     return TX.drop_header(header.unionByName(lines).unionByName(header), V.PAGE_HEADER)
 
 
-def _page_nb(spark, sf):
-    prep_, score = P.pages(spark, sf, nb=True)
-    m = bayes.fit_naive_bayes(prep_.part("train"), prep_.dim, NB_LAMBDA)
-    return prep_, score, m
-
-
 def q_sink_report(spark, sf):
     """Every unlabelled page with its predicted class, as one report line each."""
-    _, score, m = _page_nb(spark, sf)
+    _, score, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
     s = m.transform(score)
     cls = D.page_class(F.col("prediction").cast("int"))
     return s.select("doc_id", F.concat(F.lit("url: "), F.col("url"), F.lit(" ==> "), cls)
@@ -293,14 +286,7 @@ def _nb_scored(spark, sf):
 
 def q_eval_auc_hard(spark, sf):
     _, s = _nb_scored(spark, sf)
-    tp = evaluate._count_if((F.col("prediction") == 1) & (F.col("label") == 1))
-    pos = evaluate._count_if(F.col("label") == 1)
-    tn = evaluate._count_if((F.col("prediction") == 0) & (F.col("label") == 0))
-    neg = evaluate._count_if(F.col("label") == 0)
-    g = s.groupBy("split").agg(F.count(F.lit(1)).alias("n"), tp.alias("tp"), pos.alias("pos"),
-                               tn.alias("tn"), neg.alias("neg"))
-    return g.select("split", "n", r6(evaluate.auc_from_counts("tp", "pos", "tn", "neg"))
-                    .alias("auc_hard"))
+    return evaluate.auc_hard_by(s, "split").select("split", "n", r6("auc_hard").alias("auc_hard"))
 
 
 def q_eval_accuracy(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orchard.operators import bayes, evaluate, recommend as R, score as S, trees as TR, tune
+from orchard.operators import evaluate, recommend as R, score as S, trees as TR, tune
 from orchard.operators.common import persisted
 from orchard.operators.split import sample_fraction
 from orchard.plans import prepared as P
@@ -126,19 +126,13 @@ def q_score_hourly_report(spark, sf):
     return S.hourly_report(tm.transform(prep.frame), 200)
 
 
-def _page_nb(spark, sf):
-    prep, score = P.pages(spark, sf, nb=True)
-    m = bayes.fit_naive_bayes(prep.part("train"), prep.dim, NB_LAMBDA)
-    return prep, score, m
-
-
 def q_score_new_pages(spark, sf):
-    _, score, m = _page_nb(spark, sf)
+    _, score, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
     return S.score_new_pages(m.transform(score), 10)
 
 
 def q_report_labelled_topn(spark, sf):
-    prep, _, m = _page_nb(spark, sf)
+    prep, _, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
     return S.labelled_report(m.transform(prep.part("test")), ["doc_id"], 50)
 
 
