@@ -121,13 +121,22 @@ MAX_GROUPS = 1_000_000
 def fit_page_naive_bayes(df: DataFrame, numeric: list[str], smoothing: float = 1.0,
                          category: str = "category", label: str = "label",
                          fit_on: Column | None = None, on_unknown: str = "error"):
-    """Dictionary, scaler (no centring, negatives clamped) and naive Bayes in ONE scan.
+    """(PageFeatures, NaiveBayesModel) from one scan; see ``fit_page_stats``."""
+    pf, stats = fit_page_stats(df, numeric, category, label, fit_on, on_unknown)
+    return pf, model_from_stats(stats, smoothing)
+
+
+def fit_page_stats(df: DataFrame, numeric: list[str], category: str = "category",
+                   label: str = "label", fit_on: Column | None = None,
+                   on_unknown: str = "error"):
+    """Dictionary, scaler (no centring, negatives clamped) and class statistics in ONE scan.
 
     Because naive Bayes here sees ``x * (1/std)``, its per-class sums are the
     raw per-class sums times ``1/std``; one ``groupBy(category, label)``
     aggregate therefore carries everything: the categories (all rows), and for
     the ``fit_on`` rows the counts, means and variances (for the scaler) and
-    sums (for the classes).  Returns (PageFeatures, NaiveBayesModel).
+    sums (for the classes).  Returns (PageFeatures, per-class statistics); any
+    number of smoothing values then cost no further scan.
     """
     from orchard.functions.prep import strip_quotes
     from orchard.operators.features import (PageFeatures, ScalerModel, _combine, _dictionary,
@@ -180,4 +189,4 @@ def fit_page_naive_bayes(df: DataFrame, numeric: list[str], smoothing: float = 1
     stats = [(lab, cnt, [s * f for s, f in zip(sums, inv)])
              for lab, (cnt, sums) in sorted(classes.items())]
     pf = PageFeatures(index, list(numeric), scaler, True, on_unknown)
-    return pf, model_from_stats(stats, smoothing)
+    return pf, stats

@@ -85,18 +85,20 @@ def tune_linear(train: DataFrame, valid: DataFrame, kind: str, dim: int,
 
 # ---- naive Bayes -------------------------------------------------------------------
 
-def tune_naive_bayes(train: DataFrame, valid: DataFrame, dim: int,
-                     lambdas: Sequence[float], sweep: str = "lambda") -> tuple[DataFrame, dict]:
-    """Statistics once, one model per lambda, all scored in one scan."""
+def tune_naive_bayes(train: DataFrame | None, valid: DataFrame, dim: int,
+                     lambdas: Sequence[float], sweep: str = "lambda",
+                     stats: list | None = None) -> tuple[DataFrame, dict]:
+    """Statistics once (or given), one model per lambda, all scored in one scan."""
     import time
     t0 = time.perf_counter()
-    stats = bayes.fit_stats(train, dim)
+    if stats is None:
+        stats = bayes.fit_stats(train, dim)
     models = {i: bayes.model_from_stats(stats, lam) for i, lam in enumerate(lambdas)}
     ms = (time.perf_counter() - t0) * 1000.0
     metric = evaluate.metric_many(valid, {str(i): m.predict_col() for i, m in models.items()},
                                   "auc_hard")
     entries = [{"sweep": sweep, "smoothing": float(lam)} for lam in lambdas]
-    return (_result_frame(train.sparkSession, entries, "auc_hard",
+    return (_result_frame(valid.sparkSession, entries, "auc_hard",
                           [metric[str(i)] for i in range(len(lambdas))], [ms] * len(lambdas),
                           [("smoothing", "double")]), models)
 

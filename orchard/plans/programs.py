@@ -62,11 +62,12 @@ def page_classifier(spark: SparkSession, train_path: str, score_path: str,
     fit = F.col("split") == "train"
     tuning = None
     if model == "naive_bayes":
-        pf, m = bayes.fit_page_naive_bayes(lab, numeric, NB_DEFAULT, fit_on=fit)
+        pf, stats = bayes.fit_page_stats(lab, numeric, fit_on=fit)
+        m = bayes.model_from_stats(stats, NB_DEFAULT)
         feats = pf.transform(lab).withColumn("label", F.col("label").cast("double"))
         if tune_params:
-            tr, va = feats.where(fit), feats.where(F.col("split") == "validation")
-            tuning, _ = tune.tune_naive_bayes(tr, va, pf.dim, NB_LAMBDAS, "grid")
+            va = feats.where(F.col("split") == "validation")
+            tuning, _ = tune.tune_naive_bayes(None, va, pf.dim, NB_LAMBDAS, "grid", stats=stats)
             best = tune.pick_best(tuning, "auc_hard").first()
             m = bayes.fit_naive_bayes(feats.where(F.col("split").isin("train", "validation")),
                                       pf.dim, best["smoothing"])

@@ -92,9 +92,17 @@ def q_tune_grid_svm(spark, sf):
 
 
 def _nb_results(spark, sf, sweep):
-    prep = P.binary(spark, sf, nb=True)
-    train, valid = prep.part("train"), prep.part("validation")
-    res, models = tune.tune_naive_bayes(train, valid, prep.dim, NB_LAMBDAS, sweep)
+    """Fused one-scan fit of dictionary, scaler and class statistics, then all
+    smoothing values scored on the validation split in a second scan."""
+    from orchard.operators.split import assign_split
+    from orchard.sources import views as V
+    bb = assign_split(V.binary_big(spark, sf), V.binary_key())
+    pf, stats = bayes.fit_page_stats(bb, V.BINARY_NUMERIC, fit_on=F.col("split") == "train")
+    feats = pf.transform(bb).withColumn("label", F.col("label").cast("double"))
+    prep = P.Prepared(feats.select(*V.BINARY_KEY, "label", "features", "split"), pf, pf.dim,
+                      list(V.BINARY_KEY))
+    res, models = tune.tune_naive_bayes(None, prep.part("validation"), prep.dim, NB_LAMBDAS,
+                                        sweep, stats=stats)
     return prep, res, models
 
 
