@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import common
 from orchard.operators.common import dot
-from orchard.operators.split import minibatch_flag
+from orchard.functions.hashing import GOLDEN
 
 CONVERGENCE_TOL = 0.001
 # Runs longer than this many steps first write their input to the checkpoint
@@ -79,15 +79,35 @@ class _Trajectory:
     snapshots: dict[int, list[float]] = field(default_factory=dict)
 
 
-def _multiplier(kind: str, margin: Column, y: Column) -> Column:
+def _num(v: float) -> str:
+    """A double literal in Spark SQL text (shortest round-trip form)."""
+    if math.isfinite(v):
+        return f"{float(v)!r}D"
+    return f"CAST('{'NaN' if math.isnan(v) else ('Infinity' if v > 0 else '-Infinity')}' AS DOUBLE)"
+
+
+def _dot_sql(x: str, weights: Sequence[float]) -> str:
+    """Same terms and association as ``common.dot`` (zero weights skipped)."""
+    terms = [f"{x}[{j}] * {_num(w)}" for j, w in enumerate(weights) if w != 0.0]
+    return " + ".join(terms) if terms else "0.0D"
+
+
+def _multiplier_sql(kind: str, margin: str, y: str) -> str:
     if kind == "logistic":
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - y
+        return f"1.0D / (1.0D + exp(-({margin}))) - {y}"
     if kind == "hinge":
-        ys = F.lit(2.0) * y - F.lit(1.0)
-        return F.when(ys * margin < F.lit(1.0), -ys).otherwise(F.lit(0.0))
+        ys = f"(2.0D * {y} - 1.0D)"
+        return f"CASE WHEN {ys} * ({margin}) < 1.0D THEN -{ys} ELSE 0.0D END"
     raise ValueError(f"unknown loss {kind!r}")
 
 
+def _flag_sql(unit: str, step: int, fraction: float) -> str:
+    if fraction >= 1.0:
+        return "true"
+    v = f"(`{unit}` + {_num(step * GOLDEN)})"
+    return f"({v} - floor({v})) < {_num(fraction)}"
+
+
 def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(a * a for a in v))
 
@@ -107,7 +127,6 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     marks = sorted(set(int(i) for i in iterations))
     t_max = marks[-1] if marks else 0
     trajs = [_Trajectory(c, [0.0] * dim) for c in configs]
-    x, y = F.col(features), F.col(label).cast("double")
     # The loop owns a compact cached copy of (features, label, unit); long
     # runs first write it to the checkpoint folder.
     keep = [c for c in (features, label, unit) if c in df.columns]
@@ -121,24 +140,28 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
         if active:
             # one projection computes each config's multiplier once per row,
             # one aggregate then sums the d gradient terms of every config.
-            proj, aggs, fr_idx = [x], [], {}
+            # Expressions go over as SQL text: one call per step instead of
+            # hundreds of small Column round trips from Python.
+            proj, aggs, fr_idx = [f"`{features}` AS __x"], [], {}
             for tr in active:
                 fr = tr.cfg.mini_batch_fraction
                 if fr not in fr_idx:
                     k = fr_idx[fr] = len(fr_idx)
-                    proj.append(minibatch_flag(unit, t, fr).alias(f"b{k}"))
-                    aggs.append(F.count_if(F.col(f"b{k}")).alias(f"n{k}"))
+                    # 1.0 / 0.0 batch weight: a multiply keeps the row loop
+                    # branch-free (much faster than a CASE per config)
+                    proj.append(f"CAST({_flag_sql(unit, t, fr)} AS DOUBLE) AS b{k}")
+                    aggs.append(f"CAST(sum(b{k}) AS BIGINT) AS n{k}")
+            ysql = f"CAST(`{label}` AS DOUBLE)"
             for i, tr in enumerate(active):
-                inb = F.col(f"b{fr_idx[tr.cfg.mini_batch_fraction]}")
-                m = _multiplier(tr.cfg.kind, dot(x, tr.w), y)
-                proj.append(F.when(inb, m).otherwise(F.lit(0.0)).alias(f"m{i}"))
-                aggs += [F.sum(F.col(f"m{i}") * x.getItem(j)).alias(f"g{i}_{j}")
-                         for j in range(dim)]
-            df_t = df.select(*proj)
+                m = _multiplier_sql(tr.cfg.kind, _dot_sql("__x", tr.w), ysql)
+                proj.append(f"({m}) * b{fr_idx[tr.cfg.mini_batch_fraction]} AS m{i}")
+                aggs += [f"sum(m{i} * __x[{j}]) AS g{i}_{j}" for j in range(dim)]
+            df_t = df.selectExpr(*proj)
             if dim <= common.WIDE_DIM:
-                row = df_t.agg(*aggs).first()
+                row = df_t.selectExpr(*aggs).first()
             else:
-                row = _wide_gradients(df_t, active, fr_idx, dim)
+                row = _wide_gradients(df_t.withColumnRenamed("__x", "features"), active,
+                                      fr_idx, dim)
             for i, tr in enumerate(active):
                 n = row[f"n{fr_idx[tr.cfg.mini_batch_fraction]}"]
                 if not n:
@@ -164,7 +187,7 @@ def _wide_gradients(df_t: DataFrame, active, fr_idx, dim: int) -> dict:
     (partial per partition, so d rows per partition are shuffled)."""
     cols = [c for c in df_t.columns if c != "features"]
     long = df_t.select(*cols, F.posexplode("features").alias("j", "v"))
-    aggs = [F.count_if(F.col(f"b{k}")).alias(f"n{k}") for k in fr_idx.values()]
+    aggs = [F.sum(F.col(f"b{k}")).cast("bigint").alias(f"n{k}") for k in fr_idx.values()]
     aggs += [F.sum(F.col(f"m{i}") * F.col("v")).alias(f"g{i}") for i in range(len(active))]
     out: dict = {}
     for r in long.groupBy("j").agg(*aggs).collect():
