@@ -47,12 +47,24 @@ class LinearModel:
     def margin(self, features: str | Column = "features") -> Column:
         return dot(features, self.weights) + F.lit(self.intercept)
 
+    def _margin_sql(self, features: str) -> str:
+        m = _dot_sql(f"`{features}`", self.weights)
+        return m if self.intercept == 0.0 else f"({m}) + {_num(self.intercept)}"
+
     def score_col(self, features: str | Column = "features") -> Column:
         m = self.margin(features)
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-m)) if self.kind == "logistic" else m
 
     def predict_col(self, features: str | Column = "features") -> Column:
-        """1.0 when the score is above the threshold, else 0.0."""
+        """1.0 when the score is above the threshold, else 0.0.
+
+        Built as one SQL expression (a single JVM call) when ``features`` is a
+        column name, so scoring dozens of grid models stays cheap to plan.
+        """
+        if isinstance(features, str):
+            m = self._margin_sql(features)
+            score = f"1.0D / (1.0D + exp(-({m})))" if self.kind == "logistic" else f"({m})"
+            return F.expr(f"CASE WHEN {score} > {_num(self.threshold)} THEN 1.0D ELSE 0.0D END")
         return F.when(self.score_col(features) > F.lit(self.threshold), F.lit(1.0)) \
             .otherwise(F.lit(0.0))
 
