@@ -16,7 +16,7 @@ def _write(path, lines):
 def files(tmp_path_factory):
     d = tmp_path_factory.mktemp("ref")
     cats = ["arts", "business", "sports", "science"]
-    head = "\t".join(["url", "urlid", "boilerplate", "alchemy_category"] + [f"x{i}" for i in range(5)]
+    head = "\t".join(["url", "id", "body", "category"] + [f"x{i}" for i in range(5)]
                      + ["label"])
     train, test = [head], [head.rsplit("\t", 1)[0]]
     for i in range(400):
@@ -26,9 +26,9 @@ def files(tmp_path_factory):
         train.append("\t".join(row + [f'"{label}"']))
         if i < 60:
             test.append("\t".join(row))
-    _write(d / "train.tsv", train)
-    _write(d / "test.tsv", test)
-    _write(d / "covtype.data", [",".join([str((i * 13 + j) % 50) for j in range(8)] + [str(i % 7 + 1)])
+    _write(d / "pages_train.tsv", train)
+    _write(d / "pages_score.tsv", test)
+    _write(d / "land.csv", [",".join([str((i * 13 + j) % 50) for j in range(8)] + [str(i % 7 + 1)])
                                 for i in range(300)])
     hours = [",".join(f"c{i}" for i in range(17))]
     for i in range(300):
@@ -36,16 +36,16 @@ def files(tmp_path_factory):
         hours.append(",".join(map(str, [i + 1, f"2011-01-{1 + i // 24:02d}", 1 + (i // 100) % 4, 0, 1, hr,
                                         0, (i // 24) % 7, 1, 1 + hr % 4, 0.5, 0.4, 0.6, 0.2, 3, 5,
                                         10 + hr * 3 + (i % 5)])))
-    _write(d / "hour.csv", hours)
-    _write(d / "u.data", [f"{u}\t{it}\t{1 + (u * it) % 5}\t0" for u in range(1, 40) for it in range(1, 30)
+    _write(d / "hourly.csv", hours)
+    _write(d / "ratings.tsv", [f"{u}\t{it}\t{1 + (u * it) % 5}\t0" for u in range(1, 40) for it in range(1, 30)
                           if (u + it) % 3])
-    _write(d / "u.item", [f"{it}|Movie {it}|1995" for it in range(1, 30)])
+    _write(d / "titles.txt", [f"{it}|Movie {it}|1995" for it in range(1, 30)])
     return d
 
 
 @pytest.mark.parametrize("model", ["naive_bayes", "logistic", "svm", "tree"])
 def test_page_classifier(spark, files, model):
-    out = programs.page_classifier(spark, str(files / "train.tsv"), str(files / "test.tsv"), model)
+    out = programs.page_classifier(spark, str(files / "pages_train.tsv"), str(files / "pages_score.tsv"), model)
     ev = {r.split: r for r in out["evaluation"].collect()}
     assert set(ev) == {"validation", "test"}
     assert all(r.auc_hard is None or 0.0 <= r.auc_hard <= 1.0 for r in ev.values())
@@ -56,19 +56,19 @@ def test_page_classifier(spark, files, model):
 
 
 def test_page_classifier_tuned_nb(spark, files):
-    out = programs.page_classifier(spark, str(files / "train.tsv"), str(files / "test.tsv"),
+    out = programs.page_classifier(spark, str(files / "pages_train.tsv"), str(files / "pages_score.tsv"),
                                    "naive_bayes", tune_params=True)
     assert out["tuning"].count() == 5
 
 
 def test_land_and_hourly_and_recommender(spark, files):
-    land = programs.land_cover(spark, str(files / "covtype.data"))
+    land = programs.land_cover(spark, str(files / "land.csv"))
     assert {r.split for r in land["evaluation"].collect()} == {"validation", "test"}
     assert land["predictions"].count() <= 20
-    hour = programs.hourly_rentals(spark, str(files / "hour.csv"))
+    hour = programs.hourly_rentals(spark, str(files / "hourly.csv"))
     rep = hour["predictions"].collect()
     assert len(rep) == 200 and rep[0].description.count(",") == 10
-    rec = programs.recommender(spark, str(files / "u.data"), str(files / "u.item"))
+    rec = programs.recommender(spark, str(files / "ratings.tsv"), str(files / "titles.txt"))
     st = rec["stats"].first()
     assert st.n_users == 39 and st.n_items == 29
     top = rec["items_for_users"].collect()

@@ -9,11 +9,11 @@ def _write(path, lines):
 
 
 def test_ratings_and_titles(spark, tmpdir_fresh):
-    p = os.path.join(tmpdir_fresh, "u.data")
+    p = os.path.join(tmpdir_fresh, "ratings.tsv")
     _write(p, ["1\t10\t4\t999", "2\t11\t5\t998"])
     r = TX.read_ratings(spark, p).orderBy("user_id").collect()
     assert [(x.user_id, x.item_id, x.rating) for x in r] == [(1, 10, 4.0), (2, 11, 5.0)]
-    q = os.path.join(tmpdir_fresh, "u.item")
+    q = os.path.join(tmpdir_fresh, "titles.txt")
     _write(q, ["10|Toy Story|1995", "11|Heat|1995"])
     t = TX.read_titles(spark, q).orderBy("item_id").collect()
     assert [x.title for x in t] == ["Toy Story", "Heat"]
@@ -44,7 +44,7 @@ def test_quoted_tab_splits_with_quoting_off(spark, tmpdir_fresh):
 
 
 def test_numeric_and_hourly(spark, tmpdir_fresh):
-    p = os.path.join(tmpdir_fresh, "cov.data")
+    p = os.path.join(tmpdir_fresh, "land.csv")
     _write(p, ["1.0,2.0,3", "4.0,5.0,7"])
     r = TX.read_numeric(spark, p).orderBy("label").collect()
     assert r[0].features == [1.0, 2.0] and r[0].label == 2.0 and r[1].label == 6.0
