@@ -193,3 +193,21 @@ FROM pr GROUP BY split"""
 ORACLE2["eval_abs_error"] = f"""{_HOURLY_SPLIT}
 SELECT h, label, round(prediction, 6) AS prediction,
        round(abs(label - prediction), 6) AS abs_error FROM pr"""
+
+_TREE_REG = f"""{W}{G.HOURLY},
+hs2 AS (SELECT *, {G.split_case(G.md5_head(_hkey))} AS split FROM hourly),
+{G.regression_tree('hs2', _HFEAT, 10)}"""
+ORACLE2["predict_tree_value"] = f"""{_TREE_REG}
+SELECT r.hs AS h, r.split, CAST(r.label AS DOUBLE) AS label, round(p.prediction, 6) AS prediction
+FROM hs2 r JOIN tree_pred p ON p.hs = r.hs"""
+ORACLE2["score_hourly_report"] = f"""{_TREE_REG}
+SELECT r.hs AS h, concat_ws(',', {G.case_map('season', D.SEASON)}, CAST(mnth AS VARCHAR) || ' month',
+  CAST(hr AS VARCHAR) || ' h', {G.case_map('holiday', D.HOLIDAY)}, {G.case_map('weekday', D.WEEKDAY)},
+  {G.case_map('workingday', D.WORKINGDAY)}, {G.case_map('weathersit', D.WEATHER)},
+  'temp ' || CAST({_tr('temp', D.TEMP_SCALE)} AS VARCHAR),
+  'feels ' || CAST({_tr('atemp', D.FEELS_SCALE)} AS VARCHAR),
+  'humidity ' || CAST({_tr('hum', D.HUMIDITY_SCALE)} AS VARCHAR),
+  'wind ' || CAST({_tr('windspeed', D.WIND_SCALE)} AS VARCHAR)) AS description,
+  CAST(trunc(p.prediction) AS INTEGER) AS prediction, CAST(r.label AS INTEGER) AS label,
+  abs(CAST(r.label AS DOUBLE) - p.prediction) AS abs_error
+FROM hs2 r JOIN tree_pred p ON p.hs = r.hs ORDER BY r.h LIMIT 200"""

@@ -247,3 +247,50 @@ def stump_predict(features: list[str], row: str = "r") -> str:
     whens = " ".join(f"WHEN st.fidx = {i} THEN CAST({row}.{f} AS DOUBLE)" for i, f in enumerate(features))
     return (f"CASE WHEN st.fidx IS NULL THEN st.root WHEN (CASE {whens} END) <= st.thr "
             f"THEN st.lmean ELSE st.rmean END")
+
+
+def regression_tree(src: str, features: list[str], depth: int, key: str = "hs",
+                    train_where: str = "split = 'train'") -> str:
+    """CTEs growing a variance tree level by level, as Spark ML grows it.
+
+    Candidates: midpoints of consecutive distinct training values per feature
+    (valid while every feature has fewer distinct values than maxBins).  At
+    each level every open node takes the first best split (feature order,
+    then threshold order) with gain > 0 and both children non-empty; rows
+    (all splits) are routed by ``value <= threshold``; node ids are
+    1, 2n, 2n+1.  Ends in ``tree_pred(key, prediction)``.
+    """
+    cands = " UNION ALL ".join(
+        f"""SELECT {i} AS fidx, (v + nv) / 2.0 AS thr FROM (
+      SELECT v, lead(v) OVER (ORDER BY v) AS nv FROM (SELECT DISTINCT CAST({f} AS DOUBLE) AS v
+      FROM {src} WHERE {train_where})) WHERE nv IS NOT NULL""" for i, f in enumerate(features))
+    fcase = "CASE " + " ".join(f"WHEN b.fidx = {i} THEN CAST(r.{f} AS DOUBLE)"
+                               for i, f in enumerate(features)) + " END"
+    unpiv = " UNION ALL ".join(
+        f"SELECT node, {i} AS fidx, CAST({f} AS DOUBLE) AS v, y FROM tr{{L}}"
+        for i, f in enumerate(features))
+    parts = [f"tcand AS MATERIALIZED ({cands})",
+             f"""a0 AS MATERIALIZED (SELECT *, 1 AS node, false AS done, CAST(label AS DOUBLE) AS y,
+             ({train_where}) AS is_tr FROM {src})"""]
+    for L in range(depth):
+        parts.append(f"""tr{L} AS MATERIALIZED (SELECT * FROM a{L} WHERE is_tr AND NOT done),
+ns{L} AS MATERIALIZED (SELECT node, count(*) * 1.0 AS n, sum(y) AS s, sum(y * y) AS ss FROM tr{L} GROUP BY node),
+tv{L} AS MATERIALIZED ({unpiv.format(L=L)}),
+ls{L} AS MATERIALIZED (SELECT t.node, c.fidx, c.thr, count(*) * 1.0 AS ln, sum(t.y) AS ls, sum(t.y * t.y) AS lss
+       FROM tcand c JOIN tv{L} t ON t.fidx = c.fidx AND t.v <= c.thr GROUP BY t.node, c.fidx, c.thr),
+g{L} AS MATERIALIZED (SELECT l.node, l.fidx, l.thr,
+       (p.ss - (p.s * p.s) / p.n) / p.n
+       - (l.ln / p.n) * ((l.lss - (l.ls * l.ls) / l.ln) / l.ln)
+       - ((p.n - l.ln) / p.n) * (((p.ss - l.lss) - ((p.s - l.ls) * (p.s - l.ls)) / (p.n - l.ln)) / (p.n - l.ln))
+       AS gain FROM ls{L} l JOIN ns{L} p ON p.node = l.node WHERE p.n - l.ln >= 1),
+b{L} AS MATERIALIZED (SELECT node, fidx, thr FROM (
+       SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, fidx ASC, thr ASC) AS rk
+       FROM g{L}) WHERE rk = 1 AND gain > 0),
+a{L + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node, done),
+       CASE WHEN r.done OR b.node IS NULL THEN r.node
+            WHEN {fcase} <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node,
+       r.done OR b.node IS NULL AS done
+       FROM a{L} r LEFT JOIN b{L} b ON b.node = r.node AND NOT r.done)""")
+    parts.append(f"""leafs AS (SELECT node, sum(y) / count(*) AS prediction FROM a{depth} WHERE is_tr GROUP BY node),
+tree_pred AS (SELECT a.{key} AS {key}, l.prediction FROM a{depth} a JOIN leafs l ON l.node = a.node)""")
+    return ",\n".join(parts)
