@@ -211,3 +211,10 @@ SELECT r.hs AS h, concat_ws(',', {G.case_map('season', D.SEASON)}, CAST(mnth AS
   CAST(trunc(p.prediction) AS INTEGER) AS prediction, CAST(r.label AS INTEGER) AS label,
   abs(CAST(r.label AS DOUBLE) - p.prediction) AS abs_error
 FROM hs2 r JOIN tree_pred p ON p.hs = r.hs ORDER BY r.h LIMIT 200"""
+ORACLE2["fit_tree_regression"] = f"""{_TREE_REG},
+{G.tree_shape(10)},
+ev AS (SELECT count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUBLE))
+              * (p.prediction - CAST(r.label AS DOUBLE)))), 6) AS rmse
+       FROM hs2 r JOIN tree_pred p ON p.hs = r.hs WHERE r.split = 'validation')
+SELECT 'variance' AS impurity, CAST(10 AS INTEGER) AS max_depth, CAST(50 AS INTEGER) AS max_bins,
+       shape.depth, shape.num_nodes, ev.n, ev.rmse FROM shape, ev"""

@@ -294,3 +294,20 @@ a{L + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node, done),
     parts.append(f"""leafs AS (SELECT node, sum(y) / count(*) AS prediction FROM a{depth} WHERE is_tr GROUP BY node),
 tree_pred AS (SELECT a.{key} AS {key}, l.prediction FROM a{depth} a JOIN leafs l ON l.node = a.node)""")
     return ",\n".join(parts)
+
+
+def tree_shape(depth: int) -> str:
+    """CTE ``shape(depth, num_nodes)`` of the grown tree after Spark ML's
+    pruning: sibling leaves with equal predictions merge into their parent,
+    bottom-up, for as many rounds as the tree is deep."""
+    rounds = [f"pr0 AS (SELECT node, prediction FROM leafs)"]
+    for i in range(depth):
+        rounds.append(f"""m{i} AS (SELECT l.node // 2 AS parent, l.prediction FROM pr{i} l JOIN pr{i} r
+       ON l.node % 2 = 0 AND r.node = l.node + 1 AND l.prediction = r.prediction),
+pr{i + 1} AS (SELECT * FROM pr{i} WHERE node // 2 NOT IN (SELECT parent FROM m{i})
+       UNION ALL SELECT parent AS node, prediction FROM m{i})""")
+    splits = " + ".join(f"(SELECT count(*) FROM b{L})" for L in range(depth))
+    merges = " + ".join(f"(SELECT count(*) FROM m{i})" for i in range(depth))
+    rounds.append(f"""shape AS (SELECT CAST(max(floor(log2(node))) AS INTEGER) AS depth,
+       CAST(2 * ({splits}) + 1 - 2 * ({merges}) AS INTEGER) AS num_nodes FROM pr{depth})""")
+    return ",\n".join(rounds)
