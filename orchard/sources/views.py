@@ -139,7 +139,9 @@ def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("ts")
     dow = F.dayofweek("ts") - 1
     g = ev.groupBy(
-        F.date_trunc("hour", "ts").cast("timestamp").alias("h"),
+        # hour of the wall clock, kept as TIMESTAMP_NTZ: no session time zone
+        # (or daylight-saving gap) ever shifts an event to another hour
+        F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:00:00")).alias("h"),
         F.quarter("ts").cast("int").alias("season"),
         F.month("ts").cast("int").alias("mnth"),
         F.hour("ts").cast("int").alias("hr"),
