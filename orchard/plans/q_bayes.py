@@ -2,7 +2,7 @@
 
 Every query reads whole tables (through the stand-in views) and returns a
 frame whose floating columns are rounded to 6 digits so that it can be
-compared with the DuckDB oracle in ``orchard.plans.oracle``.
+compared with the DuckDB oracle in ``orchard.plans.sql_*``.
 """
 
 from __future__ import annotations
@@ -78,7 +78,7 @@ def q_eval_train_validate_test(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.auc_hard_by(scored, "split").select("split", "n", r6("auc_hard").alias("auc_hard"))
 
 
-QUERIES = {
+BAYES_QUERIES = {
     "nb_sufficient_stats": q_nb_sufficient_stats,
     "fit_naive_bayes": q_fit_naive_bayes,
     "predict_naive_bayes": q_predict_naive_bayes,

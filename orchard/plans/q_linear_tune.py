@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import bayes, evaluate, linear, tune
 from orchard.plans import prepared as P
-from orchard.plans.queries import r6
+from orchard.plans.q_bayes import r6
 
 # ---- fixed values: the parameter lists of the reference runs -----------------------
 LOGISTIC_DEFAULT = dict(num_iterations=5, step_size=50.0, mini_batch_fraction=0.5)
@@ -138,4 +138,4 @@ def q_tune_refit_best(spark, sf):
                       r6("auc_hard").alias("auc_hard"))
 
 
-QUERIES3 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
+LINEAR_QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

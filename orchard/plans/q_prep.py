@@ -9,7 +9,7 @@ from orchard.functions import prep
 from orchard.operators import bayes, evaluate, features as FT, split as SP
 from orchard.operators.recommend import rating_stats, top_k_per_key
 from orchard.plans import prepared as P
-from orchard.plans.queries import NB_LAMBDA, _explode_vec, r6
+from orchard.plans.q_bayes import NB_LAMBDA, _explode_vec, r6
 from orchard.sources import text as TX
 from orchard.sources import views as V
 
@@ -317,4 +317,4 @@ def q_topk_per_key(spark, sf):
         .select("user_id", "rank", "item_id", "rating")
 
 
-QUERIES2 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
+PREP_QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

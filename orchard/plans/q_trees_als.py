@@ -8,7 +8,7 @@ from orchard.operators import evaluate, recommend as R, score as S, trees as TR,
 from orchard.operators.common import persisted
 from orchard.operators.split import sample_fraction
 from orchard.plans import prepared as P
-from orchard.plans.queries import NB_LAMBDA, r6
+from orchard.plans.q_bayes import NB_LAMBDA, r6
 from orchard.sources import views as V
 
 # ---- fixed values: tree settings of the reference runs ---------------------------------
@@ -172,4 +172,4 @@ def q_rec_users_for_item(spark, sf):
                                                          r6("score").alias("score"))
 
 
-QUERIES4 = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}
+TREE_ALS_QUERIES = {k[2:]: v for k, v in globals().items() if k.startswith("q_")}

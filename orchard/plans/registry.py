@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from orchard.plans.oracle import ORACLE as _O1
-from orchard.plans.oracle2 import ORACLE2 as _O2
-from orchard.plans.queries import QUERIES as _Q1
-from orchard.plans.queries2 import QUERIES2 as _Q2
-from orchard.plans.oracle3 import ORACLE3 as _O3
-from orchard.plans.queries3 import QUERIES3 as _Q3
-from orchard.plans.queries4 import QUERIES4 as _Q4
+from orchard.plans.q_bayes import BAYES_QUERIES as _Q_BAYES
+from orchard.plans.q_linear_tune import LINEAR_QUERIES as _Q_LINEAR
+from orchard.plans.q_prep import PREP_QUERIES as _Q_PREP
+from orchard.plans.q_trees_als import TREE_ALS_QUERIES as _Q_TREES
+from orchard.plans.sql_bayes import BAYES_SQL as _S_BAYES
+from orchard.plans.sql_core import CORE_SQL as _S_CORE
+from orchard.plans.sql_linear_tune import LINEAR_SQL as _S_LINEAR
 
-QUERIES = {**_Q1, **_Q2, **_Q3, **_Q4}
-ORACLE = {**_O1, **_O2, **_O3}
+QUERIES = {**_Q_BAYES, **_Q_PREP, **_Q_LINEAR, **_Q_TREES}
+ORACLE = {**_S_BAYES, **_S_CORE, **_S_LINEAR}

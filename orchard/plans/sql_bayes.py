@@ -45,7 +45,7 @@ pr AS (SELECT split, feat.label AS label, {G.nb_predict_expr(D_BIN)} AS predicti
 SELECT split, {G.auc_select()} FROM pr GROUP BY split"""
 
 
-ORACLE = {
+BAYES_SQL = {
     "nb_sufficient_stats": nb_sufficient_stats(),
     "fit_naive_bayes": fit_naive_bayes(),
     "predict_naive_bayes": predict_naive_bayes(),

@@ -17,56 +17,56 @@ def _pages_nb(nb: bool) -> str:
 {G.features_cte('pt', K_PAGE, nb=nb, extra_src='ps')}"""
 
 
-ORACLE2 = {}
+CORE_SQL = {}
 
-ORACLE2["src_ratings_tsv"] = f"{W}{G.RATINGS} SELECT user_id, item_id, rating FROM ratings"
-ORACLE2["src_titles_pipe"] = f"{W}{G.TITLES} SELECT item_id, title FROM titles"
+CORE_SQL["src_ratings_tsv"] = f"{W}{G.RATINGS} SELECT user_id, item_id, rating FROM ratings"
+CORE_SQL["src_titles_pipe"] = f"{W}{G.TITLES} SELECT item_id, title FROM titles"
 _X0 = "CASE WHEN doc_id % 11 = 0 THEN 0.0 ELSE CAST(n_chars AS DOUBLE) END"
-ORACLE2["src_pages_train_tsv"] = f"""SELECT source AS url, lang AS category, CAST(1 AS INTEGER) AS n_numeric,
+CORE_SQL["src_pages_train_tsv"] = f"""SELECT source AS url, lang AS category, CAST(1 AS INTEGER) AS n_numeric,
   {_X0} AS x0, CAST(1 AS INTEGER) AS label FROM documents"""
-ORACLE2["src_pages_score_tsv"] = f"""SELECT source AS url, lang AS category, CAST(2 AS INTEGER) AS n_numeric,
+CORE_SQL["src_pages_score_tsv"] = f"""SELECT source AS url, lang AS category, CAST(2 AS INTEGER) AS n_numeric,
   {_X0} AS x0, CAST(1.0 AS DOUBLE) AS x1 FROM documents"""
-ORACLE2["src_numeric_csv"] = """SELECT vec_id, label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
+CORE_SQL["src_numeric_csv"] = """SELECT vec_id, label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT vec_id, CAST(label AS DOUBLE) AS label, unnest(range(64)) AS j,
          unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)"""
 _HF = "season, mnth, hr, holiday, weekday, workingday, weathersit, temp, atemp, hum, windspeed"
-ORACLE2["src_hourly_csv"] = f"""{W}{G.HOURLY}
+CORE_SQL["src_hourly_csv"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, CAST(label AS INTEGER) AS label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT hs, label, unnest(range(11)) AS j,
          unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in _HF.split(", "))}]) AS v FROM hourly)"""
-ORACLE2["src_drop_header"] = f"{W}{G.PAGE_LINE} SELECT value FROM page_line"
-ORACLE2["sink_report"] = f"""{_pages_nb(True)},
+CORE_SQL["src_drop_header"] = f"{W}{G.PAGE_LINE} SELECT value FROM page_line"
+CORE_SQL["sink_report"] = f"""{_pages_nb(True)},
 {G.nb_model_cte('feat', D_PAGE, NB_LAMBDA)},
 c0 AS (SELECT * FROM nbm WHERE label = 0), c1 AS (SELECT * FROM nbm WHERE label = 1),
 pr AS (SELECT doc_id, url, {G.nb_predict_expr(D_PAGE)} AS prediction FROM feat2, c0, c1)
 SELECT doc_id, concat('url: ', url, ' ==> ',
        {G.case_map('CAST(prediction AS INTEGER)', D.PAGE_CLASS)}) AS line FROM pr"""
 
-ORACLE2["prep_split_take"] = f"""{W}{G.RATINGS}
+CORE_SQL["prep_split_take"] = f"""{W}{G.RATINGS}
 SELECT CAST(user_id AS VARCHAR) AS f0, CAST(item_id AS VARCHAR) AS f1, CAST(rating AS VARCHAR) AS f2,
        CAST(3 AS INTEGER) AS n FROM ratings"""
 _C4 = "CASE WHEN doc_id % 11 = 0 THEN '?' ELSE CAST(n_chars AS VARCHAR) END"
-ORACLE2["prep_strip_quotes"] = f"""SELECT source AS c0, CAST(doc_id AS VARCHAR) AS c1, 'x' AS c2,
+CORE_SQL["prep_strip_quotes"] = f"""SELECT source AS c0, CAST(doc_id AS VARCHAR) AS c1, 'x' AS c2,
   lang AS c3, {_C4} AS c4, '1' AS c5 FROM documents"""
-ORACLE2["prep_missing_to_zero"] = f"SELECT doc_id, {_X0} AS value FROM documents"
-ORACLE2["prep_clamp_nonneg"] = f"""{W}{G.page_view()}
+CORE_SQL["prep_missing_to_zero"] = f"SELECT doc_id, {_X0} AS value FROM documents"
+CORE_SQL["prep_clamp_nonneg"] = f"""{W}{G.page_view()}
 SELECT doc_id, f1, greatest(f1, 0.0) AS f1_clamped FROM pt"""
-ORACLE2["prep_field_slice"] = f"""SELECT doc_id, CAST(1 AS INTEGER) AS n, {_C4} AS first FROM documents"""
-ORACLE2["prep_label_last"] = "SELECT doc_id, CAST(1 AS INTEGER) AS label FROM documents"
-ORACLE2["prep_label_zero_based"] = """SELECT vec_id, CAST(label AS DOUBLE) AS label,
+CORE_SQL["prep_field_slice"] = f"""SELECT doc_id, CAST(1 AS INTEGER) AS n, {_C4} AS first FROM documents"""
+CORE_SQL["prep_label_last"] = "SELECT doc_id, CAST(1 AS INTEGER) AS label FROM documents"
+CORE_SQL["prep_label_zero_based"] = """SELECT vec_id, CAST(label AS DOUBLE) AS label,
   CAST(64 AS INTEGER) AS n_features FROM embeddings"""
-ORACLE2["prep_project_field"] = f"{W}{G.RATINGS} SELECT user_id FROM ratings"
-ORACLE2["feat_concat"] = f"""{W}{G.binary_view()},
+CORE_SQL["prep_project_field"] = f"{W}{G.RATINGS} SELECT user_id FROM ratings"
+CORE_SQL["feat_concat"] = f"""{W}{G.binary_view()},
 {G.features_cte('bb', G.K_PRIORITY, nb=False)}
 {G.explode_long('raw', 'l_orderkey, l_linenumber', 'x', D_BIN)}"""
-ORACLE2["feat_parse_all_double"] = """SELECT vec_id, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
+CORE_SQL["feat_parse_all_double"] = """SELECT vec_id, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT vec_id, unnest(range(65)) AS j,
          unnest(list_concat(CAST(embedding AS DOUBLE[]),
                             [CAST(label + 1 AS DOUBLE)])) AS v FROM embeddings)"""
 
-ORACLE2["join_category_index"] = f"""{_pages_nb(False)}
+CORE_SQL["join_category_index"] = f"""{_pages_nb(False)}
 SELECT ps.doc_id, ps.category, dc.idx AS cat_idx FROM ps LEFT JOIN dc ON ps.category = dc.category"""
-ORACLE2["join_title"] = f"""{W}{G.RATINGS}, {G.TITLES}
+CORE_SQL["join_title"] = f"""{W}{G.RATINGS}, {G.TITLES}
 SELECT r.user_id, r.item_id, t.title FROM ratings r LEFT JOIN titles t ON r.item_id = t.item_id"""
 
 _VIEWS = [
@@ -78,51 +78,51 @@ _VIEWS = [
     ("multi", "embeddings"),
     ("hourly", f"(WITH {G.HOURLY} SELECT * FROM hourly)"),
 ]
-ORACLE2["agg_row_count"] = " UNION ALL ".join(
+CORE_SQL["agg_row_count"] = " UNION ALL ".join(
     f"SELECT '{n}' AS view, count(*) AS n FROM {src} t{i}" for i, (n, src) in enumerate(_VIEWS))
-ORACLE2["agg_rating_stats"] = f"""{W}{G.RATINGS}
+CORE_SQL["agg_rating_stats"] = f"""{W}{G.RATINGS}
 SELECT count(*) AS n_ratings, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items
 FROM ratings"""
-ORACLE2["agg_split_counts"] = f"{W}{G.binary_view()} SELECT split, count(*) AS n FROM bb GROUP BY split"
-ORACLE2["feat_category_dict"] = f"""{W}{G.binary_view()},
+CORE_SQL["agg_split_counts"] = f"{W}{G.binary_view()} SELECT split, count(*) AS n FROM bb GROUP BY split"
+CORE_SQL["feat_category_dict"] = f"""{W}{G.binary_view()},
 {G.features_cte('bb', G.K_PRIORITY, nb=False)} SELECT category, idx FROM dc"""
 _bin_center = f"{W}{G.binary_view()},\n{G.features_cte('bb', G.K_PRIORITY, nb=False)}"
-ORACLE2["feat_scaler_fit_center"] = _bin_center + "\nSELECT CAST(j AS INTEGER) AS j, round(m, 6) AS mean, round(s, 6) AS std FROM (SELECT unnest(range(%d)) AS j, unnest([%s]) AS m, unnest([%s]) AS s FROM st)" % (
+CORE_SQL["feat_scaler_fit_center"] = _bin_center + "\nSELECT CAST(j AS INTEGER) AS j, round(m, 6) AS mean, round(s, 6) AS std FROM (SELECT unnest(range(%d)) AS j, unnest([%s]) AS m, unnest([%s]) AS s FROM st)" % (
     D_BIN, ", ".join(f"m{j}" for j in range(D_BIN)), ", ".join(f"s{j}" for j in range(D_BIN)))
 _bin_nb = f"{W}{G.binary_view()},\n{G.features_cte('bb', G.K_PRIORITY, nb=True)}"
-ORACLE2["feat_scaler_fit_std"] = _bin_nb + "\nSELECT CAST(j AS INTEGER) AS j, round(s, 6) AS std FROM (SELECT unnest(range(%d)) AS j, unnest([%s]) AS s FROM st)" % (
+CORE_SQL["feat_scaler_fit_std"] = _bin_nb + "\nSELECT CAST(j AS INTEGER) AS j, round(s, 6) AS std FROM (SELECT unnest(range(%d)) AS j, unnest([%s]) AS s FROM st)" % (
     D_BIN, ", ".join(f"s{j}" for j in range(D_BIN)))
 
-ORACLE2["feat_one_hot"] = f"""{_pages_nb(False)}
+CORE_SQL["feat_one_hot"] = f"""{_pages_nb(False)}
 {G.explode_long('raw', 'doc_id', 'x', K_PAGE)}"""
-ORACLE2["feat_standardize"] = f"""{_pages_nb(False)}
+CORE_SQL["feat_standardize"] = f"""{_pages_nb(False)}
 {G.explode_long('feat', 'doc_id', 'z', D_PAGE)}"""
-ORACLE2["feat_scale_only"] = f"""{_pages_nb(True)}
+CORE_SQL["feat_scale_only"] = f"""{_pages_nb(True)}
 {G.explode_long('feat', 'doc_id', 'z', D_PAGE)}"""
-ORACLE2["feat_page_pipeline"] = f"""{_pages_nb(False)}
+CORE_SQL["feat_page_pipeline"] = f"""{_pages_nb(False)}
 {G.explode_long('feat2', 'doc_id', 'z', D_PAGE)}"""
 
-ORACLE2["split_80_10_10"] = f"{W}{G.binary_view()} SELECT l_orderkey, l_linenumber, split FROM bb"
-ORACLE2["split_sample_10"] = f"""SELECT vec_id, CAST(label AS DOUBLE) AS label FROM embeddings
+CORE_SQL["split_80_10_10"] = f"{W}{G.binary_view()} SELECT l_orderkey, l_linenumber, split FROM bb"
+CORE_SQL["split_sample_10"] = f"""SELECT vec_id, CAST(label AS DOUBLE) AS label FROM embeddings
 WHERE {G.md5_head("CAST(vec_id AS VARCHAR) || '#sample'")} / 4294967296.0 < 0.1"""
 _steps = " UNION ALL ".join(
     f"SELECT CAST({t} AS INTEGER) AS step, CAST(sum(CASE WHEN (u + {t * G.GOLDEN!r}) - "
     f"floor(u + {t * G.GOLDEN!r}) < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS n FROM bb "
     f"WHERE split = 'train'" for t in range(1, 6))
-ORACLE2["split_minibatch"] = f"{W}{G.binary_view()} {_steps}"
-ORACLE2["set_union_all"] = f"""{W}{G.binary_view()}
+CORE_SQL["split_minibatch"] = f"{W}{G.binary_view()} {_steps}"
+CORE_SQL["set_union_all"] = f"""{W}{G.binary_view()}
 SELECT l_orderkey, l_linenumber, label FROM bb WHERE split IN ('train', 'validation')"""
-ORACLE2["set_distinct"] = f"{W}{G.RATINGS} SELECT DISTINCT item_id FROM ratings"
+CORE_SQL["set_distinct"] = f"{W}{G.RATINGS} SELECT DISTINCT item_id FROM ratings"
 
-ORACLE2["decode_page_class"] = f"""{W}{G.page_view()}
+CORE_SQL["decode_page_class"] = f"""{W}{G.page_view()}
 SELECT doc_id, label, {G.case_map('label', D.PAGE_CLASS)} AS class FROM pt"""
-ORACLE2["decode_season"] = f"""{W}{G.HOURLY}
+CORE_SQL["decode_season"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, season, {G.case_map('season', D.SEASON)} AS season_name FROM hourly"""
-ORACLE2["decode_calendar"] = f"""{W}{G.HOURLY}
+CORE_SQL["decode_calendar"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, mnth, hr, {G.case_map('holiday', D.HOLIDAY)} AS holiday_name,
        {G.case_map('weekday', D.WEEKDAY)} AS weekday_name,
        {G.case_map('workingday', D.WORKINGDAY)} AS workingday_name FROM hourly"""
-ORACLE2["decode_weather"] = f"""{W}{G.HOURLY}
+CORE_SQL["decode_weather"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, weathersit, {G.case_map('weathersit', D.WEATHER)} AS weather_name FROM hourly"""
 
 
@@ -130,10 +130,10 @@ def _tr(c, k):
     return f"CAST(trunc({c} * {k}) AS INTEGER)"
 
 
-ORACLE2["decode_denormalize"] = f"""{W}{G.HOURLY}
+CORE_SQL["decode_denormalize"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, {_tr('temp', D.TEMP_SCALE)} AS temp_c, {_tr('atemp', D.FEELS_SCALE)} AS feels_c,
        {_tr('hum', D.HUMIDITY_SCALE)} AS humidity, {_tr('windspeed', D.WIND_SCALE)} AS wind FROM hourly"""
-ORACLE2["fmt_description"] = f"""{W}{G.HOURLY}
+CORE_SQL["fmt_description"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, concat_ws(',', {G.case_map('season', D.SEASON)}, CAST(mnth AS VARCHAR) || ' month',
   CAST(hr AS VARCHAR) || ' h', {G.case_map('holiday', D.HOLIDAY)}, {G.case_map('weekday', D.WEEKDAY)},
   {G.case_map('workingday', D.WORKINGDAY)}, {G.case_map('weathersit', D.WEATHER)},
@@ -148,20 +148,20 @@ _nb_bin = f"""{W}{G.binary_view()},
 c0 AS (SELECT * FROM nbm WHERE label = 0), c1 AS (SELECT * FROM nbm WHERE label = 1),
 pr AS (SELECT l_orderkey, l_linenumber, split, CAST(feat.label AS DOUBLE) AS label,
        {G.nb_predict_expr(D_BIN)} AS prediction FROM feat, c0, c1)"""
-ORACLE2["eval_auc_hard"] = f"{_nb_bin}\nSELECT split, {G.auc_select()} FROM pr GROUP BY split"
-ORACLE2["eval_accuracy"] = f"""{_nb_bin}
+CORE_SQL["eval_auc_hard"] = f"{_nb_bin}\nSELECT split, {G.auc_select()} FROM pr GROUP BY split"
+CORE_SQL["eval_accuracy"] = f"""{_nb_bin}
 SELECT split, count(*) AS n, round(avg(CASE WHEN prediction = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM pr GROUP BY split"""
-ORACLE2["eval_correct_flag"] = f"""{_nb_bin}
+CORE_SQL["eval_correct_flag"] = f"""{_nb_bin}
 SELECT l_orderkey, l_linenumber, split,
        CASE WHEN prediction = label THEN 'right' ELSE 'wrong' END AS result FROM pr"""
-ORACLE2["limit_take_n"] = f"""{W}{G.page_view()}
+CORE_SQL["limit_take_n"] = f"""{W}{G.page_view()}
 SELECT doc_id, url, label FROM pt ORDER BY doc_id LIMIT 20"""
-ORACLE2["limit_first"] = """SELECT l_orderkey, l_linenumber, o_orderpriority AS category, l_quantity AS f0,
+CORE_SQL["limit_first"] = """SELECT l_orderkey, l_linenumber, o_orderpriority AS category, l_quantity AS f0,
   l_extendedprice AS f1, l_discount AS f2, l_tax AS f3,
   CASE WHEN l_extendedprice + o_totalprice / 10 > 75000 THEN 1 ELSE 0 END AS label
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey ORDER BY ALL LIMIT 1"""
-ORACLE2["topk_per_key"] = f"""{W}{G.RATINGS}
+CORE_SQL["topk_per_key"] = f"""{W}{G.RATINGS}
 SELECT user_id, CAST(rn AS INTEGER) AS rank, item_id, rating FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id ASC) AS rn
   FROM ratings) WHERE rn <= 10"""
@@ -169,11 +169,11 @@ SELECT user_id, CAST(rn AS INTEGER) AS rank, item_id, rating FROM (
 _nb_page = f"""{_pages_nb(True)},
 {G.nb_model_cte('feat', D_PAGE, NB_LAMBDA)},
 c0 AS (SELECT * FROM nbm WHERE label = 0), c1 AS (SELECT * FROM nbm WHERE label = 1)"""
-ORACLE2["score_new_pages"] = f"""{_nb_page},
+CORE_SQL["score_new_pages"] = f"""{_nb_page},
 pr AS (SELECT doc_id, url, {G.nb_predict_expr(D_PAGE)} AS prediction FROM feat2, c0, c1)
 SELECT doc_id, url, prediction, {G.case_map('CAST(prediction AS INTEGER)', D.PAGE_CLASS)} AS class
 FROM pr ORDER BY doc_id LIMIT 10"""
-ORACLE2["report_labelled_topn"] = f"""{_nb_page},
+CORE_SQL["report_labelled_topn"] = f"""{_nb_page},
 pr AS (SELECT doc_id, CAST(feat.label AS DOUBLE) AS label, {G.nb_predict_expr(D_PAGE)} AS prediction
        FROM feat, c0, c1 WHERE split = 'test')
 SELECT doc_id, label, prediction, CASE WHEN prediction = label THEN 'right' ELSE 'wrong' END AS result
@@ -187,20 +187,20 @@ hs2 AS (SELECT *, {G.split_case(G.md5_head(_hkey))} AS split FROM hourly),
 {G.regression_stump('hs2', _HFEAT)},
 pr AS (SELECT r.hs AS h, r.split, CAST(r.label AS DOUBLE) AS label, {G.stump_predict(_HFEAT)} AS prediction
        FROM hs2 r, stump st)"""
-ORACLE2["eval_rmse"] = f"""{_HOURLY_SPLIT}
+CORE_SQL["eval_rmse"] = f"""{_HOURLY_SPLIT}
 SELECT split, count(*) AS n, round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse
 FROM pr GROUP BY split"""
-ORACLE2["eval_abs_error"] = f"""{_HOURLY_SPLIT}
+CORE_SQL["eval_abs_error"] = f"""{_HOURLY_SPLIT}
 SELECT h, label, round(prediction, 6) AS prediction,
        round(abs(label - prediction), 6) AS abs_error FROM pr"""
 
 _TREE_REG = f"""{W}{G.HOURLY},
 hs2 AS (SELECT *, {G.split_case(G.md5_head(_hkey))} AS split FROM hourly),
 {G.regression_tree('hs2', _HFEAT, 10)}"""
-ORACLE2["predict_tree_value"] = f"""{_TREE_REG}
+CORE_SQL["predict_tree_value"] = f"""{_TREE_REG}
 SELECT r.hs AS h, r.split, CAST(r.label AS DOUBLE) AS label, round(p.prediction, 6) AS prediction
 FROM hs2 r JOIN tree_pred p ON p.hs = r.hs"""
-ORACLE2["score_hourly_report"] = f"""{_TREE_REG}
+CORE_SQL["score_hourly_report"] = f"""{_TREE_REG}
 SELECT r.hs AS h, concat_ws(',', {G.case_map('season', D.SEASON)}, CAST(mnth AS VARCHAR) || ' month',
   CAST(hr AS VARCHAR) || ' h', {G.case_map('holiday', D.HOLIDAY)}, {G.case_map('weekday', D.WEEKDAY)},
   {G.case_map('workingday', D.WORKINGDAY)}, {G.case_map('weathersit', D.WEATHER)},
@@ -211,7 +211,7 @@ SELECT r.hs AS h, concat_ws(',', {G.case_map('season', D.SEASON)}, CAST(mnth AS
   CAST(trunc(p.prediction) AS INTEGER) AS prediction, CAST(r.label AS INTEGER) AS label,
   abs(CAST(r.label AS DOUBLE) - p.prediction) AS abs_error
 FROM hs2 r JOIN tree_pred p ON p.hs = r.hs ORDER BY r.h LIMIT 200"""
-ORACLE2["fit_tree_regression"] = f"""{_TREE_REG},
+CORE_SQL["fit_tree_regression"] = f"""{_TREE_REG},
 {G.tree_shape(10)},
 ev AS (SELECT count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUBLE))
               * (p.prediction - CAST(r.label AS DOUBLE)))), 6) AS rmse

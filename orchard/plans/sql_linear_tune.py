@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from orchard.operators import tune
-from orchard.plans import queries3 as Q
+from orchard.plans import q_linear_tune as Q
 from orchard.plans import sqlgen as G
 
 D_BIN = G.K_PRIORITY + 4
@@ -78,7 +78,7 @@ pr AS ({union}),
 res AS (SELECT sweep, position, smoothing, {G.auc_select().split(', ', 1)[1]} FROM pr GROUP BY ALL)"""
 
 
-ORACLE3 = {
+LINEAR_SQL = {
     "fit_logistic_sgd": _weights("logistic", Q.LOGISTIC_DEFAULT),
     "fit_svm_sgd": _weights("hinge", Q.SVM_DEFAULT),
     "predict_logistic": _predict("logistic", Q.LOGISTIC_DEFAULT),
