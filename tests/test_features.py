@@ -66,3 +66,17 @@ def test_large_dictionary_uses_broadcast_join(spark):
     got = idx.lookup(df, "category").select("category", "cat_idx").collect()
     want = {c: i for i, c in enumerate(sorted(r.category for r in df.collect()))}
     assert all(want[r.category] == r.cat_idx for r in got)
+
+
+def test_standardized_training_columns_have_mean0_std1(spark):
+    import statistics
+    from orchard.plans import prepared as P
+    from conftest import SF_MID
+    prep, _ = P.pages(spark, SF_MID, nb=False)
+    rows = [r.features for r in prep.part("train").select("features").collect()]
+    for j in range(prep.dim):
+        col = [r[j] for r in rows]
+        if statistics.pstdev(col) == 0:
+            continue
+        assert statistics.mean(col) == pytest.approx(0.0, abs=1e-9)
+        assert statistics.stdev(col) == pytest.approx(1.0, rel=1e-9)

@@ -173,3 +173,14 @@ def test_checkpointed_long_run_equals_cached(spark):
     b = linear.fit_sgd_many(df, [linear.SgdConfig("logistic", 1.0, 0.0, 0.8)], 3, [4],
                             checkpoint=True)[0]
     assert list(a.values())[0].weights == pytest.approx(list(b.values())[0].weights, rel=1e-12)
+
+
+def test_best_row_of_a_grid_is_its_maximum(spark):
+    df = _toy(spark, n=300)
+    tr, va = df.where("k % 5 != 0"), df.where("k % 5 = 0")
+    res, _ = tune.tune_naive_bayes(tr, va, 3, [0.5, 1.0, 5.0, 50.0])
+    best = tune.pick_best(res, "auc_hard").first()
+    assert best.auc_hard == max(r.auc_hard for r in res.collect())
+    res2, _ = tune.tune_linear(tr, va, "logistic", 3, tune.grid_entries(
+        [("num_iterations", [1, 4]), ("step_size", [0.5, 2.0])]))
+    assert tune.pick_best(res2, "auc_hard").first().auc_hard == max(r.auc_hard for r in res2.collect())
