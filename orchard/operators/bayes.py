@@ -94,7 +94,7 @@ def fit_stats(df: DataFrame, dim: int, features: str = "features",
     if dim <= common.WIDE_DIM:
         return collect_stats(class_stats(df, dim, features, label), dim)
     long = df.select(F.col(label).cast("double").alias("label"),
-                     F.posexplode(features).alias("j", "v"))
+                     F.posexplode_outer(features).alias("j", "v")).where(F.col("j").isNotNull())
     rows = long.groupBy("label", "j").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"),
                                           F.min("v").alias("mn")).collect()
     by: dict[float, list] = {}

@@ -137,7 +137,7 @@ def fit_scaler(df: DataFrame, dim: int, features: str = "features",
     """One distributed aggregate (partial per partition) of mean and std."""
     from orchard.operators import common
     if dim > common.WIDE_DIM:
-        long = df.select(F.posexplode(features).alias("j", "v"))
+        long = df.select(F.posexplode_outer(features).alias("j", "v")).where(F.col("j").isNotNull())
         rows = long.groupBy("j").agg(F.avg("v").alias("m"), F.stddev_samp("v").alias("s")).collect()
         by = {int(r["j"]): r for r in rows}
         mean = [float(by[j]["m"] or 0.0) if j in by else 0.0 for j in range(dim)]

@@ -198,7 +198,8 @@ def _wide_gradients(df_t: DataFrame, active, fr_idx, dim: int) -> dict:
     """Gradient sums of wide vectors in long form: one ``groupBy(j)`` aggregate
     (partial per partition, so d rows per partition are shuffled)."""
     cols = [c for c in df_t.columns if c != "features"]
-    long = df_t.select(*cols, F.posexplode("features").alias("j", "v"))
+    long = df_t.select(*cols, F.posexplode_outer("features").alias("j", "v")) \
+        .where(F.col("j").isNotNull())
     aggs = [F.sum(F.col(f"b{k}")).cast("bigint").alias(f"n{k}") for k in fr_idx.values()]
     aggs += [F.sum(F.col(f"m{i}") * F.col("v")).alias(f"g{i}") for i in range(len(active))]
     out: dict = {}

@@ -21,8 +21,13 @@ def r6(c):
 
 
 def _explode_vec(df: DataFrame, keys, col: str = "features") -> DataFrame:
-    """Vector column in long form: keys..., j, value (rounded)."""
-    e = df.select(*keys, F.posexplode(col).alias("j", "v"))
+    """Vector column in long form: keys..., j, value (rounded).
+
+    ``posexplode_outer``: the plain form makes Catalyst infer a
+    ``size(features) > 0`` filter and push it below the joins, which would
+    compute every feature (text scans included) twice.
+    """
+    e = df.select(*keys, F.posexplode_outer(col).alias("j", "v"))
     return e.select(*keys, F.col("j").cast("int").alias("j"), r6("v").alias("value"))
 
 

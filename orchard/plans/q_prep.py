@@ -39,14 +39,14 @@ def q_src_pages_score_tsv(spark, sf):
 
 def q_src_numeric_csv(spark, sf):
     p = TX.parse_numeric(V.multi_line(spark, sf), keep=("vec_id",))
-    e = p.select("vec_id", "label", F.posexplode("features").alias("j", "v"))
+    e = p.select("vec_id", "label", F.posexplode_outer("features").alias("j", "v"))
     return e.select("vec_id", "label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
 
 
 def q_src_hourly_csv(spark, sf):
     p = TX.parse_hourly(V.hourly_line(spark, sf), keep=("h",))
     e = p.select(F.date_format("h", "yyyy-MM-dd HH:mm:ss").alias("h"), "label",
-                 F.posexplode("features").alias("j", "v"))
+                 F.posexplode_outer("features").alias("j", "v"))
     return e.select("h", "label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
 
 
@@ -125,7 +125,7 @@ def q_feat_concat(spark, sf):
 
 def q_feat_parse_all_double(spark, sf):
     f = prep.parse_all_double(prep.split_fields("value", ","))
-    e = V.multi_line(spark, sf).select("vec_id", F.posexplode(f).alias("j", "v"))
+    e = V.multi_line(spark, sf).select("vec_id", F.posexplode_outer(f).alias("j", "v"))
     return e.select("vec_id", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
 
 

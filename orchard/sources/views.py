@@ -62,16 +62,21 @@ def _page_columns(d):
 PAGE_NUMERIC = ["f0", "f1", "f2", "f3"]
 
 
-def page_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-document page columns, computed before any join so that a shuffle
+    moves a handful of numbers per document instead of its whole text."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    return d.select(*_page_columns(d))
+
+
+def page_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    return d.join(lab, "doc_id").select(*_page_columns(d), "label")
+    return _page_features(spark, sf_dir).join(lab, "doc_id")
 
 
 def page_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
     lab = table(spark, sf_dir, "labels").select("doc_id")
-    return d.join(lab, "doc_id", "left_anti").select(*_page_columns(d))
+    return _page_features(spark, sf_dir).join(lab, "doc_id", "left_anti")
 
 
 def page_line(spark: SparkSession, sf_dir: str) -> DataFrame:
