@@ -73,3 +73,10 @@ def test_land_and_hourly_and_recommender(spark, files):
     assert st.n_users == 39 and st.n_items == 29
     top = rec["items_for_users"].collect()
     assert max(r.rank for r in top) == 10 and all(r.title.startswith("Movie") for r in top)
+
+
+def test_page_classifier_tuned_logistic(spark, files):
+    out = programs.page_classifier(spark, str(files / "pages_train.tsv"), str(files / "pages_score.tsv"),
+                                   "logistic", tune_params=True)
+    assert out["tuning"].count() == 36
+    assert out["predictions"].count() == 10
