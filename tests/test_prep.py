@@ -44,3 +44,14 @@ def test_strict_and_permissive_parsing(spark):
         TX.parse_ratings(df).collect()
     r = TX.parse_ratings(df, mode="permissive").first()
     assert r.user_id == 1 and r.item_id is None and r.rating == 4.0
+
+
+def test_decoder_error_mode_and_short_rows(spark):
+    import pytest
+    from orchard.sources import text as TX
+    df = spark.createDataFrame([(9,)], "s int")
+    with pytest.raises(Exception):
+        df.select(D.season("s", on_unknown="error")).collect()
+    lines = spark.createDataFrame([('"u"\t"1"\t"x"\t"c"\t"5"\t"1"',), ('"u"\t"1"',)], "value string")
+    assert TX.reject_short_pages(lines).count() == 1
+    assert TX.reject_short_pages(lines, labelled=False).count() == 1
