@@ -30,3 +30,13 @@ def test_minibatch_fraction(spark):
         n = df.where(SP.minibatch_flag("u", t, 0.5)).count()
         assert 1800 < n < 2200
     assert df.where(SP.minibatch_flag("u", 1, 1.0)).count() == 4000
+
+
+def test_reliable_cuts_lineage_into_checkpoint_folder(spark):
+    from orchard.operators.common import reliable
+    from orchard.session import ensure_checkpoint_dir
+    assert ensure_checkpoint_dir(spark)            # tests run local: a scratch folder is set
+    df = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    r = reliable(df)
+    assert "Aggregate" not in r._jdf.queryExecution().logical().toString()
+    assert sorted(x.k for x in r.collect()) == list(range(7))
