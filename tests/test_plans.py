@@ -10,7 +10,7 @@
 
 import pytest
 
-import __spark_entry__ as E
+from orchard.plans.registry import QUERIES
 from conftest import SF_SMALL
 
 BLOCK_SCORING = {"rec_items_for_user", "rec_users_for_item"}
@@ -25,7 +25,7 @@ def _plan(df):
 @pytest.fixture(scope="module")
 def plans(spark):
     out = {}
-    for k, fn in E.queries().items():
+    for k, fn in QUERIES.items():
         out[k] = _plan(fn(spark, SF_SMALL))
     return out
 
