@@ -100,3 +100,69 @@ def mix64(a: np.ndarray) -> np.ndarray:
     a = a ^ (a >> np.uint64(29))
     a = a * np.uint64(0xBF58476D1CE4E5B9)
     return a ^ (a >> np.uint64(32))
+
+
+def byte_batches(it, max_bytes: int = 4_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """(ids, bytes, offsets) of (id, text) Arrow batches in runs of about ``max_bytes``:
+    document k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.  A longer document
+    comes alone, whole."""
+    for b in it:
+        ids, txt = b.column(0).to_pylist(), b.column(1)
+        if not ids:
+            continue
+        _, off, data = txt.buffers()
+        off = np.frombuffer(off, np.int32, len(ids) + 1 + txt.offset)[txt.offset:].astype(np.int64)
+        data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
+        lo = 0
+        while lo < len(ids):
+            hi = max(lo + 1, int(np.searchsorted(off, off[lo] + max_bytes, "right")) - 1)
+            yield ids[lo:hi], data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+            lo = hi
+
+
+_STEP = 0x5851F42D4C957F2D                      # odd, so it has an inverse modulo 2^64
+_BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+
+
+class Powers:
+    """Powers of ``_STEP`` and of its inverse, grown as needed."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def take(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            for name, base in (("up", _STEP), ("down", pow(_STEP, -1, 1 << 64))):
+                p = np.full(n, base, np.uint64)
+                p[0] = 1
+                setattr(self, name, np.cumprod(p, dtype=np.uint64))
+        return self.up[:n], self.down[:n]
+
+
+def prefix_sums(data: np.ndarray, powers: Powers) -> np.ndarray:
+    """S with S[e] - S[s] = (hash of data[s:e]) * _STEP**s."""
+    up, _ = powers.take(len(data) + 1)
+    out = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_CODE[data] * up[:-1], out=out[1:])
+    return out
+
+
+def span_hashes(sums: np.ndarray, start: np.ndarray, end: np.ndarray, powers: Powers) -> np.ndarray:
+    """64-bit hash of data[start:end], the same wherever the bytes stand."""
+    _, down = powers.take(len(sums))
+    return mix64((sums[end] - sums[start]) * down[start] + (end - start).astype(np.uint64))
+
+
+def word_spans(is_word: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and document of each run of word bytes; runs end at document ends."""
+    n = len(is_word)
+    before = np.zeros(n + 1, bool)
+    before[1:] = is_word
+    before[offsets] = False                     # nothing continues over a document's start
+    after = np.zeros(n + 1, bool)
+    after[:n] = is_word
+    after[offsets] = False
+    start = np.flatnonzero(is_word & ~before[:n])
+    end = np.flatnonzero(is_word & ~after[1:]) + 1
+    doc = np.searchsorted(offsets, start, "right") - 1
+    return start, end, doc

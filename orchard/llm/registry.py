@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orchard.llm import packing
+from orchard.llm import packing, toxicity
 
-_MODULES = (packing,)
+_MODULES = (packing, toxicity)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: sql for m in _MODULES for k, sql in getattr(m, "ORACLE", {}).items()}
