@@ -102,24 +102,30 @@ def mix64(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
-def byte_batches(it, max_bytes: int = 4_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """(ids, bytes, offsets) of (id, text) Arrow batches in runs of about ``max_bytes``:
-    document k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.  A longer document
-    comes alone, whole."""
+def byte_runs(it, max_bytes: int = 4_000_000) -> Iterator[tuple]:
+    """(rows, bytes, offsets) of Arrow batches whose second column is a text, in runs of
+    about ``max_bytes``: the text of row k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.
+    A longer text comes alone, whole."""
     for b in it:
-        ids, txt = b.column(0).to_pylist(), b.column(1)
-        if not ids:
+        n, txt = b.num_rows, b.column(1)
+        if not n:
             continue
         _, off, data = txt.buffers()
-        off = np.frombuffer(off, np.int32, len(ids) + 1 + txt.offset)[txt.offset:].astype(np.int64)
+        off = np.frombuffer(off, np.int32, n + 1 + txt.offset)[txt.offset:].astype(np.int64)
         data = np.frombuffer(data, np.uint8) if data is not None and data.size else np.empty(0, np.uint8)
         lo = 0
-        while lo < len(ids):
+        while lo < n:
             hi = max(lo + 1, int(np.searchsorted(off, off[lo] + max_bytes, "right")) - 1)
-            yield ids[lo:hi], data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
+            yield b.slice(lo, hi - lo), data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]
             lo = hi
 
 
+def byte_batches(it, max_bytes: int = 4_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """``byte_runs`` of (id, text) batches with the ids as a list."""
+    for rows, data, off in byte_runs(it, max_bytes):
+        yield rows.column(0).to_pylist(), data, off
+
+
 _STEP = 0x5851F42D4C957F2D                      # odd, so it has an inverse modulo 2^64
 _BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 

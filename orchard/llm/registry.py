@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orchard.llm import decontaminate, packing, toxicity
+from orchard.llm import decontaminate, packing, suffix_dedup, toxicity
 
-_MODULES = (toxicity, decontaminate, packing)
+_MODULES = (toxicity, decontaminate, packing, suffix_dedup)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: sql for m in _MODULES for k, sql in getattr(m, "ORACLE", {}).items()}
