@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import batches, cut, table, texts
+from orchard.llm.common import (Powers, byte_batches, cut, prefix_sums, span_hashes, table, texts,
+                                word_spans)
 
 CAPACITY = 2048
 PARTITION_PIECES = 32_768   # pieces packed in one task
@@ -40,11 +41,21 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+class _Numbers(dict):
+    """Numbers keys in the order in which they are first asked for."""
+
+    def __missing__(self, key: str) -> int:
+        n = self[key] = len(self)
+        return n
+
+
 class _Encoder:
     """Token ids of texts, each distinct word encoded once.
 
-    The vocabulary's pre-tokeniser always splits at blanks, and what follows a
-    letter run never joins it, so a text's ids are the ids of its words in turn.
+    The vocabulary's pre-tokeniser always splits at blanks, and punctuation that
+    follows a run of letters never joins it.  So a text's ids are those of its
+    words in turn, and a word's ids those of its stem and of its tail; stems and
+    tails are the atoms that are encoded.
     """
 
     def __init__(self, path: str):
@@ -54,63 +65,79 @@ class _Encoder:
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         for token, i in vocab.items():
             self.ends[i] = token.endswith("</w>")
+        self.powers = Powers()
         self.clear()
 
     def clear(self) -> None:
-        self.index: dict[str, int] = {}
+        self.atoms = _Numbers()
+        self.keys, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)  # words by hash
+        self.parts = np.empty((0, 2), np.int64)             # atoms of each word
         self.flat, self.off = np.empty(0, np.uint32), np.zeros(1, np.int64)
-
-    def _each(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32)
-                for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
-
-    def _letters(self, words: list[str]) -> list[np.ndarray]:
-        """Words of letters alone: many in one call, split where a word ends."""
-        out = []
-        for i in range(0, len(words), 200):
-            part = words[i:i + 200]
-            ids = np.array(self.tok.encode_batch_fast([" ".join(part)],
-                                                      add_special_tokens=False)[0].ids, np.uint32)
-            at = np.flatnonzero(self.ends[ids]) + 1
-            out += (np.split(ids, at[:-1]) if len(at) == len(part) and at[-1] == len(ids)
-                    else self._each(part))
-        return out
+        self._add([""])
+
+    def _each(self, words: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _add(self, atoms: list[str]) -> None:
+        """Encode new atoms.  Those of letters alone go many to a call, split where a word ends."""
+        flat, sizes = [], []
+        for plain, group in itertools.groupby(atoms, str.isalpha):
+            group = list(group)
+            for i in range(0, len(group), 200):
+                part = group[i:i + 200]
+                if plain:
+                    ids = np.array(self._each([" ".join(part)])[0], np.uint32)
+                    ends = np.flatnonzero(self.ends[ids]) + 1
+                    if len(ends) == len(part) and ends[-1] == len(ids):
+                        flat.append(ids)
+                        sizes.append(np.diff(ends, prepend=0))
+                        continue
+                each = self._each(part)
+                flat.append(np.fromiter(itertools.chain.from_iterable(each), np.uint32))
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        self.flat = np.concatenate([self.flat, *flat])
+        self.off = np.concatenate((self.off, self.off[-1] + np.cumsum(np.concatenate(sizes))))
+        for a in atoms:
+            self.atoms[a]
 
     def _learn(self, new: list[str]) -> None:
         stems = [w.rstrip(_TAIL) for w in new]
-        plain = [s.isalpha() for s in stems]
-        letters = list(dict.fromkeys(s for s, p in zip(stems, plain) if p))
-        rest = list(dict.fromkeys([w for w, p in zip(new, plain) if not p]
-                                  + [w[len(s):] for w, s, p in zip(new, stems, plain)
-                                     if p and len(w) > len(s)]))
-        ids = dict(zip(letters, self._letters(letters)))
-        tail = dict(zip(rest, self._each(rest)))
-        found = []
-        for w, s, p in zip(new, stems, plain):
-            if not p:
-                found.append(tail[w])
-            elif len(w) > len(s):
-                found.append(np.concatenate((ids[s], tail[w[len(s):]])))
-            else:
-                found.append(ids[s])
-        sizes = np.fromiter(map(len, found), np.int64, len(found))
-        self.flat = np.concatenate([self.flat, *found])
-        self.off = np.concatenate((self.off, self.off[-1] + np.cumsum(sizes)))
-
-    def encode(self, docs: list[str]) -> Iterator[np.ndarray]:
-        if len(self.index) > _CACHE_WORDS:
+        pairs = [(s, w[len(s):]) if s.isalpha() else (w, "") for w, s in zip(new, stems)]
+        fresh = dict.fromkeys(a for p in pairs for a in p if a not in self.atoms)
+        if fresh:
+            self._add(sorted(fresh, key=str.isalpha))
+        atom = self.atoms
+        self.parts = np.concatenate((self.parts, np.array([(atom[a], atom[b]) for a, b in pairs],
+                                                          np.int64).reshape(-1, 2)))
+
+    def encode(self, data: np.ndarray, offsets: np.ndarray) -> Iterator[np.ndarray]:
+        """Token ids of each document of a run of texts."""
+        if len(self.keys) > _CACHE_WORDS:
             self.clear()
-        index, known = self.index, len(self.index)
-        words = [t.replace("\n", " ").split(" ") for t in docs]
-        rows = [np.fromiter((index.setdefault(w, len(index)) for w in ws), np.int64, len(ws))
-                for ws in words]
-        if len(index) > known:
-            self._learn(list(itertools.islice(index, known, None)))
-        for r in rows:
-            size = self.off[r + 1] - self.off[r]
-            total = int(size.sum())
-            first = np.repeat(self.off[r] - np.cumsum(size) + size, size)
-            yield self.flat[first + np.arange(total)]
+        start, end, doc = word_spans((data != 32) & (data != 10), offsets)
+        h = span_hashes(prefix_sums(data, self.powers), start, end, self.powers)
+        keys, one, word = np.unique(h, return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, keys)
+        known = np.zeros(len(keys), bool)
+        inside = at < len(self.keys)
+        known[inside] = self.keys[at[inside]] == keys[inside]
+        if not known.all():
+            raw, new = data.tobytes(), one[~known]
+            number = np.arange(len(self.parts), len(self.parts) + len(new))
+            self._learn([raw[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist())])
+            self.keys = np.concatenate((self.keys, keys[~known]))
+            self.number = np.concatenate((self.number, number))
+            order = np.argsort(self.keys, kind="stable")
+            self.keys, self.number = self.keys[order], self.number[order]
+            at = np.searchsorted(self.keys, keys)
+        a = self.parts[self.number[at][word]].ravel()
+        size = self.off[a + 1] - self.off[a]
+        until = np.append(0, np.cumsum(size))
+        first = np.repeat(self.off[a] - until[:-1], size)
+        tokens = self.flat[first + np.arange(len(first))]
+        cuts = until[2 * np.searchsorted(doc, np.arange(len(offsets)))]
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield tokens[lo:hi]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY,
@@ -131,9 +158,9 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
 
     def run(it):
         enc = _Encoder(path)
-        for ids, txt in batches(it):
+        for ids, data, off in byte_batches(it, 6_000_000):
             cols: list[list] = [[] for _ in fields]
-            for doc, tokens in zip(ids, enc.encode(txt)):
+            for doc, tokens in zip(ids, enc.encode(data, off)):
                 seq = np.append(tokens, np.uint32(end_id))
                 for k, lo in enumerate(range(0, len(seq), capacity)):
                     part = seq[lo:lo + capacity].astype("<u4")
