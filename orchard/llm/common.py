@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,20 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextlib.contextmanager
+def written(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table in the shared checkpoint folder for the length of a block:
+    for intermediate rows that are too many for an uncompressed checkpoint."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+        jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(jvm_path, True)
+
+
 def restrict(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") -> DataFrame:
     """Semi or anti join of ``df`` with distinct ``ids`` (one column, already cut).
 
