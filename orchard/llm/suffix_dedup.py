@@ -6,13 +6,12 @@ anywhere else, in the same text or another.  Positions are not sorted one by one
 * level 0: each window of ``length`` bytes is represented by its smallest q-gram
   (hash order, leftmost first), so equal windows share one.  The q-gram's hash
   is the initial bucket of that position; buckets with one member are final.
-* level 1: the windows that a q-gram represents are split by their distance to
-  it into blocks of up to 64.  A block's bucket is refined by what follows and
-  precedes: the bytes common to its windows (core) and those that any of them
-  covers (hull).  A core met once has no repeated window; a hull met twice has
-  no other; both are final.
-* level 2: the windows of the remaining blocks, and one block of each hull class
-  that shares a core with them, are compared singly.
+* levels 1 to 3: the windows that a q-gram represents are split by their distance
+  to it into blocks of up to 64, then 8, then 1.  A block's bucket is refined by
+  what follows and precedes: the bytes common to its windows (core) and those
+  that any of them covers (hull).  A core met once has no repeated window; a hull
+  met twice has no other; both are final.  The next level splits the remaining
+  blocks and one block of each hull class that shares a core with them.
 
 Bucket numbers are content hashes of 64 bits, so a refinement needs only the
 numbers and counts of the level before, and counts are combined before each
@@ -27,17 +26,19 @@ is returned as bytes, since a cut may fall inside a character.
 
 from __future__ import annotations
 
+import contextlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_runs, cut, mix64, prefix_sums, restrict, span_hashes,
-                                table, texts)
+                                table, texts, written)
 
 LENGTH = 400
 GRAM = 128
-BLOCK = 64
+BLOCKS = (64, 8, 1)         # windows compared together, level by level
 
 
 def representatives(data: np.ndarray, offsets: np.ndarray, powers: Powers, length: int, gram: int):
@@ -77,122 +78,100 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return texts(docs).select(F.xxhash64("doc_id", "text").alias("k"), "text", "doc_id")
 
 
+def _pack(at, near, far):
+    """Windows that start near to far bytes before position ``at``, as one number."""
+    return at << 20 | near << 10 | far
+
+
 def _anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    schema = pa.schema([(c, pa.int64()) for c in ("bucket", "k", "at", "first", "last")])
+    schema = pa.schema([(c, pa.int64()) for c in ("bucket", "k", "span")])
 
     def run(it):
         powers = Powers()
         for b, data, off in byte_runs(it):
             h, at, first, last = representatives(data, off, powers, length, gram)
             doc = np.searchsorted(off, at, "right") - 1
-            base, k = off[doc], b.column(0).to_numpy(zero_copy_only=False)
-            yield pa.record_batch([pa.array(x) for x in (h.view(np.int64), k[doc], at - base,
-                                                         first - base, last - base)], schema=schema)
-
-    return rows.select("k", "text").mapInArrow(run, "bucket long, k long, at long, first long, last long")
-
+            k = b.column(0).to_numpy(zero_copy_only=False)
+            yield pa.record_batch([pa.array(x) for x in (h.view(np.int64), k[doc], _pack(
+                at - off[doc], at - last, at - first))], schema=schema)
 
-def _lists(b, *names: str):
-    """Flattened fields of the list column ``spans`` and the row of each element."""
-    spans = b.column(2)
-    size = np.diff(spans.offsets.to_numpy())
-    flat = spans.flatten()
-    return [flat.field(n).to_numpy(zero_copy_only=False) for n in names], np.repeat(np.arange(len(size)), size)
+    return rows.select("k", "text").mapInArrow(run, "bucket long, k long, span long")
 
 
-def _blocks(rows: DataFrame, length: int, block: int) -> DataFrame:
-    schema = pa.schema([(c, pa.int64()) for c in ("core", "hull", "k", "first", "n")])
+def _refined(rows: DataFrame, length: int, block: int) -> DataFrame:
+    """``core, hull, k, span`` of the blocks of the windows listed in ``spans``."""
+    schema = pa.schema([(c, pa.int64()) for c in ("core", "hull", "k", "span")])
 
     def run(it):
         powers = Powers()
         for b, data, off in byte_runs(it):
             sums = prefix_sums(data, powers)
-            (at, first, last), doc = _lists(b, "at", "first", "last")
-            at, first, last = (x + off[doc] for x in (at, first, last))
-            lo, hi = (at - last) // block, (at - first) // block      # blocks by distance
-            many = hi - lo + 1
+            lists = b.column(2)
+            doc = np.repeat(np.arange(b.num_rows), np.diff(lists.offsets.to_numpy()))
+            span = lists.flatten().to_numpy(zero_copy_only=False)
+            at, near, far = (span >> 20) + off[doc], span >> 10 & 1023, span & 1023
+            many = far // block - near // block + 1
             row = np.repeat(np.arange(len(at)), many)
-            j = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + lo[row]
-            near = np.maximum(at[row] - last[row], j * block)
-            far = np.minimum(at[row] - first[row], j * block + block - 1)
-            core_at = at[row] - j * block
-            core = span_hashes(sums, core_at, core_at - block + 1 + length, powers)
-            begin = at[row] - far
-            hull = span_hashes(sums, begin, at[row] - near + length, powers)
-            # a hull is compared with those of the same windows only
-            hull = mix64(hull + (near * np.int64(4096) + far).astype(np.uint64))
+            j = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many) + near[row] // block
+            at, doc = at[row], doc[row]
+            near, far = np.maximum(near[row], j * block), np.minimum(far[row], j * block + block - 1)
+            start = at - j * block
+            core = span_hashes(sums, start, start - block + 1 + length, powers)
+            hull = span_hashes(sums, at - far, at - near + length, powers)
+            # cores of one distance, and hulls of the same windows, are comparable
+            core = mix64(core + j.astype(np.uint64))
+            hull = mix64(hull + (near * 1024 + far).astype(np.uint64))
             k = b.column(0).to_numpy(zero_copy_only=False)
             yield pa.record_batch([pa.array(x) for x in (
-                mix64(core + j.astype(np.uint64)).view(np.int64), hull.view(np.int64), k[doc[row]],
-                begin - off[doc[row]], far - near + 1)], schema=schema)
-
-    return rows.mapInArrow(run, "core long, hull long, k long, first long, n long")
-
+                core.view(np.int64), hull.view(np.int64), k[doc], _pack(at - off[doc], near, far))],
+                schema=schema)
 
-def _windows(rows: DataFrame, length: int) -> DataFrame:
-    schema = pa.schema([(c, pa.int64()) for c in ("w", "k", "first")])
+    return rows.mapInArrow(run, "core long, hull long, k long, span long")
 
-    def run(it):
-        powers = Powers()
-        for b, data, off in byte_runs(it):
-            sums = prefix_sums(data, powers)
-            (first, many), doc = _lists(b, "first", "n")
-            row = np.repeat(np.arange(len(first)), many)
-            p = (first + off[doc])[row] + np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
-            k = b.column(0).to_numpy(zero_copy_only=False)
-            h = span_hashes(sums, p, p + length, powers)
-            yield pa.record_batch([pa.array(x) for x in (h.view(np.int64), k[doc[row]],
-                                                         p - off[doc[row]])], schema=schema)
-
-    return rows.mapInArrow(run, "w long, k long, first long")
 
-
-def _with_spans(rows: DataFrame, spans: DataFrame, *names: str) -> DataFrame:
+def _with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
     """``k, text, spans`` of the rows that have any; other texts stay where they are."""
-    per_row = cut(spans.groupBy("k").agg(F.collect_set(F.struct(*names)).alias("spans")))
+    per_row = cut(spans.groupBy("k").agg(F.collect_set("span").alias("spans")))
     return restrict(rows, per_row.select("k"), "k").join(per_row, "k").select("k", "text", "spans")
 
 
-def _repeated(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).count().where("count > 1").select(key)
+def _covered(blocks: DataFrame, length: int) -> DataFrame:
+    at, near, far = F.shiftright("span", 20), F.shiftright("span", 10).bitwiseAND(1023), \
+        F.col("span").bitwiseAND(1023)
+    return blocks.select("k", (at - far).alias("first"), (at - near + length).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
-                   block: int = BLOCK) -> DataFrame:
-    """``k, first, end``: byte ranges to remove, by row key; ranges may overlap."""
+                   blocks: tuple[int, ...] = BLOCKS) -> DataFrame:
+    """``k, spans``: byte ranges (first, end) to remove, by row key; ranges may overlap."""
     rows = _keyed(docs)
     copies = cut(rows.select(F.xxhash64("text").alias("t"), "k", F.octet_length("text").alias("n"))
                  .where(F.col("n") >= length))
-    same = copies.groupBy("t").agg(F.count("*").alias("c"), F.min("k").alias("one"),
-                                   F.max("k").alias("other")).where("c > 1")
-    copied = cut(copies.join(same, "t").select("k", "one", F.col("n").cast("long").alias("n")).distinct())
+    same = copies.groupBy("t").agg(F.count("*").alias("c"), F.min("k").alias("one")).where("c > 1")
+    copied = cut(copies.join(same, "t").select("k", "one", F.col("n").cast("long").alias("end")).distinct())
     one_each = restrict(rows, cut(copied.where("k <> one").select("k").distinct()), "k", "left_anti")
-
-    anchors = cut(_anchors(one_each, length, gram))
-    open0 = anchors.join(_repeated(anchors, "bucket"), "bucket")
-    blocks = cut(_blocks(_with_spans(one_each, open0, "at", "first", "last"), length, block))
-    classes = cut(blocks.join(_repeated(blocks, "core"), "core")
-                  .groupBy("core", "hull").agg(F.count("*").alias("c"),
-                                               F.min(F.struct("k", "first", "n")).alias("one")))
-    whole = (blocks.join(classes.where("c > 1").select("core", "hull"), ["core", "hull"])
-             .select("k", "first", (F.col("first") + F.col("n") - 1 + length).alias("end")))
-    mixed = classes.where("c = 1").select("core").distinct()
-    open1 = classes.join(mixed, "core").select("one.*")
-    windows = cut(_windows(_with_spans(one_each, open1, "first", "n"), length))
-    # a window that stands twice in a block list counts once
-    single = (windows.distinct().join(_repeated(windows.distinct(), "w"), "w")
-              .select("k", "first", (F.col("first") + length).alias("end")))
-    return (whole.unionByName(single)
-            .unionByName(copied.select("k", F.lit(0).cast("long").alias("first"),
-                                       F.col("n").alias("end"))))
+    found = copied.select("k", F.lit(0).cast("long").alias("first"), "end")
+    with contextlib.ExitStack() as tables:
+        anchors = tables.enter_context(written(_anchors(one_each, length, gram)))
+        shared = anchors.groupBy("bucket").count().where("count > 1").select("bucket")
+        open_ = anchors.join(shared, "bucket").select("k", "span")
+        for block in blocks:
+            level = tables.enter_context(written(_refined(_with_spans(one_each, open_), length, block)))
+            classes = cut(level.groupBy("core", "hull").agg(
+                F.count("*").alias("c"), F.min(F.struct("k", "span")).alias("one")))
+            whole = level.join(classes.where("c > 1").select("core", "hull"), ["core", "hull"])
+            found = found.unionByName(_covered(whole, length))
+            mixed = (classes.groupBy("core").agg(F.count("*").alias("hulls"), F.min("c").alias("least"))
+                     .where("hulls > 1 and least = 1").select("core"))
+            open_ = classes.join(mixed, "core").select("one.*")
+        return cut(found.groupBy("k").agg(F.collect_set(F.struct("first", "end")).alias("spans")))
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **kwargs) -> DataFrame:
     """``doc_id, n_bytes, spans, kept``: the maximal removed runs of each text (start and
     end in bytes) and the bytes that are left."""
     rows = _keyed(docs)
-    spans = cut(repeated_spans(docs, length, **kwargs).groupBy("k")
-                .agg(F.collect_set(F.struct("first", "end")).alias("spans")))
+    spans = repeated_spans(docs, length, **kwargs)
     keys = spans.select("k")
     span_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", span_type),
