@@ -7,15 +7,14 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.session import ensure_checkpoint_dir
 
 # An id list is broadcast while it has at most this many rows (16 bytes each,
-# 32 MB); a longer one is joined with a shuffle.
-BROADCAST_IDS = 2_000_000
+# 8 MB); a longer one is joined with a shuffle.
+BROADCAST_IDS = 500_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,20 +59,13 @@ def restrict(df: DataFrame, ids: DataFrame, on: str, how: str = "left_semi") ->
     return df.join(ids, on, how)
 
 
-def batches(it, max_chars: int = 2_000_000) -> Iterator[tuple[list, list[str]]]:
-    """Lists of (doc_id, text) of about ``max_chars`` characters from Arrow batches;
-    a text longer than that comes alone, whole."""
-    for b in it:
-        ids, txt = b.column(0).to_pylist(), b.column(1)
-        lo, size = 0, 0
-        sizes = pc.binary_length(txt).to_numpy(zero_copy_only=False)
-        for i, n in enumerate(sizes):
-            if size and size + n > max_chars:
-                yield ids[lo:i], txt.slice(lo, i - lo).to_pylist()
-                lo, size = i, 0
-            size += int(n)
-        if lo < len(ids):
-            yield ids[lo:], txt.slice(lo).to_pylist()
+def flagged(df: DataFrame, ids: DataFrame, on: str, name: str) -> DataFrame:
+    """``df`` with a boolean column: is its ``on`` among the distinct ``ids`` (already cut)?
+    Broadcast or shuffled like ``restrict``."""
+    ids = ids.select(on, F.lit(True).alias(name))
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, on, "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -118,7 +110,7 @@ def mix64(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
-def byte_runs(it, max_bytes: int = 4_000_000) -> Iterator[tuple]:
+def byte_runs(it, max_bytes: int = 3_000_000) -> Iterator[tuple]:
     """(rows, bytes, offsets) of Arrow batches whose second column is a text, in runs of
     about ``max_bytes``: the text of row k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.
     A longer text comes alone, whole."""
@@ -136,7 +128,7 @@ def byte_runs(it, max_bytes: int = 4_000_000) -> Iterator[tuple]:
             lo = hi
 
 
-def byte_batches(it, max_bytes: int = 4_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def byte_batches(it, max_bytes: int = 3_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``byte_runs`` of (id, text) batches with the ids as a list."""
     for rows, data, off in byte_runs(it, max_bytes):
         yield rows.column(0).to_pylist(), data, off
