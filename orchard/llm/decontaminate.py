@@ -31,6 +31,7 @@ from orchard.llm.common import byte_batches, restrict, table, texts
 Q = 8
 EDIT_RATE = 0.1
 BLOCK_BYTES = 8_000_000     # benchmark text indexed at a time
+REGIONS = 500               # regions aligned at a time
 _FILTER_BITS = 22
 
 # byte -> its folded form: A-Z to a-z, white space to a blank
@@ -96,12 +97,13 @@ class BenchmarkIndex:
     def _slot(code: np.ndarray) -> np.ndarray:
         return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)).astype(np.int64)
 
-    def regions(self, low: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """(document, item, lowest diagonal, highest diagonal) of the bands that reach the bound."""
+    def regions(self, low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Document, item and lowest diagonal of the band pairs that reach the bound."""
+        none = np.empty(0, np.int64)
         code = gram_codes(low)
         at = np.flatnonzero(self.filter[self._slot(code)]) if len(code) and len(self.code) else []
         if not len(at):
-            return
+            return none, none, none
         k = np.searchsorted(self.code, code[at])
         k[k == len(self.code)] = 0
         hit = self.code[k] == code[at]
@@ -110,7 +112,7 @@ class BenchmarkIndex:
         inside = at + Q <= offsets[doc + 1]
         at, k, doc = at[inside], k[inside], doc[inside]
         if not len(at):
-            return
+            return none, none, none
         many = self.first[k + 1] - self.first[k]
         post = np.repeat(self.first[k] - np.cumsum(many) + many, many) + np.arange(many.sum())
         item, pos = self.item[post], self.pos[post]
@@ -124,46 +126,52 @@ class BenchmarkIndex:
         follows = np.flatnonzero(key[1:] == key[:-1] + 1)
         after[follows] = count[follows + 1]
         item, b = key // bands % len(self.ids), key % bands
-        # a band and the next one together; the last band of a run also alone, shifted down
-        for good, low_band in ((count + after >= self.needed[item], b),):
-            for d, t, x in zip((key // bands // len(self.ids))[good], item[good], low_band[good]):
-                lowest = int(x * self.width[t]) - shift
-                yield int(d), int(t), lowest, lowest + 2 * int(self.width[t]) - 1
-
-
-def banded_alignment(item: np.ndarray, text: np.ndarray, lowest: int, highest: int,
-                     budget: int) -> tuple[int, int, int] | None:
-    """(edits, start, end) of the best occurrence of the whole ``item`` in ``text`` whose
-    path stays on diagonals from ``lowest - budget`` to ``highest + budget``; None beyond
-    ``budget`` edits.  Among equal edits the first end, then the latest start."""
-    lo, width = lowest - budget, highest - lowest + 2 * budget + 1
-    big = budget + 1
-    padded = np.full(len(item) + width + 1, 256, np.int16)     # text from diagonal lo on
-    src = np.arange(lo, lo + len(padded))
-    ok = (src >= 0) & (src < len(text))
-    padded[ok] = text[src[ok]]
-    col = np.arange(width)
-    place = lo + col                                           # text position before row 0
-    cost = np.where((place >= 0) & (place <= len(text)), 0, big).astype(np.int64)
-    start = place.copy()
-    # cost and start in one number: smaller cost first, then the later start
-    base = 1 << 40
-    state = cost * base - start
-    for r in range(len(item)):
-        diag = state + (padded[r:r + width] != item[r]) * base
-        up = np.append(state[1:], big * base) + base
-        best = np.minimum(diag, up)
-        best = np.minimum.accumulate(best - col * base) + col * base
-        edge = lo + r + 1 + col
-        state = np.where((edge >= 0) & (edge <= len(text)), best, (big + len(item)) * base)
-        if state.min() > (budget + 1) * base:
-            return None
-    cost = -(-state // base)
-    c = int(np.argmin(cost))
-    if cost[c] > budget:
-        return None
-    begin = int(cost[c] * base - state[c])
-    return int(cost[c]), begin, lo + len(item) + c
+        # a band together with the next one
+        good = count + after >= self.needed[item]
+        lowest = b[good] * self.width[item[good]] - shift
+        return key[good] // bands // len(self.ids), item[good], lowest
+
+
+def banded_alignments(index: BenchmarkIndex, low: np.ndarray, offsets: np.ndarray, doc: np.ndarray,
+                      item: np.ndarray, lowest: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
+    """(document, item, edits, start, end) of the best occurrence of each whole item whose path
+    keeps to the diagonals of its two bands, widened by the edit budget; none beyond the budget.
+    Among equal edits the first end, then the latest start.  All regions advance together,
+    one item byte at a time, and leave when no cell is within their budget."""
+    size, budget = index.size[item], index.budget[item]
+    lo = lowest - budget                                    # diagonal of column 0
+    wide = 2 * index.width[item] + 2 * budget
+    col, rows = np.arange(int(wide.max())), int(size.max())
+    base, none = 1 << 40, 1 << 60
+    length = offsets[doc + 1] - offsets[doc]
+    at = lo[:, None] + np.arange(len(col) + rows)
+    ok = (at >= 0) & (at < length[:, None])
+    text = np.where(ok, low[np.where(ok, at + offsets[doc][:, None], 0)], 256).astype(np.int16)
+    pattern = np.zeros((len(item), rows), np.int16)
+    for i, t in enumerate(item):
+        pattern[i, :size[i]] = index.low[t]
+    # cost and start in one number: less cost first, then the later start
+    edge = lo[:, None] + col
+    valid = (edge >= 0) & (edge <= length[:, None]) & (col < wide[:, None])
+    state = np.where(valid, -edge, none)
+    live = np.arange(len(item))
+    for r in range(rows):
+        best = state + (text[live, r:r + len(col)] != pattern[live, r][:, None]) * base
+        best[:, :-1] = np.minimum(best[:, :-1], state[:, 1:] + base)
+        best = np.minimum.accumulate(best - col * base, axis=1) + col * base
+        edge = lo[live][:, None] + r + 1 + col
+        valid = (edge >= 0) & (edge <= length[live][:, None]) & (col < wide[live][:, None])
+        state = np.where(valid, best, none)
+        for i in np.flatnonzero(size[live] == r + 1):
+            c, k = live[i], int(np.argmin(-(-state[i] // base)))
+            edits = int(-(-state[i, k] // base))
+            if edits <= budget[c]:
+                yield (int(doc[c]), int(item[c]), edits, int(edits * base - state[i, k]),
+                       int(lo[c] + r + 1 + k))
+        stay = (size[live] > r + 1) & (state.min(axis=1) <= budget[live] * base)
+        live, state = live[stay], state[stay]
+        if not len(live):
+            return
 
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_RATE,
@@ -194,11 +202,11 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_
             for ids, data, off in byte_batches(it):
                 low, loff, at = fold(data, off)
                 found: dict[tuple[int, int], list] = {}
-                for d, t, lowest, highest in index.regions(low, loff):
-                    hit = banded_alignment(index.low[t], low[loff[d]:loff[d + 1]], lowest, highest,
-                                           int(index.budget[t]))
-                    if hit:
-                        found.setdefault((d, t), []).append(hit)
+                regions = index.regions(low, loff)
+                for i in range(0, len(regions[0]), REGIONS):
+                    for d, t, *hit in banded_alignments(index, low, loff,
+                                                        *(x[i:i + REGIONS] for x in regions)):
+                        found.setdefault((d, t), []).append(tuple(hit))
                 rows = []
                 for (d, t), hits in found.items():
                     taken: list[tuple[int, int]] = []
