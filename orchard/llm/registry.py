@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from orchard.llm import decontaminate, embed_dedup, line_dedup, ngram_join, packing, quality, suffix_dedup, toxicity
+from orchard.llm import decontaminate, embed_dedup, line_dedup, ngram_join, packing, pii, quality, suffix_dedup, toxicity
 
-_MODULES = (quality, toxicity, embed_dedup, decontaminate, line_dedup, ngram_join, packing, suffix_dedup)
+_MODULES = (quality, toxicity, embed_dedup, decontaminate, line_dedup, pii, ngram_join, packing, suffix_dedup)
 
 QUERIES = {k: f for m in _MODULES for k, f in m.QUERIES.items()}
 ORACLE = {k: sql for m in _MODULES for k, sql in getattr(m, "ORACLE", {}).items()}
