@@ -110,7 +110,7 @@ def mix64(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
-def byte_runs(it, max_bytes: int = 3_000_000) -> Iterator[tuple]:
+def byte_runs(it, max_bytes: int = 1_500_000) -> Iterator[tuple]:
     """(rows, bytes, offsets) of Arrow batches whose second column is a text, in runs of
     about ``max_bytes``: the text of row k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.
     A longer text comes alone, whole."""
@@ -128,7 +128,7 @@ def byte_runs(it, max_bytes: int = 3_000_000) -> Iterator[tuple]:
             lo = hi
 
 
-def byte_batches(it, max_bytes: int = 3_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def byte_batches(it, max_bytes: int = 1_500_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``byte_runs`` of (id, text) batches with the ids as a list."""
     for rows, data, off in byte_runs(it, max_bytes):
         yield rows.column(0).to_pylist(), data, off
