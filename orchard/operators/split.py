@@ -18,14 +18,26 @@ from pyspark.sql import functions as F
 from orchard.functions.hashing import md5_bucket, md5_unit, step_unit
 
 SPLIT_NAMES = ("train", "validation", "test")
+# Finest division of the 32 hash bits that still leaves buckets even to 1 part in 4,000.
+MAX_BUCKETS = 1_000_000
 
 
 def _int_weights(weights: Sequence[float]) -> list[int]:
-    fr = [Fraction(w).limit_denominator(1000) for w in weights]
+    """Whole numbers in exactly the ratio of ``weights`` (floats as they are written).
+
+    Buckets come from 32 hash bits, so weights that need a finer division, and
+    negative or all-zero ones, are an error instead of a rounded split.
+    """
+    fr = [Fraction(str(w)) for w in weights]
+    if any(f < 0 for f in fr) or not any(fr):
+        raise ValueError(f"weights must be >= 0 and not all 0: {weights}")
     den = reduce(lambda a, b: a * b // gcd(a, b), [f.denominator for f in fr], 1)
     ints = [int(f * den) for f in fr]
     g = reduce(gcd, ints)
-    return [i // g for i in ints]
+    ints = [i // g for i in ints]
+    if sum(ints) > MAX_BUCKETS:
+        raise ValueError(f"weights {weights} need {sum(ints)} buckets, more than {MAX_BUCKETS}")
+    return ints
 
 
 def split_column(key: Column, weights: Sequence[float] = (8, 1, 1),

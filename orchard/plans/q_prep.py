@@ -24,17 +24,18 @@ def q_src_titles_pipe(spark, sf):
     return TX.parse_titles(V.titles_line(spark, sf))
 
 
+def _numbers():
+    return [F.col("numeric").getItem(j).alias(f"x{j}") for j in range(4)]
+
+
 def q_src_pages_train_tsv(spark, sf):
     p = TX.parse_pages(V.page_line(spark, sf), labelled=True)
-    return p.select("url", "category", F.size("numeric").alias("n_numeric"),
-                    F.col("numeric").getItem(0).alias("x0"), "label")
+    return p.select("url", "category", F.size("numeric").alias("n_numeric"), *_numbers(), "label")
 
 
 def q_src_pages_score_tsv(spark, sf):
-    p = TX.parse_pages(V.page_line(spark, sf), labelled=False)
-    return p.select("url", "category", F.size("numeric").alias("n_numeric"),
-                    F.col("numeric").getItem(0).alias("x0"),
-                    F.col("numeric").getItem(1).alias("x1"))
+    p = TX.parse_pages(V.page_line_new(spark, sf), labelled=False)
+    return p.select("url", "category", F.size("numeric").alias("n_numeric"), *_numbers())
 
 
 def q_src_numeric_csv(spark, sf):
@@ -51,9 +52,7 @@ def q_src_hourly_csv(spark, sf):
 
 
 def q_src_drop_header(spark, sf):
-    lines = V.page_line(spark, sf)
-    header = spark.createDataFrame([(V.PAGE_HEADER,)], "value string")
-    return TX.drop_header(header.unionByName(lines).unionByName(header), V.PAGE_HEADER)
+    return TX.drop_header(V.page_files(spark, sf), "file", "line").select("file", "value")
 
 
 def q_sink_report(spark, sf):
@@ -80,13 +79,13 @@ def _page_fields(spark, sf):
 
 def q_prep_strip_quotes(spark, sf):
     f = F.col("f")
-    return _page_fields(spark, sf).select(*[f.getItem(i).alias(f"c{i}") for i in range(6)])
+    return _page_fields(spark, sf).select(*[f.getItem(i).alias(f"c{i}") for i in range(9)])
 
 
 def q_prep_missing_to_zero(spark, sf):
     f = F.col("f")
     return _page_fields(spark, sf).select(f.getItem(1).cast("bigint").alias("doc_id"),
-                                          prep.missing_to_zero(f.getItem(4)).alias("value"))
+                                          prep.missing_to_zero(f.getItem(6)).alias("value"))
 
 
 def q_prep_clamp_nonneg(spark, sf):
@@ -97,8 +96,10 @@ def q_prep_clamp_nonneg(spark, sf):
 def q_prep_field_slice(spark, sf):
     f = F.col("f")
     s = prep.field_slice(f, 4, until_from_end=1)
+    one = prep.field_slice(f, 2, until=3)
     return _page_fields(spark, sf).select(f.getItem(1).cast("bigint").alias("doc_id"),
-                                          F.size(s).alias("n"), s.getItem(0).alias("first"))
+                                          F.size(s).alias("n"), s.getItem(0).alias("first"),
+                                          F.size(one).alias("n_inner"), one.getItem(0).alias("inner"))
 
 
 def q_prep_label_last(spark, sf):

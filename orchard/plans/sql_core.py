@@ -21,11 +21,11 @@ CORE_SQL = {}
 
 CORE_SQL["src_ratings_tsv"] = f"{W}{G.RATINGS} SELECT user_id, item_id, rating FROM ratings"
 CORE_SQL["src_titles_pipe"] = f"{W}{G.TITLES} SELECT item_id, title FROM titles"
-_X0 = "CASE WHEN doc_id % 11 = 0 THEN 0.0 ELSE CAST(n_chars AS DOUBLE) END"
-CORE_SQL["src_pages_train_tsv"] = f"""SELECT source AS url, lang AS category, CAST(1 AS INTEGER) AS n_numeric,
-  {_X0} AS x0, CAST(1 AS INTEGER) AS label FROM documents"""
-CORE_SQL["src_pages_score_tsv"] = f"""SELECT source AS url, lang AS category, CAST(2 AS INTEGER) AS n_numeric,
-  {_X0} AS x0, CAST(1.0 AS DOUBLE) AS x1 FROM documents"""
+_X = "f0 AS x0, f1 AS x1, coalesce(f2, 0.0) AS x2, f3 AS x3"
+CORE_SQL["src_pages_train_tsv"] = f"""{W}{G.page_view()}
+SELECT url, category, CAST(4 AS INTEGER) AS n_numeric, {_X}, CAST(label AS INTEGER) AS label FROM pt"""
+CORE_SQL["src_pages_score_tsv"] = f"""{W}{G.page_view()}
+SELECT url, category, CAST(4 AS INTEGER) AS n_numeric, {_X} FROM ps"""
 CORE_SQL["src_numeric_csv"] = """SELECT vec_id, label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT vec_id, CAST(label AS DOUBLE) AS label, unnest(range(64)) AS j,
          unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)"""
@@ -34,7 +34,13 @@ CORE_SQL["src_hourly_csv"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, CAST(label AS INTEGER) AS label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT hs, label, unnest(range(11)) AS j,
          unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in _HF.split(", "))}]) AS v FROM hourly)"""
-CORE_SQL["src_drop_header"] = f"{W}{G.PAGE_LINE} SELECT value FROM page_line"
+# each of the ten files keeps the data line that reads like its header
+CORE_SQL["src_drop_header"] = f"""{W}{G.page_view()},
+{G.PAGE_LINE},
+filed AS (SELECT CAST(doc_id % 10 AS INTEGER) AS file, value FROM page_line)
+SELECT file, value FROM filed
+UNION ALL
+SELECT DISTINCT file, concat_ws(chr(9), 'url', 'id', 'x', 'category', 'f0', 'f1', 'f2', 'f3', 'label') FROM filed"""
 CORE_SQL["sink_report"] = f"""{_pages_nb(True)},
 {G.nb_model_cte('feat', D_PAGE, NB_LAMBDA)},
 c0 AS (SELECT * FROM nbm WHERE label = 0), c1 AS (SELECT * FROM nbm WHERE label = 1),
@@ -45,14 +51,17 @@ SELECT doc_id, concat('url: ', url, ' ==> ',
 CORE_SQL["prep_split_take"] = f"""{W}{G.RATINGS}
 SELECT CAST(user_id AS VARCHAR) AS f0, CAST(item_id AS VARCHAR) AS f1, CAST(rating AS VARCHAR) AS f2,
        CAST(3 AS INTEGER) AS n FROM ratings"""
-_C4 = "CASE WHEN doc_id % 11 = 0 THEN '?' ELSE CAST(n_chars AS VARCHAR) END"
-CORE_SQL["prep_strip_quotes"] = f"""SELECT source AS c0, CAST(doc_id AS VARCHAR) AS c1, 'x' AS c2,
-  lang AS c3, {_C4} AS c4, '1' AS c5 FROM documents"""
-CORE_SQL["prep_missing_to_zero"] = f"SELECT doc_id, {_X0} AS value FROM documents"
+CORE_SQL["prep_strip_quotes"] = f"""{W}{G.page_view()}
+SELECT url AS c0, CAST(doc_id AS VARCHAR) AS c1, 'x' AS c2, category AS c3,
+  {", ".join(f"coalesce(CAST(CAST(f{j} AS BIGINT) AS VARCHAR), '?') AS c{4 + j}" for j in range(4))},
+  CAST(label AS VARCHAR) AS c8 FROM pt"""
+CORE_SQL["prep_missing_to_zero"] = f"{W}{G.page_view()} SELECT doc_id, coalesce(f2, 0.0) AS value FROM pt"
 CORE_SQL["prep_clamp_nonneg"] = f"""{W}{G.page_view()}
 SELECT doc_id, f1, greatest(f1, 0.0) AS f1_clamped FROM pt"""
-CORE_SQL["prep_field_slice"] = f"""SELECT doc_id, CAST(1 AS INTEGER) AS n, {_C4} AS first FROM documents"""
-CORE_SQL["prep_label_last"] = "SELECT doc_id, CAST(1 AS INTEGER) AS label FROM documents"
+CORE_SQL["prep_field_slice"] = f"""{W}{G.page_view()}
+SELECT doc_id, CAST(4 AS INTEGER) AS n, CAST(CAST(f0 AS BIGINT) AS VARCHAR) AS first,
+  CAST(1 AS INTEGER) AS n_inner, 'x' AS "inner" FROM pt"""
+CORE_SQL["prep_label_last"] = f"{W}{G.page_view()} SELECT doc_id, CAST(label AS INTEGER) AS label FROM pt"
 CORE_SQL["prep_label_zero_based"] = """SELECT vec_id, CAST(label AS DOUBLE) AS label,
   CAST(64 AS INTEGER) AS n_features FROM embeddings"""
 CORE_SQL["prep_project_field"] = f"{W}{G.RATINGS} SELECT user_id FROM ratings"

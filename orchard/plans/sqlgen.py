@@ -143,12 +143,12 @@ hourly AS (
          strftime(h, '%Y-%m-%d %H:%M:%S') AS hs
   FROM hourly0)"""
 
-PAGE_LINE = """page_line AS (
-  SELECT concat_ws(chr(9), concat('"', source, '"'), CAST(doc_id AS VARCHAR), '"x"',
-         concat('"', lang, '"'),
-         CASE WHEN doc_id % 11 = 0 THEN '"?"' ELSE concat('"', CAST(n_chars AS VARCHAR), '"') END,
-         '"1"') AS value
-  FROM documents)"""
+_QUOTED = ", ".join(f"concat('\"', coalesce(CAST(CAST({c} AS BIGINT) AS VARCHAR), '?'), '\"')"
+                    for c in ("f0", "f1", "f2", "f3"))
+PAGE_LINE = f"""page_line AS (
+  SELECT doc_id, concat_ws(chr(9), concat('"', url, '"'), CAST(doc_id AS VARCHAR), '"x"',
+         concat('"', category, '"'), {_QUOTED}, concat('"', CAST(label AS VARCHAR), '"')) AS value
+  FROM pt)"""
 
 
 def case_map(col: str, table: dict) -> str:

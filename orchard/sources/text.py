@@ -1,19 +1,24 @@
 """Delimited text readers (S1-S7).  Positional layouts become explicit columns.
 
-File readers use Spark's CSV/text sources (header dropped per file, quoting
-off so a quote never hides a delimiter); the ``parse_*`` functions do the same
-on a DataFrame of lines (column ``value``), which is how lines that are
-already in a table are handled.
+File readers keep every line whole (each file's first line is dropped where the
+layout has a header) and the ``parse_*`` functions split it once, so a row keeps
+all of its own fields however many the header has.  The same functions take a
+DataFrame of lines (column ``value``), which is how lines that are already in a
+table are handled.  Lines too short for a layout are left out of the parsed rows
+and listed by the ``reject_*`` functions.
 """
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.functions import prep
 
 TAB, PIPE, COMMA = "\t", "|", ","
+_NO_DELIMITER = "\uffff"       # a code point that is never a character
 
 
 def _cast(c, t, mode):
@@ -42,9 +47,10 @@ def parse_pages(lines: DataFrame, labelled: bool = True, col: str = "value",
     """Page layout: 0 url, 3 category, 4.. numbers ('?' = missing), last = label.
 
     Output: url, category, numeric array<double>[, label int].  Quotes are
-    stripped from every field; rows too short for the layout are dropped
-    by ``reject_short_pages``.
+    stripped from every field.  Lines too short for the layout (and NULL lines)
+    are left out in either mode; ``reject_short_pages`` lists them.
     """
+    lines = lines.where(F.size(prep.split_fields(col, TAB)) >= _page_width(labelled))
     raw = prep.split_fields(col, TAB)
     f = prep.strip_quotes_all(raw)
     until = 1 if labelled else 0
@@ -56,10 +62,15 @@ def parse_pages(lines: DataFrame, labelled: bool = True, col: str = "value",
     return lines.select(*cols)
 
 
+def _page_width(labelled: bool) -> int:
+    """Fewest fields of a page line: four leading ones, one number and the label."""
+    return 6 if labelled else 5
+
+
 def reject_short_pages(lines: DataFrame, labelled: bool = True, col: str = "value") -> DataFrame:
-    """Lines with fewer fields than the layout needs (counted, not parsed)."""
-    need = 6 if labelled else 5
-    return lines.where(F.size(prep.split_fields(col, TAB)) < need)
+    """Lines with fewer fields than the layout needs, NULL lines included (not parsed)."""
+    width = F.size(prep.split_fields(col, TAB))
+    return lines.where(F.col(col).isNull() | (width < _page_width(labelled)))
 
 
 def parse_numeric(lines: DataFrame, col: str = "value", keep: tuple = ()) -> DataFrame:
@@ -77,9 +88,20 @@ def parse_hourly(lines: DataFrame, col: str = "value", keep: tuple = ()) -> Data
                         prep.label_last(f).alias("label"))
 
 
-def drop_header(lines: DataFrame, header: str, col: str = "value") -> DataFrame:
-    """Drop header lines, whichever file or partition they come from."""
-    return lines.where(F.col(col) != F.lit(header))
+def drop_header(lines: DataFrame, file: str | Sequence[str], line: str) -> DataFrame:
+    """Drop each file's first line, whatever it and the other lines say.
+
+    ``file`` names the column(s) that identify a file and ``line`` the one that
+    orders its lines.  Only (file, least line) rows are combined and joined; the
+    lines stay where they are unless their files are many.
+    """
+    by = [file] if isinstance(file, str) else list(file)
+    first = lines.groupBy(*by).agg(F.min(line).alias("__first"))
+    same = [lines[c].eqNullSafe(first[c]) for c in by]
+    cond = lines[line] == first["__first"]
+    for s in same:
+        cond = cond & s
+    return lines.join(first, cond, "left_anti")
 
 
 # ---- file readers ------------------------------------------------------------
@@ -97,16 +119,26 @@ def read_titles(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_delimited_with_header(spark: SparkSession, path: str, sep: str) -> DataFrame:
-    """Every file's first line is its header and is dropped (per file, not per
-    partition); quoting is off so quotes stay in the fields."""
-    df = (spark.read.option("header", True).option("sep", sep).option("quote", "")
-          .option("escape", "").option("inferSchema", False).csv(path))
-    return df.select(F.concat_ws(sep, *[F.coalesce(F.col(f"`{c}`"), F.lit(""))
-                                        for c in df.columns]).alias("value"))
+    """Whole lines (``value``) without each file's first one; blank lines are skipped.
+
+    The CSV source drops the header per file, also when a file is split over
+    tasks.  Its delimiter is a character that text cannot hold, so that a line
+    is one field; ``sep`` only has to be the layout's delimiter, not that one.
+    """
+    if sep == _NO_DELIMITER:
+        raise ValueError("U+FFFF cannot be a delimiter")
+    return (spark.read.schema("value string").option("header", True).option("sep", _NO_DELIMITER)
+            .option("quote", "").option("escape", "").option("enforceSchema", True).csv(path))
+
+
+def read_pages(spark: SparkSession, path: str, labelled: bool = True,
+               mode: str = "strict") -> DataFrame:
+    return parse_pages(read_delimited_with_header(spark, path, TAB), labelled, mode=mode)
 
 
-def read_pages(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
-    return parse_pages(read_delimited_with_header(spark, path, TAB), labelled)
+def read_page_rejects(spark: SparkSession, path: str, labelled: bool = True) -> DataFrame:
+    """Lines of the files that ``read_pages`` leaves out."""
+    return reject_short_pages(read_delimited_with_header(spark, path, TAB), labelled)
 
 
 def read_numeric(spark: SparkSession, path: str) -> DataFrame:

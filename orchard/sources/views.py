@@ -79,16 +79,34 @@ def page_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _page_features(spark, sf_dir).join(lab, "doc_id", "left_anti")
 
 
-def page_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tab-separated, quoted text lines in the labelled-page layout."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+def _page_text(pages: DataFrame, *last: str) -> DataFrame:
+    """(doc_id, value): quoted, tab-separated lines; a missing number is ``"?"``."""
     q = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    return d.select(F.concat_ws(
-        "\t", q(F.col("source")), F.col("doc_id").cast("string"), F.lit('"x"'),
-        q(F.col("lang")),
-        F.when(F.col("doc_id") % 11 == 0, F.lit('"?"'))
-        .otherwise(q(F.col("n_chars").cast("string"))),
-        F.lit('"1"')).alias("value"))
+    nums = [q(F.coalesce(F.col(c).cast("bigint").cast("string"), F.lit("?"))) for c in PAGE_NUMERIC]
+    return pages.select("doc_id", F.concat_ws(
+        "\t", q(F.col("url")), F.col("doc_id").cast("string"), F.lit('"x"'), q(F.col("category")),
+        *nums, *[q(F.col(c).cast("string")) for c in last]).alias("value"))
+
+
+def page_line(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled pages as text lines, the label last."""
+    return _page_text(page_train(spark, sf_dir), "label").select("value")
+
+
+def page_line_new(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unlabelled pages as text lines: the same layout without the label."""
+    return _page_text(page_score(spark, sf_dir)).select("value")
+
+
+def page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file, line, value): the labelled lines as ten files, each with a header line
+    in front and, as data, one line that reads like the header at its end."""
+    rows = _page_text(page_train(spark, sf_dir), "label").select(
+        (F.col("doc_id") % 10).cast("int").alias("file"), (F.col("doc_id") + 1).alias("line"), "value")
+    ends = rows.groupBy("file").agg(F.max("line").alias("last")).select(
+        "file", F.explode(F.array(F.lit(0).cast("bigint"), F.col("last") + 1)).alias("line"),
+        F.lit(PAGE_HEADER).alias("value"))
+    return rows.unionByName(ends)
 
 
 # ---- binary_big (model quality) ---------------------------------------------
@@ -142,19 +160,23 @@ HOURLY_FEATURES = ["season", "mnth", "hr", "holiday", "weekday", "workingday",
 def hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events counted per hour with calendar codes and derived weather."""
     ev = table(spark, sf_dir, "events").select("ts")
-    dow = F.dayofweek("ts") - 1
     g = ev.groupBy(
         # hour of the wall clock, kept as TIMESTAMP_NTZ: no session time zone
         # (or daylight-saving gap) ever shifts an event to another hour
-        F.to_timestamp_ntz(F.date_format("ts", "yyyy-MM-dd HH:00:00")).alias("h"),
-        F.quarter("ts").cast("int").alias("season"),
-        F.month("ts").cast("int").alias("mnth"),
-        F.hour("ts").cast("int").alias("hr"),
-        F.when((F.month("ts") == 1) & (F.dayofmonth("ts") == 1), 1).otherwise(0).alias("holiday"),
+        F.make_timestamp_ntz(F.year("ts"), F.month("ts"), F.dayofmonth("ts"), F.hour("ts"),
+                             F.lit(0), F.lit(0).cast("decimal(16,6)")).alias("h"),
+    ).agg(F.count(F.lit(1)).alias("label"))
+    # every calendar column is a function of the hour: derived after the aggregate
+    dow = F.dayofweek("h") - 1
+    g = g.select(
+        "h",
+        F.quarter("h").cast("int").alias("season"),
+        F.month("h").cast("int").alias("mnth"),
+        F.hour("h").cast("int").alias("hr"),
+        F.when((F.month("h") == 1) & (F.dayofmonth("h") == 1), 1).otherwise(0).alias("holiday"),
         dow.cast("int").alias("weekday"),
         F.when(dow.isin(0, 6), 0).otherwise(1).alias("workingday"),
-        (F.hour("ts") % 4 + 1).cast("int").alias("weathersit"),
-    ).agg(F.count(F.lit(1)).alias("label"))
+        (F.hour("h") % 4 + 1).cast("int").alias("weathersit"), "label")
     hr = F.col("hr")
     # The four normalised weather columns have no source table; derive them
     # from the hour so reports and trees have values to work with.
@@ -201,4 +223,4 @@ def titles_line(spark: SparkSession, sf_dir: str) -> DataFrame:
                                 F.col("p_brand")).alias("value"))
 
 
-PAGE_HEADER = "url\tid\tx\tcategory\tf0\tlabel"
+PAGE_HEADER = "url\tid\tx\tcategory\tf0\tf1\tf2\tf3\tlabel"

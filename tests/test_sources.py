@@ -56,3 +56,26 @@ def test_numeric_and_hourly(spark, tmpdir_fresh):
     rows = TX.read_hourly(spark, h).orderBy("label").collect()
     assert len(rows) == 2 and rows[0].label == 7 and len(rows[0].features) == 11
     assert rows[0].features[:3] == [1.0, 1.0, 5.0]
+
+
+def test_long_short_null_and_header_like_lines(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "odd")
+    os.makedirs(d)
+    header = "url\tid\tx\tcategory\tf0\tlabel"
+    _write(os.path.join(d, "a.tsv"), [header, "u1\t1\tx\tc\t4\t1", "u2\t2\tx\tc\t5\t6\t0", "short\tline", header.replace("label", "0").replace("f0", "9")])
+    _write(os.path.join(d, "b.tsv"), ["another header of this file", "u3\t3\tx\tc\t7\t1"])
+    rows = {r.url: r for r in TX.read_pages(spark, d).collect()}
+    # a row longer than its header keeps its own last field as the label
+    assert rows["u2"].numeric == [5.0, 6.0] and rows["u2"].label == 0
+    assert rows["u1"].numeric == [4.0] and rows["u3"].label == 1 and rows["url"].numeric == [9.0]
+    assert [r.value for r in TX.read_page_rejects(spark, d).collect()] == ["short\tline"]
+    lines = spark.createDataFrame([("u\t1\tx\tc\t4\t1",), ("a",), (None,), ("",)], "value string")
+    for mode in ("strict", "permissive"):
+        assert TX.parse_pages(lines, mode=mode).count() == 1
+    assert TX.reject_short_pages(lines).count() == 3
+
+
+def test_drop_header_takes_the_first_line_of_each_file_only(spark):
+    rows = [("a", 1, "head"), ("a", 2, "x"), ("a", 3, "head"), ("b", 5, "other"), ("b", 6, None), (None, 1, "h"), (None, 2, "y")]
+    got = TX.drop_header(spark.createDataFrame(rows, "file string, line int, value string"), "file", "line")
+    assert sorted((r.file or "", r.line) for r in got.collect()) == [("", 2), ("a", 2), ("a", 3), ("b", 6)]

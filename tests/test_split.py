@@ -40,3 +40,16 @@ def test_reliable_cuts_lineage_into_checkpoint_folder(spark):
     r = reliable(df)
     assert "Aggregate" not in r._jdf.queryExecution().logical().toString()
     assert sorted(x.k for x in r.collect()) == list(range(7))
+
+
+def test_small_weights_are_exact_or_refused(spark):
+    import pytest
+    assert SP._int_weights([0.9998, 0.0001, 0.0001]) == [9998, 1, 1]
+    assert SP._int_weights([0.999, 0.0005, 0.0005]) == [1998, 1, 1]
+    assert SP._int_weights([1, 0, 3]) == [1, 0, 3]
+    for bad in ([1, 1e-9, 0], [-1, 2], [0, 0]):
+        with pytest.raises(ValueError):
+            SP._int_weights(bad)
+    df = spark.range(40_000).select(F.col("id").alias("k"))
+    n = {r.split: r.n for r in SP.split_counts(SP.assign_split(df, F.col("k"), (0.998, 0.001, 0.001))).collect()}
+    assert sum(n.values()) == 40_000 and n["validation"] > 10 and n["test"] > 10

@@ -22,4 +22,5 @@ def test_view_counts(spark):
     assert bb.select("category").distinct().count() == 5
     assert V.multi(spark, SF_MID).count() == 500
     assert V.hourly(spark, SF_MID).count() == 720
-    assert V.page_line(spark, SF_MID).count() == 1000
+    assert V.page_line(spark, SF_MID).count() == 399
+    assert V.page_line_new(spark, SF_MID).count() == 601
