@@ -38,7 +38,7 @@ from orchard.llm.common import (Powers, byte_runs, components, cut, mix64, prefi
 
 WORDS = 5
 PERCENT = 80                    # link when 100 * shared >= PERCENT * united
-BUCKET_BYTES = 24_000_000       # text per token bucket
+BUCKET_BYTES = 8_000_000       # text per token bucket
 GROUP = 2_000                   # texts of a group compared in one task
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
@@ -79,7 +79,7 @@ def _dealt(rows: DataFrame, words: int, buckets: int) -> DataFrame:
 
     def run(it):
         powers = Powers()
-        for b, data, off in byte_runs(it, 8_000_000):
+        for b, data, off in byte_runs(it, 2_000_000):
             token, owner = shingle_sets(data, off, powers, words)
             node = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             size = np.bincount(owner, minlength=len(node)).astype(np.int64)
@@ -104,10 +104,11 @@ def _dealt(rows: DataFrame, words: int, buckets: int) -> DataFrame:
 
 
 def _shared_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Tokens of one bucket that at least two nodes have, with the number of those (df);
-    rows with df 0 carry the set size of a node instead."""
+    """Tokens of one bucket that at least two nodes have, numbered in the global order: the
+    number of those nodes (up to 65,535) above 47 bits of the token's hash.  Negative
+    tokens carry the set size of a node instead (-1 - n)."""
     token, node, sized = [], [], []
-    for t, o, n, s in zip(pdf["tokens"], pdf["owners"], pdf["nodes"], pdf["sizes"]):
+    for t, o, n, s in pdf[["tokens", "owners", "nodes", "sizes"]].itertuples(index=False):
         if t:
             who = np.frombuffer(n, np.int64)
             local = np.frombuffer(o, np.uint16 if len(who) < 2**16 else np.uint32)
@@ -134,13 +135,12 @@ def _shared_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
     token, node = token[new], node[new]
     _, inverse, df = np.unique(token, return_inverse=True, return_counts=True)
     df = df[inverse] if len(token) else np.empty(0, np.int64)
-    keep = df > 1
-    order = np.argsort(node[keep], kind="stable")
+    rank = (np.minimum(df, 65535).astype(np.int64) << 47) | (token >> np.uint64(16)).astype(np.int64)
+    node, rank = node[df > 1], rank[df > 1]
+    order = np.argsort(node, kind="stable")
     size = np.concatenate(sized, axis=1) if sized else np.empty((2, 0), np.int64)
-    return pd.DataFrame({
-        "node": np.concatenate((node[keep][order], size[0])),
-        "token": np.concatenate((token[keep][order].view(np.int64), size[1])),
-        "df": np.concatenate((df[keep][order], np.zeros(size.shape[1], np.int64)))})
+    return pd.DataFrame({"node": np.concatenate((node[order], size[0])),
+                         "token": np.concatenate((rank[order], -1 - size[1]))})
 
 
 class PrefixTree:
@@ -268,15 +268,9 @@ def group_links(seqs: list[np.ndarray], sizes: np.ndarray, side: np.ndarray,
 def _group_task(percent: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("node")
-        df = [np.asarray(d, np.int64) for d in pdf["dfs"]]
         token = [np.asarray(t, np.int64) for t in pdf["tokens"]]
-        flat_df, flat_t = np.concatenate(df), np.concatenate(token)
-        order = np.lexsort((flat_t, flat_df))
-        new = np.ones(len(order), bool)
-        new[1:] = flat_t[order][1:] != flat_t[order][:-1]
-        rank = np.empty(len(order), np.int64)
-        rank[order] = np.cumsum(new) - 1
-        seqs = [np.sort(r) for r in np.split(rank, np.cumsum([len(t) for t in token])[:-1])]
+        _, rank = np.unique(np.concatenate(token), return_inverse=True)
+        seqs = np.split(rank, np.cumsum([len(t) for t in token])[:-1])
         node = pdf["node"].to_numpy(np.int64)
         links = group_links(seqs, pdf["n"].to_numpy(np.int64), pdf["side"].to_numpy(np.int64), percent)
         return pd.DataFrame({"a": [node[i] for i, _ in links], "b": [node[j] for _, j in links]},
@@ -301,20 +295,22 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                          .where("c > 1"), "node").where("k <> one").select("k").distinct())
     one_each = restrict(rows, extra, "k", "left_anti").select("node", "text")
     shared = (_dealt(one_each, words, buckets).groupBy("bucket")
-              .applyInPandas(_shared_tokens, "node long, token long, df long"))
+              .applyInPandas(_shared_tokens, "node long, token long"))
     with written(shared) as shared:
-        sizes = cut(shared.where("df = 0").select("node", F.col("token").alias("n")).distinct())
+        sizes = cut(shared.where("token < 0").select("node", (-1 - F.col("token")).alias("n")).distinct())
         # a link needs at least percent % of the set's own tokens to be shared
         least = F.ceil(F.lit(percent) * F.col("n") / 100)
-        counts = shared.where("df > 0").groupBy("node").count()
+        shared = shared.where("token >= 0")
+        counts = shared.groupBy("node").count()
         hopeful = cut(counts.join(sizes, "node").where(F.col("count") >= least).select("node", "n"))
-        sets = cut(restrict(shared.where("df > 0"), hopeful.select("node"), "node")
-                   .groupBy("node").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("s"))
-                   .join(hopeful, "node")
-                   .select("node", "n", F.col("s.df").alias("dfs"), F.col("s.token").alias("tokens")))
+        sets = cut(restrict(shared, hopeful.select("node"), "node")
+                   .groupBy("node").agg(F.array_sort(F.collect_list("token")).alias("tokens"))
+                   .join(hopeful, "node").select("node", "n", "tokens"))
     front = F.slice("tokens", 1, (F.size("tokens") - least + 1).cast("int"))
     firsts = sets.select("node", F.explode(front).alias("token"))
-    ties = (firsts.join(firsts.groupBy("token").agg(F.min("node").alias("to")), "token")
+    least_node = cut(firsts.groupBy("token").agg(F.min("node").alias("to"), F.max("node").alias("last"))
+                     .where("to <> last").select("token", "to"))
+    ties = (firsts.join(least_node, "token")
             .where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")).distinct())
     member = components(ties).withColumnRenamed("component_id", "comp")
     big = member.groupBy("comp").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
@@ -324,7 +320,7 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     blocks = pairs.select("comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                           F.when(F.col("part") > F.col("other"), 1).otherwise(0).cast("long").alias("side"),
-                          "node", "n", "dfs", "tokens")
+                          "node", "n", "tokens")
     links = cut(blocks.groupBy("comp", "i", "j").applyInPandas(_group_task(percent), "a long, b long"))
     return sizes, links
 
