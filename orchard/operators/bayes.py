@@ -16,13 +16,22 @@ from pyspark.sql import functions as F
 from orchard.operators.common import dot
 
 
+def _usable(df: DataFrame, dim: int, features: str, label: str) -> DataFrame:
+    return df.where((F.size(features) == dim) & F.col(label).isNotNull())
+
+
 def class_stats(df: DataFrame, dim: int, features: str = "features",
                 label: str = "label") -> DataFrame:
-    """(label, n, s0..s{d-1}, min_x): count and per-feature sums per class."""
+    """(label, n, s0..s{d-1}, min_x): count and per-feature sums per class.
+
+    Rows without a full feature vector or without a label do not count.
+    """
+    df = _usable(df, dim, features, label)
     x = F.col(features)
     aggs = [F.count(F.lit(1)).alias("n")]
     aggs += [F.sum(x.getItem(j)).alias(f"s{j}") for j in range(dim)]
-    aggs.append(F.least(*[F.min(x.getItem(j)) for j in range(dim)]).alias("min_x"))
+    lows = [F.min(x.getItem(j)) for j in range(dim)]
+    aggs.append((F.least(*lows) if dim > 1 else lows[0]).alias("min_x"))
     return df.groupBy(F.col(label).cast("double").alias("label")).agg(*aggs)
 
 
@@ -93,6 +102,7 @@ def fit_stats(df: DataFrame, dim: int, features: str = "features",
     from orchard.operators import common
     if dim <= common.WIDE_DIM:
         return collect_stats(class_stats(df, dim, features, label), dim)
+    df = _usable(df, dim, features, label)
     long = df.select(F.col(label).cast("double").alias("label"),
                      F.posexplode_outer(features).alias("j", "v")).where(F.col("j").isNotNull())
     rows = long.groupBy("label", "j").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("s"),
@@ -176,6 +186,7 @@ def fit_page_stats(df: DataFrame, numeric: list[str], category: str = "category"
     scaler = ScalerModel(mean, std, with_mean=False, with_std=True)
     inv = scaler.scale_factors()[1]
     k = len(cats)
+    slot = {c: i for i, c in enumerate(cats)}
     classes: dict[float, list] = {}
     for r in live:
         if r["label"] is None:
@@ -183,7 +194,7 @@ def fit_page_stats(df: DataFrame, numeric: list[str], category: str = "category"
         ent = classes.setdefault(float(r["label"]), [0, [0.0] * (k + len(nums))])
         ent[0] += int(r["n"])
         if r["category"] is not None:
-            ent[1][cats.index(r["category"])] += int(r["n"])
+            ent[1][slot[r["category"]]] += int(r["n"])
         for j in range(len(nums)):
             ent[1][k + j] += float(r[f"s{j}"] or 0.0)
     stats = [(lab, cnt, [s * f for s, f in zip(sums, inv)])

@@ -5,13 +5,14 @@ from __future__ import annotations
 import contextlib
 from typing import Iterator, Sequence
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Above this many features one aggregate column per feature would make a
-# single huge generated method; wide vectors are handled in long form
-# (``posexplode`` + ``groupBy(j)``, partial-aggregated) instead.
+# Above this many features one expression per feature would make a single huge
+# generated method.  Wide vectors take array expressions or the long form
+# (``posexplode`` + ``groupBy(j)``, partial-aggregated); results are the same.
 WIDE_DIM = 256
 
 # Upper bound on rows of a side we broadcast on our own say-so.  Anything
@@ -61,7 +62,8 @@ def dot(features: str | Column, weights: Sequence[float]) -> Column:
 
 
 def lit_array(values: Sequence[float]) -> Column:
-    return F.array(*[F.lit(float(v)) for v in values])
+    """One array literal, however long."""
+    return F.lit(np.asarray(values, np.float64))
 
 
 def feature_dim(df: DataFrame, features: str = "features") -> int:

@@ -1,10 +1,11 @@
 """Linear models trained by gradient descent on DataFrames.
 
-Each step is ONE distributed aggregate: rows compute their gradient terms
-with the current weights as literals, partial sums are combined per
-partition and only d+1 numbers reach the driver.  Several configurations
-(a grid) advance together in the same scan: their gradient sums are extra
-aggregate columns, never a join of configs to rows.
+Each step is ONE distributed aggregate: rows compute their gradient terms with the
+current weights, partial sums are combined per partition and d+1 numbers per
+configuration reach the driver.  Several configurations (a grid) advance together
+in the same scan, never by a join of configs to rows.  Narrow vectors run as
+generated JVM code; wide ones as Arrow batches and matrix products, with the same
+rows, sums and updates.
 
 Update rule (no intercept, start at 0), for step t = 1..T:
     eta = step / sqrt(t);  g = (1/n) * sum_batch m * x
@@ -20,6 +21,8 @@ import time
 from dataclasses import dataclass, field
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +51,7 @@ class LinearModel:
         return dot(features, self.weights) + F.lit(self.intercept)
 
     def _margin_sql(self, features: str) -> str:
+        """Unrolled products, for vectors narrow enough for one generated method."""
         m = _dot_sql(f"`{features}`", self.weights)
         return m if self.intercept == 0.0 else f"({m}) + {_num(self.intercept)}"
 
@@ -61,7 +65,7 @@ class LinearModel:
         Built as one SQL expression (a single JVM call) when ``features`` is a
         column name, so scoring dozens of grid models stays cheap to plan.
         """
-        if isinstance(features, str):
+        if isinstance(features, str) and len(self.weights) <= common.WIDE_DIM:
             m = self._margin_sql(features)
             score = f"1.0D / (1.0D + exp(-({m})))" if self.kind == "logistic" else f"({m})"
             return F.expr(f"CASE WHEN {score} > {_num(self.threshold)} THEN 1.0D ELSE 0.0D END")
@@ -142,7 +146,9 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     # The loop owns a compact cached copy of (features, label, unit); long
     # runs first write it to the checkpoint folder.
     keep = [c for c in (features, label, unit) if c in df.columns]
-    owned = df.select(*keep)
+    # rows without a full feature vector or a label cannot contribute to a gradient
+    owned = df.select(*keep).where((F.size(features) == dim) & F.col(label).isNotNull()
+                                   & F.forall(features, lambda v: v.isNotNull()))
     if checkpoint or (checkpoint is None and t_max > LONG_RUN_STEPS):
         owned = common.reliable(owned)
     owned = owned.persist(StorageLevel.MEMORY_AND_DISK)
@@ -150,37 +156,15 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     for t in range(1, t_max + 1):
         active = [tr for tr in trajs if not tr.converged]
         if active:
-            # one projection computes each config's multiplier once per row,
-            # one aggregate then sums the d gradient terms of every config.
-            # Expressions go over as SQL text: one call per step instead of
-            # hundreds of small Column round trips from Python.
-            proj, aggs, fr_idx = [f"`{features}` AS __x"], [], {}
-            for tr in active:
-                fr = tr.cfg.mini_batch_fraction
-                if fr not in fr_idx:
-                    k = fr_idx[fr] = len(fr_idx)
-                    # 1.0 / 0.0 batch weight: a multiply keeps the row loop
-                    # branch-free (much faster than a CASE per config)
-                    proj.append(f"CAST({_flag_sql(unit, t, fr)} AS DOUBLE) AS b{k}")
-                    aggs.append(f"CAST(sum(b{k}) AS BIGINT) AS n{k}")
-            ysql = f"CAST(`{label}` AS DOUBLE)"
+            step = _gradients if dim > common.WIDE_DIM else _narrow_gradients
+            counts, sums = step(df, active, t, dim, features, label, unit)
             for i, tr in enumerate(active):
-                m = _multiplier_sql(tr.cfg.kind, _dot_sql("__x", tr.w), ysql)
-                proj.append(f"({m}) * b{fr_idx[tr.cfg.mini_batch_fraction]} AS m{i}")
-                aggs += [f"sum(m{i} * __x[{j}]) AS g{i}_{j}" for j in range(dim)]
-            df_t = df.selectExpr(*proj)
-            if dim <= common.WIDE_DIM:
-                row = df_t.selectExpr(*aggs).first()
-            else:
-                row = _wide_gradients(df_t.withColumnRenamed("__x", "features"), active,
-                                      fr_idx, dim)
-            for i, tr in enumerate(active):
-                n = row[f"n{fr_idx[tr.cfg.mini_batch_fraction]}"]
+                n = counts.get(tr.cfg.mini_batch_fraction, 0)
                 if not n:
                     continue
                 eta = tr.cfg.step_size / math.sqrt(t)
                 shrink = 1.0 - eta * tr.cfg.reg_param
-                new = [shrink * w - eta * (float(row[f"g{i}_{j}"]) / n) for j, w in enumerate(tr.w)]
+                new = [shrink * w - eta * (g / n) for w, g in zip(tr.w, sums[i])]
                 tr.prev, tr.w = tr.w, new
                 tr.updates += 1
                 if tr.updates > 1:
@@ -194,28 +178,107 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     return out, (time.perf_counter() - t0) * 1000.0
 
 
-def _wide_gradients(df_t: DataFrame, active, fr_idx, dim: int) -> dict:
-    """Gradient sums of wide vectors in long form: one ``groupBy(j)`` aggregate
-    (partial per partition, so d rows per partition are shuffled)."""
-    cols = [c for c in df_t.columns if c != "features"]
-    long = df_t.select(*cols, F.posexplode_outer("features").alias("j", "v")) \
-        .where(F.col("j").isNotNull())
-    aggs = [F.sum(F.col(f"b{k}")).cast("bigint").alias(f"n{k}") for k in fr_idx.values()]
-    aggs += [F.sum(F.col(f"m{i}") * F.col("v")).alias(f"g{i}") for i in range(len(active))]
-    out: dict = {}
-    for r in long.groupBy("j").agg(*aggs).collect():
-        j = int(r["j"])
-        for i in range(len(active)):
-            out[f"g{i}_{j}"] = r[f"g{i}"]
-        if j == 0:
-            for k in fr_idx.values():
-                out[f"n{k}"] = r[f"n{k}"]
-    for k in fr_idx.values():
-        out.setdefault(f"n{k}", 0)
-    for i in range(len(active)):
-        for j in range(dim):
-            out.setdefault(f"g{i}_{j}", 0.0)
-    return out
+def _narrow_gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int,
+                      features: str, label: str, unit: str) -> tuple[dict[float, int], list]:
+    """``_gradients`` in generated JVM code, for vectors narrow enough for it.
+
+    One projection computes each configuration's multiplier once per row, one
+    aggregate sums the d gradient terms of every configuration.  Expressions go
+    over as SQL text: one call per step instead of hundreds of Column round trips.
+    """
+    proj, aggs, fr_idx = [f"`{features}` AS __x"], [], {}
+    for tr in active:
+        fr = tr.cfg.mini_batch_fraction
+        if fr not in fr_idx:
+            k = fr_idx[fr] = len(fr_idx)
+            # 1.0 / 0.0 batch weight: a multiply keeps the row loop
+            # branch-free (much faster than a CASE per config)
+            proj.append(f"CAST({_flag_sql(unit, step, fr)} AS DOUBLE) AS b{k}")
+            aggs.append(f"CAST(sum(b{k}) AS BIGINT) AS n{k}")
+    ysql = f"CAST(`{label}` AS DOUBLE)"
+    for i, tr in enumerate(active):
+        m = _multiplier_sql(tr.cfg.kind, _dot_sql("__x", tr.w), ysql)
+        proj.append(f"({m}) * b{fr_idx[tr.cfg.mini_batch_fraction]} AS m{i}")
+        aggs += [f"sum(m{i} * __x[{j}]) AS g{i}_{j}" for j in range(dim)]
+    row = df.selectExpr(*proj).selectExpr(*aggs).first()
+    counts = {fr: row[f"n{k}"] for fr, k in fr_idx.items()}
+    return counts, [[float(row[f"g{i}_{j}"] or 0.0) for j in range(dim)] for i in range(len(active))]
+
+
+# Coordinates of one gradient that travel in one row.
+GRADIENT_BLOCK = 4096
+
+
+def _gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int, features: str,
+               label: str, unit: str) -> tuple[dict[float, int], np.ndarray]:
+    """Mini-batch sizes by fraction and gradient sums (configurations x dim) of one step.
+
+    Arrow batches become one matrix product per batch, whatever the number of
+    features; a partition sends a row per configuration and block of
+    coordinates, and a second stage adds these up block by block.
+    """
+    weights = np.array([tr.w for tr in active], np.float64)
+    kinds = np.array([tr.cfg.kind == "logistic" for tr in active])
+    fractions = sorted({tr.cfg.mini_batch_fraction for tr in active})
+    of = np.array([fractions.index(tr.cfg.mini_batch_fraction) for tr in active])
+    unknown = {tr.cfg.kind for tr in active} - {"logistic", "hinge"}
+    if unknown:
+        raise ValueError(f"unknown loss {unknown.pop()!r}")
+    block, golden = GRADIENT_BLOCK, step * GOLDEN
+    sampled = any(f < 1.0 for f in fractions)
+    schema = pa.schema([("i", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("g", pa.list_(pa.float64()))])
+    ddl = "i int, b int, n long, g array<double>"
+
+    def rows(n: np.ndarray, g: np.ndarray):
+        """Batch sizes are the rows i < 0, gradients the others."""
+        out = [(-1 - k, 0, int(v), [0.0]) for k, v in enumerate(n)]
+        out += [(i, j // block, 0, g[i, j:j + block]) for i in range(len(g)) for j in range(0, dim, block)]
+        return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    def partial(it):
+        n, g = np.zeros(len(fractions), np.int64), np.zeros((len(weights), dim))
+        for b in it:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+            y = b.column(1).to_numpy(zero_copy_only=False)
+            with np.errstate(over="ignore"):
+                margin = x @ weights.T
+                sign = (2.0 * y - 1.0)[:, None]
+                m = np.where(kinds, 1.0 / (1.0 + np.exp(-margin)) - y[:, None],
+                             np.where(sign * margin < 1.0, -sign, 0.0))
+            if sampled:
+                u = b.column(2).to_numpy(zero_copy_only=False) + golden
+                inside = (u - np.floor(u))[:, None] < np.array([f if f < 1.0 else 2.0 for f in fractions])
+                m = m * inside[:, of]
+                n += inside.sum(axis=0)
+            else:
+                n += len(x)
+            g += m.T @ x
+        yield rows(n, g)
+
+    def total(it):
+        sums: dict[tuple[int, int], list] = {}
+        for b in it:
+            for i, k, n, g in zip(*(c.to_pylist() for c in b.columns[:3]), b.column(3)):
+                at = sums.setdefault((i, k), [0, 0.0])
+                at[0] += n
+                at[1] = at[1] + g.values.to_numpy()
+        if sums:
+            out = [(i, k, n, g) for (i, k), (n, g) in sums.items()]
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
+
+    cols = [F.col(features), F.col(label).cast("double")] + ([F.col(unit)] if sampled else [])
+    parts = df.select(*cols).mapInArrow(partial, ddl)
+    blocks = len(fractions) + len(weights) * -(-dim // block)
+    # a few rows per partition: enough reducers for the blocks, each adding in a stream
+    parts = parts.repartition(min(blocks, 64), "i", "b").mapInArrow(total, ddl)
+    counts, sums = dict.fromkeys(fractions, 0), np.zeros((len(weights), dim))
+    for r in parts.collect():
+        if r["i"] < 0:
+            counts[fractions[-1 - r["i"]]] += r["n"]
+        else:
+            at = r["b"] * block
+            sums[r["i"], at:at + len(r["g"])] += r["g"]
+    return counts, sums
 
 
 def fit_sgd(df: DataFrame, kind: str, dim: int, num_iterations: int, step_size: float,

@@ -184,3 +184,36 @@ def test_best_row_of_a_grid_is_its_maximum(spark):
     res2, _ = tune.tune_linear(tr, va, "logistic", 3, tune.grid_entries(
         [("num_iterations", [1, 4]), ("step_size", [0.5, 2.0])]))
     assert tune.pick_best(res2, "auc_hard").first().auc_hard == max(r.auc_hard for r in res2.collect())
+
+
+def test_five_thousand_features_match_mllib(spark):
+    import numpy as np
+    from pyspark.mllib.classification import LogisticRegressionWithSGD, SVMWithSGD
+    from pyspark.mllib.regression import LabeledPoint
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(80, 5000)) * 0.05
+    y = (x[:, :40].sum(axis=1) > 0).astype(float)
+    df = spark.createDataFrame([(i, [float(v) for v in r], float(t)) for i, (r, t) in enumerate(zip(x, y))],
+                               "k long, features array<double>, label double")
+    odd = spark.createDataFrame([(99, None, 1.0), (98, [1.0], 0.0), (97, [0.0] * 5000, None)], df.schema)
+    points = spark.sparkContext.parallelize([LabeledPoint(t, r) for r, t in zip(x, y)], 3)
+    for kind, ref in (("logistic", LogisticRegressionWithSGD.train(points, iterations=4, step=2.0, regParam=0.01,
+                                                                   regType="l2", validateData=False)),
+                      ("hinge", SVMWithSGD.train(points, iterations=4, step=2.0, regParam=0.01, validateData=False))):
+        m = linear.fit_sgd(df.unionByName(odd).repartition(5), kind, 5000, 4, 2.0, 0.01)
+        assert np.allclose(m.weights, ref.weights.toArray(), atol=1e-9) and np.abs(m.weights).max() > 1e-3
+        got = {r.k: r.prediction for r in m.transform(df).collect()}
+        assert [got[i] for i in range(80)] == [float(ref.predict(r)) for r in x]
+    batch = linear.fit_sgd(df.withColumn("u", (df.k % 10) / 10.0), "logistic", 5000, 3, 1.0, 0.0, 0.5)
+    assert np.abs(batch.weights).max() > 0
+
+
+def test_naive_bayes_with_one_feature_and_null_vectors(spark, monkeypatch):
+    from orchard.operators import common
+    rows = [([1.0], 0.0), ([3.0], 1.0), ([5.0], 1.0), (None, 0.0), ([1.0, 2.0], 1.0), ([2.0], None)]
+    df = spark.createDataFrame(rows, "features array<double>, label double")
+    narrow = bayes.fit_stats(df, 1)
+    assert narrow == [(0.0, 1, [1.0]), (1.0, 2, [8.0])]
+    bayes.fit_naive_bayes(df, 1, 1.0)
+    monkeypatch.setattr(common, "WIDE_DIM", 0)
+    assert bayes.fit_stats(df, 1) == narrow
