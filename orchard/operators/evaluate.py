@@ -55,6 +55,18 @@ def accuracy(df: DataFrame, prediction: str = "prediction", label: str = "label"
                   .alias("accuracy"))
 
 
+def accuracy_by(df: DataFrame, by: str, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """One row per value of ``by``: by, n, accuracy."""
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"),
+                              F.avg(F.when(F.col(prediction) == F.col(label), 1.0).otherwise(0.0)).alias("accuracy"))
+
+
+def rmse_by(df: DataFrame, by: str, prediction: str = "prediction", label: str = "label") -> DataFrame:
+    """One row per value of ``by``: by, n, rmse."""
+    e = F.col(prediction).cast("double") - F.col(label).cast("double")
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg(e * e)).alias("rmse"))
+
+
 def rmse(df: DataFrame, prediction: str = "prediction", label: str = "label") -> DataFrame:
     """One row: n, rmse."""
     e = F.col(prediction).cast("double") - F.col(label).cast("double")

@@ -52,6 +52,8 @@ class CategoryIndex:
             j = join_small(df.withColumn("__cat", key),
                            d.withColumnRenamed("category", "__cat"),
                            "__cat", "left", small_rows=self.size).drop("__cat")
+        if on_unknown not in ("error", "zero"):
+            raise ValueError(f"on_unknown must be 'error' or 'zero', not {on_unknown!r}")
         if on_unknown == "error":
             j = j.withColumn(out, F.when(F.col(out).isNull(), F.raise_error(
                 F.concat(F.lit("unknown category: "), F.col(col).cast("string"))))

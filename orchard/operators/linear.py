@@ -132,17 +132,18 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
                  iterations: Sequence[int], features: str = "features",
                  label: str = "label", unit: str = "u",
                  tol: float = CONVERGENCE_TOL,
-                 checkpoint: bool | None = None) -> tuple[dict, float]:
+                 checkpoint: bool | None = None) -> tuple[dict, dict[int, float]]:
     """Advance every config together; snapshot weights at each count in ``iterations``.
 
     ``df`` is scanned once per step through a cached compact copy made here.
     ``unit`` is a per-row uniform (``split.with_unit``) used for mini-batches.
-    Returns ({(config, T): LinearModel}, elapsed_ms).
+    Returns ({(config, T): LinearModel}, {T: milliseconds until step T was done}).
     """
     t0 = time.perf_counter()
     marks = sorted(set(int(i) for i in iterations))
     t_max = marks[-1] if marks else 0
     trajs = [_Trajectory(c, [0.0] * dim) for c in configs]
+    took: dict[int, float] = {}
     # The loop owns a compact cached copy of (features, label, unit); long
     # runs first write it to the checkpoint folder.
     keep = [c for c in (features, label, unit) if c in df.columns]
@@ -171,11 +172,12 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
                     diff = _norm([a - b for a, b in zip(tr.w, tr.prev)])
                     tr.converged = diff < tol * max(_norm(tr.w), 1.0)
         if t in marks:
+            took[t] = (time.perf_counter() - t0) * 1000.0
             for tr in trajs:
                 tr.snapshots[t] = list(tr.w)
     owned.unpersist()
     out = {(tr.cfg, t): LinearModel(tr.cfg.kind, tr.snapshots[t]) for tr in trajs for t in marks}
-    return out, (time.perf_counter() - t0) * 1000.0
+    return out, took
 
 
 def _narrow_gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int,

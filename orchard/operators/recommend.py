@@ -63,18 +63,46 @@ def items_for_users(model: ALSModel, users: DataFrame | None, n: int = 10,
     raw = (model.recommendForAllUsers(n) if users is None
            else model.recommendForUserSubset(users.select("user_id"), n))
     recs = _explode_recs(raw, "user_id", "item_id")
-    if titles is not None:
-        # titles is a dimension table keyed by item_id; AQE broadcasts it when
-        # its runtime size is small, otherwise this is a shuffle join.
-        recs = recs.join(titles.select("item_id", "title"), "item_id", "left")
-    return recs
+    return recs if titles is None else with_titles(recs, titles)
 
 
-def users_for_items(model: ALSModel, items: DataFrame | None, n: int = 10) -> DataFrame:
-    """Top-n users per requested item (``None``: every item), numbered 1..n."""
+def users_for_items(model: ALSModel, items: DataFrame | None, n: int = 10,
+                    titles: DataFrame | None = None) -> DataFrame:
+    """Top-n users per requested item (``None``: every item), numbered 1..n, with the
+    item's title where ``titles`` is given (X12, J2).  Unknown items give no rows."""
     raw = (model.recommendForAllItems(n) if items is None
            else model.recommendForItemSubset(items.select("item_id"), n))
-    return _explode_recs(raw, "item_id", "user_id")
+    recs = _explode_recs(raw, "item_id", "user_id")
+    return recs if titles is None else with_titles(recs, titles)
+
+
+def with_titles(df: DataFrame, titles: DataFrame) -> DataFrame:
+    """Add the title of each item (J2); a missing title is NULL.
+
+    titles is a dimension table keyed by item_id; AQE broadcasts it when its
+    runtime size is small, otherwise this is a shuffle join.
+    """
+    return df.join(titles.select("item_id", "title"), "item_id", "left")
+
+
+def check_recommendations(recs: DataFrame, model: ALSModel, key: str, n: int = 10) -> DataFrame:
+    """What must hold for each requested key, whatever the factors are: ``rows`` ranks
+    1..rows, all different items (or users), falling scores, and each score equal to the
+    product of the two factor vectors."""
+    other = "item_id" if key == "user_id" else "user_id"
+    u = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("__u"))
+    i = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("__i"))
+    dot = F.aggregate(F.zip_with("__u", "__i", lambda a, b: a.cast("double") * b.cast("double")),
+                      F.lit(0.0), lambda acc, v: acc + v)
+    rows = recs.select(key, other, "rank", "score").join(u, "user_id").join(i, "item_id").select(
+        key, other, "rank", "score", (F.abs(dot - F.col("score")) < 1e-4).alias("ok"))
+    each = rows.groupBy(key).agg(
+        F.count(F.lit(1)).cast("int").alias("n_rows"), F.countDistinct(other).cast("int").alias("n_distinct"),
+        F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"), F.min("ok").alias("scores_are_products"),
+        F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("s"))
+    falling = F.forall(F.sequence(F.lit(1), F.size("s") - 1), lambda k: F.col("s")[k - 1]["score"] >= F.col("s")[k]["score"])
+    return each.select(key, "n_rows", "n_distinct", "first_rank", "last_rank", "scores_are_products",
+                       F.when(F.size("s") < 2, True).otherwise(falling).alias("scores_fall"))
 
 
 def top_k_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], k: int,

@@ -33,6 +33,7 @@ def labelled_report(scored: DataFrame, key: Sequence[str], n: int = 50,
 def land_report(scored: DataFrame, n: int = 20) -> DataFrame:
     """Sampled land rows: six leading features, prediction, truth, right / wrong."""
     x = F.col("features")
+    # fixed values: the names under which the report prints its features
     names = ["elevation", "aspect", "slope", "water_vertical", "water_horizontal", "shade_9am"]
     return (scored.orderBy("vec_id").limit(n)
             .select("vec_id", *[x.getItem(i).alias(nm) for i, nm in enumerate(names)],

@@ -20,18 +20,23 @@ from pyspark.sql import functions as F
 from orchard.session import ensure_checkpoint_dir
 
 MAX_DEPTH_LIMIT = 30
-TREE_SEED = 20170227
+TREE_SEED = 11
 
 
 def vectorize(df: DataFrame, features: str = "features", out: str = "fvec") -> DataFrame:
     return df.withColumn(out, array_to_vector(F.col(features)))
 
 
-def stable_input(df: DataFrame, key: Sequence[str], partitions: int) -> DataFrame:
-    """Hash-partition by key and sort within partitions so that a fit does not
-    depend on how the input happened to be split (costs one shuffle)."""
-    cols = list(key) + [c for c in df.columns if c not in key and c != "fvec"]
-    return df.repartition(partitions, *key).sortWithinPartitions(*cols)
+def stable_input(df: DataFrame, key: Sequence[str] | None = None,
+                 partitions: int | None = None) -> DataFrame:
+    """Hash-partition by ``key`` (all columns if not given) and sort within partitions by
+    all columns, so that a fit does not depend on how the input happened to be split
+    (one shuffle).  Rows equal in all columns are interchangeable.  The number of
+    partitions is the session's shuffle setting unless given."""
+    key = list(key) if key else [c for c in df.columns if c != "fvec"]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = key + [c for c in df.columns if c not in key and c != "fvec"]
+    return df.repartition(n, *key).sortWithinPartitions(*cols)
 
 
 @dataclass
@@ -44,7 +49,7 @@ class TreeModel:
                   features: str = "features") -> DataFrame:
         m = self.model.copy()
         m.setFeaturesCol("fvec").setPredictionCol(out)
-        if self.kind == "classification":
+        if self.kind == "class":
             m.setRawPredictionCol("").setProbabilityCol("")
         cols = df.columns
         return m.transform(vectorize(df, features)).select(*cols, out)
@@ -58,10 +63,15 @@ class TreeModel:
         return self.model.numNodes
 
 
-def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini",
+def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
              max_depth: int = 5, max_bins: int = 32, features: str = "features",
-             label: str = "label", seed: int = TREE_SEED, cache: bool = True) -> TreeModel:
-    """Fit a classification (gini / entropy) or regression (variance) tree.
+             label: str = "label", seed: int = TREE_SEED, cache: bool = True,
+             stable: bool = True) -> TreeModel:
+    """Fit a class tree (gini / entropy) or a value tree (variance).
+
+    ``stable=True`` puts the rows into an order of their own first
+    (``stable_input``): the learner samples its split candidates by row order, so
+    the tree would otherwise move with the partitioning of the input.
 
     The learner makes several preparatory passes (class count, row count,
     split candidates, binning) before it caches its own binned rows; with
@@ -74,12 +84,15 @@ def fit_tree(df: DataFrame, kind: str = "classification", impurity: str = "gini"
     if max_bins < 2:
         raise ValueError("maxBins must be >= 2")
     ensure_checkpoint_dir(df.sparkSession)
-    data = vectorize(df, features).select("fvec", F.col(label).cast("double").alias("label"))
+    data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
+    if stable:
+        data = stable_input(data)
+    data = vectorize(data).select("fvec", "label")
     params = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
                   impurity=impurity, seed=seed, cacheNodeIds=True, checkpointInterval=10)
-    if kind == "classification":
+    if kind == "class":
         est = DecisionTreeClassifier(**params)
-    elif kind == "regression":
+    elif kind == "value":
         est = DecisionTreeRegressor(**params)
     else:
         raise ValueError(kind)
@@ -103,7 +116,7 @@ def predict_many(df: DataFrame, models: dict[str, TreeModel],
         m = tm.model.copy()
         c = f"__p{i}"
         m.setFeaturesCol("fvec").setPredictionCol(c)
-        if tm.kind == "classification":
+        if tm.kind == "class":
             m.setRawPredictionCol("").setProbabilityCol("")
         out = m.transform(out)
         cols[name] = F.col(c)

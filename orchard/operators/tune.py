@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.operators import bayes, evaluate, linear, trees
+from orchard.operators.common import persisted
 
 HIGHER_IS_BETTER = {"auc_hard": True, "accuracy": True, "rmse": False}
 
@@ -73,14 +74,15 @@ def tune_linear(train: DataFrame, valid: DataFrame, kind: str, dim: int,
         e.setdefault("mini_batch_fraction", 1.0)
     cfgs = list(dict.fromkeys(_cfg(kind, e) for e in entries))
     marks = sorted({int(e["num_iterations"]) for e in entries})
-    models, ms = linear.fit_sgd_many(train, cfgs, dim, marks)
+    models, took = linear.fit_sgd_many(train, cfgs, dim, marks)
     keyed = {i: models[(_cfg(kind, e), int(e["num_iterations"]))] for i, e in enumerate(entries)}
     preds = {str(i): m.predict_col("features") for i, m in keyed.items()}
     metric = evaluate.metric_many(valid, preds, "auc_hard")
     values = [metric[str(i)] for i in range(len(entries))]
     spark = train.sparkSession
-    return (_result_frame(spark, entries, "auc_hard", values, [ms] * len(entries), LINEAR_COLUMNS),
-            keyed)
+    # configurations run side by side: a row's time is that until its last step
+    ms = [took[int(e["num_iterations"])] for e in entries]
+    return _result_frame(spark, entries, "auc_hard", values, ms, LINEAR_COLUMNS), keyed
 
 
 # ---- naive Bayes -------------------------------------------------------------------
@@ -93,13 +95,16 @@ def tune_naive_bayes(train: DataFrame | None, valid: DataFrame, dim: int,
     t0 = time.perf_counter()
     if stats is None:
         stats = bayes.fit_stats(train, dim)
-    models = {i: bayes.model_from_stats(stats, lam) for i, lam in enumerate(lambdas)}
-    ms = (time.perf_counter() - t0) * 1000.0
+    shared, models, ms = (time.perf_counter() - t0) * 1000.0, {}, []
+    for i, lam in enumerate(lambdas):       # the statistics' time, then each model's own
+        t0 = time.perf_counter()
+        models[i] = bayes.model_from_stats(stats, lam)
+        ms.append(shared + (time.perf_counter() - t0) * 1000.0)
     metric = evaluate.metric_many(valid, {str(i): m.predict_col() for i, m in models.items()},
                                   "auc_hard")
     entries = [{"sweep": sweep, "smoothing": float(lam)} for lam in lambdas]
     return (_result_frame(valid.sparkSession, entries, "auc_hard",
-                          [metric[str(i)] for i in range(len(lambdas))], [ms] * len(lambdas),
+                          [metric[str(i)] for i in range(len(lambdas))], ms,
                           [("smoothing", "double")]), models)
 
 
@@ -109,15 +114,17 @@ TREE_COLUMNS = [("impurity", "string"), ("max_depth", "int"), ("max_bins", "int"
 
 
 def tune_tree(train: DataFrame, valid: DataFrame, kind: str, entries: list[dict],
-              metric: str, parallelism: int = 4) -> tuple[DataFrame, dict]:
-    """Independent fits run concurrently (G1, G5); one scan scores them all.
+              metric: str, parallelism: int | None = None) -> tuple[DataFrame, dict]:
+    """Independent fits run concurrently (G1, G5), as many as a quarter of the cluster's
+    cores (at least four) unless given; one scan scores them all."""
+    # one order of the rows for all fits, kept while they run
+    rows = trees.stable_input(train.select("features", F.col("label").cast("double").alias("label")))
 
-    ``train`` should be cached by the caller: every fit reads it.
-    """
     def fit(e):
-        return trees.fit_tree(train, kind, e["impurity"], int(e["max_depth"]), int(e["max_bins"]),
-                              cache=False)
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        return trees.fit_tree(rows, kind, e["impurity"], int(e["max_depth"]), int(e["max_bins"]),
+                              cache=False, stable=False)
+    n = parallelism or max(4, train.sparkSession.sparkContext.defaultParallelism // 4)
+    with persisted(rows), ThreadPoolExecutor(max_workers=n) as pool:
         fitted = list(pool.map(fit, entries))
     models = {str(i): m for i, m in enumerate(fitted)}
     scored, cols = trees.predict_many(valid, models)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.functions.hashing import md5_unit, row_key
+from orchard.operators.common import reliable
 from orchard.operators.features import PageFeatures, fit_page_features
 from orchard.operators.split import assign_split
 from orchard.sources import views as V
@@ -28,16 +29,19 @@ class Prepared:
 
 
 def binary(spark: SparkSession, sf_dir: str, nb: bool = False,
-           scale: bool = True) -> Prepared:
+           scale: bool = True, reuse: bool = False) -> Prepared:
     """``binary_big`` with one-hot category ++ 4 numbers.
 
     ``nb=True``: negatives clamped and scaled without centring (features stay
     non-negative for naive Bayes); otherwise standardised.  Dictionary fitted
-    on all rows, scaler on the training split.
+    on all rows, scaler on the training split.  ``reuse=True`` writes the joined
+    view to the checkpoint folder once, for callers that scan it several times.
     """
     key = row_key(*V.BINARY_KEY)
     bb = V.binary_big(spark, sf_dir)
     bb = assign_split(bb, key).withColumn("u", md5_unit(key))
+    if reuse:
+        bb = reliable(bb)
     pf = fit_page_features(bb, V.BINARY_NUMERIC, with_mean=not nb, clamp=nb, scale=scale,
                            fit_on=F.col("split") == "train")
     out = pf.transform(bb).select(*V.BINARY_KEY, F.col("label").cast("double").alias("label"),
@@ -46,12 +50,13 @@ def binary(spark: SparkSession, sf_dir: str, nb: bool = False,
 
 
 def pages(spark: SparkSession, sf_dir: str, nb: bool = False,
-          refit_scaler: bool = False) -> tuple[Prepared, DataFrame]:
+          refit_scaler: bool = False, score_ids: DataFrame | None = None) -> tuple[Prepared, DataFrame]:
     """Labelled pages (train/validation/test by doc_id) and scored unlabelled pages.
 
     Unlabelled pages are scored with the training fit; ``refit_scaler=True``
     instead fits a fresh scaler on the unlabelled pages themselves (the
-    historical behaviour, kept for comparison).
+    historical behaviour, kept for comparison).  ``score_ids`` (a short list) limits
+    the scored pages before any text is read for them.
     """
     key = F.col("doc_id")
     pt = assign_split(V.page_train(spark, sf_dir), key).withColumn("u", md5_unit(key))
@@ -59,7 +64,7 @@ def pages(spark: SparkSession, sf_dir: str, nb: bool = False,
                            fit_on=F.col("split") == "train", on_unknown="zero")
     lab = pf.transform(pt).select("doc_id", "url", F.col("label").cast("double").alias("label"),
                                   "features", "split", "u")
-    ps = V.page_score(spark, sf_dir)
+    ps = V.page_score(spark, sf_dir, score_ids)
     if refit_scaler:
         from dataclasses import replace
         from orchard.operators.features import fit_scaler
@@ -85,8 +90,9 @@ def hourly(spark: SparkSession, sf_dir: str) -> Prepared:
     return Prepared(out, None, len(V.HOURLY_FEATURES), ["h"])
 
 
-def page_naive_bayes(spark: SparkSession, sf_dir: str, smoothing: float):
+def page_naive_bayes(spark: SparkSession, sf_dir: str, smoothing: float,
+                     score_ids: DataFrame | None = None):
     """Labelled pages, scored pages and a naive Bayes model fitted on the train split."""
     from orchard.operators import bayes
-    prep, score = pages(spark, sf_dir, nb=True)
+    prep, score = pages(spark, sf_dir, nb=True, score_ids=score_ids)
     return prep, score, bayes.fit_naive_bayes(prep.part("train"), prep.dim, smoothing)

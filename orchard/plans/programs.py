@@ -1,4 +1,4 @@
-"""The reference's seven workflows as functions over their input files.
+"""The seven workflows as functions over their input files.
 
 Each returns a dict of DataFrames instead of printing: split counts, the
 validation / test metric, the tuning table (when ``tune=True``) and the
@@ -16,27 +16,9 @@ from orchard.operators import bayes, evaluate, linear, recommend as R, score as
 from orchard.operators.common import feature_dim, persisted
 from orchard.operators.features import fit_page_features
 from orchard.operators.split import assign_split, sample_fraction, split_counts
+from orchard.plans import settings as P
 from orchard.sources import text as TX
 
-# ---- fixed values: default settings and tuning lists of the reference runs ------------
-NB_DEFAULT = 5.0
-NB_LAMBDAS = [1.0, 3.0, 5.0, 15.0, 25.0]
-LOGISTIC_DEFAULT = dict(num_iterations=5, step_size=50.0, mini_batch_fraction=0.5)
-LOGISTIC_GRID = [("num_iterations", [1, 3, 5, 10]), ("step_size", [10.0, 50.0, 100.0]),
-                 ("mini_batch_fraction", [0.5, 0.8, 1.0])]
-SVM_DEFAULT = dict(num_iterations=25, step_size=1.0, reg_param=0.01)
-SVM_GRID = [("num_iterations", [1, 3, 5, 15, 25]), ("step_size", [10.0, 50.0, 100.0, 200.0]),
-            ("reg_param", [0.01, 0.1, 1.0])]
-TREE_PAGE_DEFAULT = dict(impurity="entropy", max_depth=5, max_bins=5)
-TREE_LAND_DEFAULT = dict(impurity="entropy", max_depth=20, max_bins=100)
-TREE_HOURLY_DEFAULT = dict(impurity="variance", max_depth=10, max_bins=50)
-TREE_CLASS_GRID = [("impurity", ["gini", "entropy"]), ("max_depth", [3, 5, 10, 15, 20]),
-                   ("max_bins", [3, 5, 10, 50, 100])]
-TREE_REG_GRID = [("impurity", ["variance"]), ("max_depth", [3, 5, 10, 15, 20]),
-                 ("max_bins", [3, 5, 10, 50, 100])]
-# ------------------------------------------------------------------------------------------
-
-
 def _named_numbers(df: DataFrame, n: int) -> DataFrame:
     return df.select(*[c for c in df.columns if c != "numeric"],
                      *[F.col("numeric").getItem(j).alias(f"n{j}") for j in range(n)])
@@ -60,14 +42,15 @@ def page_classifier(spark: SparkSession, train_path: str, score_path: str,
     score = _named_numbers(TX.read_pages(spark, score_path, labelled=False), n)
     numeric = [f"n{j}" for j in range(n)]
     fit = F.col("split") == "train"
-    tuning = None
+    tuning = sweeps = None
     if model == "naive_bayes":
-        pf, stats = bayes.fit_page_stats(lab, numeric, fit_on=fit)
-        m = bayes.model_from_stats(stats, NB_DEFAULT)
+        pf, stats = bayes.fit_page_stats(lab, numeric, fit_on=fit, on_unknown="zero")
+        m = bayes.model_from_stats(stats, P.NB_LAMBDA)
         feats = pf.transform(lab).withColumn("label", F.col("label").cast("double"))
         if tune_params:
             va = feats.where(F.col("split") == "validation")
-            tuning, _ = tune.tune_naive_bayes(None, va, pf.dim, NB_LAMBDAS, "grid", stats=stats)
+            sweeps, _ = tune.tune_naive_bayes(None, va, pf.dim, P.NB_LAMBDAS, "lambda", stats=stats)
+            tuning, _ = tune.tune_naive_bayes(None, va, pf.dim, P.NB_LAMBDAS, "grid", stats=stats)
             best = tune.pick_best(tuning, "auc_hard").first()
             m = bayes.fit_naive_bayes(feats.where(F.col("split").isin("train", "validation")),
                                       pf.dim, best["smoothing"])
@@ -79,22 +62,27 @@ def page_classifier(spark: SparkSession, train_path: str, score_path: str,
         with persisted(tr, va):
             if model in ("logistic", "svm"):
                 kind = "logistic" if model == "logistic" else "hinge"
-                p = LOGISTIC_DEFAULT if model == "logistic" else SVM_DEFAULT
+                p = P.LOGISTIC_DEFAULT if model == "logistic" else P.SVM_DEFAULT
                 if tune_params:
-                    grid = LOGISTIC_GRID if model == "logistic" else SVM_GRID
+                    grid = P.LOGISTIC_GRID if model == "logistic" else P.SVM_GRID
+                    fixed, lists = ((P.LOGISTIC_SWEEP_FIXED, P.LOGISTIC_SWEEPS) if model == "logistic"
+                                    else (P.SVM_SWEEP_FIXED, P.SVM_SWEEPS))
+                    sweeps, _ = tune.tune_linear(tr, va, kind, pf.dim, tune.sweep_entries(fixed, lists))
                     tuning, _ = tune.tune_linear(tr, va, kind, pf.dim, tune.grid_entries(grid))
                     p = tune.pick_best(tuning, "auc_hard").first().asDict()
                     tr = feats.where(F.col("split").isin("train", "validation"))
                 m = linear.fit_sgd(tr, kind, pf.dim, int(p["num_iterations"]), p["step_size"],
                                    p.get("reg_param", 0.0), p.get("mini_batch_fraction", 1.0))
             elif model == "tree":
-                p = TREE_PAGE_DEFAULT
+                p = P.TREE_BINARY
                 if tune_params:
-                    tuning, _ = tune.tune_tree(tr, va, "classification",
-                                               tune.grid_entries(TREE_CLASS_GRID), "auc_hard")
+                    sweeps, _ = tune.tune_tree(tr, va, "class", tune.sweep_entries(
+                        P.TREE_SWEEP_FIXED, P.TREE_SWEEPS), "auc_hard")
+                    tuning, _ = tune.tune_tree(tr, va, "class",
+                                               tune.grid_entries(P.TREE_GRID), "auc_hard")
                     p = tune.pick_best(tuning, "auc_hard").first().asDict()
                     tr = feats.where(F.col("split").isin("train", "validation"))
-                m = trees.fit_tree(tr, "classification", p["impurity"], int(p["max_depth"]),
+                m = trees.fit_tree(tr, "class", p["impurity"], int(p["max_depth"]),
                                    int(p["max_bins"]))
             else:
                 raise ValueError(f"unknown model {model!r}")
@@ -103,6 +91,7 @@ def page_classifier(spark: SparkSession, train_path: str, score_path: str,
     return {
         "counts": split_counts(lab),
         "evaluation": _metric_rows(scored_lab, "auc_hard"),
+        "sweeps": sweeps,
         "tuning": tuning,
         "predictions": S.score_new_pages(scored_new, n_show or (20 if model == "tree" else 10),
                                          key="url"),
@@ -114,17 +103,19 @@ def land_cover(spark: SparkSession, path: str, tune_params: bool = False) -> dic
     raw = TX.parse_numeric(TX.read_lines(spark, path), keep=("value",))
     data = assign_split(raw.withColumn("vec_id", F.xxhash64("value")), F.col("value"))
     tr, va = data.where(F.col("split") == "train"), data.where(F.col("split") == "validation")
-    p, tuning = TREE_LAND_DEFAULT, None
+    p, tuning, sweeps = P.TREE_MULTI, None, None
     with persisted(tr, va):
         if tune_params:
-            tuning, _ = tune.tune_tree(tr, va, "classification", tune.grid_entries(TREE_CLASS_GRID),
+            sweeps, _ = tune.tune_tree(tr, va, "class", tune.sweep_entries(
+                P.TREE_SWEEP_FIXED, P.TREE_SWEEPS), "accuracy")
+            tuning, _ = tune.tune_tree(tr, va, "class", tune.grid_entries(P.TREE_GRID),
                                        "accuracy")
             p = tune.pick_best(tuning, "accuracy").first().asDict()
             tr = data.where(F.col("split").isin("train", "validation"))
-        m = trees.fit_tree(tr, "classification", p["impurity"], int(p["max_depth"]), int(p["max_bins"]))
+        m = trees.fit_tree(tr, "class", p["impurity"], int(p["max_depth"]), int(p["max_bins"]))
     sample = sample_fraction(data, F.col("value"), 0.1)
     return {"counts": split_counts(data), "evaluation": _metric_rows(m.transform(data), "accuracy"),
-            "tuning": tuning, "predictions": S.land_report(m.transform(sample), 20)}
+            "sweeps": sweeps, "tuning": tuning, "predictions": S.land_report(m.transform(sample), 20)}
 
 
 def hourly_rentals(spark: SparkSession, path: str, tune_params: bool = False) -> dict[str, DataFrame]:
@@ -138,18 +129,20 @@ def hourly_rentals(spark: SparkSession, path: str, tune_params: bool = False) ->
                                   for i, c in enumerate(HOURLY_FEATURES)])
     data = assign_split(parsed, F.col("instant"))
     tr, va = data.where(F.col("split") == "train"), data.where(F.col("split") == "validation")
-    p, tuning = TREE_HOURLY_DEFAULT, None
+    p, tuning, sweeps = P.TREE_REGRESSION, None, None
     with persisted(tr, va):
         if tune_params:
-            tuning, _ = tune.tune_tree(tr, va, "regression", tune.grid_entries(TREE_REG_GRID), "rmse")
+            sweeps, _ = tune.tune_tree(tr, va, "value", tune.sweep_entries(
+                P.TREE_REG_SWEEP_FIXED, P.TREE_REG_SWEEPS), "rmse")
+            tuning, _ = tune.tune_tree(tr, va, "value", tune.grid_entries(P.TREE_REG_GRID), "rmse")
             p = tune.pick_best(tuning, "rmse").first().asDict()
             tr = data.where(F.col("split").isin("train", "validation"))
-        m = trees.fit_tree(tr, "regression", p["impurity"], int(p["max_depth"]), int(p["max_bins"]))
+        m = trees.fit_tree(tr, "value", p["impurity"], int(p["max_depth"]), int(p["max_bins"]))
     scored = m.transform(data).withColumn("h", F.to_timestamp(
         F.concat(F.col("day"), F.lit(" "), F.lpad(F.col("hr").cast("int").cast("string"), 2, "0")),
         "yyyy-MM-dd HH"))
     return {"counts": split_counts(data), "evaluation": _metric_rows(m.transform(data), "rmse"),
-            "tuning": tuning, "predictions": S.hourly_report(scored, 200)}
+            "sweeps": sweeps, "tuning": tuning, "predictions": S.hourly_report(scored, 200)}
 
 
 def recommender(spark: SparkSession, ratings_path: str, titles_path: str,
@@ -161,4 +154,4 @@ def recommender(spark: SparkSession, ratings_path: str, titles_path: str,
     model = R.fit_als(ratings, rank=5, max_iter=20, reg_param=0.1)
     return {"stats": R.rating_stats(ratings),
             "items_for_users": R.items_for_users(model, users, n, titles),
-            "users_for_items": R.users_for_items(model, items, n)}
+            "users_for_items": R.users_for_items(model, items, n, titles)}

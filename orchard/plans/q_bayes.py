@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import bayes, evaluate
 from orchard.plans import prepared as P
-
-NB_LAMBDA = 5.0
-
+from orchard.plans.settings import NB_LAMBDA
 
 def r6(c):
     return F.round(F.col(c) if isinstance(c, str) else c, 6)

@@ -7,31 +7,17 @@ from pyspark.sql import functions as F
 from orchard.operators import bayes, evaluate, linear, tune
 from orchard.plans import prepared as P
 from orchard.plans.q_bayes import r6
-
-# ---- fixed values: the parameter lists of the reference runs -----------------------
-LOGISTIC_DEFAULT = dict(num_iterations=5, step_size=50.0, mini_batch_fraction=0.5)
-SVM_DEFAULT = dict(num_iterations=25, step_size=1.0, reg_param=0.01)   # see linear.fit_svm_sgd
-LOGISTIC_SWEEP_FIXED = dict(num_iterations=100, step_size=100.0, mini_batch_fraction=1.0)
-LOGISTIC_SWEEPS = [("num_iterations", [5, 15, 20, 60, 100]),
-                   ("step_size", [10.0, 50.0, 100.0, 200.0]),
-                   ("mini_batch_fraction", [0.5, 0.8, 1.0])]
-LOGISTIC_GRID = [("num_iterations", [1, 3, 5, 10]), ("step_size", [10.0, 50.0, 100.0]),
-                 ("mini_batch_fraction", [0.5, 0.8, 1.0])]
-SVM_SWEEP_FIXED = dict(num_iterations=25, step_size=100.0, reg_param=1.0)
-SVM_SWEEPS = [("num_iterations", [1, 3, 5, 15, 25]),
-              ("step_size", [10.0, 50.0, 100.0, 200.0]),
-              ("reg_param", [0.01, 0.1, 1.0])]
-SVM_GRID = [("num_iterations", [1, 3, 5, 15, 25]), ("step_size", [10.0, 50.0, 100.0, 200.0]),
-            ("reg_param", [0.01, 0.1, 1.0])]
-NB_LAMBDAS = [1.0, 3.0, 5.0, 15.0, 25.0]
-# -------------------------------------------------------------------------------------
+from orchard.plans.settings import (LOGISTIC_DEFAULT, LOGISTIC_GRID, LOGISTIC_SWEEP_FIXED,
+                                    LOGISTIC_SWEEPS, NB_LAMBDAS, SVM_DEFAULT, SVM_GRID, SVM_HISTORIC,
+                                    SVM_SWEEP_FIXED, SVM_SWEEPS)
 
 TUNE_COLS = ["sweep", "position", "num_iterations", "step_size", "reg_param",
              "mini_batch_fraction"]
 
 
 def _binary(spark, sf):
-    return P.binary(spark, sf, nb=False)
+    # several passes follow (fit, then scoring): the joined view is written once
+    return P.binary(spark, sf, nb=False, reuse=True)
 
 
 def _fit_linear(spark, sf, kind):
@@ -57,6 +43,47 @@ def q_fit_svm_sgd(spark, sf):
     return _weights_frame(spark, _fit_linear(spark, sf, "hinge")[1])
 
 
+def q_fit_svm_historic(spark, sf):
+    """Three steps with the historic step and regularisation (which diverge when run on)."""
+    prep = _binary(spark, sf)
+    p = dict(SVM_HISTORIC, num_iterations=3)
+    return _weights_frame(spark, linear.fit_sgd(prep.part("train"), "hinge", prep.dim, p["num_iterations"],
+                                                p["step_size"], p["reg_param"]))
+
+
+def _default_run(spark, sf, kind):
+    prep, m = _fit_linear(spark, sf, kind)
+    rest = prep.frame.where(F.col("split").isin("validation", "test"))
+    return evaluate.auc_hard_by(m.transform(rest), "split").select("split", "n", r6("auc_hard").alias("auc_hard"))
+
+
+def q_eval_default_logistic(spark, sf):
+    return _default_run(spark, sf, "logistic")
+
+
+def q_eval_default_svm(spark, sf):
+    return _default_run(spark, sf, "hinge")
+
+
+def _refit(spark, sf, kind, grid):
+    """Best of a grid on validation, refitted on train and validation, measured on test."""
+    prep = _binary(spark, sf)
+    res, _ = tune.tune_linear(prep.part("train"), prep.part("validation"), kind, prep.dim, tune.grid_entries(grid))
+    best = tune.pick_best(res, "auc_hard").first()
+    m = linear.fit_sgd(prep.train_validation(), kind, prep.dim, best["num_iterations"], best["step_size"],
+                       best["reg_param"], best["mini_batch_fraction"])
+    auc = evaluate.auc_hard(m.transform(prep.part("test")))
+    return auc.select(*[F.lit(best[c]).alias(c) for c in TUNE_COLS[2:]], "n", r6("auc_hard").alias("auc_hard"))
+
+
+def q_tune_refit_logistic(spark, sf):
+    return _refit(spark, sf, "logistic", LOGISTIC_GRID)
+
+
+def q_tune_refit_svm(spark, sf):
+    return _refit(spark, sf, "hinge", SVM_GRID)
+
+
 def q_predict_logistic(spark, sf):
     prep, m = _fit_linear(spark, sf, "logistic")
     return m.transform(prep.frame).select(*prep.key, "split", "label", "prediction")

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from orchard.functions import decode as D
 from orchard.functions import prep
 from orchard.operators import bayes, evaluate, features as FT, split as SP
-from orchard.operators.recommend import rating_stats, top_k_per_key
+from orchard.operators.common import reliable
+from orchard.operators.recommend import rating_stats, top_k_per_key, with_titles
 from orchard.plans import prepared as P
-from orchard.plans.q_bayes import NB_LAMBDA, _explode_vec, r6
+from orchard.plans.q_bayes import _explode_vec, r6
+from orchard.plans.settings import NB_LAMBDA
 from orchard.sources import text as TX
 from orchard.sources import views as V
 
@@ -139,9 +141,7 @@ def q_join_category_index(spark, sf):
 
 
 def q_join_title(spark, sf):
-    r = V.ratings(spark, sf)
-    t = V.titles(spark, sf)
-    return r.join(t, "item_id", "left").select("user_id", "item_id", "title")
+    return with_titles(V.ratings(spark, sf), V.titles(spark, sf)).select("user_id", "item_id", "title")
 
 
 # ---- aggregates --------------------------------------------------------------------
@@ -230,8 +230,10 @@ def q_split_minibatch(spark, sf):
 
 
 def q_set_union_all(spark, sf):
-    tr, va, _ = SP.split_frames(V.binary_big(spark, sf), V.binary_key())
-    return SP.union_all(tr, va).select(*V.BINARY_KEY, "label")
+    # both parts are filters over one written copy: the join below them runs once
+    bb = reliable(V.binary_big(spark, sf).select(*V.BINARY_KEY, "label"))
+    tr, va, _ = SP.split_frames(bb, V.binary_key())
+    return SP.union_all(tr, va)
 
 
 def q_set_distinct(spark, sf):
@@ -292,10 +294,7 @@ def q_eval_auc_hard(spark, sf):
 
 def q_eval_accuracy(spark, sf):
     _, s = _nb_scored(spark, sf)
-    g = s.groupBy("split").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(F.when(F.col("prediction") == F.col("label"), 1.0).otherwise(0.0)).alias("a"))
-    return g.select("split", "n", r6("a").alias("accuracy"))
+    return evaluate.accuracy_by(s, "split").select("split", "n", r6("accuracy").alias("accuracy"))
 
 
 def q_eval_correct_flag(spark, sf):

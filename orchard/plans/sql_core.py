@@ -227,3 +227,36 @@ ev AS (SELECT count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUB
        FROM hs2 r JOIN tree_pred p ON p.hs = r.hs WHERE r.split = 'validation')
 SELECT 'variance' AS impurity, CAST(10 AS INTEGER) AS max_depth, CAST(50 AS INTEGER) AS max_bins,
        shape.depth, shape.num_nodes, ev.n, ev.rmse FROM shape, ev"""
+
+CORE_SQL["eval_default_tree_value"] = f"""{_TREE_REG}
+SELECT r.split, count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUBLE))
+       * (p.prediction - CAST(r.label AS DOUBLE)))), 6) AS rmse
+FROM hs2 r JOIN tree_pred p ON p.hs = r.hs WHERE r.split IN ('validation', 'test') GROUP BY r.split"""
+CORE_SQL["tune_pick_best_rmse"] = f"""{_HOURLY_SPLIT}
+SELECT CAST(0 AS INTEGER) AS position, CAST(1 AS INTEGER) AS max_depth, CAST(32 AS INTEGER) AS max_bins,
+       round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse
+FROM pr WHERE split = 'validation'"""
+CORE_SQL["tune_refit_tree_value"] = f"""{_HOURLY_SPLIT.replace(
+    G.regression_stump('hs2', _HFEAT),
+    G.regression_stump('hs2', _HFEAT, "split IN ('train', 'validation')"))}
+SELECT CAST(32 AS INTEGER) AS max_bins, count(*) AS n,
+       round(sqrt(avg((prediction - label) * (prediction - label))), 6) AS rmse
+FROM pr WHERE split = 'test'"""
+_SHOWN = ", ".join(f"CAST(round(CAST({c} AS DOUBLE), 3) AS VARCHAR)" for c in _HFEAT)
+CORE_SQL["report_labelled_values"] = f"""{_HOURLY_SPLIT},
+fr AS (SELECT hs AS h, concat_ws(' ', {_SHOWN}) AS shown FROM hs2)
+SELECT h, fr.shown, label, round(prediction, 6) AS prediction, round(abs(label - prediction), 6) AS abs_error
+FROM pr JOIN fr USING (h) ORDER BY h LIMIT 50"""
+
+# what must hold of any factors: ten ranked, different, falling, factor products per request
+for _name, _key in (("rec_items_for_user_checks", "user_id"), ("rec_users_for_item_checks", "item_id")):
+    CORE_SQL[_name] = f"""{W}{G.RATINGS}
+SELECT DISTINCT {_key}, CAST(10 AS INTEGER) AS n_rows, CAST(10 AS INTEGER) AS n_distinct,
+  CAST(1 AS INTEGER) AS first_rank, CAST(10 AS INTEGER) AS last_rank, true AS scores_are_products,
+  true AS scores_fall FROM ratings WHERE {_key} % 20 = 0"""
+CORE_SQL["fit_als_checks"] = f"""{W}{G.RATINGS}
+SELECT count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, count(*) AS n_ratings,
+  count(*) AS n_finite, CAST(5 AS INTEGER) AS user_rank_min, CAST(5 AS INTEGER) AS user_rank_max,
+  CAST(5 AS INTEGER) AS item_rank_min, CAST(5 AS INTEGER) AS item_rank_max FROM ratings"""
+CORE_SQL["als_predict_pair_checks"] = f"""{W}{G.RATINGS}
+SELECT user_id, item_id, rating, true AS is_product FROM ratings"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from orchard.operators import tune
-from orchard.plans import q_linear_tune as Q
+from orchard.plans import settings as Q
 from orchard.plans import sqlgen as G
 
 D_BIN = G.K_PRIORITY + 4
@@ -78,7 +78,40 @@ pr AS ({union}),
 res AS (SELECT sweep, position, smoothing, {G.auc_select().split(', ', 1)[1]} FROM pr GROUP BY ALL)"""
 
 
+def _default_run(kind: str, p: dict) -> str:
+    return f"""SELECT split, {G.auc_select()} FROM ({_predict(kind, p)})
+WHERE split IN ('validation', 'test') GROUP BY split"""
+
+
+def _refit(kind: str, grid) -> str:
+    """Grid, best row (the last of equal ones), the same steps on train and validation, test AUC."""
+    entries = tune.grid_entries(grid)
+    t_max = max(int(e["num_iterations"]) for e in entries)
+    again = G.sgd_recursive("trv", D_BIN, kind, [(0, 1.0, 0.0, 1.0)], t_max)
+    again = again.split("\n", 1)[1].replace("sgd AS (", "sgd2 AS (").replace("FROM sgd p", "FROM sgd2 p").replace(
+        "FROM cfg", "FROM cfg2")
+    return f"""SELECT num_iterations, step_size, reg_param, mini_batch_fraction, n, auc_hard FROM (
+{_tune(kind, entries).replace("SELECT sweep, CAST(position", "res AS (SELECT sweep, CAST(position").replace(
+    "trn AS (", "trv AS (SELECT * FROM feat WHERE split IN ('train', 'validation')), trn AS (", 1).replace(
+    "), res AS", "), res AS").rsplit("FROM pr GROUP BY ALL", 1)[0].replace(
+    "AS prediction FROM val, m)" + chr(10) + "res AS", "AS prediction FROM val, m)," + chr(10) + "res AS")}FROM pr GROUP BY ALL),
+best AS (SELECT * FROM res ORDER BY auc_hard DESC NULLS LAST, position DESC LIMIT 1),
+cfg2 AS (SELECT 0 AS cid, step_size AS step, reg_param AS reg, mini_batch_fraction AS frac FROM best),
+{again},
+m2 AS (SELECT sgd2.* FROM sgd2, best WHERE sgd2.t = best.num_iterations),
+pr2 AS (SELECT f.label, {G.linear_predict(kind, D_BIN, w="m2")} AS prediction
+        FROM (SELECT * FROM feat WHERE split = 'test') f, m2),
+ev AS (SELECT {G.auc_select()} FROM pr2)
+SELECT best.num_iterations, best.step_size, best.reg_param, best.mini_batch_fraction, ev.n, ev.auc_hard
+FROM best, ev)"""
+
+
 LINEAR_SQL = {
+    "fit_svm_historic": _weights("hinge", dict(Q.SVM_HISTORIC, num_iterations=3)),
+    "eval_default_logistic": _default_run("logistic", Q.LOGISTIC_DEFAULT),
+    "eval_default_svm": _default_run("hinge", Q.SVM_DEFAULT),
+    "tune_refit_logistic": _refit("logistic", Q.LOGISTIC_GRID),
+    "tune_refit_svm": _refit("hinge", Q.SVM_GRID),
     "fit_logistic_sgd": _weights("logistic", Q.LOGISTIC_DEFAULT),
     "fit_svm_sgd": _weights("hinge", Q.SVM_DEFAULT),
     "predict_logistic": _predict("logistic", Q.LOGISTIC_DEFAULT),

@@ -38,7 +38,7 @@ def titles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").cast("int").alias("item_id"), F.col("p_name").alias("title"))
 
 
-# ---- pages (binary classification pipeline shape) ---------------------------
+# ---- pages (two-class pipeline shape) ----------------------------------------
 
 def _count_char(text, ch: str):
     return F.length(text) - F.length(F.replace(text, F.lit(ch), F.lit("")))
@@ -62,19 +62,40 @@ def _page_columns(d):
 PAGE_NUMERIC = ["f0", "f1", "f2", "f3"]
 
 
-def _page_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _page_features(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
     """Per-document page columns, computed before any join so that a shuffle
-    moves a handful of numbers per document instead of its whole text."""
+    moves a handful of numbers per document instead of its whole text.
+    ``ids``: a short list of documents; others' texts are not counted through."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    if ids is not None:
+        d = d.join(F.broadcast(ids), "doc_id", "left_semi")
     return d.select(*_page_columns(d))
 
 
+def labelled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id").join(
+        table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+
+
+def unlabelled_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents").select("doc_id").join(
+        table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_anti")
+
+
+def first_ids(ids: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` ids: what a report of n rows needs to read (so n bounds the list)."""
+    return ids.orderBy("doc_id").limit(n)
+
+
 def page_train(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
     return _page_features(spark, sf_dir).join(lab, "doc_id")
 
 
-def page_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+def page_score(spark: SparkSession, sf_dir: str, ids: DataFrame | None = None) -> DataFrame:
+    """Unlabelled pages; ``ids``: a short list of them, taken as given."""
+    if ids is not None:
+        return _page_features(spark, sf_dir, ids)
     lab = table(spark, sf_dir, "labels").select("doc_id")
     return _page_features(spark, sf_dir).join(lab, "doc_id", "left_anti")
 

@@ -1 +1 @@
-"""Streaming use of fitted models (the reference itself has no streaming)."""
+"""Streaming use of fitted models."""

@@ -7,6 +7,8 @@ scored with the very same operators as a batch; no state store is involved.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +28,11 @@ def score_pages_stream(pages: DataFrame, features: PageFeatures, model,
 def start_sink(scored: DataFrame, path: str, checkpoint: str | None = None,
                trigger_once: bool = False):
     """Append scored rows to parquet; the checkpoint lives under the cluster's
-    ``spark.checkpoint.dir`` unless given."""
+    ``spark.checkpoint.dir`` in a folder of its own unless given (give one to resume)."""
     spark = scored.sparkSession
     if checkpoint is None:
         base = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir")
-        checkpoint = f"{base.rstrip('/')}/stream-score"
+        checkpoint = f"{base.rstrip('/')}/stream-score-{uuid.uuid4().hex}"
     w = (scored.writeStream.format("parquet").option("path", path)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if trigger_once:

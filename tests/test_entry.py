@@ -19,7 +19,7 @@ def test_entry_runs(spark):
 def test_registry_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert len(q) >= 81
+    assert len(q) >= 100
 
 
 def _norm(r):

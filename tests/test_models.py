@@ -95,7 +95,7 @@ def test_tree_depth_limit_and_training_error(spark):
         trees.fit_tree(df, max_depth=31)
     errs = []
     for depth in (1, 3, 6):
-        m = trees.fit_tree(df, "classification", "gini", depth, 16)
+        m = trees.fit_tree(df, "class", "gini", depth, 16)
         errs.append(1 - evaluate.accuracy(m.transform(df)).first().accuracy)
     assert errs[0] >= errs[1] >= errs[2]
 
@@ -105,7 +105,7 @@ def test_tree_stable_under_repartition(spark):
     preds = []
     for n in (1, 3, 13):
         stable = trees.stable_input(df.repartition(n), ["k"], 4)
-        m = trees.fit_tree(stable, "classification", "entropy", 4, 5)
+        m = trees.fit_tree(stable, "class", "entropy", 4, 5)
         preds.append([r.prediction for r in m.transform(df).orderBy("k").collect()])
     assert preds[0] == preds[1] == preds[2]
 
@@ -217,3 +217,24 @@ def test_naive_bayes_with_one_feature_and_null_vectors(spark, monkeypatch):
     bayes.fit_naive_bayes(df, 1, 1.0)
     monkeypatch.setattr(common, "WIDE_DIM", 0)
     assert bayes.fit_stats(df, 1) == narrow
+
+
+@pytest.mark.parametrize("key", ["predict_tree_class", "predict_tree_value"])
+def test_registered_trees_do_not_move_with_partitioning(spark, monkeypatch, key):
+    from conftest import SF_SMALL
+    from orchard.plans.registry import QUERIES
+    from orchard.sources import views as V
+    name = "binary_big" if key == "predict_tree_class" else "hourly"
+    real, seen = getattr(V, name), set()
+    for n in (1, 3, 13):
+        monkeypatch.setattr(V, name, lambda s, d, n=n: real(s, d).repartition(n))
+        rows = QUERIES[key](spark, SF_SMALL).collect()
+        seen.add(hash(tuple(sorted(map(str, rows)))))
+    assert len(seen) == 1
+
+
+def test_report_is_written_and_read_back(spark, tmp_path):
+    from orchard.sources.sink import write_report
+    df = spark.createDataFrame([(1, "url: a ==> evergreen"), (2, "url: b ==> ephemeral")], "doc_id long, line string")
+    write_report(df, f"{tmp_path}/report")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/report").collect())) == sorted(map(tuple, df.collect()))
