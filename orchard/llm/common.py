@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import contextlib
+import ctypes
+import inspect
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -110,7 +113,27 @@ def mix64(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
-def byte_runs(it, max_bytes: int = 1_500_000) -> Iterator[tuple]:
+def tidy(task):
+    """Wrap a function for Python workers so that freed memory goes back to the system when a
+    task ends: workers are reused, and what one operator freed would stay with the next."""
+    def release() -> None:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):      # glibc only
+            ctypes.CDLL(None).malloc_trim(0)
+
+    def batches(it):
+        yield from task(it)
+        release()
+
+    def group(rows):
+        out = task(rows)
+        release()
+        return out
+
+    return batches if inspect.isgeneratorfunction(task) else group
+
+
+def byte_runs(it, max_bytes: int = 1_000_000) -> Iterator[tuple]:
     """(rows, bytes, offsets) of Arrow batches whose second column is a text, in runs of
     about ``max_bytes``: the text of row k of a run is ``bytes[offsets[k]:offsets[k + 1]]``.
     A longer text comes alone, whole."""
@@ -128,7 +151,7 @@ def byte_runs(it, max_bytes: int = 1_500_000) -> Iterator[tuple]:
             lo = hi
 
 
-def byte_batches(it, max_bytes: int = 1_500_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def byte_batches(it, max_bytes: int = 1_000_000) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``byte_runs`` of (id, text) batches with the ids as a list."""
     for rows, data, off in byte_runs(it, max_bytes):
         yield rows.column(0).to_pylist(), data, off

@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_batches, cut, mix64, prefix_sums, restrict,
-                                span_hashes, table, texts, word_spans)
+                                span_hashes, table, texts, tidy, word_spans)
 
-MAX_ROWS = 10_000       # labelled documents that the model is fitted on
-MIN_DOCS = 4            # sampled documents that a feature must occur in
+MAX_ROWS = 8_000       # labelled documents that the model is fitted on
+MIN_DOCS = 8            # sampled documents that a feature must occur in
 MAX_WEIGHTS = 200_000
 SHARDS, EPOCHS = 4, 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
@@ -66,7 +66,7 @@ def _document_features(docs: DataFrame) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(h))
             yield pa.record_batch([pa.array(ids, pa.int64()), lists], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, features array<long>")
+    return docs.mapInArrow(tidy(run), "doc_id long, features array<long>")
 
 
 def ftrl_pass(rows, labels, z: np.ndarray, n: np.ndarray) -> None:
@@ -119,7 +119,7 @@ class ToxicityModel:
                 yield pa.record_batch([pa.array(ids, pa.int64()),
                                        pa.array(model.scores(data, off, powers))], schema=schema)
 
-        return texts(docs).mapInArrow(run, "doc_id long, score double")
+        return texts(docs).mapInArrow(tidy(run), "doc_id long, score double")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_docs: int = MIN_DOCS,
@@ -153,7 +153,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_docs:
                            np.empty(0, np.int32))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "y": pdf["y"], "x": out})
 
-    data = cut(rows.mapInPandas(place, "doc_id long, y double, x array<int>")
+    data = cut(rows.mapInPandas(tidy(place), "doc_id long, y double, x array<int>")
                .withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards))))
     z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
     for _ in range(epochs):
@@ -167,7 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_docs:
             return pd.DataFrame({"at": at, "z": zs[at], "n": ns[at]})
 
         # sums over shards are combined per partition; at most len(keys) + 1 rows return
-        mixed = (data.groupBy("shard").applyInPandas(run, "at long, z double, n double")
+        mixed = (data.groupBy("shard").applyInPandas(tidy(run), "at long, z double, n double")
                  .groupBy("at").agg((F.sum("z") / shards).alias("z"), (F.sum("n") / shards).alias("n"))
                  .toPandas())
         z, n = np.zeros(len(keys) + 1), np.zeros(len(keys) + 1)
