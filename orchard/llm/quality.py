@@ -8,7 +8,7 @@ uniform base).  All n-grams of the corpus get their probability that way, seen i
 trusted text or not.
 
 To score texts without moving them, the ``HOT`` most frequent n-grams (a fixed
-number, 6 MB) are sent to the tasks, which add up their share in place; each
+number, 3 MB) are sent to the tasks, which add up their share in place; each
 remaining n-gram of a text becomes a row that is joined with the sharded table.
 A text is rejected when its mean log-perplexity lies above its language's limit:
 the upper quantile of trusted texts plus ``SPREAD`` times its distance from the
@@ -18,7 +18,7 @@ nothing before it that could predict it (this matters for very short texts only)
 Defined results: null or empty texts have no perplexity and are kept; rows equal
 in id and text are reported once; a null language is a language of its own; a
 language with fewer than ``MIN_TRUSTED`` trusted texts takes the limit over all
-languages; without any trusted text everything is kept; an id counts as trusted
+languages; with fewer trusted texts altogether everything is kept; an id counts as trusted
 when all its labels say so; extra columns are ignored.
 """
 
@@ -29,10 +29,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import byte_runs, cut, flagged, restrict, table
+from orchard.llm.common import byte_runs, cut, flagged, restrict, table, tidy
 
 ORDER = 5
-HOT = 1 << 19
+HOT = 1 << 18
 QUANTILE = 0.99
 SPREAD = 1.5
 MIN_TRUSTED = 20
@@ -77,16 +77,16 @@ def gram_counts(rows: DataFrame) -> DataFrame:
             u, c = np.unique(gram_codes(data, off) << 1 | trusted, return_counts=True)
             parts.append((u >> 1, c, c * (u & 1)))
             size += len(u)
-            if size > 2_000_000:            # combine in bounded memory, then hand over
+            if size > 1_000_000:            # combine in bounded memory, then hand over
                 parts = [merged(parts)]
                 size = len(parts[0][0])
-                if size > 1_000_000:
+                if size > 500_000:
                     yield pa.record_batch([pa.array(x) for x in parts[0]], schema=schema)
                     parts, size = [], 0
         if parts:
             yield pa.record_batch([pa.array(x) for x in merged(parts)], schema=schema)
 
-    return (rows.select("k", "text", "trusted").mapInArrow(run, "g long, c long, t long")
+    return (rows.select("k", "text", "trusted").mapInArrow(tidy(run), "g long, c long, t long")
             .groupBy("g").agg(F.sum("c").alias("c"), F.sum("t").alias("t")))
 
 
@@ -138,7 +138,7 @@ def log_probabilities(grams: DataFrame, order: int = ORDER) -> DataFrame:
 class GramTable:
     """Log-probabilities of a fixed number of n-grams by open addressing."""
 
-    BITS = 21
+    BITS = 20
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         self.keys = np.full(1 << self.BITS, -1, np.int64)
@@ -214,7 +214,7 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
                     schema=schema)
 
     parts = rows.select("k", "text", "doc_id", "lang", "trusted").mapInArrow(
-        run, "k long, g long, n long, s double, doc_id long, lang string, trusted boolean")
+        tidy(run), "k long, g long, n long, s double, doc_id long, lang string, trusted boolean")
     main = F.col("g") < 0
     share = F.when(main, F.col("s")).otherwise(F.col("n") * F.col("logp"))
     total = (parts.join(logp, "g", "left").groupBy("k").agg(
@@ -236,7 +236,7 @@ def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, spr
     at = F.percentile_approx(lp, F.array(F.lit(0.5), F.lit(quantile)), 10_000).alias("q")
     sure = scored.where(F.col("trusted") & lp.isNotNull())
     limit = (F.col("q")[1] + spread * (F.col("q")[1] - F.col("q")[0]))
-    every = sure.agg(at).select(limit.alias("limit")).head()
+    every = sure.agg(at, F.count("*").alias("m")).where(F.col("m") >= min_trusted).select(limit.alias("limit")).head()
     by_lang = (sure.groupBy("lang").agg(at, F.count("*").alias("m")).where(F.col("m") >= min_trusted)
                .select(F.col("lang").alias("of"), limit.alias("own")))
     rest = F.lit(None if every is None else every["limit"]).cast("double")
