@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.prep import clamp_nonneg, strip_quotes
-from orchard.operators.common import join_small
+from orchard.operators.common import join_small, lit_array
 
-# A one-hot block is a dense vector of this many slots at most; a column with
-# more distinct values is not a category and fitting refuses it.
+# A dense one-hot block has this many slots at most: its dictionary and statistics are
+# kept on the driver and every row carries every slot.  A category column with more
+# values is fitted by ``orchard.operators.sparse``, which has no such bound.
 MAX_CATEGORIES = 100_000
 
 
@@ -75,6 +76,9 @@ def one_hot(idx_col: str | Column, k: int) -> Column:
     idx = F.col(idx_col) if isinstance(idx_col, str) else idx_col
     if k <= 0:
         return F.array().cast("array<double>")
+    if k > INLINE_LOOKUP_MAX:       # one expression instead of k
+        return F.transform(F.sequence(F.lit(0), F.lit(k - 1)),
+                           lambda i: F.when(i == idx, 1.0).otherwise(0.0))
     return F.array(*[F.when(idx == F.lit(i), F.lit(1.0)).otherwise(F.lit(0.0))
                      for i in range(k)])
 
@@ -97,8 +101,8 @@ def fit_category_index(df: DataFrame, col: str, strip: bool = True,
     cats = df.select(key.alias("category")).where(F.col("category").isNotNull()).distinct()
     values = [r["category"] for r in cats.orderBy("category").limit(max_categories + 1).collect()]
     if len(values) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} distinct values; "
-                         "not a category column")
+        raise ValueError(f"{col} has more than {max_categories} distinct values: "
+                         "use orchard.operators.sparse")
     return _dictionary(df.sparkSession, values)
 
 
@@ -121,6 +125,12 @@ class ScalerModel:
         shift, scale = self.scale_factors()
         return [(x - F.lit(float(m))) * F.lit(float(s)) for x, m, s in zip(slots, shift, scale)]
 
+    def scale_array(self, x: Column) -> Column:
+        """``scale_slots`` over an array, as one expression whatever its length."""
+        shift, scale = self.scale_factors()
+        both = F.arrays_zip(lit_array(shift).alias("m"), lit_array(scale).alias("s"))
+        return F.zip_with(x, both, lambda v, t: (v - t["m"]) * t["s"])
+
     def transform_col(self, features: str | Column = "features") -> Column:
         x = F.col(features) if isinstance(features, str) else features
         return F.array(*self.scale_slots([x.getItem(j) for j in range(len(self.mean))]))
@@ -190,20 +200,27 @@ class PageFeatures:
     def dim(self) -> int:
         return self.index.size + len(self.numeric)
 
-    def _slots(self) -> list[Column]:
-        return self.index.one_hot_slots("cat_idx") + numeric_slots(self.numeric, clamp=self.clamp)
+    def _raw(self) -> Column | list[Column]:
+        """Slots one by one, or, where there are many, as one array expression."""
+        nums = numeric_slots(self.numeric, clamp=self.clamp)
+        if self.index.size <= INLINE_LOOKUP_MAX:
+            return self.index.one_hot_slots("cat_idx") + nums
+        return F.concat(self.index.one_hot("cat_idx"), F.array(*nums))
 
     def assemble(self, df: DataFrame, category: str = "category") -> DataFrame:
         """Unscaled features (P10)."""
         j = self.index.lookup(df, category, on_unknown=self.on_unknown)
-        return j.withColumn("features", F.array(*self._slots())).drop("cat_idx")
+        raw = self._raw()
+        return j.withColumn("features", F.array(*raw) if isinstance(raw, list) else raw).drop("cat_idx")
 
     def transform(self, df: DataFrame, category: str = "category") -> DataFrame:
         j = self.index.lookup(df, category, on_unknown=self.on_unknown)
-        slots = self._slots()
-        if self.scaler is not None:
-            slots = self.scaler.scale_slots(slots)
-        return j.withColumn("features", F.array(*slots)).drop("cat_idx")
+        raw = self._raw()
+        if isinstance(raw, list):
+            raw = F.array(*(raw if self.scaler is None else self.scaler.scale_slots(raw)))
+        elif self.scaler is not None:
+            raw = self.scaler.scale_array(raw)
+        return j.withColumn("features", raw).drop("cat_idx")
 
 
 def _combine(parts: list[tuple[int, float, float]]) -> tuple[float, float]:
@@ -241,8 +258,8 @@ def fit_page_features(df: DataFrame, numeric: Sequence[str], category: str = "ca
     rows = g.orderBy(F.asc_nulls_last("category")).limit(max_categories + 2).collect()
     values = [r["category"] for r in rows if r["category"] is not None]
     if len(values) > max_categories:
-        raise ValueError(f"{category} has more than {max_categories} distinct values; "
-                         "not a category column")
+        raise ValueError(f"{category} has more than {max_categories} distinct values: "
+                         "use orchard.operators.sparse")
     index = _dictionary(df.sparkSession, values)
     pf = PageFeatures(index, list(numeric), None, clamp, on_unknown)
     if scale:

@@ -124,6 +124,11 @@ def _flag_sql(unit: str, step: int, fraction: float) -> str:
     return f"({v} - floor({v})) < {_num(fraction)}"
 
 
+def step_flag(unit: str, step: int, fraction: float) -> Column:
+    """Whether a row with uniform ``unit`` is in the mini-batch of a step."""
+    return F.expr(_flag_sql(unit, step, fraction))
+
+
 def _norm(v: Sequence[float]) -> float:
     return math.sqrt(sum(a * a for a in v))
 
