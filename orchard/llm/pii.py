@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orchard.llm.common import cut, restrict, table, texts
+from orchard.llm.common import cut, flagged, restrict, table, texts
 
 UNIT = 50
 SUPPORT = 3
@@ -142,14 +142,21 @@ def term_spans(rows: DataFrame, base: DataFrame, support: int = SUPPORT,
                 .where((F.col("both") >= support) & (F.col("texts") >= support)))
     if joint.isEmpty():
         return words.limit(0).select("k", "start", "end", F.lit(0.0).alias("share"))
-    # corpus counts: units of each candidate term, and all units
-    every = rows.select(F.explode(F.split("text", "\n", -1)).alias("text"))
-    units = _units(every)
+    # How many units of the corpus have each candidate, and how many there are: sketches of
+    # fixed size per term, combined before the shuffle.  N is only used in logarithms; the
+    # terms rare enough to tell are counted exactly afterwards.
+    units = _units(rows.select(F.explode(F.split("text", "\n", -1)).alias("text")))
+    named = cut(joint.select("term").distinct())
+    sketch = cut(flagged(units.select("term", "u"), named, "term", "named")
+                 .groupBy(F.when(F.col("named"), F.col("term")).alias("term"))
+                 .agg(F.approx_count_distinct("u", 0.01).alias("about")))
+    n = float(sketch.agg(F.sum("about")).head()[0])
+    most = F.col("both") * F.pow(F.lit(n) / F.col("ne"), F.lit(1 - generalise))
+    joint = cut(joint.join(sketch, "term").where(F.col("about") <= 1.1 * most).drop("about"))
     counts = (restrict(units, cut(joint.select("term").distinct()), "term").select("term", "u").distinct()
               .groupBy("term").agg(F.count("*").alias("nt")))
-    n = units.select("u").distinct().count()
-    pmi = F.log(F.lit(float(n)) * F.col("both") / (F.col("ne") * F.col("nt")))
-    share = F.try_divide(pmi, F.log(F.lit(float(n)) / F.col("ne")))
+    pmi = F.log(F.lit(n) * F.col("both") / (F.col("ne") * F.col("nt")))
+    share = F.try_divide(pmi, F.log(F.lit(n) / F.col("ne")))
     telling = joint.join(counts, "term").withColumn("share", share).where(F.col("share") >= generalise)
     return (words.join(held, "u").join(telling.select("e", "term", "share"), ["e", "term"])
             .groupBy("k", "start", "end").agg(F.max("share").alias("share")))
