@@ -27,6 +27,11 @@ HEADLINE = [
     "fit_tree_binary",
     "fit_tree_regression",
     "rec_items_for_user",
+    # the heavy ones: 100 steps, 60 configurations, 14 and 50 tree fits
+    "tune_sweep_logistic",
+    "tune_grid_svm",
+    "tune_sweep_tree",
+    "tune_grid_tree",
 ]
 
 

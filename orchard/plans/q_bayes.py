@@ -43,10 +43,10 @@ def q_nb_sufficient_stats(spark: SparkSession, sf: str) -> DataFrame:
     st = bayes.class_stats(prep.part("train"), prep.dim)
     long = st.select("label", "n", F.posexplode(F.array(*[f"s{j}" for j in range(prep.dim)]))
                      .alias("j", "s"))
-    # sums of ~1e5 terms carry ~1e-8 of float noise, so they are compared at
-    # 3 decimals (the 6-decimal rounding used elsewhere would sit on it)
-    return long.select("label", "n", F.col("j").cast("int").alias("j"),
-                       F.round("s", 3).alias("sum_x"))
+    # a sum of ~1e5 terms carries ~1e-8 of float noise, its mean does not: the mean is
+    # compared at 6 decimals, the sum itself at 3
+    return long.select("label", "n", F.col("j").cast("int").alias("j"), F.round("s", 3).alias("sum_x"),
+                       r6(F.col("s") / F.col("n")).alias("mean_x"))
 
 
 def q_fit_naive_bayes(spark: SparkSession, sf: str) -> DataFrame:

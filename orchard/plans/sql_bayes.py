@@ -20,7 +20,7 @@ def nb_sufficient_stats() -> str:
     return f"""WITH {G.binary_view()},
 {G.features_cte('bb', G.K_PRIORITY, nb=True)},
 {G.nb_model_cte('feat', D_BIN, NB_LAMBDA)}
-SELECT label, n, CAST(j AS INTEGER) AS j, round(sum_x, 3) AS sum_x FROM (
+SELECT label, n, CAST(j AS INTEGER) AS j, round(sum_x, 3) AS sum_x, round(sum_x / n, 6) AS mean_x FROM (
   SELECT label, n, unnest(range({D_BIN})) AS j, unnest([{arr}]) AS sum_x FROM nbm_s)"""
 
 
