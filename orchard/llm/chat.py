@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import table
+from orchard.llm.common import table, tidy
 
 # Speaker markers by kind, and the styles that ``transcripts`` writes.
 ROLES = ("system", "user", "assistant")
@@ -163,7 +163,7 @@ def fit(known: DataFrame) -> TranscriptModel:
             rows = [(k - 2, i, j, int(n[i, j])) for k, n in enumerate(tally) for i, j in zip(*np.nonzero(n))]
             yield pd.DataFrame(rows, columns=["kind", "i", "j", "n"])
 
-    counts = (known.select("part", "text", "turns").mapInPandas(run, "kind int, i int, j int, n long")
+    counts = (known.select("part", "text", "turns").mapInPandas(tidy(run), "kind int, i int, j int, n long")
               .groupBy("kind", "i", "j").agg(F.sum("n").alias("n")))
     return TranscriptModel(counts.toPandas())
 
@@ -177,7 +177,7 @@ def parse(transcript: DataFrame, model: TranscriptModel) -> DataFrame:
             yield pd.DataFrame({"conv_id": pdf["conv_id"], "part": pdf["part"], "turns": out})
 
     return transcript.select("conv_id", "part", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(
-        run, "conv_id long, part long, turns array<struct<role:string,text:string>>")
+        tidy(run), "conv_id long, part long, turns array<struct<role:string,text:string>>")
 
 
 def render(parsed: DataFrame) -> DataFrame:

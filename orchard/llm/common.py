@@ -113,14 +113,16 @@ def mix64(a: np.ndarray) -> np.ndarray:
     return a ^ (a >> np.uint64(32))
 
 
+def release() -> None:
+    """Give memory that this Python process has freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):      # glibc only
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def tidy(task):
     """Wrap a function for Python workers so that freed memory goes back to the system when a
     task ends: workers are reused, and what one operator freed would stay with the next."""
-    def release() -> None:
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):      # glibc only
-            ctypes.CDLL(None).malloc_trim(0)
-
     def batches(it):
         yield from task(it)
         release()

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import byte_batches, restrict, table, texts
+from orchard.llm.common import byte_batches, cut, restrict, table, texts, tidy
 
 Q = 8
 EDIT_RATE = 0.1
@@ -224,14 +224,13 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, edit_rate: float = EDIT_
                     yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)],
                                           schema=schema)
 
-        out = out.unionByName(docs.mapInArrow(run, ddl))
+        out = out.unionByName(docs.mapInArrow(tidy(run), ddl))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; columns as they are.
     Documents without an id stay."""
-    from orchard.llm.common import cut
     bad = cut(find_matches(docs, benchmark, **kwargs).where("doc_id is not null")
               .select("doc_id").distinct())
     return restrict(docs, bad, "doc_id", "left_anti")

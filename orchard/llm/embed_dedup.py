@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import components, cut, table
+from orchard.llm.common import components, cut, table, tidy
 
 COSINE = 0.9
 SHARD = 32_768          # vectors of one graph
@@ -295,7 +295,7 @@ def similar_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     shards = max(SHARDS, -(-n // SHARD))
     graphs = cut(classes.withColumn("dim", F.size("embedding"))
                  .withColumn("shard", F.pmod(F.xxhash64("h"), F.lit(shards)).cast("int"))
-                 .groupBy("dim", "shard").applyInPandas(_build, "shard int, dim int, graph binary"))
+                 .groupBy("dim", "shard").applyInPandas(tidy(_build), "shard int, dim int, graph binary"))
     pairs = graphs.withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     pairs = pairs.select("dim", "shard", "graph", F.least("shard", "other").alias("i"),
                          F.greatest("shard", "other").alias("j"))
@@ -303,7 +303,7 @@ def similar_vectors(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     whole = pairs.groupBy("dim", "i", "j").agg(F.count("*").alias("m"))
     pairs = pairs.join(whole, ["dim", "i", "j"]).where("i = j or m = 2")
     found = cut(pairs.select("dim", "i", "j", "shard", "graph").repartition(max(1, shards * (shards + 1) // 2), "dim", "i", "j")
-                .groupBy("dim", "i", "j").applyInPandas(_searcher(cosine), "a long, b long, links long"))
+                .groupBy("dim", "i", "j").applyInPandas(tidy(_searcher(cosine)), "a long, b long, links long"))
     counts = found.where("links > 0").groupBy(F.col("a").alias("h")).agg(F.sum("links").alias("links"))
     edges = found.where("links = 0").select("a", "b")
     label = cut(components(edges)).withColumnRenamed("id", "h")
