@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_batches, cut, prefix_sums, span_hashes, table, texts,
-                                word_spans)
+                                tidy, word_spans)
 
 CAPACITY = 2048
 PARTITION_PIECES = 32_768   # pieces packed in one task
 MAX_EXCHANGES = 4
 _TAIL = ",.!&%$*#|"         # stripped from a word before it is looked up
+_LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _CACHE_WORDS = 1_000_000    # words remembered at a time by one task
 
 
@@ -114,6 +115,9 @@ class _Encoder:
         """Token ids of each document of a run of texts."""
         if len(self.keys) > _CACHE_WORDS:
             self.clear()
+        # the tokeniser lower-cases too, but looks for its special strings before that
+        if not np.any((data[:-1] == 60) & (data[1:] == 124)):
+            data = _LOWER[data]
         start, end, doc = word_spans((data != 32) & (data != 10), offsets)
         h = span_hashes(prefix_sums(data, self.powers), start, end, self.powers)
         keys, one, word = np.unique(h, return_index=True, return_inverse=True)
@@ -158,7 +162,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
 
     def run(it):
         enc = _Encoder(path)
-        for ids, data, off in byte_batches(it, 6_000_000):
+        for ids, data, off in byte_batches(it, 1_500_000):
             cols: list[list] = [[] for _ in fields]
             for doc, tokens in zip(ids, enc.encode(data, off)):
                 seq = np.append(tokens, np.uint32(end_id))
@@ -169,7 +173,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
                         c.append(v)
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
 
-    return texts(docs).mapInArrow(run, ddl + (", ids array<int>" if with_ids else ""))
+    return texts(docs).mapInArrow(tidy(run), ddl + (", ids array<int>" if with_ids else ""))
 
 
 def bin_lower_bound(counts: np.ndarray, capacity: int = CAPACITY) -> int:
@@ -246,7 +250,7 @@ def _deal(pieces: DataFrame, n: int, salt: int, capacity: int, per_part: int) ->
     parts = max(1, -(-n // per_part))
     dealt = pieces.withColumn("part", F.pmod(F.xxhash64("uid", F.lit(salt)), F.lit(parts)))
     return dealt.groupBy("part").applyInPandas(
-        _packer(capacity), "uid long, length long, part long, bin long, offset long, fill long, gap long")
+        tidy(_packer(capacity)), "uid long, length long, part long, bin long, offset long, fill long, gap long")
 
 
 def pack_lengths(pieces: DataFrame, capacity: int = CAPACITY,
