@@ -30,10 +30,18 @@ def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The cluster's ``spark.checkpoint.dir`` (a scratch folder on a local master only)."""
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return folder
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` into the shared checkpoint folder, so that a lost executor
     costs a re-read; Spark removes the files when nothing refers to them."""
-    ensure_checkpoint_dir(df.sparkSession)
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
@@ -42,7 +50,7 @@ def written(df: DataFrame) -> Iterator[DataFrame]:
     """``df`` as a Parquet table in the shared checkpoint folder for the length of a block:
     for intermediate rows that are too many for an uncompressed checkpoint."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
