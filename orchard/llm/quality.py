@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import byte_runs, cut, flagged, restrict, table, tidy
+from orchard.llm.common import byte_runs, cut, flagged, release, restrict, table, texts, tidy
 
 ORDER = 5
 HOT = 1 << 18
@@ -54,10 +54,8 @@ def gram_codes(data: np.ndarray, offsets: np.ndarray, order: int = ORDER) -> np.
 
 
 def _inputs(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.xxhash64(F.col(id_col).cast("long"), text).alias("k"), text.alias("text"),
-                       F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(lang_col).cast("string").alias("lang"))
+    rows = texts(docs.select(id_col, text_col, F.col(lang_col).cast("string").alias("_lang")), id_col, text_col, "_lang")
+    return rows.select(F.xxhash64("doc_id", "text").alias("k"), "text", "doc_id", F.col("_lang").alias("lang"))
 
 
 def gram_counts(rows: DataFrame) -> DataFrame:
@@ -173,6 +171,25 @@ class GramTable:
         return out, np.concatenate(absent) if absent else np.empty(0, np.int64)
 
 
+def _hot_table(grams: DataFrame, logp: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """N-grams and log-probabilities of the most frequent n-grams, ``HOT`` at most: all those
+    above a frequency class, the classes counted first (some hundred rows at any size)."""
+    level = F.floor(F.log2(F.col("c").cast("double")) * 16).alias("level")
+    classes = sorted(((r["level"], r["count"]) for r in grams.groupBy(level).count().collect()), reverse=True)
+    least, room = None, HOT
+    for k, n in classes:
+        if n > room:
+            break
+        least, room = k, room - n
+    if least is None:
+        return np.empty(0, np.int64), np.empty(0)
+    hot = grams.where(level >= least).join(logp, "g").select("g", "logp").toPandas()
+    out = hot["g"].to_numpy(np.int64, copy=True), hot["logp"].to_numpy(np.float64, copy=True)
+    del hot
+    release()
+    return out
+
+
 def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
     """``doc_id, lang, trusted, n_bytes, log_perplexity`` (mean per byte) of every document;
@@ -182,9 +199,7 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
     rows = flagged(_inputs(docs, id_col, text_col, lang_col), trusted, "doc_id", "trusted")
     grams = cut(gram_counts(rows))
     logp = cut(log_probabilities(grams))
-    hot = (grams.join(logp, "g").orderBy(F.desc("c"), "g").limit(HOT).select("g", "logp")).toPandas()
-    held = docs.sparkSession.sparkContext.broadcast(
-        (hot["g"].to_numpy(np.int64), hot["logp"].to_numpy(np.float64)))
+    held = docs.sparkSession.sparkContext.broadcast(_hot_table(grams, logp))
     schema = pa.schema([("k", pa.int64()), ("g", pa.int64()), ("n", pa.int64()), ("s", pa.float64()),
                         ("doc_id", pa.int64()), ("lang", pa.string()), ("trusted", pa.bool_())])
 

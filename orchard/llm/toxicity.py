@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.llm.common import (Powers, byte_batches, cut, mix64, prefix_sums, restrict,
+from orchard.llm.common import (Powers, byte_batches, cut, mix64, prefix_sums, release, restrict,
                                 span_hashes, table, texts, tidy, word_spans)
 
 MAX_ROWS = 8_000       # labelled documents that the model is fitted on
@@ -174,6 +174,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, min_docs:
         z[mixed["at"]], n[mixed["at"]] = mixed["z"], mixed["n"]
         state.unpersist()
     w = ftrl_weights(z, n)
+    del z, n, mixed
+    release()
     at = np.flatnonzero(w[1:])
     if len(at) > MAX_WEIGHTS:
         raise ValueError("too many non-zero weights: raise L1 or min_docs")
