@@ -24,10 +24,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text`` alone (extra columns cannot clash); a null text is empty."""
+# Rows in an Arrow batch, unless the session sets its own number: rows hold whole texts, and
+# Spark's default of 10,000 fills tens of megabytes beside the heap for every running task.
+BATCH_ROWS = 1_000
+_ROWS_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *keep: str) -> DataFrame:
+    """``doc_id, text`` and ``keep`` alone (other columns cannot clash); a null text is empty."""
+    spark = docs.sparkSession
+    if spark.conf.get(_ROWS_KEY) == "10000":
+        spark.conf.set(_ROWS_KEY, str(BATCH_ROWS))
     return docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *keep)
 
 
 def shared_folder(spark: SparkSession) -> str:
