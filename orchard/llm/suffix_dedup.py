@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_runs, cut, mix64, prefix_sums, restrict, span_hashes,
-                                table, texts, written)
+                                table, texts, tidy, written)
 
 LENGTH = 400
 GRAM = 128
@@ -95,7 +95,7 @@ def _anchors(rows: DataFrame, length: int, gram: int) -> DataFrame:
             yield pa.record_batch([pa.array(x) for x in (h.view(np.int64), k[doc], _pack(
                 at - off[doc], at - last, at - first))], schema=schema)
 
-    return rows.select("k", "text").mapInArrow(run, "bucket long, k long, span long")
+    return rows.select("k", "text").mapInArrow(tidy(run), "bucket long, k long, span long")
 
 
 def _refined(rows: DataFrame, length: int, block: int) -> DataFrame:
@@ -126,7 +126,7 @@ def _refined(rows: DataFrame, length: int, block: int) -> DataFrame:
                 core.view(np.int64), hull.view(np.int64), k[doc], _pack(at - off[doc], near, far))],
                 schema=schema)
 
-    return rows.mapInArrow(run, "core long, hull long, k long, span long")
+    return rows.mapInArrow(tidy(run), "core long, hull long, k long, span long")
 
 
 def _with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     found = copied.select("k", F.lit(0).cast("long").alias("first"), "end")
     with contextlib.ExitStack() as tables:
         anchors = tables.enter_context(written(_anchors(one_each, length, gram)))
-        shared = anchors.groupBy("bucket").count().where("count > 1").select("bucket")
+        shared = cut(anchors.groupBy("bucket").count().where("count > 1").select("bucket"))
         open_ = anchors.join(shared, "bucket").select("k", "span")
         for block in blocks:
             level = tables.enter_context(written(_refined(_with_spans(one_each, open_), length, block)))
@@ -193,7 +193,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **kwargs) -> DataFrame
 
     ddl = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
     touched = (restrict(rows, keys, "k").join(spans, "k")
-               .select("k", "text", "doc_id", "spans").mapInArrow(run, ddl))
+               .select("k", "text", "doc_id", "spans").mapInArrow(tidy(run), ddl))
     rest = restrict(rows, keys, "k", "left_anti").select(
         "doc_id", F.octet_length("text").cast("long").alias("n_bytes"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
