@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_runs, components, cut, mix64, prefix_sums, restrict,
-                                span_hashes, table, texts, word_spans, written)
+                                span_hashes, table, texts, tidy, word_spans, written)
 
 WORDS = 5
 PERCENT = 80                    # link when 100 * shared >= PERCENT * united
@@ -79,7 +79,7 @@ def _dealt(rows: DataFrame, words: int, buckets: int) -> DataFrame:
 
     def run(it):
         powers = Powers()
-        for b, data, off in byte_runs(it, 2_000_000):
+        for b, data, off in byte_runs(it, 1_500_000):
             token, owner = shingle_sets(data, off, powers, words)
             node = b.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
             size = np.bincount(owner, minlength=len(node)).astype(np.int64)
@@ -100,7 +100,7 @@ def _dealt(rows: DataFrame, words: int, buckets: int) -> DataFrame:
                                 node.tobytes() + size.tobytes() if k == 0 else b""))
             yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), schema)], schema=schema)
 
-    return rows.mapInArrow(run, "bucket long, tokens binary, owners binary, nodes binary, sizes binary")
+    return rows.mapInArrow(tidy(run), "bucket long, tokens binary, owners binary, nodes binary, sizes binary")
 
 
 def _shared_tokens(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -295,7 +295,7 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
                          .where("c > 1"), "node").where("k <> one").select("k").distinct())
     one_each = restrict(rows, extra, "k", "left_anti").select("node", "text")
     shared = (_dealt(one_each, words, buckets).groupBy("bucket")
-              .applyInPandas(_shared_tokens, "node long, token long"))
+              .applyInPandas(tidy(_shared_tokens), "node long, token long"))
     with written(shared) as shared:
         sizes = cut(shared.where("token < 0").select("node", (-1 - F.col("token")).alias("n")).distinct())
         # a link needs at least percent % of the set's own tokens to be shared
@@ -321,7 +321,7 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     blocks = pairs.select("comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                           F.when(F.col("part") > F.col("other"), 1).otherwise(0).cast("long").alias("side"),
                           "node", "n", "tokens")
-    links = cut(blocks.groupBy("comp", "i", "j").applyInPandas(_group_task(percent), "a long, b long"))
+    links = cut(blocks.groupBy("comp", "i", "j").applyInPandas(tidy(_group_task(percent)), "a long, b long"))
     return sizes, links
 
 
@@ -331,11 +331,13 @@ def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     tokens is a class of its own."""
     sizes, links = text_links(docs, words, percent, group)
     linked = cut(components(links))
-    rows = (_classes(docs).select("doc_id", "node").join(sizes, "node", "left")
-            .join(linked.withColumnRenamed("id", "node"), "node", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component_id", "node").alias("label")))
-    least = rows.groupBy("label").agg(F.min("doc_id").alias("least"))
+    # both sides of the last join are written first, so that a class that holds a third of
+    # the rows can be split when they meet
+    rows = cut(_classes(docs).select("doc_id", "node").join(sizes, "node", "left")
+               .join(linked.withColumnRenamed("id", "node"), "node", "left")
+               .select("doc_id", F.col("n").alias("n_shingles"),
+                       F.coalesce("component_id", "node").alias("label")))
+    least = cut(rows.groupBy("label").agg(F.min("doc_id").alias("least")))
     return rows.join(least, "label").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id"))
