@@ -145,8 +145,8 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         pos = F.struct("id", "k", "line")
         again = lines.groupBy("h").agg(F.min(pos).alias("first"), F.max(pos).alias("last"))
         # lines met once and without an earlier neighbour are out of the way before the join
-        listed = again.join(near.withColumn("near", F.lit(True)), "h", "left").where(
-            "first <> last or near").select("h", "first", F.coalesce("near", F.lit(False)).alias("near"))
+        listed = cut(again.join(near.withColumn("near", F.lit(True)), "h", "left").where(
+            "first <> last or near").select("h", "first", F.coalesce("near", F.lit(False)).alias("near")))
         exact = pos > F.col("first")
         gone = lines.select("h", "k", "id", "line").join(listed, "h").where(exact | F.col("near"))
         return cut(gone.groupBy("k").agg(F.collect_set(F.when(exact, F.col("line"))).alias("exact"),
