@@ -147,7 +147,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     rows = _keyed(docs)
     copies = cut(rows.select(F.xxhash64("text").alias("t"), "k", F.octet_length("text").alias("n"))
                  .where(F.col("n") >= length))
-    same = copies.groupBy("t").agg(F.count("*").alias("c"), F.min("k").alias("one")).where("c > 1")
+    # written before it is joined, so that a text with very many copies can be split
+    same = cut(copies.groupBy("t").agg(F.count("*").alias("c"), F.min("k").alias("one")).where("c > 1"))
     copied = cut(copies.join(same, "t").select("k", "one", F.col("n").cast("long").alias("end")).distinct())
     one_each = restrict(rows, cut(copied.where("k <> one").select("k").distinct()), "k", "left_anti")
     found = copied.select("k", F.lit(0).cast("long").alias("first"), "end")
