@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orchard.llm.common import cut, flagged, restrict, table, texts
+from orchard.llm.common import cut, restrict, table, texts
 
 UNIT = 50
 SUPPORT = 3
@@ -110,6 +110,14 @@ def _units(lines: DataFrame, *keep: str) -> DataFrame:
         F.xxhash64("line", F.floor(F.col("i") / UNIT)).alias("u"))
 
 
+def unit_total(lines: DataFrame) -> int:
+    """Distinct units of ``lines(text)``, exactly: equal lines have equal units, so a line's
+    hash and number of units are all that is shuffled."""
+    size = F.ceil(F.size(F.regexp_extract_all("text", F.lit(WORD), F.lit(0))) / UNIT)
+    each = lines.select(F.xxhash64("text").alias("line"), size.alias("units")).where("units > 0")
+    return each.groupBy("line").agg(F.max("units").alias("units")).agg(F.sum("units")).head()[0] or 0
+
+
 def term_spans(rows: DataFrame, base: DataFrame, support: int = SUPPORT,
                generalise: float = GENERALISE) -> DataFrame:
     """``k, start, end, share`` of the terms that reveal an entity of ``base`` in their unit."""
@@ -142,15 +150,14 @@ def term_spans(rows: DataFrame, base: DataFrame, support: int = SUPPORT,
                 .where((F.col("both") >= support) & (F.col("texts") >= support)))
     if joint.isEmpty():
         return words.limit(0).select("k", "start", "end", F.lit(0.0).alias("share"))
-    # How many units of the corpus have each candidate, and how many there are: sketches of
-    # fixed size per term, combined before the shuffle.  N is only used in logarithms; the
-    # terms rare enough to tell are counted exactly afterwards.
-    units = _units(rows.select(F.explode(F.split("text", "\n", -1)).alias("text")))
-    named = cut(joint.select("term").distinct())
-    sketch = cut(flagged(units.select("term", "u"), named, "term", "named")
-                 .groupBy(F.when(F.col("named"), F.col("term")).alias("term"))
-                 .agg(F.approx_count_distinct("u", 0.01).alias("about")))
-    n = float(sketch.agg(F.sum("about")).head()[0])
+    # How many units of the corpus have each candidate: sketches of fixed size per term,
+    # combined before the shuffle, put aside what is far too frequent to tell (the margin is
+    # ten times their error); the terms left are counted exactly afterwards.
+    corpus = rows.select(F.explode(F.split("text", "\n", -1)).alias("text"))
+    n = float(unit_total(corpus))
+    units = _units(corpus)
+    sketch = cut(restrict(units.select("term", "u"), cut(joint.select("term").distinct()), "term")
+                 .groupBy("term").agg(F.approx_count_distinct("u", 0.01).alias("about")))
     most = F.col("both") * F.pow(F.lit(n) / F.col("ne"), F.lit(1 - generalise))
     joint = cut(joint.join(sketch, "term").where(F.col("about") <= 1.1 * most).drop("about"))
     counts = (restrict(units, cut(joint.select("term").distinct()), "term").select("term", "u").distinct()

@@ -1,6 +1,7 @@
 """Packing, suffix dedup, Jaccard join, line dedup and personal data against brute force."""
 
 import hashlib
+import math
 import random
 import re
 import sys
@@ -218,3 +219,16 @@ def test_telling_terms_become_spans_and_are_replaced(spark):
     clean = pii.sanitise(docs).toPandas().set_index("doc_id")["text"]
     assert all("zanzibar" not in clean[i] and "boss" not in clean[i] and "[EMAIL]" in clean[i] for i in range(5))
     assert all(clean[i] == texts[i] for i in range(5, 60))
+
+
+def test_shares_use_the_number_of_units(spark):
+    rng = np.random.default_rng(21)
+    texts = [H.prose(rng, 40, 30) for _ in range(120)]     # few, frequent words: all of them are candidates
+    planted = {"zanzibar": 8, "fernando": 9, "quartz": 14}      # units with the word; the address has the first 8
+    for i in range(14):
+        texts[i] += "".join(f" {w}" for w, n in planted.items() if i < n) + (" boss@corp.example" if i < 8 else "")
+    rows = pii.find_personal(documents(spark, texts + texts[:3])).toPandas().set_index("doc_id")["spans"]
+    got = {texts[i][s["start"]:s["end"]]: s["share"] for i in range(len(texts)) for s in rows[i] if s["kind"] == "term"}
+    share = {w: math.log(len(texts) / n) / math.log(len(texts) / 8) for w, n in planted.items()}
+    assert share["quartz"] < pii.GENERALISE < share["fernando"]
+    assert got == {w: pytest.approx(share[w]) for w in ("zanzibar", "fernando")}
