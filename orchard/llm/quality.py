@@ -10,16 +10,18 @@ trusted text or not.
 To score texts without moving them, the ``HOT`` most frequent n-grams (a fixed
 number, 3 MB) are sent to the tasks, which add up their share in place; each
 remaining n-gram of a text becomes a row that is joined with the sharded table.
-A text is rejected when its mean log-perplexity lies above its language's limit:
-the upper quantile of trusted texts plus ``SPREAD`` times its distance from the
-median, both of that language, plus log(256) / bytes, as a text's first byte has
-nothing before it that could predict it (this matters for very short texts only).
+A text is rejected when its mean log-perplexity lies above its language's limit: a
+quantile of trusted texts plus ``SPREAD`` / sqrt(bytes), as the mean over few bytes
+varies more.  Which of the ``LEVELS`` is the quantile is fitted per language on the
+labelled texts of both classes: the one with the least sum of the share of trusted
+texts that go and the share of untrusted ones that stay (the lowest of equals).
 
 Defined results: null or empty texts have no perplexity and are kept; rows equal
 in id and text are reported once; a null language is a language of its own; a
 language with fewer than ``MIN_TRUSTED`` trusted texts takes the limit over all
-languages; with fewer trusted texts altogether everything is kept; an id counts as trusted
-when all its labels say so; extra columns are ignored.
+languages; without untrusted texts the lowest level is taken; with fewer trusted texts
+altogether everything is kept; an id counts as trusted when all its labels say so;
+extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +35,8 @@ from orchard.llm.common import byte_runs, cut, flagged, release, restrict, table
 
 ORDER = 5
 HOT = 1 << 18
-QUANTILE = 0.99
-SPREAD = 1.5
+LEVELS = (0.99, 0.9925, 0.995, 0.9975, 0.999)
+SPREAD = 2.0
 MIN_TRUSTED = 20
 
 _FOLD = np.array([48 if 48 <= b <= 57 else b for b in range(256)], np.uint8)
@@ -240,23 +242,40 @@ def perplexity(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text
                         F.when(F.col("n") > 0, -F.col("s") / F.col("n")).alias("log_perplexity"))
 
 
-def classify(docs: DataFrame, labels: DataFrame, quantile: float = QUANTILE, spread: float = SPREAD,
+def _limits(labelled: DataFrame, levels: tuple, min_trusted: int) -> DataFrame:
+    """``of, own``: the limit of each group of ``labelled(of, trusted, over)``."""
+    good, over = F.col("trusted"), F.col("over")
+    at = (labelled.where(good).groupBy("of").agg(
+        F.percentile_approx(over, F.array(*[F.lit(x) for x in levels]), 10_000).alias("q"), F.count("*").alias("m"))
+        .where(F.col("m") >= min_trusted).select(F.col("of").alias("same"), "q"))
+
+    def wrong(i: int) -> Column:
+        above = (over > F.col("q")[i]).cast("int")
+        share = F.avg(F.when(good, above)) + F.avg(F.when(~good, 1 - above))
+        return F.struct(share.alias("share"), F.first("q")[i].alias("limit"))
+
+    # a null share (no untrusted text) is the same for all levels, so the lowest limit is taken
+    return (labelled.join(F.broadcast(at), F.col("of").eqNullSafe(F.col("same"))).groupBy("of")
+            .agg(F.least(*[wrong(i) for i in range(len(levels))])["limit"].alias("own")))
+
+
+def classify(docs: DataFrame, labels: DataFrame, levels: tuple = LEVELS, spread: float = SPREAD,
              min_trusted: int = MIN_TRUSTED, **columns) -> DataFrame:
     """``perplexity`` rows with their language's ``limit`` and ``keep``.
     ``labels(doc_id, quality)``: trusted texts are those of quality 1."""
-    trusted = (labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
-               .where("q = 1").select("doc_id"))
-    scored = cut(perplexity(docs, trusted, **columns))
+    judged = labels.where("quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
+    scored = cut(perplexity(docs, judged.where("q = 1").select("doc_id"), **columns))
     lp = F.col("log_perplexity")
-    at = F.percentile_approx(lp, F.array(F.lit(0.5), F.lit(quantile)), 10_000).alias("q")
-    sure = scored.where(F.col("trusted") & lp.isNotNull())
-    limit = (F.col("q")[1] + spread * (F.col("q")[1] - F.col("q")[0]))
-    every = sure.agg(at, F.count("*").alias("m")).where(F.col("m") >= min_trusted).select(limit.alias("limit")).head()
-    by_lang = (sure.groupBy("lang").agg(at, F.count("*").alias("m")).where(F.col("m") >= min_trusted)
-               .select(F.col("lang").alias("of"), limit.alias("own")))
-    rest = F.lit(None if every is None else every["limit"]).cast("double")
+    room = F.try_divide(F.lit(float(spread)), F.sqrt("n_bytes"))
+    junk = cut(judged.where("q <> 1 and doc_id is not null")
+               .select(F.col("doc_id").cast("long").alias("doc_id")).distinct())
+    labelled = cut(flagged(scored, junk, "doc_id", "junk").where(F.col("trusted") | F.col("junk"))
+                   .select("lang", "trusted", (lp - room).alias("over")).where("over is not null"))
+    every = _limits(labelled.withColumn("of", F.lit("all")), levels, min_trusted).head()
+    by_lang = _limits(labelled.withColumnRenamed("lang", "of"), levels, min_trusted)
+    rest = F.lit(None if every is None else every["own"]).cast("double")
     out = scored.join(by_lang, F.col("lang").eqNullSafe(F.col("of")), "left").withColumn(
-        "limit", F.coalesce("own", rest) + F.try_divide(F.log(F.lit(256.0)), F.col("n_bytes")))
+        "limit", F.coalesce("own", rest) + room)
     return out.select(*scored.columns, "limit", F.coalesce(lp <= F.col("limit"), F.lit(True)).alias("keep"))
 
 

@@ -91,6 +91,13 @@ def test_clean_documents_stay_and_junk_goes(spark):
     assert got.loc[got["quality"] == 0, "keep"].mean() < 0.35
 
 
+def test_limits_tell_the_classes_apart(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = quality.classify(docs, labels).join(labels, "doc_id").toPandas()
+    assert got.loc[got["quality"] == 1, "keep"].mean() > 0.99
+    assert got.loc[got["quality"] == 0, "keep"].mean() < 0.04
+
+
 # ---- toxicity -------------------------------------------------------------------------------
 
 def test_ftrl_pass_matches_plain_python():
