@@ -1,9 +1,11 @@
 """Line deduplication by a deletion-neighbourhood join, in DataFrame functions alone.
 
-Lines are compared trimmed and lower-cased; those shorter than ``min_chars`` are
-never touched.  A line goes when an earlier line of the corpus (smaller doc_id,
-then smaller line number) lies within one edit of it: one character replaced,
-added or left out.
+Lines are compared trimmed and lower-cased.  A line goes when an earlier line of the
+corpus (smaller doc_id, then smaller line number) equals it or lies within one edit
+of it: one character replaced, added or left out.  Blank lines are never touched, and
+lines shorter than ``min_chars`` have no neighbours at one edit: only their exact
+repeats go, down to ``min_exact`` characters.  The query op6_line_dedup leaves lines
+under ``MIN_CHARS`` alone, as its SQL does.
 
 Two lines within one edit meet in equal deletion variants: both without the
 character that differs, or one without the character that the other lacks.  The
@@ -54,16 +56,16 @@ def _end(n: Column) -> Column:
     return F.when(half >= 16, half - half % 16).when(half >= 8, 8).otherwise(F.least(half, F.lit(1))).cast("int")
 
 
-def _ends(lines: DataFrame) -> DataFrame:
+def _ends(lines: DataFrame, min_chars: int) -> DataFrame:
     """Line rows with hash ``h`` and ``ends``, the hashes of what they may share with a
-    neighbour of the same length, or of one character less or more."""
+    neighbour of the same length, or of one character less or more (none below ``min_chars``)."""
     here, less = _end(F.col("n")), _end(F.col("n") - 1)
 
     def both(size: Column) -> list[Column]:
         return [F.xxhash64(size, F.lit(0), F.substring("form", F.lit(1), size)),
                 F.xxhash64(size, F.lit(1), F.substring("form", F.col("n") - size + 1, size))]
 
-    ends = F.when(here == less, F.array(*both(here))).otherwise(F.array(*both(here), *both(less)))
+    ends = F.when(F.col("n") < min_chars, F.array().cast("array<bigint>")).when(here == less, F.array(*both(here))).otherwise(F.array(*both(here), *both(less)))
     return lines.select("k", "id", "line", F.xxhash64("form").alias("h"), ends.alias("ends"))
 
 
@@ -138,9 +140,9 @@ def near_lines(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str, mi
 
 
 def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                   min_chars: int = MIN_CHARS) -> DataFrame:
+                   min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
     """``k, exact, near``: line numbers that go from each document (by row key)."""
-    with written(_ends(_lines(docs, id_col, text_col, min_chars))) as lines:
+    with written(_ends(_lines(docs, id_col, text_col, max(min_exact, 1)), min_chars)) as lines:
         near = cut(near_lines(docs, lines, id_col, text_col, min_chars))
         pos = F.struct("id", "k", "line")
         again = lines.groupBy("h").agg(F.min(pos).alias("first"), F.max(pos).alias("last"))
@@ -154,12 +156,12 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS) -> DataFrame:
+                min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
     """``docs`` with the repeated lines taken out of ``text``, plus struct ``lines`` (last) with
     the numbers of lines (n), of exact (exact) and of near (near) repeats removed.
     ``docs`` may have any further columns but one named ``lines``."""
     plain = docs.select(F.col(id_col), F.col(text_col))
-    found = line_decisions(plain, id_col, text_col, min_chars)
+    found = line_decisions(plain, id_col, text_col, min_chars, min_exact)
     # the caller's columns travel in a struct, so that their names cannot clash
     keyed = docs.select(_row_key(id_col, text_col).alias("k"), F.struct("*").alias("row"),
                         F.split(F.col(text_col).cast("string"), "\n", -1).alias("all"))
@@ -189,7 +191,7 @@ def keep_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select(
+    return dedup_lines(docs, min_exact=MIN_CHARS).select(
         "doc_id", F.col("lines.n").alias("n_lines"), F.col("lines.exact").alias("n_exact"),
         F.col("lines.near").alias("n_near"), F.sha2("text", 256).alias("text_sha256"))
 

@@ -172,6 +172,13 @@ def test_line_dedup_matches_sql_and_brute_force(spark, tmp_path):
     assert (got["n_exact"].sum(), got["n_near"].sum()) == (exact, near) and near > 20
 
 
+def test_exact_repeats_of_short_lines_go(spark):
+    texts = ["les.\n\nA line that is long enough to count", " LES. \n\nlet.\nx", "x\nles.\nles", "Les."]
+    got = line_dedup.dedup_lines(documents(spark, texts)).toPandas().set_index("doc_id").sort_index()
+    assert got["text"].tolist() == [texts[0], "\nlet.\nx", "les", ""]      # blank lines and near ones stay
+    assert [(x["n"], x["exact"], x["near"]) for x in got["lines"]] == [(3, 0, 0), (4, 1, 0), (3, 2, 0), (1, 1, 0)]
+
+
 # ---- personal data --------------------------------------------------------------------------
 
 # The patterns as specified.
