@@ -122,6 +122,16 @@ def test_ftrl_pass_matches_plain_python():
     assert np.allclose(z, zz) and np.allclose(n, nn)
 
 
+def test_words_of_four_toxic_documents_count(spark):
+    rng = np.random.default_rng(12)
+    texts = [f"{H.prose(rng, 3)} zanzibar" if i < 4 else H.prose(rng, 6) for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 4)) for i in range(200)], "doc_id long, toxic int")
+    new = spark.createDataFrame([(0, "zanzibar"), (1, "another")], "doc_id long, text string")
+    score = toxicity.fit(docs, labels).transform(new).toPandas().set_index("doc_id")["score"]
+    assert score[0] > score[1]
+
+
 def test_toxicity_on_held_out_rows(spark):
     sf = "/root/testdata/sf0.1"
     got = toxicity.op2_ftrl_toxicity(spark, sf).toPandas()
