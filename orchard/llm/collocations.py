@@ -87,9 +87,10 @@ _RELATION_SCHEMA = pa.schema([("chunk", pa.int64()), ("pos", pa.list_(pa.int64()
 
 
 def _chunks(pos: np.ndarray, ids: np.ndarray, chunk: np.ndarray) -> pa.RecordBatch:
-    """Relation rows of sorted occurrences; ``chunk`` is their chunk's number."""
-    names, at = np.unique(chunk, return_index=True)
-    at = pa.array(np.append(at, len(chunk)).astype(np.int32))
+    """Relation rows of sorted occurrences; ``chunk`` is their chunk's number, in runs (a task that
+    reads several files meets the numbers in any order)."""
+    at = np.flatnonzero(np.append(True, chunk[1:] != chunk[:-1])[:len(chunk)])
+    names, at = chunk[at], pa.array(np.append(at, len(chunk)).astype(np.int32))
     return pa.record_batch([pa.array(names), pa.ListArray.from_arrays(at, pa.array(pos)),
                             pa.ListArray.from_arrays(at, pa.array(ids))], schema=_RELATION_SCHEMA)
 
