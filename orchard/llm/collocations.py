@@ -41,9 +41,9 @@ from orchard.llm.hot import lookup
 from orchard.llm.wordbytes import as_strings, byte_set, counted, words_of
 
 MIN_COUNT, MAX_WORDS, TOP, ABSORBED = 100, 5, 2000, 100     # ABSORBED in percent of a phrase's frequency
-RUN_BYTES = 4_000_000       # texts tokenised together
+RUN_BYTES = 1_000_000       # texts tokenised together
 CHUNK = 1_024               # words in a chunk, but for a longer piece
-FLUSH = 3_000_000           # pairs combined in a task before they are sent on
+FLUSH = 400_000             # pairs combined in a task before they are sent on
 _BREAK = byte_set((0x0A, 0x0D), *((ord(c),) * 2 for c in ".,;:!?"))
 _WORD = ~(_BREAK | byte_set((0x20, 0x20), (0x09, 0x09)))
 
@@ -57,7 +57,7 @@ class _Run:
         self.codes, self.words = coded.indices.to_numpy(), coded.dictionary
         langs = rows.column(0).dictionary_encode()
         self.langs, self.lang = langs.dictionary, langs.indices.to_numpy()[self.doc]
-        breaks = np.concatenate(([0], np.cumsum(_BREAK[data])))[start]
+        breaks = np.cumsum(_BREAK[data], dtype=np.int32)[start]
         self.new = np.append(True, (np.diff(breaks) > 0) | (np.diff(self.doc) > 0))[:len(start)]
         self.pos = np.arange(len(start)) + np.cumsum(self.new)
 
@@ -109,6 +109,13 @@ class _Numbering:
         return out
 
 
+def _slices(it, rows: int = 128):
+    """Relation rows in batches of bounded size."""
+    for b in it:
+        for lo in range(0, b.num_rows, rows):
+            yield b.slice(lo, rows)
+
+
 def _flat(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """chunk, pos and id of the occurrences of relation rows."""
     many = np.diff(b.column(1).offsets.to_numpy())
@@ -175,7 +182,7 @@ def pair_counts(relation: DataFrame) -> DataFrame:
 
     def run(it):
         parts, held = [], 0
-        for b in it:
+        for b in _slices(it):
             _, _, prefix, suffix = _adjacent(b)
             if len(prefix):
                 parts.append((prefix, suffix))
@@ -194,7 +201,7 @@ def next_relation(relation: DataFrame, phrases: DataFrame, bound: int) -> DataFr
     """R(k + 1): adjacent occurrences semi-joined with C(k + 1) (cut; ``prefix, suffix, id, f``)."""
     if phrases.count() > bound:
         def each(it):
-            for b in it:
+            for b in _slices(it):
                 yield pa.record_batch([pa.array(x) for x in _adjacent(b)], names=["chunk", "pos", "prefix", "suffix"])
         flat = relation.mapInArrow(tidy(each), "chunk long, pos long, prefix long, suffix long")
         pairs = phrases.select("prefix", "suffix", "id", "f")
@@ -210,7 +217,7 @@ def next_relation(relation: DataFrame, phrases: DataFrame, bound: int) -> DataFr
         pair = i * max(len(b), 1) + j
         order = np.argsort(pair)
         pair, ids = pair[order], ids[order]
-        for rows in it:
+        for rows in _slices(it):
             chunk, pos, prefix, suffix = _adjacent(rows)
             if not len(ids) or not len(pos):
                 continue
