@@ -8,6 +8,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orchard.operators.topk import top_products
 from orchard.session import ensure_checkpoint_dir
 
 ALS_SEED = 42
@@ -46,10 +47,13 @@ def predict_pairs(model: ALSModel, pairs: DataFrame, cold_start: str = "nan") ->
     return m.transform(pairs)
 
 
-def _explode_recs(recs: DataFrame, key: str, other: str) -> DataFrame:
-    e = recs.select(key, F.posexplode("recommendations").alias("pos", "r"))
-    return e.select(key, (F.col("pos") + 1).alias("rank"),
-                    F.col(f"r.{other}").alias(other), F.col("r.rating").alias("score"))
+def _best(requested: DataFrame | None, key: str, asked: DataFrame, offered: DataFrame, other: str, n: int) -> DataFrame:
+    """Top-n of the factors ``offered`` for the requested keys among ``asked`` (all of them for ``None``)."""
+    if requested is not None:
+        ids = requested.select(F.col(key).cast("int").alias("id")).distinct()
+        asked = asked.join(ids, "id", "left_semi")
+    recs = top_products(asked, offered, n)
+    return recs.select(F.col("rid").alias(key), "rank", F.col("id").alias(other), "score")
 
 
 def items_for_users(model: ALSModel, users: DataFrame | None, n: int = 10,
@@ -57,12 +61,10 @@ def items_for_users(model: ALSModel, users: DataFrame | None, n: int = 10,
     """Top-n items per requested user (``None``: every user), numbered 1..n,
     titled (X11, J2).  Unknown users give no rows; a missing title is NULL.
 
-    Spark scores users against items block by block and keeps a bounded
-    top-n per user; the (user, item) pairs never become rows.
+    Exact and by blocks (``topk``): blocks of items whose norms are too small for a user's
+    n-th score are left out, and the (user, item) pairs never become rows.
     """
-    raw = (model.recommendForAllUsers(n) if users is None
-           else model.recommendForUserSubset(users.select("user_id"), n))
-    recs = _explode_recs(raw, "user_id", "item_id")
+    recs = _best(users, "user_id", model.userFactors, model.itemFactors, "item_id", n)
     return recs if titles is None else with_titles(recs, titles)
 
 
@@ -70,9 +72,7 @@ def users_for_items(model: ALSModel, items: DataFrame | None, n: int = 10,
                     titles: DataFrame | None = None) -> DataFrame:
     """Top-n users per requested item (``None``: every item), numbered 1..n, with the
     item's title where ``titles`` is given (X12, J2).  Unknown items give no rows."""
-    raw = (model.recommendForAllItems(n) if items is None
-           else model.recommendForItemSubset(items.select("item_id"), n))
-    recs = _explode_recs(raw, "item_id", "user_id")
+    recs = _best(items, "item_id", model.itemFactors, model.userFactors, "user_id", n)
     return recs if titles is None else with_titles(recs, titles)
 
 

@@ -1,9 +1,7 @@
 """Plan-shape checks over every registered query (no execution of the results).
 
 * no Python UDF evaluation nodes anywhere (all work stays JVM-side);
-* no row-level cross product, except inside Spark ML's exact scoring of requested
-  ids, which scores factor *blocks* of requests and items against each other and keeps
-  a bounded top-k per block (pairs never become rows);
+* no cross product;
 * the top-k query is planned with a partial window-group limit before its
   shuffle, so a hot key is never sorted whole in one task.
 """
@@ -13,8 +11,6 @@ import pytest
 from orchard.plans.registry import QUERIES
 from conftest import SF_SMALL
 
-BLOCK_SCORING = {"rec_items_for_user", "rec_users_for_item", "rec_items_for_user_checks",
-                 "rec_users_for_item_checks"}
 FORBIDDEN_ALWAYS = ["BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas"]
 FORBIDDEN_CROSS = ["CartesianProduct", "BroadcastNestedLoopJoin"]
 
@@ -39,9 +35,8 @@ def test_no_python_udfs_and_no_cross_products(plans):
     for k, p in plans.items():
         for bad in FORBIDDEN_ALWAYS:
             assert bad not in p, (k, bad)
-        if k not in BLOCK_SCORING:
-            for bad in FORBIDDEN_CROSS:
-                assert bad not in p, (k, bad)
+        for bad in FORBIDDEN_CROSS:
+            assert bad not in p, (k, bad)
 
 
 def test_topk_partial_limit_before_shuffle(plans):

@@ -34,3 +34,34 @@ def test_als_scores_are_factor_dot_products_and_unknown_user(spark):
     assert scores == sorted(scores, reverse=True)
     users = R.users_for_items(m, spark.createDataFrame([(2,)], "item_id int"), 4).collect()
     assert len(users) == 4
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_norm_bounded_topk_equals_all_products(spark, monkeypatch, block):
+    import numpy as np
+    from orchard.operators import topk
+    rng = np.random.default_rng(4)
+    size = rng.gamma(0.7, 2.0, (300, 1)) + 0.01                       # norms that differ much
+    items = (rng.normal(0, 1, (300, 4)) * size).astype(np.float32)
+    items[50:60] = items[50]                                          # ties
+    users = rng.normal(0, 1, (40, 4)).astype(np.float32)
+    users[7] = 0.0
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<float>")
+    seen, real = [], topk._scored
+
+    def counted(groups, blocks, n):
+        asked = F.size(F.filter("last", lambda x: x > F.col("b")))
+        seen.append(groups.agg(F.sum(asked)).first()[0] or 0)
+        return real(groups, blocks, n)
+
+    monkeypatch.setattr(topk, "_scored", counted)
+    got = topk.top_products(frame(users), frame(items), 10, block).collect()
+    score = users.astype(float) @ items.astype(float).T
+    for u in range(40):
+        want = sorted(range(300), key=lambda i: (-score[u, i], i))[:10]
+        assert [r.id for r in sorted((r for r in got if r.rid == u), key=lambda r: r.rank)] == want
+    assert len(got) == 400
+    if block == 16:                                                   # most (user, block) pairs are never scored
+        assert sum(seen) < 0.6 * 40 * 19
+    assert topk.top_products(frame(users[:0]), frame(items), 10, block).count() == 0
+    assert topk.top_products(frame(users), frame(items[:3]), 10, block).count() == 120
