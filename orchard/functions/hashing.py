@@ -6,6 +6,8 @@ not move when the input is repartitioned (a seeded ``randomSplit`` does).
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,12 +35,26 @@ def md5_unit(key: Column) -> Column:
     return _md5_head(key) / F.lit(_TWO_POW_32)
 
 
-# Additive recurrence used to give each SGD step its own sample from a single
-# per-row uniform: frac(u + t * phi) is again uniform in [0, 1) for every t.
-GOLDEN = 0.6180339887498949
+# Mini-batch membership: a row's 32-bit number x (its uniform, scaled up) is hashed anew in
+# every step t as (a x + b) mod p, with a and b drawn from the step's number alone.  Two
+# rows meet in a batch by chance in each step, however close their uniforms are.
+STEP_PRIME = 2147483647         # 2^31 - 1, so that a x + b stays below 2^63
+
+
+def step_factors(t: int) -> tuple[int, int]:
+    """The factors a (never 0) and b of step ``t``."""
+    h = hashlib.md5(f"step {int(t)}".encode()).digest()
+    return (int.from_bytes(h[:8], "big") % (STEP_PRIME - 1) + 1, int.from_bytes(h[8:], "big") % STEP_PRIME)
+
+
+def step_unit_sql(u: str, t: int) -> str:
+    """``step_unit`` as SQL text that Spark and DuckDB read alike; ``u`` is SQL too."""
+    a, b = step_factors(t)
+    return f"CAST((CAST({u} * {int(_TWO_POW_32)} AS BIGINT) * {a} + {b}) % {STEP_PRIME} AS DOUBLE) / {STEP_PRIME}"
 
 
 def step_unit(u: Column, t: int) -> Column:
-    """Uniform of a row at step ``t`` given its base uniform ``u``."""
-    v = u + F.lit(t * GOLDEN)
-    return v - F.floor(v)
+    """Uniform of a row at step ``t`` given its base uniform ``u`` (``md5_unit``)."""
+    a, b = step_factors(t)
+    x = (u * F.lit(_TWO_POW_32)).cast("bigint")
+    return ((x * F.lit(a) + F.lit(b)) % F.lit(STEP_PRIME)).cast("double") / F.lit(float(STEP_PRIME))

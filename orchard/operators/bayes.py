@@ -124,10 +124,6 @@ def fit_naive_bayes(df: DataFrame, dim: int, smoothing: float = 1.0,
     return model_from_stats(fit_stats(df, dim, features, label), smoothing)
 
 
-# Bound on (category, class) groups brought back by the fused fit below.
-MAX_GROUPS = 1_000_000
-
-
 def fit_page_naive_bayes(df: DataFrame, numeric: list[str], smoothing: float = 1.0,
                          category: str = "category", label: str = "label",
                          fit_on: Column | None = None, on_unknown: str = "error"):
@@ -147,6 +143,9 @@ def fit_page_stats(df: DataFrame, numeric: list[str], category: str = "category"
     the ``fit_on`` rows the counts, means and variances (for the scaler) and
     sums (for the classes).  Returns (PageFeatures, per-class statistics); any
     number of smoothing values then cost no further scan.
+
+    The dense form, as ``features.fit_page_features``: the model holds a number per category
+    and class on the driver.  ``sparse.fit_sparse_naive_bayes`` keeps them in a table.
     """
     from orchard.functions.prep import strip_quotes
     from orchard.operators.features import (PageFeatures, ScalerModel, _combine, _dictionary,
@@ -159,9 +158,7 @@ def fit_page_stats(df: DataFrame, numeric: list[str], category: str = "category"
         aggs += [F.avg(w).alias(f"m{j}"), F.var_samp(w).alias(f"v{j}"), F.sum(w).alias(f"s{j}")]
     g = df.groupBy(strip_quotes(category).alias("category"),
                    F.col(label).cast("double").alias("label")).agg(*aggs)
-    rows = g.limit(MAX_GROUPS + 1).collect()
-    if len(rows) > MAX_GROUPS:
-        raise ValueError("too many (category, label) groups for a naive Bayes page model")
+    rows = g.collect()
     cats = sorted({r["category"] for r in rows if r["category"] is not None})
     index = _dictionary(df.sparkSession, cats)
     live = [r for r in rows if int(r["n"]) > 0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import uuid
 from typing import Iterator, Sequence
 
 import numpy as np
@@ -78,10 +79,77 @@ def reliable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the cluster's shared checkpoint folder and cut its lineage.
 
     A lost executor then re-reads the written rows instead of recomputing
-    upstream joins.  Without a configured folder the frame is returned as is.
+    upstream joins.  Without a configured folder the rows are kept on the executors
+    (memory, then disk), so that a loop does not run its whole past again.
     """
     from orchard.session import ensure_checkpoint_dir
     if not ensure_checkpoint_dir(df.sparkSession):
-        return df
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
     return df.checkpoint(eager=True)
 
+
+@contextlib.contextmanager
+def written(df: DataFrame) -> Iterator[DataFrame]:
+    """``df`` as a Parquet table in the shared checkpoint folder for the length of a block (kept on
+    the executors where no folder is set).  Unlike a checkpoint it starts with sizes of its own:
+    the planner's size of a checkpoint is that of all it came from, multiplied at every join."""
+    from orchard.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    if not folder:
+        with persisted(df):
+            yield df
+        return
+    path = f"{folder}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+_ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
+@contextlib.contextmanager
+def static_plans(spark) -> Iterator[None]:
+    """Plans without runtime re-planning: what is written under one keeps its partitioning,
+    so that later joins and aggregates on the same keys find their rows in place."""
+    before = spark.conf.get(_ADAPTIVE)
+    spark.conf.set(_ADAPTIVE, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(_ADAPTIVE, before)
+
+
+def laid_out(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
+    """``df`` written once, hash-partitioned by ``keys`` and sorted by them within partitions.
+    Frames laid out alike are joined and grouped by ``keys`` without an exchange or a sort."""
+    with static_plans(df.sparkSession):
+        return reliable(df.repartition(partitions, *keys).sortWithinPartitions(*keys))
+
+
+def shuffle_partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def dense_numbers(df: DataFrame, order: str, out: str) -> DataFrame:
+    """``df`` (rows distinct in ``order``) with ``out`` = 0, 1, 2 … in the order of that column.
+
+    Rows are range-partitioned and sorted once and written; only the row count of each
+    partition reaches the driver and goes out again as the partitions' first numbers.
+    """
+    rows = reliable(df.repartitionByRange(order).sortWithinPartitions(order)
+                    .withColumn("__at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("__at", 33).cast("int")
+    first, starts = 0, []
+    for r in rows.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect():
+        starts.append((r["p"], first))
+        first += r["n"]
+    spark = df.sparkSession
+    starts = F.broadcast(spark.createDataFrame(starts, "__p int, __first long"))
+    within = F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    return (rows.withColumn("__p", part).join(starts, "__p")
+            .withColumn(out, (F.col("__first") + within).cast("int")).drop("__at", "__p", "__first"))

@@ -10,16 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orchard.functions.prep import clamp_nonneg, strip_quotes
-from orchard.operators.common import join_small, lit_array
+from orchard.operators.common import dense_numbers, join_small, lit_array
 
-# A dense one-hot block has this many slots at most: its dictionary and statistics are
-# kept on the driver and every row carries every slot.  A category column with more
-# values is fitted by ``orchard.operators.sparse``, which has no such bound.
-MAX_CATEGORIES = 100_000
-
-
-# Up to this many categories the slot lookup is an inline CASE expression (no
-# join at all); above it, a broadcast join against the bounded dictionary.
+# Up to this many slots a dense row is one expression per slot; above it, one expression
+# over an array, with the same numbers.
 INLINE_LOOKUP_MAX = 64
 
 
@@ -27,12 +21,16 @@ INLINE_LOOKUP_MAX = 64
 class CategoryIndex:
     """Distinct categories numbered 0..k-1 in ascending order (A4)."""
 
-    table: DataFrame          # (category string, idx int), k rows
-    categories: list[str]
+    table: DataFrame          # (category string, idx int), k rows, any number of them
+    size: int
+    values: list[str] | None = None     # of a dictionary that is on the driver as well
 
     @property
-    def size(self) -> int:
-        return len(self.categories)
+    def categories(self) -> list[str]:
+        """All categories in order, on the driver."""
+        if self.values is None:
+            self.values = [r["category"] for r in self.table.orderBy("idx").collect()]
+        return self.values
 
     def slot(self, key: Column) -> Column:
         """Inline slot expression (small dictionaries only)."""
@@ -46,7 +44,7 @@ class CategoryIndex:
                on_unknown: str = "error", strip: bool = True) -> DataFrame:
         """Attach the slot of ``col`` (J1).  Unknown: ``'error'`` or ``'zero'``."""
         key = strip_quotes(col) if strip else F.col(col)
-        if self.size <= INLINE_LOOKUP_MAX:
+        if self.values is not None and self.size <= INLINE_LOOKUP_MAX:
             j = df.withColumn(out, self.slot(key))
         else:
             d = self.table.withColumnRenamed("idx", out)
@@ -87,23 +85,23 @@ def _dictionary(spark, values: list[str]) -> CategoryIndex:
     schema = T.StructType([T.StructField("category", T.StringType(), False),
                            T.StructField("idx", T.IntegerType(), False)])
     table = spark.createDataFrame(list(zip(values, range(len(values)))), schema)
-    return CategoryIndex(table, values)
+    return CategoryIndex(table, len(values), values)
 
 
 def fit_category_index(df: DataFrame, col: str, strip: bool = True,
-                       max_categories: int = MAX_CATEGORIES) -> CategoryIndex:
-    """Number the distinct values of ``col`` (quotes stripped) in value order.
+                       max_categories: int | None = None) -> CategoryIndex:
+    """Number the distinct values of ``col`` (quotes stripped) in value order, however many.
 
-    One distributed distinct; at most ``max_categories + 1`` values ever reach
-    the driver, and more than ``max_categories`` is refused.
+    One distributed distinct, sorted by range partitions and numbered there; the
+    dictionary stays a table.  ``max_categories`` refuses a longer one, if given.
     """
     key = strip_quotes(col) if strip else F.col(col)
     cats = df.select(key.alias("category")).where(F.col("category").isNotNull()).distinct()
-    values = [r["category"] for r in cats.orderBy("category").limit(max_categories + 1).collect()]
-    if len(values) > max_categories:
-        raise ValueError(f"{col} has more than {max_categories} distinct values: "
-                         "use orchard.operators.sparse")
-    return _dictionary(df.sparkSession, values)
+    table = dense_numbers(cats, "category", "idx")
+    size = table.count()
+    if max_categories is not None and size > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} distinct values")
+    return CategoryIndex(table, size)
 
 
 @dataclass
@@ -237,10 +235,13 @@ def _combine(parts: list[tuple[int, float, float]]) -> tuple[float, float]:
 def fit_page_features(df: DataFrame, numeric: Sequence[str], category: str = "category",
                       with_mean: bool = True, with_std: bool = True, clamp: bool = False,
                       on_unknown: str = "error", scale: bool = True,
-                      fit_on: Column | None = None,
-                      max_categories: int = MAX_CATEGORIES) -> PageFeatures:
+                      fit_on: Column | None = None) -> PageFeatures:
     """Dictionary over all rows and scaler over the ``fit_on`` rows, in ONE pass.
 
+    The dense form: every row will hold a slot per category, and so does the driver.  For a
+    column whose number of values is not known to be small, ``sparse.fit_sparse_pages`` gives
+    the same models with the categories as a table; pages are fitted that way.
+
     One ``groupBy(category)`` aggregate (partial per partition) yields, per
     category, its count among the scaler rows and the mean / variance of every
     numeric column; the one-hot statistics follow from the counts and the
@@ -255,11 +256,8 @@ def fit_page_features(df: DataFrame, numeric: Sequence[str], category: str = "ca
         w = F.when(fit, v)
         aggs += [F.avg(w).alias(f"m{j}"), F.var_samp(w).alias(f"v{j}")]
     g = df.groupBy(key.alias("category")).agg(*aggs)
-    rows = g.orderBy(F.asc_nulls_last("category")).limit(max_categories + 2).collect()
+    rows = g.orderBy(F.asc_nulls_last("category")).collect()
     values = [r["category"] for r in rows if r["category"] is not None]
-    if len(values) > max_categories:
-        raise ValueError(f"{category} has more than {max_categories} distinct values: "
-                         "use orchard.operators.sparse")
     index = _dictionary(df.sparkSession, values)
     pf = PageFeatures(index, list(numeric), None, clamp, on_unknown)
     if scale:

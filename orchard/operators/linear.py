@@ -3,9 +3,9 @@
 Each step is ONE distributed aggregate: rows compute their gradient terms with the
 current weights, partial sums are combined per partition and d+1 numbers per
 configuration reach the driver.  Several configurations (a grid) advance together
-in the same scan, never by a join of configs to rows.  Narrow vectors run as
-generated JVM code; wide ones as Arrow batches and matrix products, with the same
-rows, sums and updates.
+in the same scan, never by a join of configs to rows.  The plan of a step does not
+hold the weights: they travel as an array with the task, and every Arrow batch is one
+matrix product over all configurations, so nothing is compiled anew from step to step.
 
 Update rule (no intercept, start at 0), for step t = 1..T:
     eta = step / sqrt(t);  g = (1/n) * sum_batch m * x
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from orchard.operators import common
 from orchard.operators.common import dot
-from orchard.functions.hashing import GOLDEN
+from orchard.functions.hashing import STEP_PRIME, step_factors, step_unit
 
 CONVERGENCE_TOL = 0.001
 # Runs longer than this many steps first write their input to the checkpoint
@@ -108,25 +108,9 @@ def _dot_sql(x: str, weights: Sequence[float]) -> str:
     return " + ".join(terms) if terms else "0.0D"
 
 
-def _multiplier_sql(kind: str, margin: str, y: str) -> str:
-    if kind == "logistic":
-        return f"1.0D / (1.0D + exp(-({margin}))) - {y}"
-    if kind == "hinge":
-        ys = f"(2.0D * {y} - 1.0D)"
-        return f"CASE WHEN {ys} * ({margin}) < 1.0D THEN -{ys} ELSE 0.0D END"
-    raise ValueError(f"unknown loss {kind!r}")
-
-
-def _flag_sql(unit: str, step: int, fraction: float) -> str:
-    if fraction >= 1.0:
-        return "true"
-    v = f"(`{unit}` + {_num(step * GOLDEN)})"
-    return f"({v} - floor({v})) < {_num(fraction)}"
-
-
 def step_flag(unit: str, step: int, fraction: float) -> Column:
     """Whether a row with uniform ``unit`` is in the mini-batch of a step."""
-    return F.expr(_flag_sql(unit, step, fraction))
+    return F.lit(True) if fraction >= 1.0 else step_unit(F.col(unit), step) < F.lit(float(fraction))
 
 
 def _norm(v: Sequence[float]) -> float:
@@ -162,8 +146,7 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     for t in range(1, t_max + 1):
         active = [tr for tr in trajs if not tr.converged]
         if active:
-            step = _gradients if dim > common.WIDE_DIM else _narrow_gradients
-            counts, sums = step(df, active, t, dim, features, label, unit)
+            counts, sums = _gradients(df, active, t, dim, features, label, unit)
             for i, tr in enumerate(active):
                 n = counts.get(tr.cfg.mini_batch_fraction, 0)
                 if not n:
@@ -185,33 +168,6 @@ def fit_sgd_many(df: DataFrame, configs: Sequence[SgdConfig], dim: int,
     return out, took
 
 
-def _narrow_gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int,
-                      features: str, label: str, unit: str) -> tuple[dict[float, int], list]:
-    """``_gradients`` in generated JVM code, for vectors narrow enough for it.
-
-    One projection computes each configuration's multiplier once per row, one
-    aggregate sums the d gradient terms of every configuration.  Expressions go
-    over as SQL text: one call per step instead of hundreds of Column round trips.
-    """
-    proj, aggs, fr_idx = [f"`{features}` AS __x"], [], {}
-    for tr in active:
-        fr = tr.cfg.mini_batch_fraction
-        if fr not in fr_idx:
-            k = fr_idx[fr] = len(fr_idx)
-            # 1.0 / 0.0 batch weight: a multiply keeps the row loop
-            # branch-free (much faster than a CASE per config)
-            proj.append(f"CAST({_flag_sql(unit, step, fr)} AS DOUBLE) AS b{k}")
-            aggs.append(f"CAST(sum(b{k}) AS BIGINT) AS n{k}")
-    ysql = f"CAST(`{label}` AS DOUBLE)"
-    for i, tr in enumerate(active):
-        m = _multiplier_sql(tr.cfg.kind, _dot_sql("__x", tr.w), ysql)
-        proj.append(f"({m}) * b{fr_idx[tr.cfg.mini_batch_fraction]} AS m{i}")
-        aggs += [f"sum(m{i} * __x[{j}]) AS g{i}_{j}" for j in range(dim)]
-    row = df.selectExpr(*proj).selectExpr(*aggs).first()
-    counts = {fr: row[f"n{k}"] for fr, k in fr_idx.items()}
-    return counts, [[float(row[f"g{i}_{j}"] or 0.0) for j in range(dim)] for i in range(len(active))]
-
-
 # Coordinates of one gradient that travel in one row.
 GRADIENT_BLOCK = 4096
 
@@ -231,7 +187,7 @@ def _gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int
     unknown = {tr.cfg.kind for tr in active} - {"logistic", "hinge"}
     if unknown:
         raise ValueError(f"unknown loss {unknown.pop()!r}")
-    block, golden = GRADIENT_BLOCK, step * GOLDEN
+    block, (a, b0) = GRADIENT_BLOCK, step_factors(step)
     sampled = any(f < 1.0 for f in fractions)
     schema = pa.schema([("i", pa.int32()), ("b", pa.int32()), ("n", pa.int64()), ("g", pa.list_(pa.float64()))])
     ddl = "i int, b int, n long, g array<double>"
@@ -253,8 +209,9 @@ def _gradients(df: DataFrame, active: Sequence[_Trajectory], step: int, dim: int
                 m = np.where(kinds, 1.0 / (1.0 + np.exp(-margin)) - y[:, None],
                              np.where(sign * margin < 1.0, -sign, 0.0))
             if sampled:
-                u = b.column(2).to_numpy(zero_copy_only=False) + golden
-                inside = (u - np.floor(u))[:, None] < np.array([f if f < 1.0 else 2.0 for f in fractions])
+                x32 = (b.column(2).to_numpy(zero_copy_only=False) * 4294967296.0).astype(np.int64)
+                u = ((x32 * a + b0) % STEP_PRIME).astype(np.float64) / STEP_PRIME
+                inside = u[:, None] < np.array([f if f < 1.0 else 2.0 for f in fractions])
                 m = m * inside[:, of]
                 n += inside.sum(axis=0)
             else:

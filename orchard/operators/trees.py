@@ -1,7 +1,8 @@
 """Decision trees through Spark ML's distributed learner.
 
-Features stay an ``array<double>`` in our frames; the learner gets a vector
-view of it.  All features are treated as continuous (one-hot slots too).
+Features stay an ``array<double>`` in our frames, or a sparse vector where a category
+column has many values (``sparse.SparsePages.vectors``); the learner gets a vector
+view.  All features are treated as continuous (one-hot slots too).
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from typing import Sequence
 from pyspark import StorageLevel
 from pyspark.ml.classification import DecisionTreeClassifier
 from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ TREE_SEED = 11
 
 
 def vectorize(df: DataFrame, features: str = "features", out: str = "fvec") -> DataFrame:
+    if isinstance(df.schema[features].dataType, VectorUDT):
+        return df.withColumn(out, F.col(features))
     return df.withColumn(out, array_to_vector(F.col(features)))
 
 
@@ -71,7 +75,8 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
 
     ``stable=True`` puts the rows into an order of their own first
     (``stable_input``): the learner samples its split candidates by row order, so
-    the tree would otherwise move with the partitioning of the input.
+    the tree would otherwise move with the partitioning of the input.  Vectors have no
+    order; rows that hold vectors are put into one before (``fit_sparse_tree``).
 
     The learner makes several preparatory passes (class count, row count,
     split candidates, binning) before it caches its own binned rows; with
@@ -85,7 +90,7 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
         raise ValueError("maxBins must be >= 2")
     ensure_checkpoint_dir(df.sparkSession)
     data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
-    if stable:
+    if stable and not isinstance(data.schema["features"].dataType, VectorUDT):
         data = stable_input(data)
     data = vectorize(data).select("fvec", "label")
     params = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
@@ -107,6 +112,26 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
     return TreeModel(model, kind, (time.perf_counter() - t0) * 1000.0)
 
 
+@dataclass
+class SparseTreeModel:
+    """A tree over ``pages.vectors``: transforms frames with the category and number columns."""
+
+    tree: TreeModel
+    pages: object               # sparse.SparsePages
+
+    def transform(self, df: DataFrame, out: str = "prediction") -> DataFrame:
+        return self.tree.transform(self.pages.vectors(df, out="__vec"), out, "__vec").drop("__vec")
+
+
+def fit_sparse_tree(df: DataFrame, pages, kind: str = "class", impurity: str = "gini", max_depth: int = 5,
+                    max_bins: int = 32, label: str = "label", seed: int = TREE_SEED) -> SparseTreeModel:
+    """A tree over a category column of any size and numbers, as sparse vectors (M1): no row holds a
+    number per category.  ``pages`` (``sparse.fit_sparse_pages``) has the categories' slots."""
+    rows = stable_input(df.select("category", *pages.numeric, F.col(label).cast("double").alias("label")))
+    tree = fit_tree(pages.vectors(rows, out="features"), kind, impurity, max_depth, max_bins, seed=seed, stable=False)
+    return SparseTreeModel(tree, pages)
+
+
 def predict_many(df: DataFrame, models: dict[str, TreeModel],
                  features: str = "features") -> tuple[DataFrame, dict[str, Column]]:
     """Add one prediction column per model (all evaluated in the same scan)."""

@@ -4,8 +4,9 @@ Results are DataFrames with one row per configuration, in the order the
 configurations were listed (``position``).  Linear models of a whole grid
 are trained together (one scan per step for all configs) and every model of
 a grid is scored on the validation rows in one scan.  Naive Bayes computes
-its statistics once for all smoothing values.  Trees are independent fits
-run concurrently on one cached frame.
+its statistics once for all smoothing values.  Trees of all depths are cut from
+the deepest one; those that differ in impurity or bins are fitted concurrently on one cached
+frame.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orchard.operators import bayes, evaluate, linear, trees
+from orchard.operators import bayes, evaluate, linear, nested, trees
 from orchard.operators.common import persisted
 
 HIGHER_IS_BETTER = {"auc_hard": True, "accuracy": True, "rmse": False}
@@ -108,6 +109,43 @@ def tune_naive_bayes(train: DataFrame | None, valid: DataFrame, dim: int,
                           [("smoothing", "double")]), models)
 
 
+# ---- page models, categories as a table -------------------------------------------------
+
+def tune_sparse_linear(train: DataFrame, valid: DataFrame, pages, kind: str,
+                       entries: list[dict]) -> tuple[DataFrame, dict]:
+    """``tune_linear`` over transformed rows of a ``sparse.SparsePages``."""
+    from orchard.operators import sparse
+    for e in entries:
+        e.setdefault("reg_param", 0.0)
+        e.setdefault("mini_batch_fraction", 1.0)
+    cfgs = list(dict.fromkeys(_cfg(kind, e) for e in entries))
+    marks = sorted({int(e["num_iterations"]) for e in entries})
+    models, took = sparse.fit_sparse_sgd_many(train, pages, cfgs, marks)
+    keyed = {i: models[(_cfg(kind, e), int(e["num_iterations"]))] for i, e in enumerate(entries)}
+    scored, preds = sparse.predict_sparse_many(valid.select("slot", "z", "label"), pages,
+                                               {str(i): m for i, m in keyed.items()})
+    metric = evaluate.metric_many(scored, preds, "auc_hard")
+    values = [metric[str(i)] for i in range(len(entries))]
+    ms = [took[int(e["num_iterations"])] for e in entries]
+    return _result_frame(train.sparkSession, entries, "auc_hard", values, ms, LINEAR_COLUMNS), keyed
+
+
+def tune_sparse_naive_bayes(stats, valid: DataFrame, lambdas: Sequence[float],
+                            sweep: str = "lambda") -> tuple[DataFrame, dict]:
+    """One model per lambda from ``sparse.fit_sparse_stats``, all scored in one scan of ``valid``."""
+    import time
+    models, ms = {}, []
+    for i, lam in enumerate(lambdas):
+        t0 = time.perf_counter()
+        models[i] = stats.model(lam)
+        ms.append((time.perf_counter() - t0) * 1000.0)
+    preds = {str(i): m.predict_col(F.col("__s"), F.col("__c")) for i, m in models.items()}
+    metric = evaluate.metric_many(models[0].attach(valid), preds, "auc_hard")
+    entries = [{"sweep": sweep, "smoothing": float(lam)} for lam in lambdas]
+    return (_result_frame(valid.sparkSession, entries, "auc_hard", [metric[str(i)] for i in range(len(lambdas))], ms,
+                          [("smoothing", "double")]), models)
+
+
 # ---- trees ----------------------------------------------------------------------------
 
 TREE_COLUMNS = [("impurity", "string"), ("max_depth", "int"), ("max_bins", "int")]
@@ -115,23 +153,37 @@ TREE_COLUMNS = [("impurity", "string"), ("max_depth", "int"), ("max_bins", "int"
 
 def tune_tree(train: DataFrame, valid: DataFrame, kind: str, entries: list[dict],
               metric: str, parallelism: int | None = None) -> tuple[DataFrame, dict]:
-    """Independent fits run concurrently (G1, G5), as many as a quarter of the cluster's
-    cores (at least four) unless given; one scan scores them all."""
-    # one order of the rows for all fits, kept while they run
-    rows = trees.stable_input(train.select("features", F.col("label").cast("double").alias("label")))
-
-    def fit(e):
-        return trees.fit_tree(rows, kind, e["impurity"], int(e["max_depth"]), int(e["max_bins"]),
-                              cache=False, stable=False)
+    """One fit for each impurity and bin count, at the largest depth asked for; smaller depths are
+    cut from it (G1, G5).  The fits run concurrently, as many as a quarter of the cluster's
+    cores (at least four) unless given; one scan scores all entries.  ``fit_ms`` is the
+    time of the fit that an entry is cut from."""
+    if isinstance(train.schema["features"].dataType, trees.VectorUDT):
+        rows = train.select("features", F.col("label").cast("double").alias("label"))
+    else:           # one order of the rows for all fits, kept while they run
+        rows = trees.stable_input(train.select("features", F.col("label").cast("double").alias("label")))
+    deepest: dict[tuple[str, int], int] = {}
+    for e in entries:
+        key = (e["impurity"], int(e["max_bins"]))
+        deepest[key] = max(deepest.get(key, 0), int(e["max_depth"]))
+
+    def fit(item):
+        (impurity, bins), depth = item
+        return trees.fit_tree(rows, kind, impurity, depth, bins, cache=False, stable=False)
     n = parallelism or max(4, train.sparkSession.sparkContext.defaultParallelism // 4)
     with persisted(rows), ThreadPoolExecutor(max_workers=n) as pool:
-        fitted = list(pool.map(fit, entries))
-    models = {str(i): m for i, m in enumerate(fitted)}
-    scored, cols = trees.predict_many(valid, models)
+        fitted = dict(zip(deepest, pool.map(fit, deepest.items())))
+    tables = {key: nested.node_table(m, train.sparkSession) for key, m in fitted.items()}
+    leaf = {key: f"__leaf{i}" for i, key in enumerate(fitted)}
+    scored = nested.with_leaves(valid, {leaf[key]: m for key, m in fitted.items()})
+    models, cols = {}, {}
+    for i, e in enumerate(entries):
+        key = (e["impurity"], int(e["max_bins"]))
+        models[str(i)] = nested.CutTree(fitted[key], tables[key], int(e["max_depth"]))
+        cols[str(i)] = models[str(i)].predict_col(F.col(leaf[key]))
     vals = evaluate.metric_many(scored, cols, metric)
     return (_result_frame(train.sparkSession, entries, metric,
                           [vals[str(i)] for i in range(len(entries))],
-                          [m.fit_ms for m in fitted], TREE_COLUMNS), models)
+                          [models[str(i)].fit_ms for i in range(len(entries))], TREE_COLUMNS), models)
 
 
 # ---- choosing ---------------------------------------------------------------------------

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from orchard.functions.hashing import md5_unit, row_key
 from orchard.operators.common import reliable
 from orchard.operators.features import PageFeatures, fit_page_features
+from orchard.operators.sparse import SparsePages, fit_sparse_naive_bayes, fit_sparse_pages
 from orchard.operators.split import assign_split
 from orchard.sources import views as V
 
@@ -49,28 +50,39 @@ def binary(spark: SparkSession, sf_dir: str, nb: bool = False,
     return Prepared(out, pf, pf.dim, list(V.BINARY_KEY))
 
 
+@dataclass
+class PreparedPages:
+    """Labelled and unlabelled pages with the fitted page features; categories are a table, so a
+    page keeps its category and numbers only (``slot, z``)."""
+
+    frame: DataFrame          # doc_id, url, category, numbers, label, split, u, slot, z
+    score: DataFrame          # unlabelled pages: doc_id, url, category, numbers, slot, z
+    features: SparsePages
+
+    def part(self, name: str) -> DataFrame:
+        return self.frame.where(F.col("split") == name)
+
+
 def pages(spark: SparkSession, sf_dir: str, nb: bool = False,
-          refit_scaler: bool = False, score_ids: DataFrame | None = None) -> tuple[Prepared, DataFrame]:
+          refit_scaler: bool = False, score_ids: DataFrame | None = None) -> PreparedPages:
     """Labelled pages (train/validation/test by doc_id) and scored unlabelled pages.
 
     Unlabelled pages are scored with the training fit; ``refit_scaler=True``
     instead fits a fresh scaler on the unlabelled pages themselves (the
     historical behaviour, kept for comparison).  ``score_ids`` (a short list) limits
-    the scored pages before any text is read for them.
+    the scored pages before any text is read for them.  The labelled pages' counts
+    are written once, so that their texts are read once for all passes.
     """
     key = F.col("doc_id")
-    pt = assign_split(V.page_train(spark, sf_dir), key).withColumn("u", md5_unit(key))
-    pf = fit_page_features(pt, V.PAGE_NUMERIC, with_mean=not nb, clamp=nb,
-                           fit_on=F.col("split") == "train", on_unknown="zero")
-    lab = pf.transform(pt).select("doc_id", "url", F.col("label").cast("double").alias("label"),
-                                  "features", "split", "u")
+    pt = reliable(assign_split(V.page_train(spark, sf_dir), key).withColumn("u", md5_unit(key)))
+    pf = fit_sparse_pages(pt, V.PAGE_NUMERIC, centred=not nb, clamp=nb, fit_on=F.col("split") == "train")
+    lab = pf.transform(pt).withColumn("label", F.col("label").cast("double"))
     ps = V.page_score(spark, sf_dir, score_ids)
+    scored_with = pf
     if refit_scaler:
-        from dataclasses import replace
-        from orchard.operators.features import fit_scaler
-        pf = replace(pf, scaler=fit_scaler(pf.assemble(ps), pf.dim, with_mean=not nb))
-    score = pf.transform(ps).select("doc_id", "url", "features")
-    return Prepared(lab, pf, pf.dim, ["doc_id"]), score
+        own = fit_sparse_pages(ps, V.PAGE_NUMERIC, centred=not nb, clamp=nb)
+        scored_with = replace(pf, mean=own.mean, scale=own.scale)
+    return PreparedPages(lab, scored_with.transform(ps), pf)
 
 
 def multi(spark: SparkSession, sf_dir: str) -> Prepared:
@@ -92,7 +104,6 @@ def hourly(spark: SparkSession, sf_dir: str) -> Prepared:
 
 def page_naive_bayes(spark: SparkSession, sf_dir: str, smoothing: float,
                      score_ids: DataFrame | None = None):
-    """Labelled pages, scored pages and a naive Bayes model fitted on the train split."""
-    from orchard.operators import bayes
-    prep, score = pages(spark, sf_dir, nb=True, score_ids=score_ids)
-    return prep, score, bayes.fit_naive_bayes(prep.part("train"), prep.dim, smoothing)
+    """Prepared pages and a naive Bayes model fitted on the train split."""
+    prep = pages(spark, sf_dir, nb=True, score_ids=score_ids)
+    return prep, fit_sparse_naive_bayes(prep.part("train"), prep.features, smoothing)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import uuid
+
 from pyspark.sql import functions as F
 
 from orchard.functions import decode as D
@@ -12,6 +15,7 @@ from orchard.operators.recommend import rating_stats, top_k_per_key, with_titles
 from orchard.plans import prepared as P
 from orchard.plans.q_bayes import _explode_vec, r6
 from orchard.plans.settings import NB_LAMBDA
+from orchard.session import ensure_checkpoint_dir
 from orchard.sources import text as TX
 from orchard.sources import views as V
 
@@ -53,14 +57,68 @@ def q_src_hourly_csv(spark, sf):
     return e.select("h", "label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
 
 
+@contextlib.contextmanager
+def _files(lines, header=None):
+    """Folder of several text files that hold the lines, each with its own header line where one is given."""
+    spark = lines.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/lines-{uuid.uuid4().hex}"
+    lines = lines.select("value").repartition(4)
+    if header is None:
+        lines.write.text(path)
+    else:
+        lines.withColumnRenamed("value", header).write.option("header", True).option("quote", "").option(
+            "escape", "").option("sep", TX.NO_DELIMITER).csv(path)
+    try:
+        yield path
+    finally:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def q_src_ratings_files(spark, sf):
+    with _files(V.ratings_line(spark, sf)) as path:
+        return reliable(TX.read_ratings(spark, path))
+
+
+def q_src_pages_files(spark, sf):
+    with _files(V.page_line(spark, sf), V.PAGE_HEADER) as path:
+        p = TX.read_pages(spark, path)
+        return reliable(p.select("url", "category", F.size("numeric").alias("n_numeric"), *_numbers(), "label"))
+
+
+def q_src_hourly_files(spark, sf):
+    with _files(V.hourly_line(spark, sf), ",".join(f"c{i}" for i in range(TX.HOURLY_FIELDS))) as path:
+        e = TX.read_hourly(spark, path).select("label", F.posexplode_outer("features").alias("j", "v"))
+        e = e.select("label", F.col("j").cast("int").alias("j"), r6("v").alias("value"))
+        return reliable(e.groupBy("label", "j", "value").agg(F.count(F.lit(1)).alias("n")))
+
+
+def q_src_rejects(spark, sf):
+    """Rows and rejects of every layout: each line as it is, blank, cut to one field and with a field too many."""
+    layouts = [("ratings", V.ratings_line, TX.TAB, TX.check_ratings, {}),
+               ("titles", V.titles_line, TX.PIPE, TX.check_titles, {}),
+               ("pages", V.page_line, TX.TAB, TX.check_pages, {"numbers": 4}),
+               ("numeric", V.multi_line, TX.COMMA, TX.check_numeric, {"numbers": 64}),
+               ("hourly", V.hourly_line, TX.COMMA, TX.check_hourly, {})]
+    out = None
+    for name, view, sep, check, args in layouts:
+        v = F.col("value")
+        forms = F.array(v, F.lit(" "), F.substring_index(v, sep, 1), F.concat(v, F.lit(f"{sep}1")))
+        checked = check(view(spark, sf).select(F.explode(forms).alias("value")), **args)
+        n = (checked.groupBy(F.coalesce("reason", F.lit("row")).alias("reason"))
+             .agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layout"), "reason", "n"))
+        out = n if out is None else out.unionByName(n)
+    return out
+
+
 def q_src_drop_header(spark, sf):
     return TX.drop_header(V.page_files(spark, sf), "file", "line").select("file", "value")
 
 
 def q_sink_report(spark, sf):
     """Every unlabelled page with its predicted class, as one report line each."""
-    _, score, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
-    s = m.transform(score)
+    prep_, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
+    s = m.transform(prep_.score)
     cls = D.page_class(F.col("prediction").cast("int"))
     return s.select("doc_id", F.concat(F.lit("url: "), F.col("url"), F.lit(" ==> "), cls)
                     .alias("line"))
@@ -194,19 +252,21 @@ def q_feat_one_hot(spark, sf):
     return _explode_vec(j, ["doc_id"])
 
 
+def _page_slots(prep_, rows):
+    """Fitted page features slot by slot, as the dense form would hold them."""
+    return prep_.features.long(getattr(prep_, rows), "doc_id").select("doc_id", "j", r6("value").alias("value"))
+
+
 def q_feat_standardize(spark, sf):
-    prep_, _ = P.pages(spark, sf, nb=False)
-    return _explode_vec(prep_.frame, ["doc_id"])
+    return _page_slots(P.pages(spark, sf, nb=False), "frame")
 
 
 def q_feat_scale_only(spark, sf):
-    prep_, _ = P.pages(spark, sf, nb=True)
-    return _explode_vec(prep_.frame, ["doc_id"])
+    return _page_slots(P.pages(spark, sf, nb=True), "frame")
 
 
 def q_feat_page_pipeline(spark, sf):
-    _, score = P.pages(spark, sf, nb=False)
-    return _explode_vec(score, ["doc_id"])
+    return _page_slots(P.pages(spark, sf, nb=False), "score")
 
 
 # ---- splits ---------------------------------------------------------------------------

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orchard.operators import evaluate, linear, recommend as R, score as S, trees as TR, tune
+from orchard.operators import evaluate, recommend as R, score as S, sparse, trees as TR, tune
 from orchard.operators.split import sample_fraction, split_column
 from orchard.plans import prepared as P
 from orchard.plans.q_bayes import r6
@@ -176,17 +176,17 @@ def q_score_hourly_report(spark, sf):
 
 def q_score_new_pages(spark, sf):
     ids = V.first_ids(V.unlabelled_ids(spark, sf), 10)
-    _, score, m = P.page_naive_bayes(spark, sf, NB_LAMBDA, score_ids=ids)
-    return S.score_new_pages(m.transform(score), 10)
+    prep, m = P.page_naive_bayes(spark, sf, NB_LAMBDA, score_ids=ids)
+    return S.score_new_pages(m.transform(prep.score), 10)
 
 
 def _score_new_with(spark, sf, kind):
     ids = V.first_ids(V.unlabelled_ids(spark, sf), 10)
-    prep, score = P.pages(spark, sf, nb=False, score_ids=ids)
+    prep = P.pages(spark, sf, nb=False, score_ids=ids)
     p = LOGISTIC_DEFAULT if kind == "logistic" else SVM_DEFAULT
-    m = linear.fit_sgd(prep.part("train"), kind, prep.dim, p["num_iterations"], p["step_size"],
-                       p.get("reg_param", 0.0), p.get("mini_batch_fraction", 1.0))
-    return S.score_new_pages(m.transform(score), 10)
+    m = sparse.fit_sparse_sgd(prep.part("train"), prep.features, kind, p["num_iterations"], p["step_size"],
+                              p.get("reg_param", 0.0), p.get("mini_batch_fraction", 1.0))
+    return S.score_new_pages(m.transform(prep.score), 10)
 
 
 def q_score_new_pages_logistic(spark, sf):
@@ -199,13 +199,15 @@ def q_score_new_pages_svm(spark, sf):
 
 def q_score_new_pages_tree(spark, sf):
     ids = V.first_ids(V.unlabelled_ids(spark, sf), 20)
-    prep, score = P.pages(spark, sf, nb=False, score_ids=ids)
-    return S.score_new_pages(_tree(prep, "class", TREE_BINARY).transform(score), 20)
+    prep = P.pages(spark, sf, nb=False, score_ids=ids)
+    p = TREE_BINARY
+    m = TR.fit_sparse_tree(prep.part("train"), prep.features, "class", p["impurity"], p["max_depth"], p["max_bins"])
+    return S.score_new_pages(m.transform(prep.score), 20)
 
 
 def q_report_labelled_topn(spark, sf):
     ids = V.first_ids(V.labelled_ids(spark, sf).where(split_column(F.col("doc_id")) == "test"), 50)
-    prep, _, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
+    prep, m = P.page_naive_bayes(spark, sf, NB_LAMBDA)
     return S.labelled_report(m.transform(prep.part("test").join(F.broadcast(ids), "doc_id", "left_semi")),
                              ["doc_id"], 50)
 

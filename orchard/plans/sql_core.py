@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from orchard.functions import decode as D
+from orchard.functions.hashing import step_unit_sql
 from orchard.plans import sqlgen as G
 
 K_PAGE = 4           # distinct languages in page_train
@@ -34,6 +35,20 @@ CORE_SQL["src_hourly_csv"] = f"""{W}{G.HOURLY}
 SELECT hs AS h, CAST(label AS INTEGER) AS label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
   SELECT hs, label, unnest(range(11)) AS j,
          unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in _HF.split(", "))}]) AS v FROM hourly)"""
+CORE_SQL["src_ratings_files"] = CORE_SQL["src_ratings_tsv"]
+CORE_SQL["src_pages_files"] = CORE_SQL["src_pages_train_tsv"]
+CORE_SQL["src_hourly_files"] = f"""{W}{G.HOURLY}
+SELECT label, j, value, count(*) AS n FROM (
+  SELECT CAST(label AS INTEGER) AS label, CAST(j AS INTEGER) AS j, round(v, 6) AS value FROM (
+    SELECT label, unnest(range(11)) AS j,
+           unnest([{", ".join(f"CAST({c} AS DOUBLE)" for c in _HF.split(", "))}]) AS v FROM hourly)) GROUP BY ALL"""
+# ratings and titles take any number of further fields; every other line with one too many is ragged
+_LAYOUTS = [("ratings", "ratings"), ("titles", "titles"), ("pages", "pt"), ("numeric", "embeddings"), ("hourly", "hourly")]
+CORE_SQL["src_rejects"] = f"""{W}{G.RATINGS}, {G.TITLES}, {G.page_view()}, {G.HOURLY},
+sizes AS ({" UNION ALL ".join(f"SELECT '{name}' AS layout, count(*) AS c FROM {view}" for name, view in _LAYOUTS)}),
+forms AS (SELECT layout, unnest(['row', 'blank', 'short',
+                 CASE WHEN layout IN ('ratings', 'titles') THEN 'row' ELSE 'ragged' END]) AS reason, c FROM sizes)
+SELECT layout, reason, CAST(sum(c) AS BIGINT) AS n FROM forms GROUP BY layout, reason"""
 # each of the ten files keeps the data line that reads like its header
 CORE_SQL["src_drop_header"] = f"""{W}{G.page_view()},
 {G.PAGE_LINE},
@@ -115,8 +130,8 @@ CORE_SQL["split_80_10_10"] = f"{W}{G.binary_view()} SELECT l_orderkey, l_linenum
 CORE_SQL["split_sample_10"] = f"""SELECT vec_id, CAST(label AS DOUBLE) AS label FROM embeddings
 WHERE {G.md5_head("CAST(vec_id AS VARCHAR) || '#sample'")} / 4294967296.0 < 0.1"""
 _steps = " UNION ALL ".join(
-    f"SELECT CAST({t} AS INTEGER) AS step, CAST(sum(CASE WHEN (u + {t * G.GOLDEN!r}) - "
-    f"floor(u + {t * G.GOLDEN!r}) < 0.5 THEN 1 ELSE 0 END) AS BIGINT) AS n FROM bb "
+    f"SELECT CAST({t} AS INTEGER) AS step, CAST(sum(CASE WHEN {step_unit_sql('u', t)} < 0.5 THEN 1 ELSE 0 END) "
+    f"AS BIGINT) AS n FROM bb "
     f"WHERE split = 'train'" for t in range(1, 6))
 CORE_SQL["split_minibatch"] = f"{W}{G.binary_view()} {_steps}"
 CORE_SQL["set_union_all"] = f"""{W}{G.binary_view()}

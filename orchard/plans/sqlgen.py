@@ -6,7 +6,8 @@ helpers only avoid retyping the same view and feature CTEs.
 
 from __future__ import annotations
 
-GOLDEN = 0.6180339887498949
+from orchard.functions.hashing import STEP_PRIME, step_factors
+
 K_PRIORITY = 5          # distinct o_orderpriority values in binary_big
 NUM = ["f0", "f1", "f2", "f3"]
 
@@ -178,8 +179,10 @@ def sgd_recursive(train: str, d: int, kind: str, configs: list[tuple], t_max: in
     else:
         ys = f"(2.0 * {y} - 1.0)"
         mult = f"CASE WHEN {ys} * ({margin}) < 1.0 THEN -{ys} ELSE 0.0 END"
-    step_u = f"({u} + (p.t + 1) * {GOLDEN!r})"
-    sampled = f"(p.frac >= 1.0 OR {step_u} - floor({step_u}) < p.frac)"
+    a, b = zip(*(step_factors(t) for t in range(1, t_max + 1)))
+    step_u = (f"CAST((CAST({u} * 4294967296 AS BIGINT) * {list(a)}[p.t + 1] + {list(b)}[p.t + 1]) "
+              f"% {STEP_PRIME} AS DOUBLE) / {STEP_PRIME}")
+    sampled = f"(p.frac >= 1.0 OR {step_u} < p.frac)"
     eta = "(p.step / sqrt(p.t + 1))"
     sums = ", ".join(f"sum(m * {x}{j}) AS g{j}" for j in range(d))
     xs = ", ".join(f"{x}{j}" for j in range(d))

@@ -1,7 +1,7 @@
 """Score a streaming DataFrame with a fitted feature pipeline and model.
 
-Feature assembly (a stream-static join to the bounded category dictionary,
-then column expressions) and prediction are stateless, so a stream is
+Feature assembly (column expressions, and a stream-static join to what belongs to a
+category) and prediction are stateless, so a stream is
 scored with the very same operators as a batch; no state store is involved.
 """
 
@@ -13,14 +13,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orchard.functions.decode import page_class
-from orchard.operators.features import PageFeatures
+from orchard.operators.sparse import SparsePages
 
 
-def score_pages_stream(pages: DataFrame, features: PageFeatures, model,
+def score_pages_stream(pages: DataFrame, features: SparsePages, model,
                        key: str = "doc_id") -> DataFrame:
-    """(key, url, prediction, class) for every page arriving on the stream."""
-    feats = features.transform(pages)
-    out = feats.withColumn("prediction", model.predict_col("features"))
+    """(key, url, prediction, class) for every page arriving on the stream; ``model`` is one of the
+    models of ``orchard.operators.sparse``."""
+    out = model.transform(features.transform(pages))
     return out.select(key, "url", "prediction",
                       page_class(F.col("prediction").cast("int")).alias("class"))
 

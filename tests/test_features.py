@@ -72,10 +72,11 @@ def test_standardized_training_columns_have_mean0_std1(spark):
     import statistics
     from orchard.plans import prepared as P
     from conftest import SF_MID
-    prep, _ = P.pages(spark, SF_MID, nb=False)
-    rows = [r.features for r in prep.part("train").select("features").collect()]
-    for j in range(prep.dim):
-        col = [r[j] for r in rows]
+    prep = P.pages(spark, SF_MID, nb=False)
+    long = prep.features.long(prep.part("train"), "doc_id").collect()
+    assert {r.j for r in long} == set(range(prep.features.dim))
+    for j in range(prep.features.dim):
+        col = [r.value for r in long if r.j == j]
         if statistics.pstdev(col) == 0:
             continue
         assert statistics.mean(col) == pytest.approx(0.0, abs=1e-9)

@@ -1,5 +1,7 @@
 import os
 
+import pytest
+
 from orchard.sources import text as TX
 
 
@@ -79,3 +81,56 @@ def test_drop_header_takes_the_first_line_of_each_file_only(spark):
     rows = [("a", 1, "head"), ("a", 2, "x"), ("a", 3, "head"), ("b", 5, "other"), ("b", 6, None), (None, 1, "h"), (None, 2, "y")]
     got = TX.drop_header(spark.createDataFrame(rows, "file string, line int, value string"), "file", "line")
     assert sorted((r.file or "", r.line) for r in got.collect()) == [("", 2), ("a", 2), ("a", 3), ("b", 6)]
+
+
+LAYOUTS = {
+    "ratings": (TX.check_ratings, "1\t10\t4", ["\t", "1\t10"], {}),
+    "titles": (TX.check_titles, "10|Heat", ["10"], {}),
+    "pages": (TX.check_pages, "u\t1\tx\tc\t4\t?\t1", ["u\t1\tx\tc\t4", "a"], {"numbers": 2}),
+    "numeric": (TX.check_numeric, "1,2,3", ["1"], {"numbers": 2}),
+    "hourly": (TX.check_hourly, "1,2024-01-01,1,0,1,5,0,1,1,2,0.5,0.4,0.6,0.1,3,4,7", ["1,2,3", "x"], {}),
+}
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+@pytest.mark.parametrize("mode", ["strict", "permissive"])
+def test_every_layout_rejects_blank_short_and_ragged_lines(spark, name, mode):
+    check, good, short, args = LAYOUTS[name]
+    sep = "|" if name == "titles" else "," if "," in good else "\t"
+    longer = good + sep + "1"
+    lines = spark.createDataFrame([(x,) for x in [good, None, "", "  ", *short, longer, good]], "value string")
+    rows, rejects, counts = TX.split_rejects(check(lines, mode=mode, **args))
+    ragged = name in ("pages", "numeric", "hourly")
+    # a line of separators alone is as short or as blank as it looks
+    blank = 3 + sum(not s.strip() for s in short)
+    assert rows.count() == 3 - ragged and counts["lines"] == 6 + len(short)
+    assert (counts["blank"], counts["short"], counts["ragged"]) == (blank, len(short) - blank + 3, int(ragged))
+    why = [(r.value, r.reason) for r in rejects.collect()]
+    assert len(why) == counts["lines"] - rows.count()
+    assert {v for v, r in why if r == "ragged"} == ({longer} if ragged else set())
+
+
+def test_malformed_numbers_of_rejects_do_not_fail_a_strict_job(spark):
+    lines = spark.createDataFrame([("x,y,z",), ("1,2,3",)], "value string")
+    assert TX.accepted(TX.check_numeric(lines, numbers=5)).count() == 0
+    assert TX.parse_numeric(lines, mode="permissive").count() == 2
+    with pytest.raises(Exception):
+        TX.parse_numeric(lines).collect()
+
+
+def test_headers_of_files_that_are_read_in_splits(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "split")
+    os.makedirs(d)
+    for k in range(3):
+        _write(os.path.join(d, f"{k}.tsv"), ["url\tid\tx\tcategory\tf0\tlabel",
+                                             *[f"u{k}-{i}\t{i}\tx\tc\t{i}\t1" for i in range(400)]])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        lines = TX.read_delimited_with_header(spark, d, "\t")
+        assert lines.rdd.getNumPartitions() > 6
+        assert TX.read_pages(spark, d).count() == 1200
+        places = lines.select("value", "_metadata.file_path", "_metadata.file_block_start")
+        assert places.groupBy("file_path").agg({"file_block_start": "max"}).count() == 3
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

@@ -32,6 +32,23 @@ def test_minibatch_fraction(spark):
     assert df.where(SP.minibatch_flag("u", 1, 1.0)).count() == 4000
 
 
+def test_batches_of_different_steps_are_independent(spark):
+    """Pairs of steps share f^2 of the rows, and so do pairs of rows with neighbouring uniforms."""
+    import numpy as np
+    from orchard.functions.hashing import step_unit
+    df = SP.with_unit(spark.range(40_000).select(F.col("id").alias("k")), F.col("k"))
+    steps = range(1, 9)
+    rows = df.orderBy("u").select(*[SP.minibatch_flag("u", t, 0.3).alias(f"b{t}") for t in steps],
+                                  step_unit(F.col("u"), 3).alias("v")).toPandas()
+    b = np.stack([rows[f"b{t}"].to_numpy(float) for t in steps])
+    shared = b @ b.T / b.shape[1]
+    off = shared[~np.eye(len(b), dtype=bool)]
+    assert abs(off - 0.09).max() < 0.012 and abs(np.diag(shared) - 0.3).max() < 0.012
+    together = (b[:, 1:] * b[:, :-1]).mean(axis=1)          # neighbours in u
+    assert abs(together - 0.09).max() < 0.012
+    assert 0 <= rows["v"].min() and rows["v"].max() < 1
+
+
 def test_reliable_cuts_lineage_into_checkpoint_folder(spark):
     from orchard.operators.common import reliable
     from orchard.session import ensure_checkpoint_dir

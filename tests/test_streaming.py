@@ -1,14 +1,14 @@
 import os
 
-from orchard.operators import bayes
+from orchard.operators import sparse
 from orchard.plans import prepared as P
 from orchard.streaming.score import score_pages_stream, start_sink
 from conftest import SF_SMALL
 
 
 def test_stream_scoring_matches_batch(spark, tmpdir_fresh):
-    prep, score = P.pages(spark, SF_SMALL, nb=True)
-    m = bayes.fit_naive_bayes(prep.part("train"), prep.dim, 5.0)
+    prep = P.pages(spark, SF_SMALL, nb=True)
+    m = sparse.fit_sparse_naive_bayes(prep.part("train"), prep.features, 5.0)
     from orchard.sources import views as V
     src = os.path.join(tmpdir_fresh, "in")
     V.page_score(spark, SF_SMALL).write.parquet(src)
@@ -18,5 +18,5 @@ def test_stream_scoring_matches_batch(spark, tmpdir_fresh):
                    os.path.join(tmpdir_fresh, "ckpt"), trigger_once=True)
     q.awaitTermination(120)
     got = {(r.doc_id, r.prediction) for r in spark.read.parquet(os.path.join(tmpdir_fresh, "out")).collect()}
-    want = {(r.doc_id, r.prediction) for r in m.transform(score).collect()}
+    want = {(r.doc_id, r.prediction) for r in m.transform(prep.score).collect()}
     assert got == want
