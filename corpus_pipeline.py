@@ -65,4 +65,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     for i, (_, stage) in enumerate(STAGES):
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
         docs = spark.read.parquet(f"{folder}/{i}")
+        if i:                               # what the stage has read is not needed again
+            past = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{i - 1}")
+            past.getFileSystem(spark._jsc.hadoopConfiguration()).delete(past, True)
     return docs
