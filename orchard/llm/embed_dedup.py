@@ -5,10 +5,10 @@ hash; each shard's graph (Malkov and Yashunin) is built in one task of bounded
 size.  Every vector queries every shard: a task holds two shards and searches
 each with the vectors of the other, so that a link found from either end counts
 for both.  A search whose beam is full of links is repeated with a wider one.  A
-fixed share of the vectors is also compared with the whole shard, and while the
-searches find less than ``RECALL`` of the links of these, the beam is doubled for
-all; a beam as wide as the shard that still misses some is replaced by the full
-comparison.  Links count when the cosine in double precision reaches the limit.
+share of the vectors, large enough to have ``LEAST`` links to others, is also compared with
+the whole shard, and while the searches find less than ``RECALL`` of the links of
+these, the beam is doubled for all; a beam as wide as the shard that still misses some is
+replaced by the full comparison, and so is a search between shards with hardly any links.  Links count when the cosine in double precision reaches the limit.
 A task returns link counts and a spanning forest of its links, not its pairs.
 
 Defined results: a vector that is null, empty, zero or has null or non-finite
@@ -35,7 +35,8 @@ SHARDS = 6              # graphs at least, so that small inputs spread too
 NEIGHBOURS = 12         # links a node gets; twice as many are kept on the ground layer
 BEAM_BUILD, BEAM = 48, 48
 RECALL = 0.98
-AUDIT = 32              # one in so many vectors is audited
+AUDIT = 32              # one in so many vectors is audited, more while they have fewer than LEAST links
+LEAST = 20
 _BATCH = 512
 
 
@@ -205,25 +206,55 @@ def _load(blob: bytes) -> tuple[SmallWorld, dict]:
     return graph, state
 
 
-def _found(graph: SmallWorld, held: dict, asking: dict, cosine: float) -> tuple[np.ndarray, np.ndarray, int, int]:
-    """Verified (asking row, held row) links, and links found and existing of audited rows."""
-    q = asking["x"]
-    audit = np.flatnonzero(asking["h"] % AUDIT == 0)
-    near = q[audit] @ held["x"].T >= cosine
-    width = BEAM
+def _exact(q: np.ndarray, x: np.ndarray, cosine: float, rows: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All links of ``q[rows]`` with ``x`` (a vector is not linked with itself where both are the same)."""
+    found = []
+    for i in range(0, len(rows), 256):
+        at = rows[i:i + 256]
+        r, c = np.nonzero(q[at] @ x.T >= cosine - 1e-9)
+        ok = np.einsum("ij,ij->i", q[at[r]], x[c]) >= cosine
+        if same:
+            ok &= at[r] != c
+        found.append((at[r[ok]], c[ok]))
+    return tuple(np.concatenate(f) if f else np.empty(0, np.int64) for f in zip(*found)) if found else (
+        np.empty(0, np.int64), np.empty(0, np.int64))
+
+
+def _found(graph: SmallWorld, held: dict, asking: dict, cosine: float, same: bool = False,
+           beam: int = BEAM) -> tuple[np.ndarray, np.ndarray, int, int]:
+    """Verified (asking row, held row) links, and links found and existing of audited rows.
+
+    Audited rows are compared in full.  One in ``AUDIT`` is, and four times as many as long as these
+    have fewer than ``LEAST`` links (matches of a vector with itself do not count), so that an
+    audit always judges a set number of links, or else everything has been compared.
+    The beam is doubled until ``RECALL`` of the audited links are found.
+    """
+    q, x = asking["x"], held["x"]
+    order = np.argsort(asking["h"].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    done, parts = 0, []
+    take = -(-len(q) // AUDIT)
+    while done < len(q) and sum(len(p[0]) for p in parts) < LEAST:
+        parts.append(_exact(q, x, cosine, order[done:take], same))
+        done, take = min(take, len(q)), take * 4
+    near = sum(len(p[0]) for p in parts)
+    if done >= len(q):
+        a, b = (np.concatenate(f) for f in zip(*parts)) if parts else (np.empty(0, np.int64),) * 2
+        return a, b, near, near
+    audited = np.zeros(len(q), bool)
+    audited[order[:done]] = True
+    width = beam
     while True:
         a, b = graph.within(q.astype(np.float32), cosine - 1e-4, width)
-        ok = np.einsum("ij,ij->i", q[a], held["x"][b]) >= cosine if len(a) else np.zeros(0, bool)
+        ok = np.einsum("ij,ij->i", q[a], x[b]) >= cosine if len(a) else np.zeros(0, bool)
+        if same:
+            ok &= a != b
         a, b = a[ok], b[ok]
-        got = int(np.isin(a, audit).sum())
-        if got >= RECALL * near.sum():
-            return a, b, got, int(near.sum())
-        if width >= len(held["x"]):
-            break
+        got = int(audited[a].sum())
+        if got >= RECALL * near:
+            return a, b, got, near
+        if width >= len(x):
+            return *_exact(q, x, cosine, np.arange(len(q)), same), near, near
         width *= 2
-    pairs = [np.nonzero(q[i:i + 256] @ held["x"].T >= cosine) for i in range(0, len(q), 256)]
-    a = np.concatenate([r + 256 * i for i, (r, _) in enumerate(pairs)])
-    return a, np.concatenate([c for _, c in pairs]), int(near.sum()), int(near.sum())
 
 
 def _forest(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -250,7 +281,7 @@ def _searcher(cosine: float):
         pdf = pdf.sort_values("shard")
         left, one = _load(pdf["graph"].iloc[0])
         if len(pdf) == 1:
-            a, b, got, all_ = _found(left, one, one, cosine)
+            a, b, got, all_ = _found(left, one, one, cosine, same=True)
             lo, hi = np.minimum(a, b), np.maximum(a, b)
             other = one
             keep = lo != hi
