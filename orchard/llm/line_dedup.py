@@ -156,10 +156,12 @@ def line_decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                min_chars: int = MIN_CHARS, min_exact: int = 1) -> DataFrame:
-    """``docs`` with the repeated lines taken out of ``text``, plus struct ``lines`` (last) with
+                min_chars: int = MIN_CHARS, min_exact: int = 1, counts_col: str = "lines") -> DataFrame:
+    """``docs`` with the repeated lines taken out of ``text``, plus struct ``counts_col`` (last) with
     the numbers of lines (n), of exact (exact) and of near (near) repeats removed.
-    ``docs`` may have any further columns but one named ``lines``."""
+    ``docs`` may have any further columns but one of that name."""
+    if counts_col in docs.columns:
+        raise ValueError(f"there is a column {counts_col!r} already: name another counts_col")
     plain = docs.select(F.col(id_col), F.col(text_col))
     found = line_decisions(plain, id_col, text_col, min_chars, min_exact)
     # the caller's columns travel in a struct, so that their names cannot clash
@@ -176,17 +178,20 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     zero = F.lit(0).cast("long")
     size = F.coalesce(F.size("all").cast("long"), zero)
     counts = F.struct(size.alias("n"), F.size("exact").cast("long").alias("exact"),
-                      F.size("near").cast("long").alias("near")).alias("lines")
-    none = F.struct(size.alias("n"), zero.alias("exact"), zero.alias("near")).alias("lines")
+                      F.size("near").cast("long").alias("near")).alias(counts_col)
+    none = F.struct(size.alias("n"), zero.alias("exact"), zero.alias("near")).alias(counts_col)
     rest = restrict(keyed, keys, "k", "left_anti")
     return some.select(*columns(text), counts).unionByName(rest.select(*columns(F.col("row")[text_col]), none))
 
 
 def keep_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kwargs) -> DataFrame:
     """``docs`` with repeated lines taken out; documents that lose all of their lines go."""
-    cleaned = dedup_lines(docs, id_col, text_col, **kwargs)
-    lost = F.col("lines.exact") + F.col("lines.near")
-    return cleaned.where((lost == 0) | (lost < F.col("lines.n"))).drop("lines")
+    name = "lines"
+    while name in docs.columns:
+        name += "_"
+    cleaned = dedup_lines(docs, id_col, text_col, counts_col=name, **kwargs)
+    lost = F.col(name)["exact"] + F.col(name)["near"]
+    return cleaned.where((lost == 0) | (lost < F.col(name)["n"])).drop(name)
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -126,6 +126,17 @@ def test_every_stage(spark, folder, nothing, tmp_path):
     assert corpus_pipeline.run(spark, nothing).count() == 0
 
 
+def test_line_stage_takes_a_column_named_lines(spark):
+    text = "a line of some length that is met twice\nanother"
+    docs = spark.createDataFrame([(1, text, "x", "y"), (2, text + "\nmore", "x", "y")],
+                                 "doc_id long, text string, lines string, lines_ string")
+    kept = corpus_pipeline.line_stage(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert [tuple(r) for r in kept.orderBy("doc_id").collect()] == [(1, text, "x", "y"), (2, "more", "x", "y")]
+    with pytest.raises(ValueError):
+        line_dedup.dedup_lines(docs)
+
+
 def test_stages_drop_what_they_should(spark, tmp_path):
     text = "the first line of a text that is long enough\nand a second line of it that is long as well"
     docs = spark.createDataFrame([(1, text, "en", "s", len(text)), (2, text, "en", "s", len(text)),
