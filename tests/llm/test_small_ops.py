@@ -116,6 +116,48 @@ def test_suffix_dedup_matches_brute_force(spark, tmp_path):
     assert all(sum(s["end"] - s["start"] for s in r.spans) + len(r.kept) == r.n_bytes for r in full.itertuples())
 
 
+def brute_passages(texts, words):
+    """Maximal runs of windows of ``words`` words that another row has too; a copied text is one."""
+    bags = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+    owners = {}
+    for d, ws in enumerate(bags):
+        for i in range(len(ws) - words + 1):
+            owners.setdefault(tuple(ws[i:i + words]), set()).add(texts[d])
+    out = []
+    for d, ws in enumerate(bags):
+        if texts.count(texts[d]) > 1:
+            out.append(int(len(ws) >= words))
+            continue
+        at = [len(owners[tuple(ws[i:i + words])]) > 1 for i in range(len(ws) - words + 1)]
+        out.append(sum(a and not b for a, b in zip(at, [False, *at])))
+    return out
+
+
+def test_passages_of_many_words_are_found_below_400_bytes(spark, tmp_path):
+    rng = np.random.default_rng(12)
+
+    def short(n):
+        return " ".join("abcdefghij"[int(x)] + "klmnop"[int(y)] for x, y in zip(rng.integers(0, 10, n), rng.integers(0, 6, n)))
+
+    shared = [short(51), short(70), short(50)]              # the last one is a word too short
+    texts = [None, "", "a b", shared[0], "  " + short(60) + "\t", *[short(40) + " " + shared[i % 3] + "\n" + short(30) + "  "
+             + shared[(i + 1) % 3] for i in range(12)], short(200)]
+    texts += [texts[-1], short(120) + " " + shared[1], shared[0] + " " + shared[0]]
+    H.write_tables(spark, tmp_path, documents=documents(spark, texts).repartition(3))
+    got = suffix_dedup.op10_suffix_dedup(spark, str(tmp_path)).toPandas().sort_values("doc_id")
+    assert got["n_passages"].tolist() == brute_passages(texts, 51)
+    assert got.loc[[3], "n_removed"].item() == 0 and got["n_passages"].sum() > 12
+    assert list(zip(got["n_bytes"], got["n_removed"], got["n_spans"], got["kept_sha256"])) == brute_repeats(texts, 400)
+
+
+def test_lengths_that_distances_cannot_hold_are_refused(spark):
+    with pytest.raises(ValueError):
+        suffix_dedup.remove_repeats(documents(spark, ["a"]), length=2000)
+    long = H.prose(np.random.default_rng(3), 800)
+    got = suffix_dedup.remove_repeats(documents(spark, [long + "x", "y" + long]), length=2000, gram=1024).collect()
+    assert all(r.n_bytes - len(r.kept) == len(long) for r in got)
+
+
 # ---- Jaccard join ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("group", [2000, 7])
