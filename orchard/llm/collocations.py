@@ -96,17 +96,19 @@ def _chunks(pos: np.ndarray, ids: np.ndarray, chunk: np.ndarray) -> pa.RecordBat
 
 
 class _Numbering:
-    """Chunk numbers of a task: the same whenever the task is run again."""
+    """Chunk numbers and positions in chunks of a task: the same whenever the task is run again."""
 
     def __init__(self):
         self.next = TaskContext.get().partitionId() << 33
 
-    def of(self, r: _Run) -> np.ndarray:
+    def of(self, r: _Run) -> tuple[np.ndarray, np.ndarray]:
         begins = np.flatnonzero(r.new)
         number = np.repeat(begins // CHUNK, np.diff(np.append(begins, len(r.pos))))
+        first = np.flatnonzero(np.append(True, number[1:] != number[:-1])[:len(number)])
+        pos = r.pos - np.repeat(r.pos[first], np.diff(np.append(first, len(number))))
         out = self.next + number
         self.next += len(r.pos) // CHUNK + 1
-        return out
+        return out, pos
 
 
 def _slices(it, rows: int = 128):
@@ -143,7 +145,8 @@ def first_relation(rows: DataFrame, words: DataFrame, bound: int) -> DataFrame:
             numbering = _Numbering()
             for b, data, off in byte_runs(it, RUN_BYTES):
                 r = _Run(b, data, off)
-                yield pa.record_batch([pa.array(numbering.of(r)), pa.array(r.pos), r.langs.take(pa.array(r.lang)),
+                chunk, pos = numbering.of(r)
+                yield pa.record_batch([pa.array(chunk), pa.array(pos), r.langs.take(pa.array(r.lang)),
                                        r.words.take(pa.array(r.codes))], names=["chunk", "pos", "lang", "phrase"])
         flat = rows.mapInArrow(tidy(each), "chunk long, pos long, lang string, phrase string")
         return _collected(lookup(flat, words.select("lang", "phrase", "id", "f"), ["lang", "phrase"], "f", bound=bound))
@@ -156,7 +159,7 @@ def first_relation(rows: DataFrame, words: DataFrame, bound: int) -> DataFrame:
         known = {lang: (as_strings(names), np.append(ids, -1)) for lang, (names, ids) in shipped.value.items()}
         for b, data, off in byte_runs(it, RUN_BYTES):
             r = _Run(b, data, off)
-            chunk, ids = numbering.of(r), np.full(len(r.pos), -1)
+            (chunk, pos), ids = numbering.of(r), np.full(len(r.pos), -1)
             for j, lang in enumerate(r.langs.to_pylist()):
                 if lang in known:
                     names, numbers = known[lang]
@@ -164,21 +167,29 @@ def first_relation(rows: DataFrame, words: DataFrame, bound: int) -> DataFrame:
                     own = r.lang == j
                     ids[own] = numbers[place][r.codes[own]]
             stay = ids >= 0
-            yield _chunks(r.pos[stay], ids[stay], chunk[stay])
+            yield _chunks(pos[stay], ids[stay], chunk[stay])
 
     return rows.mapInArrow(tidy(run), _RELATION)
 
 
-def pair_counts(relation: DataFrame) -> DataFrame:
-    """``prefix, suffix, f`` of all adjacent occurrences."""
-    schema = pa.schema([(c, pa.int64()) for c in ("prefix", "suffix", "f")])
+PACKED = 1 << 31            # up to so many phrases of a length a pair of them is one number
+
+
+def pair_counts(relation: DataFrame, phrases: int) -> DataFrame:
+    """``prefix, suffix, f`` of all adjacent occurrences; ids are below ``phrases``."""
+    packed = phrases <= PACKED
+    names = ["pair", "f"] if packed else ["prefix", "suffix", "f"]
+    schema = pa.schema([(c, pa.int64()) for c in names])
 
     def combined(parts):
         a, b = (np.concatenate(x) for x in zip(*parts))
-        names, code = np.unique(np.concatenate([a, b]), return_inverse=True)
-        key, f = counted(code[:len(a)] * len(names) + code[len(a):])
-        return pa.record_batch([pa.array(names[key // len(names)]), pa.array(names[key % len(names)]), pa.array(f)],
-                               schema=schema)
+        if packed:
+            cols = counted(a << 32 | b)
+        else:
+            ids, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+            key, f = counted(code[:len(a)] * len(ids) + code[len(a):])
+            cols = ids[key // len(ids)], ids[key % len(ids)], f
+        return pa.record_batch([pa.array(c) for c in cols], schema=schema)
 
     def run(it):
         parts, held = [], 0
@@ -193,8 +204,12 @@ def pair_counts(relation: DataFrame) -> DataFrame:
         if parts:
             yield combined(parts)
 
-    return (relation.mapInArrow(tidy(run), "prefix long, suffix long, f long")
-            .groupBy("prefix", "suffix").agg(F.sum("f").alias("f")))
+    counts = relation.mapInArrow(tidy(run), ", ".join(f"{c} long" for c in names)).groupBy(*names[:-1]).agg(
+        F.sum("f").alias("f"))
+    if packed:
+        counts = counts.select(F.shiftright("pair", 32).alias("prefix"),
+                               F.col("pair").bitwiseAND((1 << 32) - 1).alias("suffix"), "f")
+    return counts
 
 
 def next_relation(relation: DataFrame, phrases: DataFrame, bound: int) -> DataFrame:
@@ -231,9 +246,18 @@ def next_relation(relation: DataFrame, phrases: DataFrame, bound: int) -> DataFr
     return relation.mapInArrow(tidy(run), _RELATION)
 
 
-def _numbered(phrases: DataFrame) -> DataFrame:
-    """Cut, every phrase under a number of its own."""
-    return cut(phrases.withColumn("id", F.monotonically_increasing_id()))
+def _numbered(phrases: DataFrame) -> tuple[DataFrame, int]:
+    """Cut, every phrase under a number of its own from 0 on, and how many there are.  Only the
+    number of rows of each partition reaches the driver."""
+    rows = cut(phrases.withColumn("at", F.monotonically_increasing_id()))
+    part = F.shiftrightunsigned("at", 33).cast("int")
+    first, starts = 0, []
+    for r in rows.groupBy(part.alias("p")).agg(F.count("*").alias("n")).orderBy("p").collect():
+        starts.append((r["p"], first))
+        first += r["n"]
+    starts = F.broadcast(rows.sparkSession.createDataFrame(starts, "p int, first long"))
+    id_ = F.col("first") + F.col("at").bitwiseAND((1 << 33) - 1)
+    return rows.withColumn("p", part).join(starts, "p").withColumn("id", id_).drop("p", "first", "at"), first
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, lang_col: str = "lang",
@@ -246,18 +270,20 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
         words = tables.enter_context(written(word_counts(rows)))
         totals = cut(words.groupBy("lang").agg(F.sum("f").alias("n"), F.count("*").alias("words")))
         often = lookup(words.where(F.col("f") >= min_count), totals, ["lang"], "words", bound=bound)
-        levels = [_numbered(often.select(
+        first, size = _numbered(often.select(
             none.alias("prefix"), none.alias("suffix"), "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
-            "n", "f", F.array("f").alias("starts"), F.array("f").alias("ends")))]
+            "n", "f", F.array("f").alias("starts"), F.array("f").alias("ends")))
+        levels = [first]
         relation = tables.enter_context(written(first_relation(rows, levels[0], bound)))
         while len(levels) < max_words:
-            pairs = cut(pair_counts(relation).where(F.col("f") >= min_count))
+            pairs = cut(pair_counts(relation, size).where(F.col("f") >= min_count))
             start = levels[-1].select(F.col("id").alias("prefix"), "lang", "n", "starts", F.col("phrase").alias("head"))
             end = levels[-1].select(F.col("id").alias("suffix"), "ends", "last")
             named = pairs.join(start, "prefix").join(end, "suffix")
-            levels.append(_numbered(named.select(
+            longer, size = _numbered(named.select(
                 "prefix", "suffix", "lang", F.concat_ws(" ", "head", "last").alias("phrase"), "last", "n", "f",
-                F.array_append("starts", F.col("f")).alias("starts"), F.array_append("ends", F.col("f")).alias("ends"))))
+                F.array_append("starts", F.col("f")).alias("starts"), F.array_append("ends", F.col("f")).alias("ends")))
+            levels.append(longer)
             if len(levels) < max_words:
                 relation = tables.enter_context(written(next_relation(relation, levels[-1], bound)))
     return levels
