@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from orchard.operators import evaluate, recommend as R, score as S, sparse, trees as TR, tune
+from orchard.operators import binning, evaluate, recommend as R, score as S, sparse, trees as TR, tune
 from orchard.operators.split import sample_fraction, split_column
 from orchard.plans import prepared as P
 from orchard.plans.q_bayes import r6
-from orchard.plans.settings import (ALS_PARAMS, LOGISTIC_DEFAULT, NB_LAMBDA, SVM_DEFAULT, TOP_N, TREE_BINARY, TREE_GRID, TREE_MULTI,
+from orchard.plans.settings import (ALS_PARAMS, LOGISTIC_DEFAULT, NB_LAMBDA, SVM_DEFAULT, TOP_N, TREE_BINARY, TREE_GRID, TREE_MULTI, TREE_REFIT_GRID,
                                     TREE_REG_GRID, TREE_REG_SWEEP_FIXED, TREE_REG_SWEEPS, TREE_REGRESSION,
                                     TREE_SWEEP_FIXED, TREE_SWEEPS)
 from orchard.sources import views as V
@@ -23,6 +23,16 @@ def _tree(prep, kind, p):
     return TR.fit_tree(train, kind, p["impurity"], p["max_depth"], p["max_bins"])
 
 
+def _binned_tree(rows, dim, p):
+    return binning.fit_binned_tree(rows, dim, "class", p["impurity"], p["max_depth"], p["max_bins"])
+
+
+def _binary_tree(spark, sf):
+    """The default class tree over exact-quantile bins."""
+    prep = P.binary(spark, sf, scale=False, reuse=True)
+    return prep, _binned_tree(prep.part("train"), prep.dim, TREE_BINARY)
+
+
 def _summary(prep, tm, p, metric):
     valid = tm.transform(prep.part("validation"))
     if metric == "auc_hard":
@@ -44,8 +54,7 @@ def _metric_by_split(prep, tm, metric):
 
 
 def q_eval_default_tree_binary(spark, sf):
-    prep = P.binary(spark, sf, scale=False, reuse=True)
-    return _metric_by_split(prep, _tree(prep, "class", TREE_BINARY), "auc_hard")
+    return _metric_by_split(*_binary_tree(spark, sf), "auc_hard")
 
 
 def q_eval_default_tree_multi(spark, sf):
@@ -59,8 +68,7 @@ def q_eval_default_tree_value(spark, sf):
 
 
 def q_fit_tree_binary(spark, sf):
-    prep = P.binary(spark, sf, scale=False, reuse=True)
-    return _summary(prep, _tree(prep, "class", TREE_BINARY), TREE_BINARY, "auc_hard")
+    return _summary(*_binary_tree(spark, sf), TREE_BINARY, "auc_hard")
 
 
 def q_fit_tree_multi(spark, sf):
@@ -74,8 +82,7 @@ def q_fit_tree_regression(spark, sf):
 
 
 def q_predict_tree_class(spark, sf):
-    prep = P.binary(spark, sf, scale=False, reuse=True)
-    tm = _tree(prep, "class", TREE_BINARY)
+    prep, tm = _binary_tree(spark, sf)
     return tm.transform(prep.frame).select(*prep.key, "split", "label", "prediction")
 
 
@@ -161,6 +168,19 @@ def q_tune_refit_tree_value(spark, sf):
         F.lit(best["max_bins"]).alias("max_bins"), "n", r6("rmse").alias("rmse"))
 
 
+def q_tune_refit_tree_binary(spark, sf):
+    """Best class tree of a small grid, refitted on train and validation, AUC on test."""
+    prep = P.binary(spark, sf, scale=False, reuse=True)
+    entries, bins = tune.grid_entries(TREE_REFIT_GRID), TREE_BINARY["max_bins"]
+    thresholds = binning.quantile_thresholds(prep.part("train"), bins)
+    binned = prep.frame.withColumn("features", binning.bin_col("features", thresholds, prep.dim))
+    res, _ = tune.tune_tree(binned.where("split = 'train'"), binned.where("split = 'validation'"), "class", entries, "auc_hard")
+    best = tune.pick_best(res, "auc_hard").first()
+    tm = _binned_tree(prep.train_validation(), prep.dim, best)
+    return evaluate.auc_hard(tm.transform(prep.part("test"))).select(
+        *[F.lit(best[c]).alias(c) for c in ("position", "impurity", "max_depth")], "n", r6("auc_hard").alias("auc_hard"))
+
+
 def q_score_land_sample(spark, sf):
     prep = P.multi(spark, sf)
     tm = _tree(prep, "class", TREE_MULTI)

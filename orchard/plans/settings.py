@@ -33,6 +33,8 @@ TREE_SWEEPS = [("impurity", ["gini", "entropy"]),
                ("max_bins", [3, 5, 10, 50, 100, 200])]
 TREE_GRID = [("impurity", ["gini", "entropy"]), ("max_depth", [3, 5, 10, 15, 20]),
              ("max_bins", [3, 5, 10, 50, 100])]
+# the part of the grid whose best tree is refitted as a key of its own
+TREE_REFIT_GRID = [("impurity", ["gini", "entropy"]), ("max_depth", [3, 5]), ("max_bins", [5])]
 TREE_REG_SWEEP_FIXED = dict(impurity="variance", max_depth=10, max_bins=10)
 TREE_REG_SWEEPS = [("max_depth", [3, 5, 10, 15, 20, 25]), ("max_bins", [3, 5, 10, 50, 100, 200])]
 TREE_REG_GRID = [("impurity", ["variance"]), ("max_depth", [3, 5, 10, 15, 20]),

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from orchard.functions import decode as D
 from orchard.functions.hashing import step_unit_sql
+from orchard.operators.tune import grid_entries
+from orchard.plans import settings as Q
 from orchard.plans import sqlgen as G
 
 K_PAGE = 4           # distinct languages in page_train
@@ -243,6 +245,58 @@ ev AS (SELECT count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUB
 SELECT 'variance' AS impurity, CAST(10 AS INTEGER) AS max_depth, CAST(50 AS INTEGER) AS max_bins,
        shape.depth, shape.num_nodes, ev.n, ev.rmse FROM shape, ev"""
 
+# class trees over exact-quantile bins of binary_big's features (operators.binning)
+_BINS = [f"b{j}" for j in range(D_BIN)]
+
+
+def _binned(bins: int, where: str = "split = 'train'") -> str:
+    return f"""{W}{G.binary_view()},
+{G.features_cte('bb', G.K_PRIORITY, nb=False)},
+{G.quantile_bins('raw', D_BIN, bins, train_where=where)}"""
+
+
+def _class_tree(p: dict, where: str = "split = 'train'") -> str:
+    return G.regression_tree("binned", _BINS, p["max_depth"], "l_orderkey", where, p["impurity"])
+
+
+_TREE_BIN = f"{_binned(Q.TREE_BINARY['max_bins'])},\n{_class_tree(Q.TREE_BINARY)}"
+_NAMED = (f"'{Q.TREE_BINARY['impurity']}' AS impurity, CAST({Q.TREE_BINARY['max_depth']} AS INTEGER) AS max_depth, "
+          f"CAST({Q.TREE_BINARY['max_bins']} AS INTEGER) AS max_bins")
+CORE_SQL["fit_tree_binary"] = f"""{_TREE_BIN},
+{G.tree_shape(Q.TREE_BINARY['max_depth'])},
+ev AS (SELECT {G.auc_select()} FROM tree_rows WHERE split = 'validation')
+SELECT {_NAMED}, shape.depth, shape.num_nodes, ev.n, ev.auc_hard FROM shape, ev"""
+CORE_SQL["predict_tree_class"] = f"""{_TREE_BIN}
+SELECT l_orderkey, l_linenumber, split, CAST(label AS DOUBLE) AS label, prediction FROM tree_rows"""
+CORE_SQL["eval_default_tree_binary"] = f"""{_TREE_BIN}
+SELECT split, {G.auc_select()} FROM tree_rows WHERE split IN ('validation', 'test') GROUP BY split"""
+
+
+def _refit_tree(entries: list[dict], bins: int) -> str:
+    """Best entry on validation (the last of equal ones), refitted on train and validation, AUC on test."""
+    both = "split IN ('train', 'validation')"
+
+    def measured(view: str, where: str, split: str) -> str:
+        return " UNION ALL ".join(
+            f"SELECT {i} AS position, t.* FROM (WITH {_class_tree(e, where)} "
+            f"SELECT {G.auc_select()} FROM tree_rows WHERE split = '{split}') t" for i, e in enumerate(entries)).replace(
+                "FROM binned", f"FROM {view}")
+    named = " ".join(f"WHEN {i} THEN '{e['impurity']}'" for i, e in enumerate(entries))
+    depth = " ".join(f"WHEN {i} THEN {e['max_depth']}" for i, e in enumerate(entries))
+    again = G.quantile_bins("raw", D_BIN, bins, train_where=both).replace("binned AS", "rebinned AS")
+    for j in range(D_BIN):
+        again = again.replace(f"qc{j} ", f"rqc{j} ").replace(f"th{j} ", f"rth{j} ").replace(
+            f"th{j}.t", f"rth{j}.t").replace(f"th{j},", f"rth{j},").replace(f"th{j})", f"rth{j})")
+    return f"""{_binned(bins)},
+{again},
+tuned AS ({measured('binned', "split = 'train'", 'validation')}),
+best AS (SELECT position FROM tuned ORDER BY auc_hard DESC NULLS LAST, position DESC LIMIT 1),
+refit AS ({measured('rebinned', both, 'test')})
+SELECT CAST(position AS INTEGER) AS position, CASE position {named} END AS impurity,
+       CAST(CASE position {depth} END AS INTEGER) AS max_depth, n, auc_hard FROM refit JOIN best USING (position)"""
+
+
+CORE_SQL["tune_refit_tree_binary"] = _refit_tree(grid_entries(Q.TREE_REFIT_GRID), Q.TREE_BINARY["max_bins"])
 CORE_SQL["eval_default_tree_value"] = f"""{_TREE_REG}
 SELECT r.split, count(*) AS n, round(sqrt(avg((p.prediction - CAST(r.label AS DOUBLE))
        * (p.prediction - CAST(r.label AS DOUBLE)))), 6) AS rmse

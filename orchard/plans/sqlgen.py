@@ -252,16 +252,42 @@ def stump_predict(features: list[str], row: str = "r") -> str:
             f"THEN st.lmean ELSE st.rmean END")
 
 
+def quantile_bins(src: str, dim: int, bins: int, x: str = "x", train_where: str = "split = 'train'") -> str:
+    """CTE ``binned`` = ``src`` with b0..: exact-quantile bin numbers of x0.., as ``operators.binning``."""
+    parts = []
+    for j in range(dim):
+        parts.append(f"""qc{j} AS (SELECT v, n, sum(n) OVER (ORDER BY v) AS cum, sum(n) OVER () AS total, count(*) OVER () AS d
+  FROM (SELECT {x}{j} AS v, count(*) AS n FROM {src} WHERE {train_where} GROUP BY 1)),
+th{j} AS (SELECT coalesce(list(v ORDER BY v), []::DOUBLE[]) AS t FROM qc{j} WHERE cum < total
+  AND (d <= {bins} OR least(cum * {bins} // total, {bins - 1}) > (cum - n) * {bins} // total))""")
+    bs = ", ".join(f"CAST(len(list_filter(th{j}.t, lambda q: q < {x}{j})) AS DOUBLE) AS b{j}" for j in range(dim))
+    parts.append(f"binned AS MATERIALIZED (SELECT {src}.*, {bs} FROM {src}, {', '.join(f'th{j}' for j in range(dim))})")
+    return ",\n".join(parts)
+
+
+def _impurity(kind: str, n: str, s: str, ss: str) -> str:
+    """Impurity of ``n`` rows with label sum ``s`` and label square sum ``ss`` (0/1 labels but for variance)."""
+    if kind == "variance":
+        return f"(({ss} - ({s} * {s}) / {n}) / {n})"
+    p1, p0 = f"({s} / {n})", f"(({n} - {s}) / {n})"
+    if kind == "gini":
+        return f"(1.0 - {p0} * {p0} - {p1} * {p1})"
+    log = "(CASE WHEN {p} > 0 THEN {p} * (ln({p}) / ln(CAST(2.0 AS DOUBLE))) ELSE 0.0 END)"
+    return f"(0.0 - {log.format(p=p0)} - {log.format(p=p1)})"
+
+
 def regression_tree(src: str, features: list[str], depth: int, key: str = "hs",
-                    train_where: str = "split = 'train'") -> str:
-    """CTEs growing a variance tree level by level, as Spark ML grows it.
+                    train_where: str = "split = 'train'", impurity: str = "variance") -> str:
+    """CTEs growing a tree level by level, as Spark ML grows it: a variance tree, or an entropy
+    or gini tree of 0/1 labels whose leaves predict their majority (0 in a tie).
 
     Candidates: midpoints of consecutive distinct training values per feature
     (valid while every feature has fewer distinct values than maxBins).  At
     each level every open node takes the first best split (feature order,
     then threshold order) with gain > 0 and both children non-empty; rows
     (all splits) are routed by ``value <= threshold``; node ids are
-    1, 2n, 2n+1.  Ends in ``tree_pred(key, prediction)``.
+    1, 2n, 2n+1.  Ends in ``tree_rows`` (all columns and the prediction) and
+    ``tree_pred(key, prediction)``.
     """
     cands = " UNION ALL ".join(
         f"""SELECT {i} AS fidx, (v + nv) / 2.0 AS thr FROM (
@@ -277,14 +303,14 @@ def regression_tree(src: str, features: list[str], depth: int, key: str = "hs",
              ({train_where}) AS is_tr FROM {src})"""]
     for L in range(depth):
         parts.append(f"""tr{L} AS MATERIALIZED (SELECT * FROM a{L} WHERE is_tr AND NOT done),
-ns{L} AS MATERIALIZED (SELECT node, count(*) * 1.0 AS n, sum(y) AS s, sum(y * y) AS ss FROM tr{L} GROUP BY node),
+ns{L} AS MATERIALIZED (SELECT node, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s, sum(y * y) AS ss FROM tr{L} GROUP BY node),
 tv{L} AS MATERIALIZED ({unpiv.format(L=L)}),
-ls{L} AS MATERIALIZED (SELECT t.node, c.fidx, c.thr, count(*) * 1.0 AS ln, sum(t.y) AS ls, sum(t.y * t.y) AS lss
+ls{L} AS MATERIALIZED (SELECT t.node, c.fidx, c.thr, CAST(count(*) AS DOUBLE) AS ln, sum(t.y) AS ls, sum(t.y * t.y) AS lss
        FROM tcand c JOIN tv{L} t ON t.fidx = c.fidx AND t.v <= c.thr GROUP BY t.node, c.fidx, c.thr),
 g{L} AS MATERIALIZED (SELECT l.node, l.fidx, l.thr,
-       (p.ss - (p.s * p.s) / p.n) / p.n
-       - (l.ln / p.n) * ((l.lss - (l.ls * l.ls) / l.ln) / l.ln)
-       - ((p.n - l.ln) / p.n) * (((p.ss - l.lss) - ((p.s - l.ls) * (p.s - l.ls)) / (p.n - l.ln)) / (p.n - l.ln))
+       {_impurity(impurity, 'p.n', 'p.s', 'p.ss')}
+       - (l.ln / p.n) * {_impurity(impurity, 'l.ln', 'l.ls', 'l.lss')}
+       - ((p.n - l.ln) / p.n) * {_impurity(impurity, '(p.n - l.ln)', '(p.s - l.ls)', '(p.ss - l.lss)')}
        AS gain FROM ls{L} l JOIN ns{L} p ON p.node = l.node WHERE p.n - l.ln >= 1),
 b{L} AS MATERIALIZED (SELECT node, fidx, thr FROM (
        SELECT *, row_number() OVER (PARTITION BY node ORDER BY gain DESC, fidx ASC, thr ASC) AS rk
@@ -294,8 +320,10 @@ a{L + 1} AS MATERIALIZED (SELECT r.* EXCLUDE (node, done),
             WHEN {fcase} <= b.thr THEN 2 * r.node ELSE 2 * r.node + 1 END AS node,
        r.done OR b.node IS NULL AS done
        FROM a{L} r LEFT JOIN b{L} b ON b.node = r.node AND NOT r.done)""")
-    parts.append(f"""leafs AS (SELECT node, sum(y) / count(*) AS prediction FROM a{depth} WHERE is_tr GROUP BY node),
-tree_pred AS (SELECT a.{key} AS {key}, l.prediction FROM a{depth} a JOIN leafs l ON l.node = a.node)""")
+    value = "sum(y) / count(*)" if impurity == "variance" else "CASE WHEN 2 * sum(y) > count(*) THEN 1.0 ELSE 0.0 END"
+    parts.append(f"""leafs AS (SELECT node, CAST({value} AS DOUBLE) AS prediction FROM a{depth} WHERE is_tr GROUP BY node),
+tree_rows AS (SELECT a.*, l.prediction FROM a{depth} a JOIN leafs l ON l.node = a.node),
+tree_pred AS (SELECT {key}, prediction FROM tree_rows)""")
     return ",\n".join(parts)
 
 
