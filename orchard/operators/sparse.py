@@ -37,6 +37,9 @@ from orchard.operators.common import (dense_numbers, join_small, laid_out, lit_a
 from orchard.operators.features import numeric_slots
 from orchard.operators.linear import CONVERGENCE_TOL, SgdConfig, step_flag
 
+# Rows of a partition of the layout, as long as the session's shuffle partitions are enough for that.
+PARTITION_ROWS = 50_000
+
 
 @dataclass
 class SparsePages:
@@ -135,7 +138,7 @@ def fit_sparse_pages(df: DataFrame, numeric: Sequence[str], category: str = "cat
                     + F.col("c") * (F.col(f"m{j}") - F.lit(m)) ** 2).alias(f"q{j}") for j, m in enumerate(mean)]
     squares = by.where("c > 0").agg(*spread).first() if nums else {}
     stds = [math.sqrt(max(float(squares[f"q{j}"] or 0.0), 0.0) / (n - 1)) if n > 1 else 0.0 for j in range(len(nums))]
-    count = partitions or shuffle_partitions(df.sparkSession)
+    count = partitions or min(shuffle_partitions(df.sparkSession), max(1, -(-rows // PARTITION_ROWS)))
     p = F.col("c") / F.lit(float(max(n, 1)))
     std = F.sqrt((F.col("c") * (1 - p) * (1 - p) + (F.lit(n) - F.col("c")) * p * p) / F.lit(float(max(n - 1, 1))))
     parts = F.greatest(F.lit(1), F.ceil(F.col("rows") * count / F.lit(max(rows, 1)))).cast("int")

@@ -199,6 +199,23 @@ CORE_SQL["score_new_pages"] = f"""{_nb_page},
 pr AS (SELECT doc_id, url, {G.nb_predict_expr(D_PAGE)} AS prediction FROM feat2, c0, c1)
 SELECT doc_id, url, prediction, {G.case_map('CAST(prediction AS INTEGER)', D.PAGE_CLASS)} AS class
 FROM pr ORDER BY doc_id LIMIT 10"""
+
+
+def _score_new_linear(kind: str, p: dict) -> str:
+    cfg = [(0, p["step_size"], p.get("reg_param", 0.0), p.get("mini_batch_fraction", 1.0))]
+    steps = p["num_iterations"]
+    return f"""{_pages_nb(False).replace(W, 'WITH RECURSIVE ', 1)},
+trn AS (SELECT * FROM feat WHERE split = 'train'),
+{G.sgd_recursive('trn', D_PAGE, kind, cfg, steps)},
+m AS (SELECT * FROM sgd WHERE t = {steps}),
+pr AS (SELECT doc_id, url, {G.linear_predict(kind, D_PAGE)} AS prediction FROM feat2, m)
+SELECT doc_id, url, CAST(prediction AS DOUBLE) AS prediction,
+       {G.case_map('CAST(prediction AS INTEGER)', D.PAGE_CLASS)} AS class
+FROM pr ORDER BY doc_id LIMIT 10"""
+
+
+CORE_SQL["score_new_pages_logistic"] = _score_new_linear("logistic", Q.LOGISTIC_DEFAULT)
+CORE_SQL["score_new_pages_svm"] = _score_new_linear("hinge", Q.SVM_DEFAULT)
 CORE_SQL["report_labelled_topn"] = f"""{_nb_page},
 pr AS (SELECT doc_id, CAST(feat.label AS DOUBLE) AS label, {G.nb_predict_expr(D_PAGE)} AS prediction
        FROM feat, c0, c1 WHERE split = 'test')

@@ -75,7 +75,7 @@ def _plan(df):
 def test_rows_and_categories_meet_where_they_lie(spark, pages):
     """A step's join and its sums need no exchange and no sort; hot categories are split over parts."""
     hot = pages.unionByName(pages.withColumn("category", F.lit("hot")))
-    sp = sparse.fit_sparse_pages(hot, ["f0"])
+    sp = sparse.fit_sparse_pages(hot, ["f0"], partitions=8)
     rows = sp.lay_out(sp.transform(hot).select("slot", "z", "label"))
     joined = rows.join(sp.table, ["slot", "part"], "left")
     plan = _plan(joined.groupBy("slot", "part").agg(F.count("idx")))
@@ -89,7 +89,7 @@ def test_rows_and_categories_meet_where_they_lie(spark, pages):
 
 def test_many_configurations_advance_together(spark, pages):
     fit = F.col("k") % 5 != 0
-    sp = sparse.fit_sparse_pages(pages, ["f0", "f1"], fit_on=fit)
+    sp = sparse.fit_sparse_pages(pages, ["f0", "f1"], fit_on=fit, partitions=4)
     rows = sp.transform(pages)
     cfgs = [linear.SgdConfig("hinge", 1.0, 0.01), linear.SgdConfig("hinge", 5.0, 0.1), linear.SgdConfig("hinge", 1.0, 0.01, 0.5)]
     many, took = sparse.fit_sparse_sgd_many(rows.where(fit), sp, cfgs, [2, 5])
@@ -145,5 +145,6 @@ def test_two_hundred_thousand_categories_through_the_page_program(spark, tmp_pat
             "sep", "￿").csv(f"{tmp_path}/{name}")
     out = programs.page_classifier(spark, f"{tmp_path}/train", f"{tmp_path}/score", "naive_bayes")
     ev = {r.split: r.auc_hard for r in out["evaluation"].collect()}
-    assert ev["validation"] > 0.95 and ev["test"] > 0.95
+    # a category has two rows: for one in five the other row is no training row either, a coin flip
+    assert ev["validation"] > 0.88 and ev["test"] > 0.88
     assert out["predictions"].count() == 10 and out["rejects"].count() == 2
