@@ -16,7 +16,11 @@ near the front.  Steps:
    below it, and a subtree is left when the tokens that remain on either side
    cannot lift the overlap to what its smallest set needs.  Sets that links
    already connect are passed over, since only connections are returned.
-   A group of more than ``GROUP`` texts is split into pairs of blocks.
+5. A group of more than ``PIVOT_FROM`` texts is compared with ``PIVOTS`` of them first.  The
+   largest class that comes out of it is settled: its texts meet the rest of the group, not
+   each other.  Rest and class are split into blocks of at most ``GROUP`` texts (about
+   ``GROUP_TOKENS`` tokens) and compared block by block, so a group of near copies moves as
+   often as its rest has blocks.
 
 Defined results: a text with 1 to 4 words has that word sequence as its only
 token; a null or empty text, or one of white space, has none and links with
@@ -30,16 +34,21 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orchard.llm.common import (Powers, byte_runs, components, cut, mix64, prefix_sums, restrict,
                                 span_hashes, table, texts, tidy, word_spans, written)
+from orchard.llm.hot import lookup
 
 WORDS = 5
 PERCENT = 80                    # link when 100 * shared >= PERCENT * united
 BUCKET_BYTES = 8_000_000       # text per token bucket
-GROUP = 2_000                   # texts of a group compared in one task
+GROUP = 2_000                   # texts of a block: a task compares two
+GROUP_TOKENS = 2_000_000        # tokens of a block (16 MB)
+PIVOT_FROM = 256                # larger groups are compared with pivots first
+PIVOTS = 8
+PIVOT_SHARE = 1_000             # texts of a group that one copy of its pivots meets
 
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _BLANK = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
@@ -147,7 +156,8 @@ class PrefixTree:
     """Radix tree over token sequences; a node stands for the sets ``lo`` to ``hi`` of ``order``."""
 
     def __init__(self, seqs: list[np.ndarray], sizes: np.ndarray):
-        self.order = sorted(range(len(seqs)), key=lambda i: seqs[i].tolist())
+        # big-endian bytes sort like the sequences themselves
+        self.order = sorted(range(len(seqs)), key=lambda i: seqs[i].astype(">u8").tobytes())
         s = [seqs[i] for i in self.order]
         n = sizes[self.order]
         length = np.array([len(x) for x in s])
@@ -223,16 +233,17 @@ class PrefixTree:
         return found
 
 
-def group_links(seqs: list[np.ndarray], sizes: np.ndarray, side: np.ndarray,
-                percent: int = PERCENT) -> list[tuple[int, int]]:
+def group_links(seqs: list[np.ndarray], sizes: np.ndarray, side: np.ndarray, percent: int = PERCENT,
+                label: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the sets of a group: within it, or, where ``side`` has 0 and 1,
-    between the two sides.  Tokens are numbered in the global order."""
+    between the two sides.  Tokens are numbered in the global order; sets of one ``label``
+    are connected already."""
     two = bool(side.any()) and not bool(side.all())
     held = np.flatnonzero(side == 0) if two else np.arange(len(seqs))
     probes = np.flatnonzero(side == 1) if two else held
     tree = PrefixTree([seqs[i] for i in held], sizes[held])
     member = held[np.array(tree.order, np.int64)]
-    comp = np.arange(len(seqs))
+    comp = np.arange(len(seqs)) if label is None else np.unique(label, return_inverse=True)[1]
     mark = np.zeros(1 + max((int(s[-1]) for s in seqs if len(s)), default=0), np.int64)
     links = []
 
@@ -272,7 +283,8 @@ def _group_task(percent: int):
         _, rank = np.unique(np.concatenate(token), return_inverse=True)
         seqs = np.split(rank, np.cumsum([len(t) for t in token])[:-1])
         node = pdf["node"].to_numpy(np.int64)
-        links = group_links(seqs, pdf["n"].to_numpy(np.int64), pdf["side"].to_numpy(np.int64), percent)
+        n, side, label = (pdf[c].to_numpy(np.int64) for c in ("n", "side", "label"))
+        links = group_links(seqs, n, side, percent, label)
         return pd.DataFrame({"a": [node[i] for i, _ in links], "b": [node[j] for _, j in links]},
                             dtype="int64")
     return run
@@ -284,8 +296,35 @@ def _classes(docs: DataFrame) -> DataFrame:
                               F.xxhash64("doc_id", "text").alias("k"))
 
 
-def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
-               group: int = GROUP) -> tuple[DataFrame, DataFrame]:
+def pivot_links(sets: DataFrame, member: DataFrame, percent: int, pivot_from: int) -> DataFrame:
+    """``comp, a, b``: links of the ``sets`` of large groups (``member``: id, comp) with the first
+    ``PIVOTS`` of their group.  Pivots are copied for each ``PIVOT_SHARE`` texts."""
+    large = member.groupBy("comp").agg(F.count("*").alias("m")).where(F.col("m") > pivot_from)
+    large = cut(large.withColumn("shares", F.ceil(F.col("m") / PIVOT_SHARE).cast("int")))
+    inside = lookup(member, large, ["comp"], "m")
+    order = Window.partitionBy("comp").orderBy("id")
+    first = (inside.withColumn("place", F.row_number().over(order)).where(F.col("place") <= PIVOTS)
+             .select("comp", F.col("id").alias("node")))
+    pivots = (sets.join(first, "node").groupBy("comp")
+              .agg(F.collect_list(F.struct("node", "n", "tokens")).alias("pivots"))
+              .join(large, "comp").withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+              .select("comp", "share", "pivots"))
+    rows = sets.join(inside, F.col("node") == F.col("id")).withColumn(
+        "share", F.pmod(F.xxhash64("node"), F.col("shares")).cast("int")).drop("id")
+
+    def linked(p):
+        close = F.lit(100) * F.least(p["n"], F.col("n")) >= F.lit(percent) * F.greatest(p["n"], F.col("n"))
+        shared = F.size(F.array_intersect("tokens", p["tokens"]))
+        return (p["node"] != F.col("node")) & close & (
+            (100 + percent) * shared >= F.lit(percent) * (p["n"] + F.col("n")))
+
+    met = rows.join(pivots, ["comp", "share"]).select(
+        "comp", F.col("node").alias("a"), F.filter("pivots", linked).alias("met"))
+    return met.select("comp", "a", F.explode("met.node").alias("b"))
+
+
+def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP,
+               pivot_from: int = PIVOT_FROM) -> tuple[DataFrame, DataFrame]:
     """(``node, n`` of every distinct text, links ``a, b`` that connect linked texts)."""
     rows = _classes(docs)
     size = rows.agg(F.sum(F.octet_length("text").cast("long")).alias("n")).head()["n"] or 0
@@ -313,23 +352,49 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     ties = (firsts.join(least_node, "token")
             .where("node <> to").select(F.col("node").alias("a"), F.col("to").alias("b")).distinct())
     member = components(ties).withColumnRenamed("component_id", "comp")
-    big = member.groupBy("comp").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"))
-    placed = (sets.join(member.join(big, "comp"), F.col("node") == F.col("id"))
-              .withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")))
-    # block pairs (i, j), i <= j: side 0 is block i, side 1 block j; i = j within one block
-    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    member = cut(member)
+    early = cut(pivot_links(sets, member, percent, pivot_from))
+    # texts by class so far; the largest class of a group with pivots is settled
+    label = cut(components(early.select("a", "b")))
+    known = label.join(member, "id")
+    top = cut(known.groupBy("comp", "component_id").agg(F.count("*").alias("c")).groupBy("comp").agg(
+        F.max(F.struct("c", "component_id")).alias("top"), F.sum("c").alias("m"))
+              .select("comp", "m", F.col("top.component_id").alias("top")))
+    settled = lookup(known, top, ["comp"], "m").select(
+        "id", F.col("component_id").alias("label"), (F.col("component_id") == F.col("top")).alias("settled"))
+    state = cut(member.join(settled, "id", "left").join(
+        sets.select(F.col("node").alias("id"), F.size("tokens").alias("len")), "id").select(
+        "id", "comp", F.coalesce("label", "id").alias("label"), F.coalesce("settled", F.lit(False)).alias("settled"),
+        "len"))
+
+    def blocks_of(of):
+        count, tokens = F.sum(of.cast("long")), F.sum(F.when(of, F.col("len")).otherwise(0))
+        return F.ceil(F.greatest(count / group, tokens / GROUP_TOKENS)).cast("int")
+
+    parts = cut(state.groupBy("comp").agg(
+        F.count("*").alias("m"), blocks_of(~F.col("settled")).alias("rest"), blocks_of(F.col("settled")).alias("same"))
+        .where("rest > 0"))
+    hashed = F.xxhash64("id")
+    part = F.when(F.col("settled"), F.col("rest") + F.pmod(hashed, F.col("same"))).otherwise(
+        F.pmod(hashed, F.col("rest"))).cast("int")
+    placed = (sets.join(lookup(state, parts, ["comp"], "m").withColumn("part", part), F.col("node") == F.col("id")))
+    # block pairs (i, j), i <= j: side 0 is block i, side 1 block j; i = j within one block of the
+    # rest; the blocks of the settled class follow those of the rest and meet them alone
+    last = F.when(F.col("settled"), F.col("rest") - 1).otherwise(F.col("rest") + F.col("same") - 1)
+    pairs = placed.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
     blocks = pairs.select("comp", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
                           F.when(F.col("part") > F.col("other"), 1).otherwise(0).cast("long").alias("side"),
-                          "node", "n", "tokens")
-    links = cut(blocks.groupBy("comp", "i", "j").applyInPandas(tidy(_group_task(percent)), "a long, b long"))
+                          "node", "n", "tokens", "label")
+    late = cut(blocks.groupBy("comp", "i", "j").applyInPandas(tidy(_group_task(percent)), "a long, b long"))
+    links = early.select("a", "b").unionByName(late)
     return sizes, links
 
 
 def jaccard_classes(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
-                    group: int = GROUP) -> DataFrame:
+                    group: int = GROUP, pivot_from: int = PIVOT_FROM) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row of ``docs``; a row without
     tokens is a class of its own."""
-    sizes, links = text_links(docs, words, percent, group)
+    sizes, links = text_links(docs, words, percent, group, pivot_from)
     linked = cut(components(links))
     # both sides of the last join are written first, so that a class that holds a third of
     # the rows can be split when they meet

@@ -160,8 +160,8 @@ def test_lengths_that_distances_cannot_hold_are_refused(spark):
 
 # ---- Jaccard join ---------------------------------------------------------------------------
 
-@pytest.mark.parametrize("group", [2000, 7])
-def test_jaccard_classes_match_brute_force(spark, group):
+@pytest.mark.parametrize("group, pivot_from", [(2000, 256), (7, 256), (7, 3), (2000, 1)])
+def test_jaccard_classes_match_brute_force(spark, group, pivot_from):
     rng = random.Random(3)
     base = [[f"w{rng.randrange(300)}" for _ in range(rng.choice([1, 3, 5, 9, 30, 60, 120]))] for _ in range(25)]
     texts = [None, "", " \t\n", "one", "ONE", "one two", "a b c d e", "A  b\nc d e"]
@@ -170,7 +170,8 @@ def test_jaccard_classes_match_brute_force(spark, group):
         for _ in range(rng.choice([0, 0, 1, 1, 2, 3, 6])):
             words[rng.randrange(len(words))] = f"x{rng.randrange(900)}"
         texts.append(rng.choice([" ", "\n", "  "]).join(words))
-    got = ngram_join.jaccard_classes(documents(spark, texts).repartition(4), group=group).toPandas().set_index("doc_id")
+    got = ngram_join.jaccard_classes(documents(spark, texts).repartition(4), group=group,
+                                      pivot_from=pivot_from).toPandas().set_index("doc_id")
     sets = [H.shingles(t) for t in texts]
     links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b]
              and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
