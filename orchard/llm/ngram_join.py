@@ -44,6 +44,7 @@ from orchard.llm.hot import lookup
 WORDS = 5
 PERCENT = 80                    # link when 100 * shared >= PERCENT * united
 BUCKET_BYTES = 8_000_000       # text per token bucket
+MAX_TASKS = 20_000              # partitions that the buckets are dealt over
 GROUP = 2_000                   # texts of a block: a task compares two
 GROUP_TOKENS = 2_000_000        # tokens of a block (16 MB)
 PIVOT_FROM = 256                # larger groups are compared with pivots first
@@ -333,7 +334,8 @@ def text_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, grou
     extra = cut(ids.join(ids.groupBy("node").agg(F.min("k").alias("one"), F.count("*").alias("c"))
                          .where("c > 1"), "node").where("k <> one").select("k").distinct())
     one_each = restrict(rows, extra, "k", "left_anti").select("node", "text")
-    shared = (_dealt(one_each, words, buckets).groupBy("bucket")
+    # a task takes few buckets, one after the other, however many there are
+    shared = (_dealt(one_each, words, buckets).repartition(min(buckets, MAX_TASKS), "bucket").groupBy("bucket")
               .applyInPandas(tidy(_shared_tokens), "node long, token long"))
     with written(shared) as shared:
         sizes = cut(shared.where("token < 0").select("node", (-1 - F.col("token")).alias("n")).distinct())
