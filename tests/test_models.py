@@ -1,5 +1,6 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
@@ -238,3 +239,20 @@ def test_report_is_written_and_read_back(spark, tmp_path):
     df = spark.createDataFrame([(1, "url: a ==> evergreen"), (2, "url: b ==> ephemeral")], "doc_id long, line string")
     write_report(df, f"{tmp_path}/report")
     assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/report").collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_steps_read_blocks_of_rows_with_every_value_as_it_was(spark):
+    """A step scans one row per block, not one per data row; columns of few values are codes."""
+    rows = [([float(i % 3), i * 0.1, -0.0, 1.0 / 3], float(i % 2), i / 700) for i in range(600)]
+    df = spark.createDataFrame(rows, "features array<double>, label double, u double").coalesce(2)
+    blocks = linear._packed(df, 4, "features", "label", "u").collect()
+    assert len(blocks) <= 2 and sum(b["n"] for b in blocks) == 600
+    got = []
+    for b in blocks:
+        cols = []
+        for held, codes in zip(b["x"], b["codes"]):
+            values = np.frombuffer(held)
+            cols.append(values[np.frombuffer(codes, np.uint8)] if codes else values)
+        got += list(zip(np.stack(cols, 1).tolist(), np.frombuffer(b["y"]).tolist(), np.frombuffer(b["u"], np.int64).tolist()))
+    assert any(b["codes"][0] for b in blocks) and not any(b["codes"][1] for b in blocks)
+    assert repr(sorted(got)) == repr(sorted((x, y, int(u * 4294967296.0)) for x, y, u in rows))
