@@ -13,6 +13,7 @@ import uuid
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,6 +117,13 @@ class CutTree:
         return scored.withColumn(out, self.predict_col(F.col("__leaf"))).select(*df.columns, out)
 
 
+def leaf_table(nodes: NodeTable, leaf: str, depths: dict[str, int]) -> pa.Table:
+    """What the tree predicts for each leaf (numbered in preorder, as doubles), cut at each of ``depths``."""
+    guesses = {name: nodes.leaf_predictions(depth) for name, depth in depths.items()}
+    n = int((nodes.left < 0).sum())
+    return pa.table({leaf: np.arange(n, dtype=np.float64), **guesses})
+
+
 def with_leaves(df: DataFrame, trees: dict[str, TreeModel], features: str = "features") -> DataFrame:
     """``df`` with a leaf number per tree (all found in the same scan)."""
     out = vectorize(df, features)

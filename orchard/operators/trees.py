@@ -19,6 +19,7 @@ from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from orchard.operators import grow
 from orchard.session import ensure_checkpoint_dir
 
 MAX_DEPTH_LIMIT = 30
@@ -78,6 +79,8 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
     the tree would otherwise move with the partitioning of the input.  Vectors have no
     order; rows that hold vectors are put into one before (``fit_sparse_tree``).
 
+    Class trees over arrays are grown by ``grow``: the learner's tree at a cost that follows the rows.
+
     The learner makes several preparatory passes (class count, row count,
     split candidates, binning) before it caches its own binned rows; with
     ``cache=True`` the (vector, label) input is persisted for the fit so those
@@ -92,7 +95,6 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
     data = df.select(F.col(features).alias("features"), F.col(label).cast("double").alias("label"))
     if stable and not isinstance(data.schema["features"].dataType, VectorUDT):
         data = stable_input(data)
-    data = vectorize(data).select("fvec", "label")
     params = dict(featuresCol="fvec", labelCol="label", maxDepth=max_depth, maxBins=max_bins,
                   impurity=impurity, seed=seed, cacheNodeIds=True, checkpointInterval=10)
     if kind == "class":
@@ -102,10 +104,17 @@ def fit_tree(df: DataFrame, kind: str = "class", impurity: str = "gini",
     else:
         raise ValueError(kind)
     t0 = time.perf_counter()
+    arrays = kind == "class" and not isinstance(data.schema["features"].dataType, VectorUDT)
+    if not arrays:
+        data = vectorize(data).select("fvec", "label")
     if cache:
         data = data.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        model = est.fit(data)
+        seen = grow.shape(data) if arrays else None
+        if seen:
+            model = grow.class_tree(data, *seen, params)
+        else:
+            model = est.fit(vectorize(data).select("fvec", "label") if arrays else data)
     finally:
         if cache:
             data.unpersist()
