@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orchard.operators import binning, evaluate, recommend as R, score as S, sparse, trees as TR, tune
+from orchard.operators.common import stored
 from orchard.operators.split import sample_fraction, split_column
 from orchard.plans import prepared as P
 from orchard.plans.q_bayes import r6
@@ -245,7 +246,7 @@ def q_report_labelled_values(spark, sf):
 # ---- recommender ------------------------------------------------------------------------
 
 def _als(spark, sf):
-    ratings = V.ratings(spark, sf)
+    ratings = stored(V.ratings(spark, sf))          # the fit, requests and predictions all read them
     return ratings, R.fit_als(ratings, **ALS_PARAMS)
 
 
@@ -318,12 +319,13 @@ def q_fit_als_checks(spark, sf):
 def q_als_predict_pair_checks(spark, sf):
     """Every rating's prediction against the product of its two factor vectors."""
     ratings, model = _als(spark, sf)
-    pred = R.predict_pairs(model, ratings).withColumn("score", F.col("prediction"))
     u = model.userFactors.select(F.col("id").alias("user_id"), F.col("features").alias("uf"))
     i = model.itemFactors.select(F.col("id").alias("item_id"), F.col("features").alias("vf"))
+    # in the order of the predictions' own joins, so that the ratings move once for each side
+    pred = R.predict_pairs(model, ratings.join(u, "user_id")).withColumn("score", F.col("prediction"))
     dot = F.aggregate(F.zip_with("uf", "vf", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0),
                       lambda acc, v: acc + v)
-    return pred.join(u, "user_id").join(i, "item_id").select(
+    return pred.join(i, "item_id").select(
         "user_id", "item_id", "rating", (F.abs(dot - F.col("score")) < 1e-4).alias("is_product"))
 
 

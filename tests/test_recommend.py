@@ -65,3 +65,37 @@ def test_norm_bounded_topk_equals_all_products(spark, monkeypatch, block):
         assert sum(seen) < 0.6 * 40 * 19
     assert topk.top_products(frame(users[:0]), frame(items), 10, block).count() == 0
     assert topk.top_products(frame(users), frame(items[:3]), 10, block).count() == 120
+
+
+def test_many_ratings_take_few_factor_blocks(spark, monkeypatch):
+    assert R.factor_blocks(600_000, 12) == 12 and R.factor_blocks(600_000, 4) == 10
+    assert R.factor_blocks(36_000_000, 12) == 4
+    assert R.factor_blocks(216_000_000, 12) * R.BLOCK_RATINGS >= 216_000_000
+    made, real = [], R.ALS
+
+    def als(**kw):
+        made.append((kw["numUserBlocks"], kw["numItemBlocks"]))
+        return real(**kw)
+
+    monkeypatch.setattr(R, "ALS", als)
+    monkeypatch.setattr(R, "FEW_RATINGS", 100)
+    rows = [(u, i, float(1 + u % 5)) for u in range(30) for i in range(20)]
+    df = spark.createDataFrame(rows, "user_id int, item_id int, rating double")
+    m = R.fit_als(df, rank=3, max_iter=5)
+    assert made == [(R.MIN_BLOCKS, R.MIN_BLOCKS)]
+    assert m.userFactors.count() == 30 and m.itemFactors.count() == 20
+    assert R.predict_pairs(m, df).where("abs(prediction - rating) > 0.5").count() == 0
+
+
+def test_pair_checks_drop_no_rating_and_read_them_once(spark, tmp_path, monkeypatch):
+    from orchard.plans import q_trees_als as Q
+    orders = [(o, o % 7) for o in range(60)]
+    lines = [(o, (o * k) % 11, float(1 + (o + k) % 50)) for o in range(60) for k in range(1, 4)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(Q, "ALS_PARAMS", dict(rank=3, max_iter=3, reg_param=0.1))
+    got = Q.q_als_predict_pair_checks(spark, str(tmp_path))
+    assert not any("orders.parquet" in f for f in got.inputFiles())     # neither joined anew nor aggregated
+    rows = got.collect()
+    assert sorted((r.user_id, r.item_id) for r in rows) == sorted({(o % 7, p) for o, p, _ in lines})
+    assert all(r.is_product for r in rows)
