@@ -99,3 +99,28 @@ def test_pair_checks_drop_no_rating_and_read_them_once(spark, tmp_path, monkeypa
     rows = got.collect()
     assert sorted((r.user_id, r.item_id) for r in rows) == sorted({(o % 7, p) for o, p, _ in lines})
     assert all(r.is_product for r in rows)
+
+
+def test_topk_leaves_most_blocks_out_when_norms_are_equal(spark, monkeypatch):
+    import numpy as np
+    from orchard.operators import topk
+    rng = np.random.default_rng(11)
+    items = rng.normal(0, 1, (640, 3))
+    items = (items / np.linalg.norm(items, axis=1)[:, None]).astype(np.float32)     # no norm bound can tell them apart
+    users = rng.normal(0, 1, (30, 3)).astype(np.float32)
+    frame = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id int, features array<float>")
+    seen, real = [], topk._scored
+
+    def counted(groups, blocks, n):
+        asked = F.size(F.filter("last", lambda x: x > F.col("b")))
+        seen.append(groups.agg(F.sum(asked)).first()[0] or 0)
+        return real(groups, blocks, n)
+
+    monkeypatch.setattr(topk, "_scored", counted)
+    got = topk.top_products(frame(users), frame(items), 5, 16).collect()
+    score = users.astype(float) @ items.astype(float).T
+    for u in range(30):
+        want = sorted(range(640), key=lambda i: (-score[u, i], i))[:5]
+        assert [r.id for r in sorted((r for r in got if r.rid == u), key=lambda r: r.rank)] == want
+    assert sum(seen) < 0.5 * 30 * 40
+    assert topk.top_products(frame(users), frame(items[:0]), 5, 16).count() == 0
