@@ -34,7 +34,8 @@ PARTITION_PIECES = 32_768   # pieces packed in one task
 MAX_EXCHANGES = 4
 _TAIL = ",.!&%$*#|"         # stripped from a word before it is looked up
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
-_CACHE_WORDS = 1_000_000    # words remembered at a time by one task
+_CACHE_WORDS = 250_000      # words remembered at a time by one task
+RUN_BYTES = 400_000         # text encoded at a time; its hashes and sums take some fifty times that
 
 
 def default_tokenizer() -> str:
@@ -162,7 +163,7 @@ def token_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int =
 
     def run(it):
         enc = _Encoder(path)
-        for ids, data, off in byte_batches(it, 1_500_000):
+        for ids, data, off in byte_batches(it, RUN_BYTES):
             cols: list[list] = [[] for _ in fields]
             for doc, tokens in zip(ids, enc.encode(data, off)):
                 seq = np.append(tokens, np.uint32(end_id))

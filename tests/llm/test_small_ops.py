@@ -282,3 +282,20 @@ def test_shares_use_the_number_of_units(spark):
     share = {w: math.log(len(texts) / n) / math.log(len(texts) / 8) for w, n in planted.items()}
     assert share["quartz"] < pii.GENERALISE < share["fernando"]
     assert got == {w: pytest.approx(share[w]) for w in ("zanzibar", "fernando")}
+
+
+def test_packing_encodes_texts_in_small_runs(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from orchard.llm import packing
+    assert packing.RUN_BYTES <= 400_000 and packing._CACHE_WORDS <= 250_000
+    words = [f"w{i}" for i in range(400)]
+    docs = [" ".join(words[k:k + 300]) for k in range(0, 100, 10)]
+    data = np.frombuffer("".join(docs).encode(), np.uint8)
+    off = np.cumsum([0] + [len(d) for d in docs])
+    whole = [t.tolist() for t in packing._Encoder(packing.default_tokenizer()).encode(data, off)]
+    monkeypatch.setattr(packing, "_CACHE_WORDS", 50)            # forgotten between any two runs
+    enc = packing._Encoder(packing.default_tokenizer())
+    batch = pa.record_batch([pa.array(range(len(docs))), pa.array(docs)], names=["doc_id", "text"])
+    parts = [t.tolist() for _, d, o in packing.byte_batches([batch], 2_000) for t in enc.encode(d, o)]
+    assert parts == whole
