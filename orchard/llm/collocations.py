@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from orchard.llm.common import BROADCAST_IDS, byte_runs, cut, table, texts, tidy, written
+from orchard.llm.common import Powers, byte_runs, cut, prefix_sums, span_hashes, table, texts, tidy, written
 from orchard.llm.hot import lookup
 from orchard.llm.wordbytes import as_strings, byte_set, counted, words_of
 
@@ -44,6 +44,7 @@ MIN_COUNT, MAX_WORDS, TOP, ABSORBED = 100, 5, 2000, 100     # ABSORBED in percen
 RUN_BYTES = 1_000_000       # texts tokenised together
 CHUNK = 1_024               # words in a chunk, but for a longer piece
 FLUSH = 400_000             # pairs combined in a task before they are sent on
+BOUND = 4_000_000           # phrases broadcast, 48 MB
 _BREAK = byte_set((0x0A, 0x0D), *((ord(c),) * 2 for c in ".,;:!?"))
 _WORD = ~(_BREAK | byte_set((0x20, 0x20), (0x09, 0x09)))
 
@@ -71,12 +72,24 @@ def word_counts(rows: DataFrame) -> DataFrame:
     """``lang, word, f`` of all words."""
     schema = pa.schema([("lang", pa.string()), ("word", pa.string()), ("f", pa.int64())])
 
+    def combined(parts):
+        held = pa.Table.from_batches(parts).group_by(["lang", "word"], use_threads=False).aggregate([("f", "sum")])
+        held = held.rename_columns({"f_sum": "f"}).select(schema.names).cast(schema)
+        return held.combine_chunks().to_batches()
+
     def run(it):
+        parts, held = [], 0
         for b, data, off in byte_runs(it, RUN_BYTES):
             r = _Run(b, data, off)
             key, f = counted(r.codes.astype(np.int64) * len(r.langs) + r.lang)
-            yield pa.record_batch([r.langs.take(pa.array(key % len(r.langs))),
-                                   r.words.take(pa.array(key // len(r.langs))), pa.array(f)], schema=schema)
+            parts.append(pa.record_batch([r.langs.take(pa.array(key % len(r.langs))),
+                                          r.words.take(pa.array(key // len(r.langs))), pa.array(f)], schema=schema))
+            held += len(key)
+            if held >= FLUSH:
+                yield from combined(parts)
+                parts, held = [], 0
+        if parts:
+            yield from combined(parts)
 
     return (rows.mapInArrow(tidy(run), "lang string, word string, f long")
             .groupBy("lang", "word").agg(F.sum("f").alias("f")))
@@ -138,9 +151,43 @@ def _collected(joined: DataFrame) -> DataFrame:
     return rows.select("chunk", F.col("o.pos").alias("pos"), F.col("o.id").alias("id"))
 
 
+def _hashes(words: pa.Array, powers: Powers) -> np.ndarray:
+    """64-bit hashes of strings."""
+    words = pa.concat_arrays([words])                       # a slice keeps its offsets, a copy starts at 0
+    _, off, data = words.buffers()
+    off = np.frombuffer(off, np.int32, len(words) + 1).astype(np.int64) if len(words) else np.zeros(1, np.int64)
+    data = np.frombuffer(data, np.uint8, off[-1] - off[0], off[0]) if off[-1] > off[0] else np.empty(0, np.uint8)
+    off = off - off[0]
+    return span_hashes(prefix_sums(data, powers), off[:-1], off[1:], powers)
+
+
+class _Known:
+    """Numbers of known words: found by hash, compared as strings.  Unlike ``index_in`` a look-up does not
+    read all known words."""
+
+    def __init__(self, names: pa.Array, ids: np.ndarray, powers: Powers):
+        self.powers, step = powers, 65_536
+        parts = [_hashes(names.slice(a, step), powers) for a in range(0, len(names), step)]
+        hashes = np.concatenate(parts)
+        order = np.argsort(hashes)
+        self.hashes, self.names, self.ids = hashes[order], names.take(pa.array(order)), ids[order]
+        self.twins = bool((self.hashes[1:] == self.hashes[:-1]).any())
+
+    def of(self, words: pa.Array, hashes: np.ndarray) -> np.ndarray:
+        """The number of each word, -1 of an unknown one."""
+        if self.twins:
+            place = pc.fill_null(pc.index_in(words, value_set=self.names), -1).to_numpy(zero_copy_only=False)
+            return np.append(self.ids, -1)[place]
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        out, hit = np.full(len(words), -1), np.flatnonzero(self.hashes[at] == hashes)
+        same = pc.equal(words.take(pa.array(hit)), self.names.take(pa.array(at[hit]))).to_numpy(zero_copy_only=False)
+        out[hit[same]] = self.ids[at[hit[same]]]
+        return out
+
+
 def first_relation(rows: DataFrame, words: DataFrame, bound: int) -> DataFrame:
     """R(1): occurrences of the words of C(1) (cut; ``lang, phrase, id, f``)."""
-    if words.count() > bound:
+    if words.count() > bound // 2:
         def each(it):
             numbering = _Numbering()
             for b, data, off in byte_runs(it, RUN_BYTES):
@@ -150,22 +197,25 @@ def first_relation(rows: DataFrame, words: DataFrame, bound: int) -> DataFrame:
                                        r.words.take(pa.array(r.codes))], names=["chunk", "pos", "lang", "phrase"])
         flat = rows.mapInArrow(tidy(each), "chunk long, pos long, lang string, phrase string")
         return _collected(lookup(flat, words.select("lang", "phrase", "id", "f"), ["lang", "phrase"], "f", bound=bound))
-    listed = words.select("lang", "phrase", "id").toPandas()
+    listed = words.select("lang", "phrase", "id").toArrow().combine_chunks()
+    own = {lang: listed.filter(pc.equal(listed["lang"], lang)) for lang in pc.unique(listed["lang"]).to_pylist()}
     shipped = rows.sparkSession.sparkContext.broadcast(
-        {lang: (own["phrase"].tolist(), own["id"].to_numpy(np.int64)) for lang, own in listed.groupby("lang")})
+        {lang: (as_strings(part["phrase"].combine_chunks()), part["id"].to_numpy()) for lang, part in own.items()})
 
     def run(it):
-        numbering = _Numbering()
-        known = {lang: (as_strings(names), np.append(ids, -1)) for lang, (names, ids) in shipped.value.items()}
+        numbering, powers = _Numbering(), Powers()
+        known = {lang: _Known(names, ids, powers) for lang, (names, ids) in shipped.value.items()}
         for b, data, off in byte_runs(it, RUN_BYTES):
             r = _Run(b, data, off)
             (chunk, pos), ids = numbering.of(r), np.full(len(r.pos), -1)
+            hashes = _hashes(r.words, powers)
             for j, lang in enumerate(r.langs.to_pylist()):
                 if lang in known:
-                    names, numbers = known[lang]
-                    place = pc.fill_null(pc.index_in(r.words, value_set=names), -1).to_numpy(zero_copy_only=False)
                     own = r.lang == j
-                    ids[own] = numbers[place][r.codes[own]]
+                    codes = np.flatnonzero(np.bincount(r.codes[own], minlength=len(r.words)))
+                    numbers = np.full(len(r.words), -1)
+                    numbers[codes] = known[lang].of(r.words.take(pa.array(codes)), hashes[codes])
+                    ids[own] = numbers[r.codes[own]]
             stay = ids >= 0
             yield _chunks(pos[stay], ids[stay], chunk[stay])
 
@@ -221,27 +271,32 @@ def next_relation(relation: DataFrame, phrases: DataFrame, bound: int) -> DataFr
         flat = relation.mapInArrow(tidy(each), "chunk long, pos long, prefix long, suffix long")
         pairs = phrases.select("prefix", "suffix", "id", "f")
         return _collected(lookup(flat, pairs, ["prefix", "suffix"], "f", bound=bound))
-    listed = phrases.select("prefix", "suffix", "id").toPandas()
+    listed = phrases.select("prefix", "suffix", "id").toArrow()
+    first, second, ids = (listed[c].to_numpy() for c in ("prefix", "suffix", "id"))
+    packed = max(first.max(initial=0), second.max(initial=0)) < PACKED
+    a, b = (None, None) if packed else (np.unique(first), np.unique(second))
+    pair = first << 32 | second if packed else np.searchsorted(a, first) * len(b) + np.searchsorted(b, second)
+    order = np.argsort(pair)
+    small = ids.max(initial=0) < 1 << 31
     shipped = relation.sparkSession.sparkContext.broadcast(
-        tuple(listed[c].to_numpy(np.int64) for c in ("prefix", "suffix", "id")))
+        (a, b, pair[order], ids[order].astype(np.int32 if small else np.int64)))
 
     def run(it):
-        first, second, ids = shipped.value
-        a, i = np.unique(first, return_inverse=True)
-        b, j = np.unique(second, return_inverse=True)
-        pair = i * max(len(b), 1) + j
-        order = np.argsort(pair)
-        pair, ids = pair[order], ids[order]
+        a, b, pair, ids = shipped.value
         for rows in _slices(it):
             chunk, pos, prefix, suffix = _adjacent(rows)
             if not len(ids) or not len(pos):
                 continue
-            i = np.minimum(np.searchsorted(a, prefix), len(a) - 1)
-            j = np.minimum(np.searchsorted(b, suffix), len(b) - 1)
-            at = np.minimum(np.searchsorted(pair, i * len(b) + j), len(pair) - 1)
-            stay = (a[i] == prefix) & (b[j] == suffix) & (pair[at] == i * len(b) + j)
-            if stay.any():
-                yield _chunks(pos[stay], ids[at[stay]], chunk[stay])
+            if packed:
+                stay, want = True, prefix << 32 | suffix
+            else:
+                i = np.minimum(np.searchsorted(a, prefix), len(a) - 1)
+                j = np.minimum(np.searchsorted(b, suffix), len(b) - 1)
+                stay, want = (a[i] == prefix) & (b[j] == suffix), i * len(b) + j
+            at = np.minimum(np.searchsorted(pair, want), len(pair) - 1)
+            stay = np.flatnonzero(stay & (pair[at] == want))
+            if len(stay):
+                yield _chunks(pos[stay], ids[at[stay]].astype(np.int64), chunk[stay])
 
     return relation.mapInArrow(tidy(run), _RELATION)
 
@@ -261,7 +316,7 @@ def _numbered(phrases: DataFrame) -> tuple[DataFrame, int]:
 
 
 def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, lang_col: str = "lang",
-                     text_col: str = "text", bound: int = BROADCAST_IDS) -> list[DataFrame]:
+                     text_col: str = "text", bound: int = BOUND) -> list[DataFrame]:
     """C(1) to C(max_words): ``id, prefix, suffix, lang, phrase, n, f, starts, ends`` of all phrases
     met ``min_count`` times; starts and ends are the frequencies of the first and last 1, 2 … words."""
     rows = _source(docs, lang_col, text_col)
@@ -291,7 +346,7 @@ def frequent_phrases(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int
 
 def collocations(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP,
                  absorbed: int = ABSORBED, lang_col: str = "lang", text_col: str = "text",
-                 bound: int = BROADCAST_IDS) -> DataFrame:
+                 bound: int = BOUND) -> DataFrame:
     """``lang, rank, phrase, a, l, r, n, score``: every language's ``top`` phrases whose words go together."""
     levels = frequent_phrases(docs, min_count, max_words, lang_col, text_col, bound)
     kept = []
