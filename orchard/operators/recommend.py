@@ -5,9 +5,11 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.ml.recommendation import ALS, ALSModel
+from pyspark.ml.util import Identifiable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from orchard.operators.factors import factorise
 from orchard.operators.topk import top_products
 from orchard.session import ensure_checkpoint_dir
 
@@ -15,6 +17,7 @@ ALS_SEED = 42
 FEW_RATINGS = 10_000_000
 BLOCK_RATINGS = 50_000_000  # about 2 GB of an executor while the block is built
 MIN_BLOCKS = 4
+MANY_RATINGS = 40_000_000   # beyond, Spark's blocks of ratings and factors outgrow an executor (factors.py)
 
 
 def rating_stats(ratings: DataFrame) -> DataFrame:
@@ -39,9 +42,11 @@ def factor_blocks(n_ratings: int, cores: int) -> int:
 def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: float = 0.1,
             seed: int = ALS_SEED, cold_start: str = "nan") -> ALSModel:
     """Spark ML ALS (block-partitioned; factors checkpointed every 10 iterations
-    when a checkpoint folder is set, which bounds lineage on executor loss).
+    when a checkpoint folder is set, which bounds lineage on executor loss); beyond
+    ``MANY_RATINGS`` the same steps with the ratings on disk (``factors.factorise``), as Spark's
+    learner holds whole blocks of them and all factors they need on the heap.
 
-    ``ratings`` is read twice (it is counted first).  Spark draws the starting vectors by
+    ``ratings`` is read several times (it is counted first).  Spark draws the starting vectors by
     block, so the factors vary a little with ``factor_blocks``.
     """
     spark = ratings.sparkSession
@@ -51,7 +56,10 @@ def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: fl
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - remote session: keep Spark's default
         cores = 10
-    blocks = factor_blocks(rows.count(), cores)
+    n_ratings = rows.count()
+    if n_ratings > MANY_RATINGS:
+        return _model(spark, rank, *factorise(rows, rank, max_iter, reg_param, seed), cold_start)
+    blocks = factor_blocks(n_ratings, cores)
     als = ALS(rank=rank, maxIter=max_iter, regParam=reg_param, userCol="user_id",
               itemCol="item_id", ratingCol="rating", seed=seed, implicitPrefs=False,
               coldStartStrategy=cold_start, checkpointInterval=10,
@@ -59,6 +67,13 @@ def fit_als(ratings: DataFrame, rank: int = 5, max_iter: int = 20, reg_param: fl
     return als.fit(rows)
 
 
+def _model(spark, rank: int, users: DataFrame, items: DataFrame, cold_start: str) -> ALSModel:
+    """Spark's model over given factors."""
+    made = spark._jvm.org.apache.spark.ml.recommendation.ALSModel(Identifiable().uid, rank, users._jdf, items._jdf)
+    model = ALSModel._from_java(made.setUserCol("user_id").setItemCol("item_id"))
+    return model.setColdStartStrategy(cold_start)
+
+
 def predict_pairs(model: ALSModel, pairs: DataFrame, cold_start: str = "nan") -> DataFrame:
     """Predicted rating of each (user_id, item_id) pair."""
     m = model.copy()
